@@ -17,11 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 from tillbook.policy import Policy
 from tillbook.session import materialize
 from tillbook.sources import adapter
-from tillbook.operators import matching, settlement
+from tillbook.operators import breaks as breaks_ops
+from tillbook.operators import duplicates, history, marts, matching, settlement, silver
+from tillbook.sources.landing import add_lineage
 
 RUN_ID = "run-00000000-0000-0000-0000-000000000001"
 AS_OF = date(2002, 3, 31)
 NOW = datetime(2002, 3, 31, 6, 0, 0)
+INGESTED_AT = datetime(2002, 3, 31, 4, 0, 0)
+SNAPSHOT_TIMES = (datetime(1997, 1, 1), datetime(1999, 1, 1))
+SOURCE_SYSTEM = "ops_adapter"
 
 
 class Pipeline:
@@ -95,6 +100,42 @@ class Pipeline:
         return self._keep(self.recon.matches)
 
 
+    # ---- bronze / silver ---------------------------------------------------
+    def bronze(self, name: str) -> DataFrame:
+        frames = {"merchants": self.merchants, "transactions": self.transactions,
+                  "settlement_batches": self.batches, "bank_movements": self.bank_movements,
+                  "reserve_events": self.reserve_events, "returns_adjustments": self.returns}
+        return add_lineage(frames[name], SOURCE_SYSTEM, self.run_id, INGESTED_AT)
+
+    @cached_property
+    def dim_merchant(self) -> DataFrame:
+        return silver.dim_merchant(self.bronze("merchants"))
+
+    # ---- history --------------------------------------------------------------
+    @cached_property
+    def merchant_snapshot(self) -> DataFrame:
+        first = history.snapshot(None, self.merchants_first_snapshot, SNAPSHOT_TIMES[0])
+        return history.snapshot(first, self.merchants, SNAPSHOT_TIMES[1])
+
+    @cached_property
+    def merchant_history(self) -> DataFrame:
+        return history.merchant_history(self.merchant_snapshot)
+
+    # ---- gold -------------------------------------------------------------------
+    @cached_property
+    def breaks(self) -> DataFrame:
+        return self._keep(breaks_ops.reconciliation_breaks(
+            self.matches, self.calendar, self.merchants, self.merchant_history, self.policy))
+
+    @cached_property
+    def daily_cash_position(self) -> DataFrame:
+        return marts.daily_cash_position(self.matches)
+
+    @cached_property
+    def duplicate_postings(self) -> DataFrame:
+        return duplicates.duplicate_postings(self.matches, self.bank_movements)
+
+
 _CACHE: dict[tuple, Pipeline] = {}
 
 
