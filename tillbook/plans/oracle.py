@@ -9,6 +9,8 @@ expression of the same rules.
 
 from __future__ import annotations
 
+import re
+
 # Ordered CTE bodies; every oracle query is "WITH <all> SELECT ...".
 _CTES: list[tuple[str, str]] = []
 
@@ -185,78 +187,208 @@ FROM postings_raw""")
 cte("truth", """
 SELECT settlement_batch_id, merchant_id, scenario AS injected_scenario, expected_settlement_amount FROM scen""")
 
+cte("batches_r1", "SELECT * FROM batches WHERE batch_date < DATE '2001-07-01'")
+cte("postings_r1", "SELECT * FROM postings WHERE posting_date < DATE '2001-07-01'")
+
+
 # ---------------------------------------------------------------- matcher
-cte("bw", """
-SELECT b.settlement_batch_id, b.merchant_id, b.batch_date, b.expected_payout_date, b.expected_settlement_amount,
-       d.business_day_seq AS payout_seq,
-       greatest(1.00, 0.001 * abs(b.expected_settlement_amount)) AS tol,
-       (SELECT max(w.date_day) FROM cal w WHERE w.business_day_seq = d.business_day_seq + 2) AS window_end_date
-FROM batches b JOIN cal d ON d.date_day = b.expected_payout_date""")
-cte("cand", """
-SELECT bw.*, p.posting_id, p.posting_date, p.amount AS posting_amount,
-       CAST(abs(p.amount - bw.expected_settlement_amount) AS DECIMAL(18,2)) AS amount_diff,
-       CAST(abs(p.posting_date - bw.expected_payout_date) AS INTEGER) AS date_diff
-FROM bw JOIN postings p ON p.merchant_id = bw.merchant_id
- AND p.posting_date BETWEEN bw.expected_payout_date AND bw.window_end_date""")
-cte("ranked", """
-SELECT *,
-  row_number() OVER (PARTITION BY settlement_batch_id ORDER BY amount_diff, date_diff, posting_id) AS batch_rank,
-  row_number() OVER (PARTITION BY posting_id ORDER BY amount_diff, date_diff, settlement_batch_id) AS posting_rank
-FROM cand WHERE amount_diff <= tol""")
-cte("single_m", """
-SELECT settlement_batch_id, posting_id, posting_amount AS matched_amount FROM ranked
-WHERE batch_rank = 1 AND posting_rank = 1""")
-cte("unmatched", "SELECT * FROM bw WHERE settlement_batch_id NOT IN (SELECT settlement_batch_id FROM single_m)")
-cte("split_cand", """
-SELECT c.* FROM cand c
-WHERE c.settlement_batch_id IN (SELECT settlement_batch_id FROM unmatched)
-  AND c.posting_id NOT IN (SELECT posting_id FROM single_m)""")
-cte("split_raw", """
-SELECT settlement_batch_id, max(expected_settlement_amount) AS expected_settlement_amount, max(tol) AS tol,
-       CAST(sum(posting_amount) AS DECIMAL(18,2)) AS summed_amount, count(*) AS posting_count
-FROM split_cand GROUP BY settlement_batch_id
-HAVING count(*) > 1 AND abs(sum(posting_amount) - max(expected_settlement_amount)) <= max(tol)""")
-cte("split_rank", """
-SELECT settlement_batch_id, posting_id,
-       row_number() OVER (PARTITION BY posting_id ORDER BY batch_date, settlement_batch_id) AS win_rank
-FROM split_cand WHERE settlement_batch_id IN (SELECT settlement_batch_id FROM split_raw)""")
-cte("split_m", """
-SELECT r.* FROM split_raw r
-WHERE NOT EXISTS (SELECT 1 FROM split_rank w WHERE w.settlement_batch_id = r.settlement_batch_id AND w.win_rank > 1)""")
-cte("split_ids", """
-SELECT settlement_batch_id, list_sort(list(posting_id)) AS ids FROM split_cand
-WHERE settlement_batch_id IN (SELECT settlement_batch_id FROM split_m) GROUP BY 1""")
-cte("open_b", "SELECT * FROM unmatched WHERE settlement_batch_id NOT IN (SELECT settlement_batch_id FROM split_m)")
-cte("best_eff", """
-SELECT * FROM (
-  SELECT c.settlement_batch_id, c.posting_id AS closest_posting_id, c.posting_amount AS closest_posting_amount,
-         c.amount_diff AS closest_amount_diff,
-         row_number() OVER (PARTITION BY c.settlement_batch_id ORDER BY c.amount_diff, c.posting_date, c.posting_id) AS rn
-  FROM cand c WHERE c.settlement_batch_id IN (SELECT settlement_batch_id FROM open_b)) z WHERE rn = 1""")
-cte("late_c", """
-SELECT * FROM (
-  SELECT o.settlement_batch_id, p.posting_id AS late_posting_id, p.posting_date AS late_posting_date,
-         p.amount AS late_posting_amount,
-         row_number() OVER (PARTITION BY o.settlement_batch_id ORDER BY p.posting_date, p.posting_id) AS rn
-  FROM open_b o JOIN postings p ON p.merchant_id = o.merchant_id AND p.posting_date > o.window_end_date
-   AND abs(p.amount - o.expected_settlement_amount) <= o.tol) z WHERE rn = 1""")
-cte("outcome", """
-SELECT settlement_batch_id, matched_amount, [posting_id] AS ids, 'single_match' AS match_method, true AS is_matched
-FROM single_m
-UNION ALL
-SELECT s.settlement_batch_id, s.summed_amount, i.ids, 'split_match', true
-FROM split_m s JOIN split_ids i USING (settlement_batch_id)
+def matcher_ctes(sfx: str = "", batches: str = "batches", postings: str = "postings") -> None:
+    """Register the matcher CTEs, names suffixed with ``sfx``, over the given inputs."""
+    n = {k: k + sfx for k in ['bw', 'cand', 'ranked', 'single_m', 'unmatched', 'split_cand', 'split_raw', 'split_rank', 'split_m', 'split_ids', 'open_b', 'best_eff', 'late_c', 'outcome', 'matches']}
+    n.update(batches=batches, postings=postings)
+
+    def c(key: str, body: str) -> None:
+        cte(n[key], re.sub(r"\b(" + "|".join(n) + r")\b", lambda m: n[m.group(1)], body))
+    c("bw", """
+    SELECT b.settlement_batch_id, b.merchant_id, b.batch_date, b.expected_payout_date, b.expected_settlement_amount,
+           d.business_day_seq AS payout_seq,
+           greatest(1.00, 0.001 * abs(b.expected_settlement_amount)) AS tol,
+           (SELECT max(w.date_day) FROM cal w WHERE w.business_day_seq = d.business_day_seq + 2) AS window_end_date
+    FROM batches b JOIN cal d ON d.date_day = b.expected_payout_date""")
+    c("cand", """
+    SELECT bw.*, p.posting_id, p.posting_date, p.amount AS posting_amount,
+           CAST(abs(p.amount - bw.expected_settlement_amount) AS DECIMAL(18,2)) AS amount_diff,
+           CAST(abs(p.posting_date - bw.expected_payout_date) AS INTEGER) AS date_diff
+    FROM bw JOIN postings p ON p.merchant_id = bw.merchant_id
+     AND p.posting_date BETWEEN bw.expected_payout_date AND bw.window_end_date""")
+    c("ranked", """
+    SELECT *,
+      row_number() OVER (PARTITION BY settlement_batch_id ORDER BY amount_diff, date_diff, posting_id) AS batch_rank,
+      row_number() OVER (PARTITION BY posting_id ORDER BY amount_diff, date_diff, settlement_batch_id) AS posting_rank
+    FROM cand WHERE amount_diff <= tol""")
+    c("single_m", """
+    SELECT settlement_batch_id, posting_id, posting_amount AS matched_amount FROM ranked
+    WHERE batch_rank = 1 AND posting_rank = 1""")
+    c("unmatched", "SELECT * FROM bw WHERE settlement_batch_id NOT IN (SELECT settlement_batch_id FROM single_m)")
+    c("split_cand", """
+    SELECT c.* FROM cand c
+    WHERE c.settlement_batch_id IN (SELECT settlement_batch_id FROM unmatched)
+      AND c.posting_id NOT IN (SELECT posting_id FROM single_m)""")
+    c("split_raw", """
+    SELECT settlement_batch_id, max(expected_settlement_amount) AS expected_settlement_amount, max(tol) AS tol,
+           CAST(sum(posting_amount) AS DECIMAL(18,2)) AS summed_amount, count(*) AS posting_count
+    FROM split_cand GROUP BY settlement_batch_id
+    HAVING count(*) > 1 AND abs(sum(posting_amount) - max(expected_settlement_amount)) <= max(tol)""")
+    c("split_rank", """
+    SELECT settlement_batch_id, posting_id,
+           row_number() OVER (PARTITION BY posting_id ORDER BY batch_date, settlement_batch_id) AS win_rank
+    FROM split_cand WHERE settlement_batch_id IN (SELECT settlement_batch_id FROM split_raw)""")
+    c("split_m", """
+    SELECT r.* FROM split_raw r
+    WHERE NOT EXISTS (SELECT 1 FROM split_rank w WHERE w.settlement_batch_id = r.settlement_batch_id AND w.win_rank > 1)""")
+    c("split_ids", """
+    SELECT settlement_batch_id, list_sort(list(posting_id)) AS ids FROM split_cand
+    WHERE settlement_batch_id IN (SELECT settlement_batch_id FROM split_m) GROUP BY 1""")
+    c("open_b", "SELECT * FROM unmatched WHERE settlement_batch_id NOT IN (SELECT settlement_batch_id FROM split_m)")
+    c("best_eff", """
+    SELECT * FROM (
+      SELECT c.settlement_batch_id, c.posting_id AS closest_posting_id, c.posting_amount AS closest_posting_amount,
+             c.amount_diff AS closest_amount_diff,
+             row_number() OVER (PARTITION BY c.settlement_batch_id ORDER BY c.amount_diff, c.posting_date, c.posting_id) AS rn
+      FROM cand c WHERE c.settlement_batch_id IN (SELECT settlement_batch_id FROM open_b)) z WHERE rn = 1""")
+    c("late_c", """
+    SELECT * FROM (
+      SELECT o.settlement_batch_id, p.posting_id AS late_posting_id, p.posting_date AS late_posting_date,
+             p.amount AS late_posting_amount,
+             row_number() OVER (PARTITION BY o.settlement_batch_id ORDER BY p.posting_date, p.posting_id) AS rn
+      FROM open_b o JOIN postings p ON p.merchant_id = o.merchant_id AND p.posting_date > o.window_end_date
+       AND abs(p.amount - o.expected_settlement_amount) <= o.tol) z WHERE rn = 1""")
+    c("outcome", """
+    SELECT settlement_batch_id, matched_amount, [posting_id] AS ids, 'single_match' AS match_method, true AS is_matched
+    FROM single_m
+    UNION ALL
+    SELECT s.settlement_batch_id, s.summed_amount, i.ids, 'split_match', true
+    FROM split_m s JOIN split_ids i USING (settlement_batch_id)
+    UNION ALL
+    SELECT o.settlement_batch_id, coalesce(l.late_posting_amount, b.closest_posting_amount),
+           CASE WHEN l.late_posting_id IS NOT NULL THEN [l.late_posting_id]
+                WHEN b.closest_posting_id IS NOT NULL THEN [b.closest_posting_id] ELSE []::VARCHAR[] END,
+           CASE WHEN l.late_posting_id IS NOT NULL THEN 'delayed'
+                WHEN b.closest_posting_id IS NOT NULL THEN 'unmatched_closest_candidate' ELSE 'missing_posting' END,
+           false
+    FROM open_b o LEFT JOIN late_c l USING (settlement_batch_id) LEFT JOIN best_eff b USING (settlement_batch_id)""")
+    c("matches", """
+    SELECT b.settlement_batch_id, b.merchant_id, b.batch_date, b.expected_payout_date, b.window_end_date,
+           b.expected_settlement_amount, CAST(o.matched_amount AS DECIMAL(18,2)) AS actual_cash_received,
+           coalesce(o.ids, []::VARCHAR[]) AS matched_posting_ids, o.match_method,
+           coalesce(o.is_matched, false) AS is_matched
+    FROM bw b LEFT JOIN outcome o USING (settlement_batch_id)""")
+
+
+matcher_ctes()
+matcher_ctes("_r1", "batches_r1", "postings_r1")
+
+# ---------------------------------------------------------------- history
+_ATTRS = ("merchant_id, business_name, industry, mcc, region, state, employer_size_class, risk_tier, onboarding_date, "
+          "reserve_rate_bps, processing_fee_bps, settlement_speed_business_days, avg_ticket_usd")
+_CHANGED = " OR ".join(f"v1.{c} IS DISTINCT FROM v2.{c}" for c in
+                       ["risk_tier", "reserve_rate_bps", "processing_fee_bps", "settlement_speed_business_days"])
+cte("hist", f"""
+SELECT v1.*, TIMESTAMP '1997-01-01 00:00:00' AS valid_from,
+       CASE WHEN v2.merchant_id IS NOT NULL AND ({_CHANGED}) THEN TIMESTAMP '1999-01-01 00:00:00'
+            ELSE TIMESTAMP '9999-12-31 00:00:00' END AS valid_to
+FROM (SELECT {_ATTRS} FROM merchants_v1) v1 LEFT JOIN merchants v2 USING (merchant_id)
 UNION ALL
-SELECT o.settlement_batch_id, coalesce(l.late_posting_amount, b.closest_posting_amount),
-       CASE WHEN l.late_posting_id IS NOT NULL THEN [l.late_posting_id]
-            WHEN b.closest_posting_id IS NOT NULL THEN [b.closest_posting_id] ELSE []::VARCHAR[] END,
-       CASE WHEN l.late_posting_id IS NOT NULL THEN 'delayed'
-            WHEN b.closest_posting_id IS NOT NULL THEN 'unmatched_closest_candidate' ELSE 'missing_posting' END,
-       false
-FROM open_b o LEFT JOIN late_c l USING (settlement_batch_id) LEFT JOIN best_eff b USING (settlement_batch_id)""")
-cte("matches", """
-SELECT b.settlement_batch_id, b.merchant_id, b.batch_date, b.expected_payout_date, b.window_end_date,
-       b.expected_settlement_amount, CAST(o.matched_amount AS DECIMAL(18,2)) AS actual_cash_received,
-       coalesce(o.ids, []::VARCHAR[]) AS matched_posting_ids, o.match_method,
-       coalesce(o.is_matched, false) AS is_matched
-FROM bw b LEFT JOIN outcome o USING (settlement_batch_id)""")
+SELECT v2.*, TIMESTAMP '1999-01-01 00:00:00', TIMESTAMP '9999-12-31 00:00:00'
+FROM (SELECT {_ATTRS} FROM merchants) v2 LEFT JOIN merchants_v1 v1 USING (merchant_id)
+WHERE v1.merchant_id IS NULL OR ({_CHANGED})""")
+
+
+# ---------------------------------------------------------------- breaks and queue
+def breaks_ctes(sfx: str = "") -> None:
+    m = "matches" + sfx
+    cte("rep_seq" + sfx, f"""
+SELECT r.report_date, c.business_day_seq AS rseq
+FROM (SELECT max(window_end_date) AS report_date FROM {m}) r JOIN cal c ON c.date_day = r.report_date""")
+    cte("brk_rows" + sfx, f"""
+SELECT x.settlement_batch_id, x.merchant_id, x.batch_date, x.expected_payout_date,
+       x.window_end_date AS break_first_identified_date, x.expected_settlement_amount, x.actual_cash_received,
+       CAST(abs(x.expected_settlement_amount - coalesce(x.actual_cash_received, 0)) AS DECIMAL(18,2)) AS break_amount,
+       x.match_method AS root_cause_hint, r.report_date, CAST(r.rseq - c.business_day_seq AS BIGINT) AS age_business_days
+FROM {m} x CROSS JOIN rep_seq{sfx} r JOIN cal c ON c.date_day = x.window_end_date
+WHERE NOT x.is_matched""")
+    cte("breaks" + sfx, f"""
+SELECT b.settlement_batch_id, b.merchant_id, mer.industry, mer.region, coalesce(h.risk_tier, mer.risk_tier) AS risk_tier,
+       b.batch_date, b.expected_payout_date, b.break_first_identified_date, b.report_date,
+       b.expected_settlement_amount, b.actual_cash_received, b.break_amount, b.age_business_days,
+       CASE WHEN b.age_business_days <= 1 THEN '0-1' WHEN b.age_business_days <= 3 THEN '2-3'
+            WHEN b.age_business_days <= 7 THEN '4-7' WHEN b.age_business_days <= 14 THEN '8-14' ELSE '15+' END
+           AS aging_bucket,
+       b.age_business_days > 5 AS is_cash_at_risk,
+       CAST(CAST((CAST(b.break_amount * 100 AS HUGEINT) * b.age_business_days * 800 * 2 + 3650000) // 7300000
+                 AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS funding_cost_estimate,
+       b.root_cause_hint
+FROM brk_rows{sfx} b JOIN merchants mer USING (merchant_id)
+LEFT JOIN hist h ON h.merchant_id = b.merchant_id
+ AND CAST(b.break_first_identified_date AS TIMESTAMP) >= h.valid_from
+ AND CAST(b.break_first_identified_date AS TIMESTAMP) < h.valid_to""")
+    cte("queue" + sfx, f"""
+SELECT b.settlement_batch_id, b.merchant_id, mer.business_name, b.industry, b.region, b.risk_tier, b.batch_date,
+       b.break_first_identified_date, b.report_date, b.expected_settlement_amount, b.actual_cash_received,
+       b.break_amount, b.age_business_days, b.aging_bucket, b.is_cash_at_risk, b.funding_cost_estimate,
+       b.root_cause_hint,
+       CASE b.root_cause_hint WHEN 'missing_posting' THEN 'Treasury Ops' WHEN 'delayed' THEN 'Treasury Ops'
+            WHEN 'unmatched_closest_candidate' THEN 'Controller / Accounting'
+            ELSE 'Data/Analytics Engineering' END AS suggested_owner_role,
+       CASE WHEN b.is_cash_at_risk AND b.break_amount >= 5000 THEN 'critical' WHEN b.is_cash_at_risk THEN 'high'
+            WHEN b.aging_bucket IN ('2-3', '4-7') THEN 'medium' ELSE 'low' END AS severity,
+       b.break_first_identified_date + 5 AS sla_due_date,
+       'new' AS triage_status
+FROM breaks{sfx} b JOIN merchants mer USING (merchant_id)""")
+
+
+breaks_ctes()
+breaks_ctes("_r1")
+cte("queue_r1_triaged", """
+SELECT * REPLACE (CASE WHEN severity = 'critical' THEN 'investigating' ELSE triage_status END AS triage_status),
+       CASE WHEN severity = 'critical' THEN 'analyst-1' END AS triage_owner
+FROM queue_r1""")
+_OWNED = ["business_name", "industry", "region", "risk_tier", "batch_date", "break_first_identified_date",
+          "report_date", "expected_settlement_amount", "actual_cash_received", "break_amount", "age_business_days",
+          "aging_bucket", "is_cash_at_risk", "funding_cost_estimate", "root_cause_hint", "suggested_owner_role",
+          "severity", "sla_due_date"]
+_owned_sql = ",\n       ".join(f"CASE WHEN n.settlement_batch_id IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}"
+                              for c in _OWNED)
+cte("queue_merged", f"""
+SELECT coalesce(o.settlement_batch_id, n.settlement_batch_id) AS settlement_batch_id,
+       CASE WHEN o.settlement_batch_id IS NOT NULL THEN o.merchant_id ELSE n.merchant_id END AS merchant_id,
+       {_owned_sql},
+       CASE WHEN o.settlement_batch_id IS NULL THEN n.triage_status
+            WHEN n.settlement_batch_id IS NULL AND o.triage_status NOT IN ('resolved') THEN 'resolved'
+            ELSE o.triage_status END AS triage_status,
+       o.triage_owner
+FROM queue_r1_triaged o FULL OUTER JOIN queue n ON o.settlement_batch_id = n.settlement_batch_id""")
+
+# ---------------------------------------------------------------- marts
+cte("daily_cash", """
+SELECT batch_date, count(*) AS settlement_batch_count,
+       CAST(sum(CASE WHEN NOT is_matched THEN 1 ELSE 0 END) AS BIGINT) AS break_count,
+       CAST(sum(expected_settlement_amount) AS DECIMAL(18,2)) AS total_expected_settlement_amount,
+       CAST(sum(CASE WHEN is_matched THEN actual_cash_received ELSE 0 END) AS DECIMAL(18,2)) AS total_actual_cash_received,
+       CAST(sum(CASE WHEN NOT is_matched THEN abs(expected_settlement_amount - coalesce(actual_cash_received, 0))
+                ELSE 0 END) AS DECIMAL(18,2)) AS unresolved_break_amount,
+       CAST(sum(CASE WHEN is_matched THEN expected_settlement_amount ELSE 0 END) AS DECIMAL(18,2)) AS matched_expected
+FROM matches GROUP BY batch_date""")
+cte("claims", """
+SELECT pid AS posting_id, min(settlement_batch_id) AS batch_id
+FROM (SELECT settlement_batch_id, unnest(matched_posting_ids) AS pid FROM matches) u GROUP BY 1""")
+cte("dups", """
+SELECT u.posting_id AS unclaimed_posting_id, u.merchant_id, u.posting_date, u.amount,
+       c.posting_id AS duplicated_posting_id, c.batch_id AS duplicated_against_batch_id
+FROM postings u
+JOIN (SELECT p.merchant_id, p.posting_date, p.amount, p.posting_id, cl.batch_id,
+             row_number() OVER (PARTITION BY p.merchant_id, p.posting_date, p.amount ORDER BY p.posting_id) AS rn
+      FROM postings p JOIN claims cl USING (posting_id)) c
+  ON c.merchant_id = u.merchant_id AND c.posting_date = u.posting_date AND c.amount = u.amount AND c.rn = 1
+WHERE u.posting_id NOT IN (SELECT posting_id FROM claims)""")
+
+# ---------------------------------------------------------------- telemetry
+cte("telemetry", """
+SELECT 'INV-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS invocation_id, ts AS run_started_at,
+       'node_' || user_id AS node_name, 'model' AS node_resource_type,
+       CASE event_type WHEN 'error' THEN 'error' WHEN 'purchase' THEN 'warn' WHEN 'click' THEN 'pass'
+            ELSE 'success' END AS status,
+       CAST(value AS DOUBLE) AS execution_time_seconds,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS rows_affected, event_type AS message
+FROM events""")
+cte("last_inv", "SELECT arg_max(invocation_id, run_started_at) AS invocation_id FROM telemetry")

@@ -13,17 +13,20 @@ from datetime import date, datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillbook.policy import Policy
 from tillbook.session import materialize
 from tillbook.sources import adapter
 from tillbook.operators import breaks as breaks_ops
-from tillbook.operators import duplicates, history, marts, matching, settlement, silver
+from tillbook.operators import duplicates, history, marts, masking, matching, ops, settlement, silver
+from tillbook.operators import queue as queue_ops
 from tillbook.sources.landing import add_lineage
 
 RUN_ID = "run-00000000-0000-0000-0000-000000000001"
 AS_OF = date(2002, 3, 31)
-NOW = datetime(2002, 3, 31, 6, 0, 0)
+NOW = datetime(2024, 1, 31, 6, 0, 0)  # after the last telemetry event of the test data
+RUN1_CUTOFF = date(2001, 7, 1)  # the earlier run of the two-run queue story sees data before this day
 INGESTED_AT = datetime(2002, 3, 31, 4, 0, 0)
 SNAPSHOT_TIMES = (datetime(1997, 1, 1), datetime(1999, 1, 1))
 SOURCE_SYSTEM = "ops_adapter"
@@ -127,6 +130,40 @@ class Pipeline:
         return self._keep(breaks_ops.reconciliation_breaks(
             self.matches, self.calendar, self.merchants, self.merchant_history, self.policy))
 
+    # ---- an earlier daily run (data up to a cutoff), for the incremental queue
+    @cached_property
+    def recon_run1(self) -> matching.Reconciliation:
+        b = self.batches.where(F.col("batch_date") < F.lit(RUN1_CUTOFF))
+        p = self.bank_movements.where(F.col("posting_date") < F.lit(RUN1_CUTOFF))
+        return matching.reconcile(b, p, self.calendar, self.policy, persist=self._keep)
+
+    @cached_property
+    def breaks_run1(self) -> DataFrame:
+        return self._keep(breaks_ops.reconciliation_breaks(
+            self._keep(self.recon_run1.matches), self.calendar, self.merchants, self.merchant_history, self.policy))
+
+    @cached_property
+    def exception_queue(self) -> DataFrame:
+        return queue_ops.exception_queue(self.breaks, self.merchants, self.policy)
+
+    @cached_property
+    def exception_queue_second_run(self) -> DataFrame:
+        first = queue_ops.exception_queue(self.breaks_run1, self.merchants, self.policy)
+        triaged = queue_ops.analyst_update(first, F.col("severity") == "critical", "investigating", "analyst-1")
+        return queue_ops.merge_queue(triaged, self.exception_queue)
+
+    @cached_property
+    def exception_queue_masked(self) -> DataFrame:
+        return masking.exception_queue_masked(self.exception_queue)
+
+    @cached_property
+    def heartbeat(self) -> DataFrame:
+        return ops.pipeline_heartbeat(self.telemetry, self.now, self.policy)
+
+    @cached_property
+    def run_summary(self) -> DataFrame:
+        return ops.run_summary(self.daily_cash_position, self.exception_queue, self.telemetry, self.policy)
+
     @cached_property
     def daily_cash_position(self) -> DataFrame:
         return marts.daily_cash_position(self.matches)

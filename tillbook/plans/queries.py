@@ -162,3 +162,123 @@ SELECT t.injected_scenario, m.match_method, m.is_matched, count(*) AS batch_coun
 FROM truth t JOIN matches m USING (settlement_batch_id) GROUP BY 1, 2, 3""")(
     lambda p: p.ground_truth.join(p.matches, "settlement_batch_id")
     .groupBy("injected_scenario", "match_method", "is_matched").agg(F.count(F.lit(1)).alias("batch_count")))
+
+# ------------------------------------------------------------------ history
+register("merchant_history", "SELECT * FROM hist")(lambda p: p.merchant_history)
+
+# ------------------------------------------------------------------ breaks and marts
+register("reconciliation_breaks", "SELECT * FROM breaks")(lambda p: p.breaks)
+
+
+def _cut(col: str):
+    def fn(p: Pipeline) -> DataFrame:
+        return p.breaks.groupBy(col).agg(
+            F.count(F.lit(1)).alias("open_break_count"),
+            F.sum("break_amount").cast("decimal(18,2)").alias("total_break_amount"),
+            F.sum(F.col("is_cash_at_risk").cast("long")).alias("cash_at_risk_break_count"),
+            F.sum("funding_cost_estimate").cast("decimal(18,2)").alias("total_funding_cost_estimate"))
+    return fn
+
+
+for _c, _name in [("aging_bucket", "breaks_by_aging_bucket"), ("root_cause_hint", "breaks_by_root_cause")]:
+    register(_name, f"""
+SELECT {_c}, count(*) AS open_break_count, CAST(sum(break_amount) AS DECIMAL(18,2)) AS total_break_amount,
+       CAST(sum(CASE WHEN is_cash_at_risk THEN 1 ELSE 0 END) AS BIGINT) AS cash_at_risk_break_count,
+       CAST(sum(funding_cost_estimate) AS DECIMAL(18,2)) AS total_funding_cost_estimate
+FROM breaks GROUP BY 1""")(_cut(_c))
+
+register("funding_cost_summary", """
+SELECT report_date, industry, region, risk_tier, count(*) AS open_break_count,
+       CAST(sum(break_amount) AS DECIMAL(18,2)) AS total_break_amount,
+       CAST(sum(CASE WHEN is_cash_at_risk THEN break_amount ELSE 0 END) AS DECIMAL(18,2)) AS cash_at_risk_amount,
+       CAST(sum(funding_cost_estimate) AS DECIMAL(18,2)) AS total_funding_cost_estimate
+FROM breaks GROUP BY 1, 2, 3, 4""")(lambda p: marts.funding_cost_summary(p.breaks))
+
+register("merchant_exception_trends", f"""
+SELECT mer.merchant_id, mer.business_name, mer.industry, mer.region, mer.risk_tier,
+       count(*) AS open_break_count, CAST(sum(b.break_amount) AS DECIMAL(18,2)) AS total_break_amount,
+       {ratio_sql("sum(b.age_business_days)", "count(*)", 1, 0)} AS avg_age_business_days,
+       CAST(sum(CASE WHEN b.is_cash_at_risk THEN 1 ELSE 0 END) AS BIGINT) AS cash_at_risk_break_count,
+       CAST(sum(CASE WHEN b.is_cash_at_risk THEN b.break_amount ELSE 0 END) AS DECIMAL(18,2)) AS cash_at_risk_amount,
+       CAST(sum(b.funding_cost_estimate) AS DECIMAL(18,2)) AS total_funding_cost_estimate,
+       min(md.root_cause_hint) AS most_common_root_cause
+FROM breaks b JOIN merchants mer USING (merchant_id)
+JOIN (SELECT merchant_id, min(root_cause_hint) AS root_cause_hint
+      FROM (SELECT merchant_id, root_cause_hint, rank() OVER (PARTITION BY merchant_id ORDER BY count(*) DESC) AS rk
+            FROM breaks GROUP BY 1, 2) r
+      WHERE rk = 1 GROUP BY 1) md ON md.merchant_id = b.merchant_id
+GROUP BY 1, 2, 3, 4, 5""")(lambda p: marts.merchant_exception_trends(p.breaks, p.merchants))
+
+register("merchant_settlement_sla", f"""
+SELECT mer.merchant_id, mer.business_name, mer.industry, mer.region, mer.state, mer.risk_tier,
+       mer.settlement_speed_business_days AS contracted_settlement_speed_days,
+       count(*) AS settlement_batch_count,
+       CAST(sum(CASE WHEN s.is_matched AND coalesce(s.delay, 0) <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS on_time_batch_count,
+       CAST(sum(CASE WHEN NOT s.is_matched THEN 1 ELSE 0 END) AS BIGINT) AS exception_batch_count,
+       {ratio_sql("sum(CASE WHEN s.is_matched AND coalesce(s.delay, 0) <= 0 THEN 1 ELSE 0 END)", "count(*)", 6, 0)}
+           AS on_time_settlement_rate,
+       {ratio_sql("sum(s.delay)", "count(s.delay)", 2, 0)} AS avg_settlement_delay_business_days,
+       CAST(max(s.delay) AS BIGINT) AS max_settlement_delay_business_days,
+       CAST(sum(CASE WHEN NOT s.is_matched THEN s.expected_settlement_amount ELSE 0 END) AS DECIMAL(18,2))
+           AS exception_amount_usd,
+       CAST(sum(s.expected_settlement_amount) AS DECIMAL(18,2)) AS total_expected_settlement_amount,
+       'run-00000000-0000-0000-0000-000000000001' AS run_id, DATE '2002-03-31' AS as_of_date
+FROM (SELECT m.merchant_id, m.expected_settlement_amount, m.is_matched,
+             CASE WHEN m.is_matched THEN ca.business_day_seq - ce.business_day_seq END AS delay
+      FROM matches m
+      LEFT JOIN (SELECT u.settlement_batch_id, max(p.posting_date) AS settled
+                 FROM (SELECT settlement_batch_id, unnest(matched_posting_ids) AS pid FROM matches WHERE is_matched) u
+                 JOIN postings p ON p.posting_id = u.pid GROUP BY 1) st USING (settlement_batch_id)
+      LEFT JOIN cal ce ON ce.date_day = m.expected_payout_date
+      LEFT JOIN cal ca ON ca.date_day = st.settled) s
+JOIN merchants mer USING (merchant_id)
+GROUP BY 1, 2, 3, 4, 5, 6, 7""")(
+    lambda p: marts.merchant_settlement_sla(p.matches, p.bank_movements, p.calendar, p.merchants, p.run_id, p.as_of))
+
+register("duplicate_postings", "SELECT * FROM dups")(lambda p: p.duplicate_postings)
+register("duplicate_posting_exceptions", """
+SELECT d.unclaimed_posting_id, d.merchant_id, mer.business_name, mer.industry, mer.region, d.posting_date, d.amount,
+       d.duplicated_posting_id, d.duplicated_against_batch_id,
+       CASE WHEN d.amount >= 5000 THEN 'critical' ELSE 'high' END AS severity,
+       'Treasury Ops' AS suggested_owner_role, 'new' AS triage_status
+FROM dups d JOIN merchants mer USING (merchant_id)""")(
+    lambda p: marts.duplicate_posting_exceptions(p.duplicate_postings, p.merchants, p.policy))
+
+# ------------------------------------------------------------------ queue
+register("exception_queue", "SELECT * FROM queue")(lambda p: p.exception_queue)
+register("exception_queue_second_run", "SELECT * FROM queue_merged")(lambda p: p.exception_queue_second_run)
+register("exception_queue_masked", """
+SELECT sha256(merchant_id) AS merchant_token, industry, region, risk_tier, batch_date, aging_bucket, severity,
+       is_cash_at_risk, suggested_owner_role,
+       CAST(round(break_amount, -2) AS DECIMAL(18,0)) AS break_amount_rounded,
+       CAST(round(funding_cost_estimate, 0) AS DECIMAL(18,0)) AS funding_cost_estimate_rounded
+FROM queue""")(lambda p: p.exception_queue_masked)
+
+# ------------------------------------------------------------------ ops
+register("run_telemetry", "SELECT * FROM telemetry")(lambda p: p.telemetry)
+register("pipeline_heartbeat", """
+SELECT (SELECT max(run_started_at) FROM telemetry) AS last_run_completed_at,
+       (SELECT CAST(coalesce(sum(CASE WHEN status IN ('fail', 'error') THEN 1 ELSE 0 END), 0) AS BIGINT)
+        FROM telemetry WHERE invocation_id = (SELECT invocation_id FROM last_inv)) AS last_run_node_failures,
+       26 AS heartbeat_threshold_hours, TIMESTAMP '2024-01-31 06:00:00' AS heartbeat_written_at""")(
+    lambda p: p.heartbeat)
+register("run_summary", """
+SELECT ld.batch_date AS latest_report_date, ld.settlement_batch_count, ld.break_count,
+       ld.break_rate_dollar_basis, ld.reconciliation_match_rate,
+       es.open_exception_count, es.critical_count, es.high_count, es.total_open_break_amount,
+       es.total_funding_cost_estimate, ts.last_run_at, ts.last_run_test_failures,
+       coalesce(ld.break_rate_dollar_basis > 0.10, false) AS sla_flag_break_rate_ceiling_breached,
+       coalesce(es.critical_count > 0, false) AS sla_flag_critical_exceptions_open,
+       coalesce(ts.last_run_test_failures > 0, false) AS sla_flag_last_run_had_failures
+FROM (SELECT batch_date, settlement_batch_count, break_count,
+             """ + ratio_sql("unresolved_break_amount", "total_expected_settlement_amount", 4) + """ AS break_rate_dollar_basis,
+             """ + ratio_sql("matched_expected", "total_expected_settlement_amount", 4) + """ AS reconciliation_match_rate
+      FROM daily_cash ORDER BY batch_date DESC LIMIT 1) ld
+CROSS JOIN (SELECT count(*) AS open_exception_count,
+                   CAST(sum(CASE WHEN severity = 'critical' THEN 1 ELSE 0 END) AS BIGINT) AS critical_count,
+                   CAST(sum(CASE WHEN severity = 'high' THEN 1 ELSE 0 END) AS BIGINT) AS high_count,
+                   CAST(sum(break_amount) AS DECIMAL(18,2)) AS total_open_break_amount,
+                   CAST(sum(funding_cost_estimate) AS DECIMAL(18,2)) AS total_funding_cost_estimate FROM queue) es
+CROSS JOIN (SELECT max(run_started_at) AS last_run_at,
+                   CAST(sum(CASE WHEN status IN ('fail', 'error') THEN 1 ELSE 0 END) AS BIGINT) AS last_run_test_failures
+            FROM telemetry WHERE invocation_id = (SELECT invocation_id FROM last_inv)) ts""")(lambda p: p.run_summary)
