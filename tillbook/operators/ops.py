@@ -62,7 +62,7 @@ def pipeline_heartbeat(telemetry: DataFrame, now: datetime, policy: Policy = Pol
 
 def hours_between(a, b):
     """Hour boundaries crossed from a to b (the warehouse's datediff(hour))."""
-    return F.timestampdiff("HOUR", F.date_trunc("hour", a), F.date_trunc("hour", b))
+    return F.timestamp_diff("HOUR", F.date_trunc("hour", a), F.date_trunc("hour", b))
 
 
 def pipeline_silence(heartbeat: DataFrame, now: datetime) -> DataFrame:

