@@ -58,3 +58,14 @@ def funding_cost(break_amount: Column, age_days: Column, annual_rate: Decimal) -
     m = (break_amount * F.lit(100)).cast(_INT) * age_days.cast(_INT) * F.lit(rate_e4)
     cents = int_div(m * F.lit(2) + F.lit(3650000), F.lit(7300000))
     return money(cents * F.lit(Decimal("0.01")))
+
+
+def half_up_decimal(num: Column, den: Column, places: int, precision: int = 18, scale: int = 2) -> Column:
+    """round(num / den, places) as DECIMAL(precision, places), exact half-up; null when den is 0."""
+    k = F.lit(10 ** scale)
+    a = F.abs(num * k).cast(_INT)
+    b = F.abs(den * k).cast(_INT)
+    quot = int_div(a * F.lit(2 * 10 ** places) + b, b * F.lit(2))
+    signed = F.when(F.signum(num) * F.signum(den) < 0, -quot).otherwise(quot)
+    unit = F.lit(Decimal(1).scaleb(-places))
+    return F.when(b == 0, F.lit(None)).otherwise(signed * unit).cast(f"decimal({precision},{places})")

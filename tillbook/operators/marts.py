@@ -121,3 +121,81 @@ def duplicate_posting_exceptions(dups: DataFrame, merchants: DataFrame, policy:
         "duplicated_posting_id", "duplicated_against_batch_id",
         F.when(F.col("amount") >= policy.critical_break_usd, "critical").otherwise("high").alias("severity"),
         F.lit("Treasury Ops").alias("suggested_owner_role"), F.lit("new").alias("triage_status"))
+
+
+CARDS_TOTAL_PATH = "Total payments > Cards"
+
+
+def payment_mix_context(transactions: DataFrame, frps: DataFrame, run_id: str, as_of: date,
+                        cards_path: str = CARDS_TOTAL_PATH) -> DataFrame:
+    """Internal card-sale mix by acceptance channel vs the national cards benchmark.
+
+    Sales only. One roll-up row plus one row per channel group; the benchmark
+    is the cards total of the latest collection year (a scalar subquery).
+    """
+    from tillbook.functions.money import half_up_decimal
+
+    group = (F.when(F.col("channel") == "card_present", "In-Person")
+             .when(F.col("channel") == "ecommerce", "Online").otherwise("Other"))
+    by_channel = (transactions.where(F.col("transaction_type") == "sale")
+                  .groupBy(group.alias("segment"))
+                  .agg(F.count(F.lit(1)).alias("transaction_count"), F.sum("amount").alias("_gross")))
+    latest_year = frps.agg(F.max("collection_year")).scalar()
+    bench = frps.where((F.col("category_path") == cards_path) & (F.col("collection_year") == latest_year)) \
+        .agg(F.max_by(F.struct("avg_transaction_amount_usd", "collection_year"), "row_number")).scalar()
+    total_gross = by_channel.agg(F.sum("_gross")).scalar()
+    bench_avg = bench["avg_transaction_amount_usd"].cast("decimal(18,2)")
+
+    roll = by_channel.agg(F.sum("transaction_count").alias("transaction_count"), F.sum("_gross").alias("_gross")) \
+        .select(F.lit("Cards (all)").alias("segment"), F.lit("roll_up").alias("segment_kind"), "transaction_count",
+                "_gross", F.lit(1).cast("decimal(9,6)").alias("internal_share_of_volume"),
+                F.lit(1).cast("decimal(9,6)").alias("benchmark_share_of_volume"))
+    chan = by_channel.select(
+        "segment", F.lit("acceptance_channel").alias("segment_kind"), "transaction_count", "_gross",
+        half_up_decimal(F.col("_gross"), total_gross, 6, precision=9).alias("internal_share_of_volume"),
+        F.lit(None).cast("decimal(9,6)").alias("benchmark_share_of_volume"))
+    both = roll.unionByName(chan)
+    internal_avg = half_up_decimal(F.col("_gross"), F.col("transaction_count"), 2, scale=2)
+    return both.select(
+        "segment", "segment_kind", F.col("transaction_count").cast("long").alias("transaction_count"),
+        money(F.col("_gross")).alias("gross_volume_usd"), "internal_share_of_volume",
+        internal_avg.alias("internal_avg_ticket_usd"), bench_avg.alias("benchmark_avg_ticket_usd"),
+        "benchmark_share_of_volume", money(internal_avg - bench_avg).alias("avg_ticket_variance_usd"),
+        bench["collection_year"].alias("benchmark_collection_year"),
+        F.lit(run_id).alias("run_id"), F.lit(as_of).alias("as_of_date"))
+
+
+def bi_measures(daily_cash: DataFrame, breaks: DataFrame) -> DataFrame:
+    """Executive-page measures in one row."""
+    latest = daily_cash.agg(F.max("batch_date")).scalar()
+    latest_unresolved = daily_cash.where(F.col("batch_date") == latest).agg(F.sum("unresolved_break_amount")).scalar()
+    brk = breaks.agg(F.struct(F.sum(F.col("is_cash_at_risk").cast("long")).alias("n"),
+                              F.sum("funding_cost_estimate").alias("f"))).scalar()
+    g = daily_cash.agg(
+        money(F.sum("total_expected_settlement_amount")).alias("total_expected_settlement"),
+        money(F.sum("total_actual_cash_received")).alias("total_actual_cash_received"),
+        F.sum(F.col("reconciliation_match_rate") * F.col("total_expected_settlement_amount").cast("double"))
+        .alias("_w"),
+        F.sum(F.col("total_expected_settlement_amount").cast("double")).alias("_e"))
+    return g.select(
+        "total_expected_settlement", "total_actual_cash_received",
+        F.round(F.col("_w") / F.col("_e"), 4).alias("weighted_match_rate"),
+        money(latest_unresolved).alias("unresolved_break_amount_latest_day"),
+        half_up_ratio(F.col("total_expected_settlement") - F.col("total_actual_cash_received"),
+                      F.col("total_expected_settlement"), 4).alias("break_rate_dollar_net"),
+        brk["n"].alias("cash_at_risk_count"), money(brk["f"]).alias("funding_cost_estimate"),
+        F.lit(latest).alias("as_of_date"))
+
+
+def risk_matrix(breaks: DataFrame) -> DataFrame:
+    return breaks.groupBy("industry", "region").agg(
+        F.count(F.lit(1)).alias("open_break_count"),
+        money(F.sum("break_amount")).alias("total_break_amount"),
+        F.sum(F.col("is_cash_at_risk").cast("long")).alias("cash_at_risk_count"),
+        money(F.sum("funding_cost_estimate")).alias("funding_cost_estimate"))
+
+
+def cash_trend(daily_cash: DataFrame) -> DataFrame:
+    latest = daily_cash.agg(F.max("batch_date")).scalar()
+    return daily_cash.select("batch_date", "total_expected_settlement_amount", "total_actual_cash_received",
+                             "break_count", F.lit(latest).alias("as_of_date"))

@@ -164,6 +164,11 @@ class Pipeline:
     def run_summary(self) -> DataFrame:
         return ops.run_summary(self.daily_cash_position, self.exception_queue, self.telemetry, self.policy)
 
+    @cached_property
+    def frps(self) -> DataFrame:
+        from tillbook.sources import frps_sample, macro
+        return macro.frps_long(frps_sample.table1_cells(self.spark))
+
     @cached_property
     def daily_cash_position(self) -> DataFrame:
         return marts.daily_cash_position(self.matches)

@@ -338,3 +338,94 @@ def _quality(p: Pipeline) -> DataFrame:
     from tillbook.operators.quality import report
     from tillbook.plans.checks import pipeline_checks
     return report(pipeline_checks(p))
+
+# ------------------------------------------------------------------ benchmark, BI, accuracy
+from tillbook.operators import evaluate  # noqa: E402
+from tillbook.sources import frps_sample  # noqa: E402
+
+
+def dec_ratio_sql(num: str, den: str, places: int, precision: int = 18, scale: int = 2) -> str:
+    """SQL twin of functions.money.half_up_decimal."""
+    k = 10 ** scale
+    a, b = f"CAST(abs(({num}) * {k}) AS HUGEINT)", f"CAST(abs(({den}) * {k}) AS HUGEINT)"
+    q = f"(({a} * {2 * 10 ** places} + {b}) // ({b} * 2))"
+    signed = f"(CASE WHEN sign({num}) * sign({den}) < 0 THEN -{q} ELSE {q} END)"
+    unit = f"CAST(1e-{places} AS DECIMAL({places + 1},{places}))"
+    return (f"CAST(CASE WHEN {b} = 0 THEN NULL ELSE CAST({signed} AS DECIMAL(38,0)) * {unit} END "
+            f"AS DECIMAL({precision},{places}))")
+
+
+O.cte("frps_cells", frps_sample.values_sql())
+_MEAS = [f"{m}_{y}" for y in (2015, 2018, 2021, 2024) for m in ("count", "value", "avg")]
+O.cte("frps_rows", "SELECT * REPLACE (trim(label) AS label) FROM frps_cells WHERE label IS NOT NULL AND ("
+      + " OR ".join(f"{m} IS NOT NULL" for m in _MEAS) + ")")
+O.cte("frps_seg", "SELECT *, " + ", ".join(
+    f"sum(CASE WHEN level < {k} THEN 1 ELSE 0 END) OVER (ORDER BY row_number ROWS UNBOUNDED PRECEDING) AS seg{k}"
+    for k in range(6)) + " FROM frps_rows")
+O.cte("frps_path", "SELECT *, concat_ws(' > ', " + ", ".join(
+    f"CASE WHEN level >= {k} THEN last_value(CASE WHEN level = {k} THEN label END IGNORE NULLS) OVER "
+    f"(PARTITION BY seg{k} ORDER BY row_number ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END"
+    for k in range(6)) + ") AS category_path FROM frps_seg")
+O.cte("frps", "\nUNION ALL\n".join(
+    f"SELECT row_number, level AS hierarchy_level, label AS payment_type_label, category_path, {y} AS collection_year, "
+    f"count_{y} AS count_billions, value_{y} AS value_trillions_usd, avg_{y} AS avg_transaction_amount_usd "
+    f"FROM frps_path WHERE count_{y} IS NOT NULL OR value_{y} IS NOT NULL" for y in (2015, 2018, 2021, 2024)))
+O.cte("mix_bc", """
+SELECT CASE channel WHEN 'card_present' THEN 'In-Person' WHEN 'ecommerce' THEN 'Online' ELSE 'Other' END AS segment,
+       count(*) AS transaction_count, sum(amount) AS gross
+FROM txn WHERE transaction_type = 'sale' GROUP BY 1""")
+O.cte("mix_fb", """
+SELECT CAST(avg_transaction_amount_usd AS DECIMAL(18,2)) AS bavg, CAST(collection_year AS INTEGER) AS collection_year
+FROM frps WHERE category_path = 'Total payments > Cards' AND collection_year = (SELECT max(collection_year) FROM frps)""")
+
+_RUN = "'run-00000000-0000-0000-0000-000000000001' AS run_id, DATE '2002-03-31' AS as_of_date"
+register("payment_mix_context", f"""
+SELECT 'Cards (all)' AS segment, 'roll_up' AS segment_kind, CAST(t.n AS BIGINT) AS transaction_count,
+       CAST(t.g AS DECIMAL(18,2)) AS gross_volume_usd, CAST(1 AS DECIMAL(9,6)) AS internal_share_of_volume,
+       {dec_ratio_sql('t.g', 't.n', 2)} AS internal_avg_ticket_usd, fb.bavg AS benchmark_avg_ticket_usd,
+       CAST(1 AS DECIMAL(9,6)) AS benchmark_share_of_volume,
+       CAST({dec_ratio_sql('t.g', 't.n', 2)} - fb.bavg AS DECIMAL(18,2)) AS avg_ticket_variance_usd,
+       fb.collection_year AS benchmark_collection_year, {_RUN}
+FROM (SELECT sum(transaction_count) AS n, sum(gross) AS g FROM mix_bc) t, mix_fb fb
+UNION ALL
+SELECT c.segment, 'acceptance_channel', CAST(c.transaction_count AS BIGINT), CAST(c.gross AS DECIMAL(18,2)),
+       {dec_ratio_sql('c.gross', '(SELECT sum(gross) FROM mix_bc)', 6, precision=9)},
+       {dec_ratio_sql('c.gross', 'c.transaction_count', 2)}, fb.bavg, CAST(NULL AS DECIMAL(9,6)),
+       CAST({dec_ratio_sql('c.gross', 'c.transaction_count', 2)} - fb.bavg AS DECIMAL(18,2)),
+       fb.collection_year, {_RUN}
+FROM mix_bc c, mix_fb fb""")(lambda p: marts.payment_mix_context(p.transactions, p.frps, p.run_id, p.as_of))
+
+_RATE = ratio_sql("matched_expected", "total_expected_settlement_amount", 4)
+register("bi_measures", f"""
+SELECT CAST(sum(total_expected_settlement_amount) AS DECIMAL(18,2)) AS total_expected_settlement,
+       CAST(sum(total_actual_cash_received) AS DECIMAL(18,2)) AS total_actual_cash_received,
+       round(sum({_RATE} * CAST(total_expected_settlement_amount AS DOUBLE))
+             / sum(CAST(total_expected_settlement_amount AS DOUBLE)), 4) AS weighted_match_rate,
+       (SELECT CAST(sum(unresolved_break_amount) AS DECIMAL(18,2)) FROM daily_cash
+        WHERE batch_date = (SELECT max(batch_date) FROM daily_cash)) AS unresolved_break_amount_latest_day,
+       {ratio_sql("CAST(sum(total_expected_settlement_amount) AS DECIMAL(18,2)) - CAST(sum(total_actual_cash_received) AS DECIMAL(18,2))",
+                  "CAST(sum(total_expected_settlement_amount) AS DECIMAL(18,2))", 4)} AS break_rate_dollar_net,
+       (SELECT CAST(sum(CASE WHEN is_cash_at_risk THEN 1 ELSE 0 END) AS BIGINT) FROM breaks) AS cash_at_risk_count,
+       (SELECT CAST(sum(funding_cost_estimate) AS DECIMAL(18,2)) FROM breaks) AS funding_cost_estimate,
+       max(batch_date) AS as_of_date
+FROM daily_cash""")(lambda p: marts.bi_measures(p.daily_cash_position, p.breaks))
+register("risk_matrix", """
+SELECT industry, region, count(*) AS open_break_count, CAST(sum(break_amount) AS DECIMAL(18,2)) AS total_break_amount,
+       CAST(sum(CASE WHEN is_cash_at_risk THEN 1 ELSE 0 END) AS BIGINT) AS cash_at_risk_count,
+       CAST(sum(funding_cost_estimate) AS DECIMAL(18,2)) AS funding_cost_estimate
+FROM breaks GROUP BY 1, 2""")(lambda p: marts.risk_matrix(p.breaks))
+register("cash_trend", """
+SELECT batch_date, total_expected_settlement_amount, total_actual_cash_received, break_count,
+       (SELECT max(batch_date) FROM daily_cash) AS as_of_date FROM daily_cash""")(
+    lambda p: marts.cash_trend(p.daily_cash_position))
+register("matcher_accuracy", f"""
+SELECT injected_scenario, count(*) AS batch_count, CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT) AS correct_count,
+       {ratio_sql("sum(CASE WHEN ok THEN 1 ELSE 0 END)", "count(*)", 4, 0)} AS accuracy
+FROM (SELECT t.injected_scenario,
+             CASE WHEN t.injected_scenario IN ('clean_match', 'duplicate_posting') THEN m.is_matched
+                  WHEN t.injected_scenario = 'split_posting' THEN m.match_method = 'split_match'
+                  WHEN t.injected_scenario = 'bank_posting_delay' THEN m.is_matched OR m.match_method = 'delayed'
+                  WHEN t.injected_scenario IN ('missing_posting', 'reserve_timing_error') THEN NOT m.is_matched
+                  ELSE false END AS ok
+      FROM truth t JOIN matches m USING (settlement_batch_id)) x
+GROUP BY 1""")(lambda p: evaluate.matcher_accuracy(p.ground_truth, p.matches))
