@@ -22,7 +22,9 @@ Spark plan notes:
   merchant, so a hot merchant spreads over its days.
 * "Best per batch" / "best per posting" are ``min(struct(...))`` hash
   aggregates with map-side partial aggregation rather than two
-  row_number windows (no full sort of the candidate set).
+  row_number windows (no full sort of the candidate set). The batch-side
+  aggregate also yields the nearest-amount diagnostic, so the candidate set
+  is grouped by batch once; the result is one row per batch.
 * The late search is open-ended in date. It only runs for open batches and
   is keyed on (merchant, amount band): a batch is exploded over the few
   bands that cover [expected - tol, expected + tol], and a posting falls into
@@ -94,23 +96,36 @@ def candidate_pairs(windows: DataFrame, postings: DataFrame) -> DataFrame:
     )
 
 
-def mutual_best(candidates: DataFrame) -> DataFrame:
-    """Pass 1: in-tolerance pairs that are each other's first choice."""
-    single = candidates.where(F.col("amount_diff") <= F.col("amount_tolerance"))
-    by_batch = single.groupBy(ID).agg(
-        F.min(F.struct("amount_diff", "date_diff", "posting_id", "posting_amount")).alias("bb"))
-    by_posting = single.groupBy(F.col("posting_id").alias("_pid")).agg(
+def pass_one(candidates: DataFrame) -> DataFrame:
+    """One row per batch with candidates: its pass-1 match (if any) and its closest candidate.
+
+    The batch side is one aggregate over all candidates that yields both the
+    in-tolerance first choice and the nearest-amount diagnostic; the posting
+    side is one aggregate over the in-tolerance candidates. A pair wins when
+    each is the other's first choice.
+    """
+    in_tol = F.col("amount_diff") <= F.col("amount_tolerance")
+    by_batch = candidates.groupBy(ID).agg(
+        F.min(F.when(in_tol, F.struct("amount_diff", "date_diff", "posting_id", "posting_amount"))).alias("bb"),
+        F.min(F.struct("amount_diff", "posting_date", "posting_id", "posting_amount")).alias("be"))
+    by_posting = candidates.where(in_tol).groupBy(F.col("posting_id").alias("_pid")).agg(
         F.min(F.struct("amount_diff", "date_diff", F.col(ID).alias("batch_id"))).alias("pb"))
-    won = by_batch.join(by_posting, (F.col("bb.posting_id") == F.col("_pid"))
-                        & (F.col("pb.batch_id") == F.col(ID)))
-    return won.select(ID, F.col("bb.posting_id").alias("posting_id"),
-                      F.col("bb.posting_amount").alias("matched_amount"))
+    won = by_batch.join(by_posting, (F.col("bb.posting_id") == F.col("_pid")) & (F.col("pb.batch_id") == F.col(ID)),
+                        "left")
+    return won.select(
+        ID,
+        F.col("_pid").alias("single_posting_id"),
+        F.when(F.col("_pid").isNotNull(), F.col("bb.posting_amount")).alias("single_amount"),
+        F.col("be.posting_id").alias("closest_posting_id"),
+        F.col("be.posting_amount").alias("closest_posting_amount"),
+        F.col("be.amount_diff").alias("closest_amount_diff"))
 
 
-def split_sums(candidates: DataFrame, single: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_sums(candidates: DataFrame, first: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pass 2 with conflict resolution -> (split matches, their posting lines)."""
-    open_cands = candidates.join(single.select(ID), ID, "left_anti")
-    lines = open_cands.join(single.select(F.col("posting_id")), "posting_id", "left_anti")
+    open_ids = first.where(F.col("single_posting_id").isNull()).select(ID)
+    claimed = first.where(F.col("single_posting_id").isNotNull()).select(F.col("single_posting_id").alias("posting_id"))
+    lines = candidates.join(open_ids, ID, "left_semi").join(claimed, "posting_id", "left_anti")
     sums = lines.groupBy(ID).agg(
         F.max("expected_settlement_amount").alias("expected_settlement_amount"),
         F.max("amount_tolerance").alias("amount_tolerance"),
@@ -129,16 +144,6 @@ def split_sums(candidates: DataFrame, single: DataFrame) -> tuple[DataFrame, Dat
     return matches, kept_lines
 
 
-def best_in_window(candidates: DataFrame, closed_ids: DataFrame) -> DataFrame:
-    """Nearest-amount candidate of every open batch (diagnostic hint)."""
-    open_cands = candidates.join(closed_ids, ID, "left_anti")
-    return open_cands.groupBy(ID).agg(
-        F.min(F.struct("amount_diff", "posting_date", "posting_id", "posting_amount")).alias("be")
-    ).select(ID, F.col("be.posting_id").alias("closest_posting_id"),
-             F.col("be.posting_amount").alias("closest_posting_amount"),
-             F.col("be.amount_diff").alias("closest_amount_diff"))
-
-
 def first_late(open_batches: DataFrame, postings: DataFrame, band_usd: int) -> DataFrame:
     """First in-tolerance posting after the window (no upper date limit)."""
     w = F.lit(Decimal(band_usd))
@@ -161,14 +166,17 @@ def first_late(open_batches: DataFrame, postings: DataFrame, band_usd: int) -> D
 
 
 def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: Policy = Policy(),
-              persist: Callable[[DataFrame], DataFrame] = lambda d: d) -> Reconciliation:
-    """Run the matcher. ``persist`` materialises the re-used candidate set."""
+              persist: Callable[[DataFrame, str], DataFrame] = lambda d, name: d) -> Reconciliation:
+    """Run the matcher. ``persist`` materialises the candidate set and the per-batch pass-1 table."""
     windows = batch_windows(batches, cal, policy)
-    candidates = persist(candidate_pairs(windows, postings))
-    single = mutual_best(candidates)
-    split, split_lines = split_sums(candidates, single)
+    candidates = persist(candidate_pairs(windows, postings), "candidates")
+    first = persist(pass_one(candidates), "pass_one")
+    single = first.where(F.col("single_posting_id").isNotNull()).select(
+        ID, F.col("single_posting_id").alias("posting_id"), F.col("single_amount").alias("matched_amount"))
+    split, split_lines = split_sums(candidates, first)
+    best = first.where(F.col("single_posting_id").isNull()).join(split.select(ID), ID, "left_anti").select(
+        ID, "closest_posting_id", "closest_posting_amount", "closest_amount_diff")
     closed = single.select(ID).unionByName(split.select(ID))
-    best = best_in_window(candidates, closed)
     open_batches = windows.join(closed, ID, "left_anti")
     late = first_late(open_batches, postings, policy.late_amount_band_usd)
 

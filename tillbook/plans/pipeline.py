@@ -38,13 +38,14 @@ class Pipeline:
         self.spark, self.sf_dir, self.policy = spark, sf_dir, policy
         self.checkpoint, self.run_id, self.as_of, self.now = checkpoint, run_id, as_of, now
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        return materialize(df) if self.checkpoint else df
+    def _keep(self, df: DataFrame, name: str = "stage") -> DataFrame:
+        return materialize(df, name) if self.checkpoint else df
 
     # ---- reference data -------------------------------------------------
     @cached_property
     def calendar(self) -> DataFrame:
-        return adapter.calendar(self.spark)
+        # a few thousand rows, looked up by most stages: written once, then a tiny scan
+        return self._keep(adapter.calendar(self.spark), "calendar")
 
     @cached_property
     def merchants(self) -> DataFrame:
@@ -70,7 +71,7 @@ class Pipeline:
     @cached_property
     def batches(self) -> DataFrame:
         return self._keep(settlement.settlement_batches(
-            self.daily_volume, self.merchants, self.returns, self.calendar, self.policy))
+            self.daily_volume, self.merchants, self.returns, self.calendar, self.policy), "settlement_batches")
 
     @cached_property
     def _bank(self) -> tuple[DataFrame, DataFrame]:
@@ -78,7 +79,7 @@ class Pipeline:
 
     @cached_property
     def bank_movements(self) -> DataFrame:
-        return self._keep(self._bank[0])
+        return self._keep(self._bank[0], "bank_movements")
 
     @cached_property
     def ground_truth(self) -> DataFrame:
@@ -100,7 +101,7 @@ class Pipeline:
 
     @cached_property
     def matches(self) -> DataFrame:
-        return self._keep(self.recon.matches)
+        return self._keep(self.recon.matches, "matches")
 
 
     # ---- bronze / silver ---------------------------------------------------
@@ -128,19 +129,20 @@ class Pipeline:
     @cached_property
     def breaks(self) -> DataFrame:
         return self._keep(breaks_ops.reconciliation_breaks(
-            self.matches, self.calendar, self.merchants, self.merchant_history, self.policy))
+            self.matches, self.calendar, self.merchants, self.merchant_history, self.policy), "breaks")
 
     # ---- an earlier daily run (data up to a cutoff), for the incremental queue
     @cached_property
     def recon_run1(self) -> matching.Reconciliation:
         b = self.batches.where(F.col("batch_date") < F.lit(RUN1_CUTOFF))
         p = self.bank_movements.where(F.col("posting_date") < F.lit(RUN1_CUTOFF))
-        return matching.reconcile(b, p, self.calendar, self.policy, persist=self._keep)
+        return matching.reconcile(b, p, self.calendar, self.policy, persist=lambda d, n: self._keep(d, n + "_r1"))
 
     @cached_property
     def breaks_run1(self) -> DataFrame:
         return self._keep(breaks_ops.reconciliation_breaks(
-            self._keep(self.recon_run1.matches), self.calendar, self.merchants, self.merchant_history, self.policy))
+            self._keep(self.recon_run1.matches, "matches_r1"), self.calendar, self.merchants, self.merchant_history,
+            self.policy), "breaks_r1")
 
     @cached_property
     def exception_queue(self) -> DataFrame:

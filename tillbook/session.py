@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,14 +44,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing a Parquet table in the shared checkpoint folder.
 
-    Executor loss after this point re-reads the checkpoint files instead of
-    re-running the upstream plan (never ``localCheckpoint``).
+    One computation, a columnar file with statistics (later scans prune
+    columns and push filters), and executor loss after this point re-reads
+    the files instead of replaying the upstream plan. Never ``localCheckpoint``
+    and never a machine-local folder: the path is under
+    ``spark.checkpoint.dir``.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
