@@ -429,3 +429,6 @@ FROM (SELECT t.injected_scenario,
                   ELSE false END AS ok
       FROM truth t JOIN matches m USING (settlement_batch_id)) x
 GROUP BY 1""")(lambda p: evaluate.matcher_accuracy(p.ground_truth, p.matches))
+
+# ------------------------------------------------------------------ bronze stamping (no SQL twin of xxhash64)
+register("bronze_lineage")(lambda p: p.bronze("settlement_batches"))

@@ -71,3 +71,26 @@ def load_table(spark: SparkSession, landing_dir: str, table: str, target_dir: st
     out = df.select(*[F.col(by_lower[c.lower()]).alias(c) for c in known_tables[table]])
     out.write.mode("overwrite").parquet(landed_path(target_dir, table))
     return spark.read.parquet(landed_path(target_dir, table)).count()
+
+
+def layer_table(base_dir: str, layer: str, name: str) -> str:
+    """Where a model of a layer lives: ``<base>/<layer>/<name>`` (layer names used verbatim)."""
+    return f"{base_dir.rstrip('/')}/{layer.strip()}/{name}"
+
+
+def write_with_manifest(tables: dict[str, DataFrame], output_dir: str, manifest_name: str = "manifest") -> DataFrame:
+    """Land several tables and a CSV manifest (table, row_count, path); returns the manifest."""
+    spark = next(iter(tables.values())).sparkSession
+    rows = []
+    for name, df in tables.items():
+        path = write_landed(df, output_dir, name)
+        rows.append((name, spark.read.parquet(path).count(), path))
+    manifest = spark.createDataFrame(rows, "table string, row_count long, path string")
+    manifest.coalesce(1).write.mode("overwrite").option("header", True).csv(landed_path(output_dir, manifest_name))
+    return manifest
+
+
+def latest_batch(df: DataFrame) -> DataFrame:
+    """Rows of the most recent landing run only (Bronze kept append-only, one ``_batch_id`` per run)."""
+    latest = df.agg(F.max_by("_batch_id", "_ingestion_timestamp")).scalar()
+    return df.where(F.col("_batch_id") == latest)
