@@ -25,11 +25,12 @@ Spark plan notes:
   row_number windows (no full sort of the candidate set). The batch-side
   aggregate also yields the nearest-amount diagnostic, so the candidate set
   is grouped by batch once; the result is one row per batch.
-* The late search is open-ended in date. It only runs for open batches and
-  is keyed on (merchant, amount band): a batch is exploded over the few
-  bands that cover [expected - tol, expected + tol], and a posting falls into
-  exactly one band, so the exact predicate remains a residual on a small
-  bucket.
+* The late search is open-ended in date and only runs for open batches.
+  It never pairs a batch with every later posting: the tolerance interval is
+  tiled by aligned decimal cent blocks, postings are reduced to their first
+  id per (merchant, block, day), and each tile is an as-of lookup (see
+  ``first_late``), so a merchant with many same-amount postings costs one
+  row per day, not one pair per posting.
 """
 
 from __future__ import annotations
@@ -38,10 +39,10 @@ from dataclasses import dataclass
 from decimal import Decimal
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.functions.money import MONEY, money
+from tillbook.functions.money import MONEY, int_div, money
 from tillbook.operators import calendar as cal_ops
 from tillbook.policy import Policy
 
@@ -144,25 +145,90 @@ def split_sums(candidates: DataFrame, first: DataFrame) -> tuple[DataFrame, Data
     return matches, kept_lines
 
 
-def first_late(open_batches: DataFrame, postings: DataFrame, band_usd: int) -> DataFrame:
-    """First in-tolerance posting after the window (no upper date limit)."""
-    w = F.lit(Decimal(band_usd))
+LATE_MAX_LEVEL = 12  # decimal levels of cent blocks: 10^12 cents covers any tolerance interval in use
+
+
+def _floor_div(a: Column, p: int) -> Column:
+    return int_div(a, F.lit(p)).cast("long")
+
+
+def _ceil_div(a: Column, p: int) -> Column:
+    return -_floor_div(-a, p)
+
+
+def _range_or_empty(lo: Column, hi: Column) -> Column:
+    return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _tag_level(k: int):
+    # one-argument lambda: transform() would pass the element index as a second argument
+    return lambda x: F.struct(F.lit(k).alias("k"), x.alias("block"))
+
+
+def tolerance_blocks(lo: Column, hi: Column, max_level: int = LATE_MAX_LEVEL) -> Column:
+    """array<struct<k, block>>: aligned blocks of 10^k cents that exactly tile [lo, hi].
+
+    A cent block b at level k covers [b*10^k, (b+1)*10^k - 1]. Level k keeps the
+    blocks fully inside the interval that are not children of a fully-inside
+    block of level k+1, so the tiles are disjoint and at most ~18 per level.
+    """
+    levels = []
+    for k in range(max_level + 1):
+        p = 10 ** k
+        a, b = _ceil_div(lo, p), _floor_div(hi + 1, p) - 1
+        if k == max_level:
+            used = _range_or_empty(a, b)
+        else:
+            a1, b1 = _ceil_div(lo, 10 * p), _floor_div(hi + 1, 10 * p) - 1
+            used = F.when(a1 <= b1, F.concat(_range_or_empty(a, a1 * 10 - 1), _range_or_empty(b1 * 10 + 10, b))) \
+                .otherwise(_range_or_empty(a, b))
+        levels.append(F.transform(used, _tag_level(k)))
+    return F.flatten(F.array(*levels))
+
+
+def first_late(open_batches: DataFrame, postings: DataFrame, max_level: int = LATE_MAX_LEVEL) -> DataFrame:
+    """First in-tolerance posting after the window (no upper date limit), without pairs.
+
+    Every posting inside a tile of the batch's tolerance interval qualifies, so
+    per tile the answer is "the earliest posting day after the window end" -
+    an as-of lookup. Postings are reduced to one row per (merchant, level,
+    block, day) with the smallest posting id; each lookup is a running
+    ``last(ignorenulls)`` over that key in descending day order. A key's
+    partition holds at most one row per day plus that merchant's open
+    batches, whatever the posting volume; the minimum over a batch's tiles
+    is the result (earliest day, then smallest id).
+    """
     exp, tol = F.col("expected_settlement_amount"), F.col("amount_tolerance")
-    lo = F.floor((exp - tol) / w).cast("long")
-    hi = F.floor((exp + tol) / w).cast("long")
-    ob = open_batches.where(F.col("window_end_date").isNotNull()).select(
-        ID, "merchant_id", "window_end_date", "expected_settlement_amount", "amount_tolerance",
-        F.explode(F.sequence(lo, hi)).alias("band"))
-    p = postings.select(F.col("merchant_id").alias("_m"), "posting_id", "posting_date",
-                        F.col("amount").alias("posting_amount"),
-                        F.floor(F.col("amount") / w).cast("long").alias("_band"))
-    hits = ob.join(p, (ob.merchant_id == p._m) & (ob.band == p._band)
-                   & (p.posting_date > ob.window_end_date)
-                   & (F.abs(p.posting_amount - ob.expected_settlement_amount) <= ob.amount_tolerance))
-    return hits.groupBy(ID).agg(F.min(F.struct("posting_date", "posting_id", "posting_amount")).alias("lc")) \
-        .select(ID, F.col("lc.posting_id").alias("late_posting_id"),
-                F.col("lc.posting_date").alias("late_posting_date"),
-                F.col("lc.posting_amount").alias("late_posting_amount"))
+    lo = F.ceil((exp - tol) * 100).cast("long")
+    hi = F.floor((exp + tol) * 100).cast("long")
+    probes = open_batches.where(F.col("window_end_date").isNotNull()).select(
+        ID, "merchant_id", F.col("window_end_date").alias("d"),
+        F.inline(tolerance_blocks(lo, hi, max_level)))
+    top = probes.agg(F.max("k")).scalar()
+
+    cents = (F.col("amount") * 100).cast("long")
+    levels = F.array(*[F.struct(F.lit(k).alias("k"), _floor_div(cents, 10 ** k).alias("block"))
+                       for k in range(max_level + 1)])
+    firsts = (postings.select("merchant_id", "posting_id", "posting_date", "amount", F.inline(levels))
+              .where(F.col("k") <= top)
+              .groupBy("merchant_id", "k", "block", F.col("posting_date").alias("d"))
+              .agg(F.min(F.struct("posting_id", "amount")).alias("p")))
+
+    rows = (firsts.select("merchant_id", "k", "block", "d", F.lit(0).alias("kind"),
+                          F.struct(F.col("d").alias("posting_date"), F.col("p.posting_id").alias("posting_id"),
+                                   F.col("p.amount").alias("posting_amount")).alias("t"),
+                          F.lit(None).cast("string").alias(ID))
+            .unionByName(probes.select("merchant_id", "k", "block", "d", F.lit(1).alias("kind"),
+                                       F.lit(None).cast("struct<posting_date:date,posting_id:string,"
+                                                        "posting_amount:decimal(18,2)>").alias("t"), ID)))
+    # descending day; on the same day the probe sorts before the postings, so only later days precede it
+    after = Window.partitionBy("merchant_id", "k", "block").orderBy(F.col("d").desc(), F.col("kind").desc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    found = rows.withColumn("nxt", F.last("t", ignorenulls=True).over(after)) \
+        .where((F.col("kind") == 1) & F.col("nxt").isNotNull())
+    return found.groupBy(ID).agg(F.min("nxt").alias("lc")).select(
+        ID, F.col("lc.posting_id").alias("late_posting_id"), F.col("lc.posting_date").alias("late_posting_date"),
+        F.col("lc.posting_amount").alias("late_posting_amount"))
 
 
 def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: Policy = Policy(),
@@ -178,7 +244,7 @@ def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: P
         ID, "closest_posting_id", "closest_posting_amount", "closest_amount_diff")
     closed = single.select(ID).unionByName(split.select(ID))
     open_batches = windows.join(closed, ID, "left_anti")
-    late = first_late(open_batches, postings, policy.late_amount_band_usd)
+    late = first_late(open_batches, postings)
 
     brk = (open_batches.select(ID).join(late, ID, "left").join(best, ID, "left").select(
         ID,

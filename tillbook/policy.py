@@ -28,10 +28,6 @@ class Policy:
     critical_break_usd: int = 5000
     break_rate_ceiling: float = 0.10
     volume_change_ceiling: float = 0.25
-    # Engine-only knob: width (USD) of the amount band that turns the open-ended
-    # late-posting search into an equi join; any positive value gives the same
-    # result, it only changes how the work is split.
-    late_amount_band_usd: int = 100
 
     def assumptions_df(self, spark: SparkSession) -> DataFrame:
         """The key/value finance-assumptions seed, built from this policy."""
@@ -71,5 +67,4 @@ class Policy:
             interchange_fee_bps=base.interchange_fee_bps,
             network_fee_bps=base.network_fee_bps,
             reserve_hold_days=base.reserve_hold_days,
-            late_amount_band_usd=base.late_amount_band_usd,
         )
