@@ -233,17 +233,24 @@ def first_late(open_batches: DataFrame, postings: DataFrame, max_level: int = LA
 
 def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: Policy = Policy(),
               persist: Callable[[DataFrame, str], DataFrame] = lambda d, name: d) -> Reconciliation:
-    """Run the matcher. ``persist`` materialises the candidate set and the per-batch pass-1 table."""
+    """Run the matcher.
+
+    ``persist`` materialises what later steps read more than once: the
+    candidate set, the per-batch pass-1 table, the pass-2 result and the
+    batches still open after both passes (all but the first are batch-level).
+    """
     windows = batch_windows(batches, cal, policy)
     candidates = persist(candidate_pairs(windows, postings), "candidates")
     first = persist(pass_one(candidates), "pass_one")
     single = first.where(F.col("single_posting_id").isNotNull()).select(
         ID, F.col("single_posting_id").alias("posting_id"), F.col("single_amount").alias("matched_amount"))
     split, split_lines = split_sums(candidates, first)
+    split = persist(split, "split_matches")
+    split_lines = persist(split_lines, "split_lines")
     best = first.where(F.col("single_posting_id").isNull()).join(split.select(ID), ID, "left_anti").select(
         ID, "closest_posting_id", "closest_posting_amount", "closest_amount_diff")
     closed = single.select(ID).unionByName(split.select(ID))
-    open_batches = windows.join(closed, ID, "left_anti")
+    open_batches = persist(windows.join(closed, ID, "left_anti"), "open_batches")
     late = first_late(open_batches, postings)
 
     brk = (open_batches.select(ID).join(late, ID, "left").join(best, ID, "left").select(
