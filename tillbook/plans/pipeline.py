@@ -19,6 +19,7 @@ from tillbook.policy import Policy
 from tillbook.session import materialize
 from tillbook.sources import adapter
 from tillbook.operators import breaks as breaks_ops
+from tillbook.operators import contracts
 from tillbook.operators import duplicates, history, marts, masking, matching, ops, settlement, silver
 from tillbook.operators import queue as queue_ops
 from tillbook.sources.landing import add_lineage
@@ -128,8 +129,9 @@ class Pipeline:
     # ---- gold -------------------------------------------------------------------
     @cached_property
     def breaks(self) -> DataFrame:
-        return self._keep(breaks_ops.reconciliation_breaks(
-            self.matches, self.calendar, self.merchants, self.merchant_history, self.policy), "breaks")
+        return self._keep(contracts.enforce(breaks_ops.reconciliation_breaks(
+            self.matches, self.calendar, self.merchants, self.merchant_history, self.policy),
+            "reconciliation_breaks"), "breaks")
 
     # ---- an earlier daily run (data up to a cutoff), for the incremental queue
     @cached_property
@@ -173,7 +175,7 @@ class Pipeline:
 
     @cached_property
     def daily_cash_position(self) -> DataFrame:
-        return marts.daily_cash_position(self.matches)
+        return contracts.enforce(marts.daily_cash_position(self.matches), "daily_cash_position")
 
     @cached_property
     def duplicate_postings(self) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.operators import calendar as cal_ops
-from tillbook.operators import marts, silver
+from tillbook.operators import contracts, marts, silver
 from tillbook.plans import oracle as O
 from tillbook.plans.pipeline import Pipeline
 
@@ -233,7 +233,8 @@ FROM (SELECT m.merchant_id, m.expected_settlement_amount, m.is_matched,
       LEFT JOIN cal ca ON ca.date_day = st.settled) s
 JOIN merchants mer USING (merchant_id)
 GROUP BY 1, 2, 3, 4, 5, 6, 7""")(
-    lambda p: marts.merchant_settlement_sla(p.matches, p.bank_movements, p.calendar, p.merchants, p.run_id, p.as_of))
+    lambda p: contracts.enforce(marts.merchant_settlement_sla(p.matches, p.bank_movements, p.calendar, p.merchants,
+                                                             p.run_id, p.as_of), "merchant_settlement_sla"))
 
 register("duplicate_postings", "SELECT * FROM dups")(lambda p: p.duplicate_postings)
 register("duplicate_posting_exceptions", """
