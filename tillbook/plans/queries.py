@@ -209,7 +209,7 @@ JOIN (SELECT merchant_id, min(root_cause_hint) AS root_cause_hint
       WHERE rk = 1 GROUP BY 1) md ON md.merchant_id = b.merchant_id
 GROUP BY 1, 2, 3, 4, 5""")(lambda p: marts.merchant_exception_trends(p.breaks, p.merchants))
 
-register("merchant_settlement_sla", f"""
+O.cte("sla", f"""
 SELECT mer.merchant_id, mer.business_name, mer.industry, mer.region, mer.state, mer.risk_tier,
        mer.settlement_speed_business_days AS contracted_settlement_speed_days,
        count(*) AS settlement_batch_count,
@@ -232,7 +232,8 @@ FROM (SELECT m.merchant_id, m.expected_settlement_amount, m.is_matched,
       LEFT JOIN cal ce ON ce.date_day = m.expected_payout_date
       LEFT JOIN cal ca ON ca.date_day = st.settled) s
 JOIN merchants mer USING (merchant_id)
-GROUP BY 1, 2, 3, 4, 5, 6, 7""")(
+GROUP BY 1, 2, 3, 4, 5, 6, 7""")
+register("merchant_settlement_sla", "SELECT * FROM sla")(
     lambda p: contracts.enforce(marts.merchant_settlement_sla(p.matches, p.bank_movements, p.calendar, p.merchants,
                                                              p.run_id, p.as_of), "merchant_settlement_sla"))
 
@@ -306,8 +307,10 @@ _CHECK_SQL = [
      "- returns_adjustments_amount)) > 0.01"),
     ("equal_rowcount_matches_batches", "error",
      "SELECT 1 WHERE (SELECT count(*) FROM matches) <> (SELECT count(*) FROM batches)"),
-    ("accepted_range_on_time_rate", "error", "SELECT 1 WHERE false"),
-    ("control_total_bronze_silver", "error", "SELECT 1 WHERE false"),
+    ("accepted_range_on_time_rate", "error",
+     "SELECT 1 FROM sla WHERE on_time_settlement_rate < 0 OR on_time_settlement_rate > 1"),
+    ("control_total_bronze_silver", "error", "SELECT 1 WHERE abs((SELECT round(sum(expected_settlement_amount), 2) "
+     "FROM batches) - (SELECT round(sum(CAST(expected_settlement_amount AS DECIMAL(18,2))), 2) FROM batches)) > 0.01"),
     ("matched_within_tolerance", "error", f"SELECT 1 FROM matches WHERE is_matched AND "
      f"abs(expected_settlement_amount - actual_cash_received) > {_TOL} + 0.01"),
     ("no_double_claimed_postings", "error", "SELECT pid FROM (SELECT settlement_batch_id, unnest(matched_posting_ids) "
@@ -317,14 +320,18 @@ _CHECK_SQL = [
     ("aging_sla_breach", "warn", "SELECT 1 FROM breaks WHERE aging_bucket = '15+'"),
     ("daily_break_rate_ceiling", "warn", "SELECT 1 FROM daily_cash WHERE " +
      ratio_sql("unresolved_break_amount", "total_expected_settlement_amount", 4) + " > 0.10"),
-    ("break_volume_stable", "warn", "SELECT 1 FROM telemetry WHERE node_name = 'fct_reconciliation_breaks' AND false"),
+    ("break_volume_stable", "warn", "SELECT 1 FROM (SELECT arg_max(rows_affected, run_started_at) AS n FROM telemetry "
+     "WHERE node_name = 'fct_reconciliation_breaks' AND node_resource_type = 'model' AND status = 'success' "
+     "AND rows_affected IS NOT NULL) pr WHERE pr.n IS NOT NULL AND abs((SELECT count(*) FROM breaks) - pr.n) / pr.n "
+     "> 0.25"),
     ("masked_view_no_identity", "error",
      "SELECT 1 FROM queue WHERE sha256(merchant_id) IN (SELECT merchant_id FROM merchants)"),
     ("pipeline_not_silent", "error", "SELECT 1 FROM (SELECT max(run_started_at) AS t FROM telemetry) l, "
      "(SELECT coalesce(sum(CASE WHEN status IN ('fail', 'error') THEN 1 ELSE 0 END), 0) AS f FROM telemetry "
      "WHERE invocation_id = (SELECT invocation_id FROM last_inv)) h WHERE l.t IS NULL OR f > 0 OR "
      "date_diff('hour', date_trunc('hour', l.t), TIMESTAMP '2024-01-31 06:00:00') > 26"),
-    ("source_freshness_transactions", "error", "SELECT 1 WHERE false"),
+    ("source_freshness_transactions", "error", "SELECT 1 FROM (SELECT max(TIMESTAMP '2024-01-31 04:00:00') AS t "
+     "FROM txn) f WHERE t IS NULL OR date_diff('second', t, TIMESTAMP '2024-01-31 06:00:00') / 3600.0 > 26"),
 ]
 _REPORT_SQL = "\nUNION ALL\n".join(
     f"SELECT '{n}' AS check_name, '{s}' AS severity, (SELECT count(*) FROM ({q}) x) AS failures"
