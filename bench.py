@@ -25,7 +25,7 @@ def main() -> None:
     from tillbook.plans.pipeline import Pipeline
     from tillbook.plans.queries import QUERIES
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="tillbook-bench")
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus)), app="tillbook-bench")
     p = Pipeline(spark, sf_dir)
     timings: dict[str, float] = {}
 

@@ -201,16 +201,17 @@ def first_late(open_batches: DataFrame, postings: DataFrame, max_level: int = LA
     exp, tol = F.col("expected_settlement_amount"), F.col("amount_tolerance")
     lo = F.ceil((exp - tol) * 100).cast("long")
     hi = F.floor((exp + tol) * 100).cast("long")
-    probes = open_batches.where(F.col("window_end_date").isNotNull()).select(
-        ID, "merchant_id", F.col("window_end_date").alias("d"),
-        F.inline(tolerance_blocks(lo, hi, max_level)))
-    top = probes.agg(F.max("k")).scalar()
+    open_ = open_batches.where(F.col("window_end_date").isNotNull())
+    # deepest tile level any open batch needs: one number from the (batch-level) open set
+    widest = open_.agg(F.max(hi - lo + 1)).first()[0]
+    top = min(max_level, len(str(int(widest))) - 1) if widest else 0
+    probes = open_.select(ID, "merchant_id", F.col("window_end_date").alias("d"),
+                          F.inline(tolerance_blocks(lo, hi, top)))
 
     cents = (F.col("amount") * 100).cast("long")
     levels = F.array(*[F.struct(F.lit(k).alias("k"), _floor_div(cents, 10 ** k).alias("block"))
-                       for k in range(max_level + 1)])
+                       for k in range(top + 1)])
     firsts = (postings.select("merchant_id", "posting_id", "posting_date", "amount", F.inline(levels))
-              .where(F.col("k") <= top)
               .groupBy("merchant_id", "k", "block", F.col("posting_date").alias("d"))
               .agg(F.min(F.struct("posting_id", "amount")).alias("p")))
 
