@@ -122,11 +122,14 @@ def pass_one(candidates: DataFrame) -> DataFrame:
         F.col("be.amount_diff").alias("closest_amount_diff"))
 
 
-def split_sums(candidates: DataFrame, first: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_sums(candidates: DataFrame, first: DataFrame,
+               persist: Callable[[DataFrame, str], DataFrame] = lambda d, name: d) -> tuple[DataFrame, DataFrame]:
     """Pass 2 with conflict resolution -> (split matches, their posting lines)."""
     open_ids = first.where(F.col("single_posting_id").isNull()).select(ID)
     claimed = first.where(F.col("single_posting_id").isNotNull()).select(F.col("single_posting_id").alias("posting_id"))
-    lines = candidates.join(open_ids, ID, "left_semi").join(claimed, "posting_id", "left_anti")
+    lines = persist(candidates.join(open_ids, ID, "left_semi").join(claimed, "posting_id", "left_anti")
+                    .select(ID, "batch_date", "expected_settlement_amount", "amount_tolerance", "posting_id",
+                            "posting_date", "posting_amount"), "split_candidates")
     sums = lines.groupBy(ID).agg(
         F.max("expected_settlement_amount").alias("expected_settlement_amount"),
         F.max("amount_tolerance").alias("amount_tolerance"),
@@ -245,9 +248,8 @@ def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: P
     first = persist(pass_one(candidates), "pass_one")
     single = first.where(F.col("single_posting_id").isNotNull()).select(
         ID, F.col("single_posting_id").alias("posting_id"), F.col("single_amount").alias("matched_amount"))
-    split, split_lines = split_sums(candidates, first)
+    split, split_lines = split_sums(candidates, first, persist)
     split = persist(split, "split_matches")
-    split_lines = persist(split_lines, "split_lines")
     best = first.where(F.col("single_posting_id").isNull()).join(split.select(ID), ID, "left_anti").select(
         ID, "closest_posting_id", "closest_posting_amount", "closest_amount_diff")
     closed = single.select(ID).unionByName(split.select(ID))
