@@ -1,13 +1,14 @@
 """Daily volume rollup, settlement batch build and reserve ledger.
 
 All three are set-based: the per-merchant reserve "queue" of the original
-row loop is a date-shift self join (a hold on day d is released by the batch
-on exactly d + hold_days, if there is one), so nothing walks rows in order.
+row loop becomes a one-day range frame hold_days back (a hold on day d is
+released by the batch on exactly d + hold_days, if there is one), so
+nothing walks rows in order and no second copy of the batches is joined.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillbook.functions.money import MONEY, bps_fee, money
@@ -47,13 +48,13 @@ def settlement_batches(daily: DataFrame, merchants: DataFrame, returns: DataFram
          .withColumn("network_fees", bps_fee(gross, policy.network_fee_bps))
          .withColumn("processing_fees", bps_fee(gross, F.col("processing_fee_bps"))))
 
-    # reserve released today = reserve held by the same merchant exactly hold_days ago
-    held = b.select(F.col("merchant_id").alias("_m"),
-                    F.date_add("batch_date", policy.reserve_hold_days).alias("_release_date"),
-                    F.col("reserve_held").alias("_released"))
-    b = (b.join(held, (b.merchant_id == held._m) & (b.batch_date == held._release_date), "left")
-         .withColumn("reserve_released", money(F.coalesce(F.col("_released"), F.lit(0))))
-         .drop("_m", "_release_date", "_released"))
+    # reserve released today = reserve held by the same merchant exactly hold_days ago: a range
+    # frame of one day, hold_days back. A merchant has one batch per day, so a window partition
+    # holds at most one row per calendar day, however hot the merchant.
+    day = F.datediff("batch_date", F.lit("1970-01-01").cast("date"))
+    exactly_then = Window.partitionBy("merchant_id").orderBy(day).rangeBetween(
+        -policy.reserve_hold_days, -policy.reserve_hold_days)
+    b = b.withColumn("reserve_released", money(F.coalesce(F.sum("reserve_held").over(exactly_then), F.lit(0))))
 
     # several adjustments can land on one merchant-day: sum before joining
     adj = (returns.groupBy(F.col("merchant_id").alias("_m"), F.col("adjustment_date").alias("_d"))
