@@ -127,7 +127,7 @@ CARDS_TOTAL_PATH = "Total payments > Cards"
 
 
 def payment_mix_context(transactions: DataFrame, frps: DataFrame, run_id: str, as_of: date,
-                        cards_path: str = CARDS_TOTAL_PATH) -> DataFrame:
+                        cards_path: str = CARDS_TOTAL_PATH, persist=lambda d, name: d) -> DataFrame:
     """Internal card-sale mix by acceptance channel vs the national cards benchmark.
 
     Sales only. One roll-up row plus one row per channel group; the benchmark
@@ -137,9 +137,11 @@ def payment_mix_context(transactions: DataFrame, frps: DataFrame, run_id: str, a
 
     group = (F.when(F.col("channel") == "card_present", "In-Person")
              .when(F.col("channel") == "ecommerce", "Online").otherwise("Other"))
-    by_channel = (transactions.where(F.col("transaction_type") == "sale")
-                  .groupBy(group.alias("segment"))
-                  .agg(F.count(F.lit(1)).alias("transaction_count"), F.sum("amount").alias("_gross")))
+    # one row per channel group; materialised so the totals below read a tiny table, not the transactions
+    by_channel = persist(transactions.where(F.col("transaction_type") == "sale")
+                         .groupBy(group.alias("segment"))
+                         .agg(F.count(F.lit(1)).alias("transaction_count"), F.sum("amount").alias("_gross")),
+                         "payment_mix_by_channel")
     latest_year = frps.agg(F.max("collection_year")).scalar()
     bench = frps.where((F.col("category_path") == cards_path) & (F.col("collection_year") == latest_year)) \
         .agg(F.max_by(F.struct("avg_transaction_amount_usd", "collection_year"), "row_number")).scalar()

@@ -50,11 +50,11 @@ class Pipeline:
 
     @cached_property
     def merchants(self) -> DataFrame:
-        return adapter.merchants(self.spark, self.sf_dir, snapshot=2)
+        return self._keep(adapter.merchants(self.spark, self.sf_dir, snapshot=2), "merchants")
 
     @cached_property
     def merchants_first_snapshot(self) -> DataFrame:
-        return adapter.merchants(self.spark, self.sf_dir, snapshot=1)
+        return self._keep(adapter.merchants(self.spark, self.sf_dir, snapshot=1), "merchants_v1")
 
     # ---- operational bronze ---------------------------------------------
     @cached_property
@@ -119,8 +119,8 @@ class Pipeline:
     # ---- history --------------------------------------------------------------
     @cached_property
     def merchant_snapshot(self) -> DataFrame:
-        first = history.snapshot(None, self.merchants_first_snapshot, SNAPSHOT_TIMES[0])
-        return history.snapshot(first, self.merchants, SNAPSHOT_TIMES[1])
+        first = self._keep(history.snapshot(None, self.merchants_first_snapshot, SNAPSHOT_TIMES[0]), "snapshot_1")
+        return self._keep(history.snapshot(first, self.merchants, SNAPSHOT_TIMES[1]), "snapshot_2")
 
     @cached_property
     def merchant_history(self) -> DataFrame:
@@ -171,7 +171,7 @@ class Pipeline:
     @cached_property
     def frps(self) -> DataFrame:
         from tillbook.sources import frps_sample, macro
-        return macro.frps_long(frps_sample.table1_cells(self.spark))
+        return self._keep(macro.frps_long(frps_sample.table1_cells(self.spark)), "frps_payment_volumes")
 
     @cached_property
     def daily_cash_position(self) -> DataFrame:

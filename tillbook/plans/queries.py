@@ -401,7 +401,8 @@ SELECT c.segment, 'acceptance_channel', CAST(c.transaction_count AS BIGINT), CAS
        {dec_ratio_sql('c.gross', 'c.transaction_count', 2)}, fb.bavg, CAST(NULL AS DECIMAL(9,6)),
        CAST({dec_ratio_sql('c.gross', 'c.transaction_count', 2)} - fb.bavg AS DECIMAL(18,2)),
        fb.collection_year, {_RUN}
-FROM mix_bc c, mix_fb fb""")(lambda p: marts.payment_mix_context(p.transactions, p.frps, p.run_id, p.as_of))
+FROM mix_bc c, mix_fb fb""")(lambda p: marts.payment_mix_context(p.transactions, p.frps, p.run_id, p.as_of,
+                                                                  persist=p._keep))
 
 _RATE = ratio_sql("matched_expected", "total_expected_settlement_amount", 4)
 register("bi_measures", f"""
