@@ -96,12 +96,19 @@ def _fs(spark: SparkSession, base: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
-def versions(spark: SparkSession, base: str) -> list[int]:
+def versions(spark: SparkSession, base: str, committed_only: bool = True) -> list[int]:
+    """Version numbers under ``base``; by default only those whose write committed (``_SUCCESS``)."""
     fs, path = _fs(spark, base)
     if not fs.exists(path):
         return []
-    names = [st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory()]
-    return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+    jvm = spark.sparkContext._jvm
+    out = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v") and name[1:].isdigit():
+            if not committed_only or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[1:]))
+    return sorted(out)
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame | None:
@@ -111,7 +118,7 @@ def read_current(spark: SparkSession, base: str) -> DataFrame | None:
 
 def write_next(df: DataFrame, base: str) -> int:
     """Write ``df`` as the next version and return its number."""
-    vs = versions(df.sparkSession, base)
+    vs = versions(df.sparkSession, base, committed_only=False)  # never reuse a number, even of a failed write
     nxt = (vs[-1] + 1) if vs else 1
     df.write.mode("errorifexists").parquet(f"{base}/v{nxt:06d}")
     return nxt
