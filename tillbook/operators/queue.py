@@ -57,8 +57,12 @@ def exception_queue(breaks: DataFrame, merchants: DataFrame, policy: Policy = Po
         F.lit("new").alias("triage_status"))
 
 
-def merge_queue(stored: DataFrame, fresh: DataFrame, owned: list[str] = OWNED) -> DataFrame:
-    """Merge a new build into the stored queue (update owned, insert new, close out absent)."""
+def merge_queue(stored: DataFrame, fresh: DataFrame, owned: list[str] = OWNED, reopen: bool = False) -> DataFrame:
+    """Merge a new build into the stored queue (update owned, insert new, close out absent).
+
+    ``reopen=True`` sets a 'resolved' row that is open again back to 'new'; by default its
+    status is left alone, as the merge never writes status on update.
+    """
     cols = stored.columns + [c for c in fresh.columns if c not in stored.columns]
     o = stored.select(*[F.col(c).alias(f"o__{c}") for c in stored.columns])
     n = fresh.select(*[F.col(c).alias(f"n__{c}") for c in fresh.columns])
@@ -71,7 +75,10 @@ def merge_queue(stored: DataFrame, fresh: DataFrame, owned: list[str] = OWNED) -
         if c == KEY:
             return F.coalesce(oc, nc)
         if c == "triage_status":
-            closed = F.when(~has_n & (oc != F.lit("resolved")), F.lit("resolved")).otherwise(oc)
+            closed = F.when(~has_n & (oc != F.lit("resolved")), F.lit("resolved"))
+            if reopen:
+                closed = closed.when(has_n & (oc == F.lit("resolved")), F.lit("new"))
+            closed = closed.otherwise(oc)
             return F.when(has_o, closed).otherwise(nc)
         if c in owned and c in fresh.columns:
             return F.when(has_n, nc).otherwise(oc)
