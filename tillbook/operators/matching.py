@@ -20,9 +20,9 @@ Spark plan notes:
 * The window is 3..~7 calendar days, so it is exploded into (merchant, day)
   keys: the candidate search is a pure equi join on a key far finer than the
   merchant, so a hot merchant spreads over its days.
-* "Best per batch" / "best per posting" are ``min(struct(...))`` hash
-  aggregates with map-side partial aggregation rather than two
-  row_number windows (no full sort of the candidate set). The batch-side
+* "Best per batch" / "best per posting" are ``min(struct(...))``
+  aggregates (sort-based, with map-side partial aggregation) rather than two
+  full-partition row_number windows. The batch-side
   aggregate also yields the nearest-amount diagnostic, so the candidate set
   is grouped by batch once; the result is one row per batch.
 * The late search is open-ended in date and only runs for open batches.
@@ -123,7 +123,7 @@ def pass_one(candidates: DataFrame) -> DataFrame:
 
 
 def split_sums(candidates: DataFrame, first: DataFrame,
-               persist: Callable[[DataFrame, str], DataFrame] = lambda d, name: d) -> tuple[DataFrame, DataFrame]:
+               persist: Callable[..., DataFrame] = lambda d, name, by=None: d) -> tuple[DataFrame, DataFrame]:
     """Pass 2 with conflict resolution -> (split matches, their posting lines)."""
     open_ids = first.where(F.col("single_posting_id").isNull()).select(ID)
     claimed = first.where(F.col("single_posting_id").isNotNull()).select(F.col("single_posting_id").alias("posting_id"))
@@ -236,7 +236,7 @@ def first_late(open_batches: DataFrame, postings: DataFrame, max_level: int = LA
 
 
 def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: Policy = Policy(),
-              persist: Callable[[DataFrame, str], DataFrame] = lambda d, name: d) -> Reconciliation:
+              persist: Callable[..., DataFrame] = lambda d, name, by=None: d) -> Reconciliation:
     """Run the matcher.
 
     ``persist`` materialises what later steps read more than once: the
@@ -244,7 +244,8 @@ def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: P
     batches still open after both passes (all but the first are batch-level).
     """
     windows = batch_windows(batches, cal, policy)
-    candidates = persist(candidate_pairs(windows, postings), "candidates")
+    # bucketed on the batch id: the batch-side aggregate and the open-batch semi join read it in place
+    candidates = persist(candidate_pairs(windows, postings), "candidates", by=ID)
     first = persist(pass_one(candidates), "pass_one")
     single = first.where(F.col("single_posting_id").isNotNull()).select(
         ID, F.col("single_posting_id").alias("posting_id"), F.col("single_amount").alias("matched_amount"))

@@ -39,8 +39,8 @@ class Pipeline:
         self.spark, self.sf_dir, self.policy = spark, sf_dir, policy
         self.checkpoint, self.run_id, self.as_of, self.now = checkpoint, run_id, as_of, now
 
-    def _keep(self, df: DataFrame, name: str = "stage") -> DataFrame:
-        return materialize(df, name) if self.checkpoint else df
+    def _keep(self, df: DataFrame, name: str = "stage", by: str | None = None) -> DataFrame:
+        return materialize(df, name, by) if self.checkpoint else df
 
     # ---- reference data -------------------------------------------------
     @cached_property
@@ -138,7 +138,7 @@ class Pipeline:
     def recon_run1(self) -> matching.Reconciliation:
         b = self.batches.where(F.col("batch_date") < F.lit(RUN1_CUTOFF))
         p = self.bank_movements.where(F.col("posting_date") < F.lit(RUN1_CUTOFF))
-        return matching.reconcile(b, p, self.calendar, self.policy, persist=lambda d, n: self._keep(d, n + "_r1"))
+        return matching.reconcile(b, p, self.calendar, self.policy, persist=lambda d, n, by=None: self._keep(d, n + "_r1", by))
 
     @cached_property
     def breaks_run1(self) -> DataFrame:

@@ -44,7 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", by: str | list[str] | None = None,
+                buckets: int | None = None) -> DataFrame:
     """Cut lineage by writing a Parquet table in the shared checkpoint folder.
 
     One computation, a columnar file with statistics (later scans prune
@@ -52,11 +53,23 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     the files instead of replaying the upstream plan. Never ``localCheckpoint``
     and never a machine-local folder: the path is under
     ``spark.checkpoint.dir``.
+
+    With ``by``, the table is bucketed on those columns (an external table at
+    the same kind of path), so later aggregates and joins on ``by`` read it
+    already partitioned instead of shuffling it again.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    tag = f"{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, tag)
+    if by is None:
+        df.write.mode("errorifexists").parquet(path)
+        return spark.read.parquet(path)
+    cols = [by] if isinstance(by, str) else list(by)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = "tillbook_" + tag.replace("-", "_")
+    (df.repartition(n, *cols).write.mode("errorifexists").format("parquet")
+     .bucketBy(n, *cols).option("path", path).saveAsTable(table))
+    return spark.table(table)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
