@@ -36,7 +36,6 @@ Spark plan notes:
 from __future__ import annotations
 
 from dataclasses import dataclass
-from decimal import Decimal
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, Window
