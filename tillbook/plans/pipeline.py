@@ -166,7 +166,8 @@ class Pipeline:
 
     @cached_property
     def run_summary(self) -> DataFrame:
-        return ops.run_summary(self.daily_cash_position, self.exception_queue, self.telemetry, self.policy)
+        # the queue as it stands after the latest run, resolved rows included
+        return ops.run_summary(self.daily_cash_position, self.exception_queue_second_run, self.telemetry, self.policy)
 
     @cached_property
     def frps(self) -> DataFrame:

@@ -280,7 +280,8 @@ CROSS JOIN (SELECT count(*) AS open_exception_count,
                    CAST(sum(CASE WHEN severity = 'critical' THEN 1 ELSE 0 END) AS BIGINT) AS critical_count,
                    CAST(sum(CASE WHEN severity = 'high' THEN 1 ELSE 0 END) AS BIGINT) AS high_count,
                    CAST(sum(break_amount) AS DECIMAL(18,2)) AS total_open_break_amount,
-                   CAST(sum(funding_cost_estimate) AS DECIMAL(18,2)) AS total_funding_cost_estimate FROM queue) es
+                   CAST(sum(funding_cost_estimate) AS DECIMAL(18,2)) AS total_funding_cost_estimate
+            FROM queue_merged) es
 CROSS JOIN (SELECT max(run_started_at) AS last_run_at,
                    CAST(sum(CASE WHEN status IN ('fail', 'error') THEN 1 ELSE 0 END) AS BIGINT) AS last_run_test_failures
             FROM telemetry WHERE invocation_id = (SELECT invocation_id FROM last_inv)) ts""")(lambda p: p.run_summary)
