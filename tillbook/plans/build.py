@@ -85,3 +85,23 @@ def daily_build(spark: SparkSession, sf_dir: str, out_dir: str, telemetry_path:
                         "message": ""})
     ops.append_run_telemetry(spark, telemetry_path, invocation_id, datetime.now().replace(microsecond=0), results)
     return results
+
+
+def land_bronze(p: Pipeline, landing_dir: str, run_id: str | None = None, raise_on_violation: bool = True) -> list:
+    """Operational landing: contract check -> lineage stamp -> landed Parquet + manifest.
+
+    Ground truth is landed beside the Bronze tables but never stamped into
+    them (it only feeds the accuracy report). Returns the manifest rows.
+    """
+    from tillbook.sources.landing import add_lineage, write_with_manifest
+    from tillbook.plans.pipeline import INGESTED_AT, SOURCE_SYSTEM
+
+    run_id = run_id or p.run_id
+    frames = {"merchants": p.merchants, "transactions": p.transactions, "settlement_batches": p.batches,
+              "reserve_events": p.reserve_events, "returns_adjustments": p.returns,
+              "bank_movements": p.bank_movements}
+    for name, df in frames.items():
+        Q.validate_bronze(df, name, raise_on_violation=raise_on_violation)
+    landed = {name: add_lineage(df, SOURCE_SYSTEM, run_id, INGESTED_AT) for name, df in frames.items()}
+    landed["ground_truth_breaks"] = p.ground_truth
+    return write_with_manifest(landed, landing_dir).collect()
