@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import AnalysisException
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tillbook") -> SparkSession:
@@ -67,8 +68,12 @@ def materialize(df: DataFrame, name: str = "stage", by: str | list[str] | None =
     cols = [by] if isinstance(by, str) else list(by)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = "tillbook_" + tag.replace("-", "_")
-    (df.repartition(n, *cols).write.mode("errorifexists").format("parquet")
-     .bucketBy(n, *cols).option("path", path).saveAsTable(table))
+    try:
+        (df.repartition(n, *cols).write.mode("errorifexists").format("parquet")
+         .bucketBy(n, *cols).option("path", path).saveAsTable(table))
+    except AnalysisException:  # no writable catalog: same data, without the bucket layout
+        df.write.mode("errorifexists").parquet(path + "-plain")
+        return spark.read.parquet(path + "-plain")
     return spark.table(table)
 
 
