@@ -211,3 +211,51 @@ def segment_weights(cbp: DataFrame) -> DataFrame:
     sizes = long.select(F.lit("employer_size_class").alias("dimension"), "segment",
                         F.round(F.col("n") / size_total, 4).alias("weight"))
     return named.unionByName(other).unionByName(regions).unionByName(sizes)
+
+
+# ---------------------------------------------------------------- runner
+def land_all(spark: SparkSession, out_dir: str, run_id: str, ingested_at, cbp_path: str | None = None,
+             cpi_path: str | None = None, fred_paths: dict[str, str] | None = None,
+             frps_cells: DataFrame | None = None, logger=None) -> dict[str, int]:
+    """Land every available macro source as Bronze (lineage stamped); skip missing ones with a warning.
+
+    Returns {table: rows landed}. CPI passes the boundary contract first.
+    """
+    import logging
+
+    from tillbook.operators.quality import validate_bronze
+    from tillbook.sources.landing import add_lineage, write_landed
+
+    log = logger or logging.getLogger(__name__)
+    parsed: dict[str, DataFrame] = {}
+    if frps_cells is not None:
+        parsed["frps_payment_volumes"] = frps_long(frps_cells)
+    if cbp_path:
+        parsed["cbp_establishments"] = read_cbp(spark, cbp_path)
+    if cpi_path:
+        cpi = read_cpi(spark, cpi_path)
+        validate_bronze(cpi, "cpi_monthly", logger=log)
+        parsed["cpi_monthly"] = cpi
+    if fred_paths:
+        parsed["fred_rates"] = read_fred(spark, fred_paths)
+    for name in ("frps_payment_volumes", "cbp_establishments", "cpi_monthly", "fred_rates"):
+        if name not in parsed:
+            log.warning("macro source %s not available; skipped", name)
+    out = {}
+    for name, df in parsed.items():
+        path = write_landed(add_lineage(df, name.split("_")[0] + "_ingest", run_id, ingested_at), out_dir, name)
+        out[name] = spark.read.parquet(path).count()
+    return out
+
+
+def series_latest(cpi: DataFrame | None = None, fred: DataFrame | None = None) -> DataFrame:
+    """Latest value per series across the CPI and FRED landings (series_id, period label, value)."""
+    parts = []
+    if cpi is not None:
+        parts.append(latest_per_series(cpi, ["year", "period"]).select(
+            "series_id", "series_type", F.concat_ws("-", F.col("year").cast("string"), "period").alias("as_of"),
+            "value"))
+    if fred is not None:
+        parts.append(latest_per_series(fred, ["observation_date"]).select(
+            "series_id", "series_type", F.col("observation_date").alias("as_of"), "value"))
+    return reduce(DataFrame.unionByName, parts)
