@@ -243,8 +243,9 @@ def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: P
     batches still open after both passes (all but the first are batch-level).
     """
     windows = batch_windows(batches, cal, policy)
-    # bucketed on the batch id: the batch-side aggregate and the open-batch semi join read it in place
-    candidates = persist(candidate_pairs(windows, postings), "candidates", by=ID)
+    # Deliberately not bucketed on the batch id: that would route every candidate of a hot batch
+    # through one task, while the batch-side min(struct) below pre-aggregates map-side instead.
+    candidates = persist(candidate_pairs(windows, postings), "candidates")
     first = persist(pass_one(candidates), "pass_one")
     single = first.where(F.col("single_posting_id").isNotNull()).select(
         ID, F.col("single_posting_id").alias("posting_id"), F.col("single_amount").alias("matched_amount"))
