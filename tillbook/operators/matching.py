@@ -206,7 +206,11 @@ def first_late(open_batches: DataFrame, postings: DataFrame, max_level: int = LA
     open_ = open_batches.where(F.col("window_end_date").isNotNull())
     # deepest tile level any open batch needs: one number from the (batch-level) open set
     widest = open_.agg(F.max(hi - lo + 1)).first()[0]
-    top = min(max_level, len(str(int(widest))) - 1) if widest else 0
+    if not widest:  # nothing can be late: skip the posting side entirely
+        return open_.select(ID, F.lit(None).cast("string").alias("late_posting_id"),
+                            F.lit(None).cast("date").alias("late_posting_date"),
+                            F.lit(None).cast(MONEY).alias("late_posting_amount")).where(F.lit(False))
+    top = min(max_level, len(str(int(widest))) - 1)
     probes = open_.select(ID, "merchant_id", F.col("window_end_date").alias("d"),
                           F.inline(tolerance_blocks(lo, hi, top)))
 
