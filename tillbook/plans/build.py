@@ -52,11 +52,27 @@ def models(p: Pipeline) -> list[tuple[str, str, callable]]:
     ]
 
 
+class StaleSourceError(RuntimeError):
+    pass
+
+
+def freshness_gate(p: Pipeline) -> list:
+    """Before the build: any operational source past its error threshold stops the run."""
+    names = ["merchants", "transactions", "settlement_batches", "bank_movements", "reserve_events",
+             "returns_adjustments"]
+    rows = Q.source_freshness({n: p.bronze(n) for n in names}, p.now).collect()
+    stale = [r.source for r in rows if r.status == "error"]
+    if stale:
+        raise StaleSourceError(f"sources past their freshness error threshold: {stale}")
+    return rows
+
+
 def daily_build(spark: SparkSession, sf_dir: str, out_dir: str, telemetry_path: str,
                 invocation_id: str | None = None, now: datetime | None = None) -> list[dict]:
     """Run every model and check once; return (and log) the node results."""
     invocation_id = invocation_id or str(uuid.uuid4())
     p = Pipeline(spark, sf_dir, run_id=invocation_id, **({"now": now} if now else {}))
+    freshness_gate(p)
     results = []
     for layer, name, build in models(p):
         t0 = time.perf_counter()
