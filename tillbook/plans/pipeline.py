@@ -192,3 +192,17 @@ def pipeline_for(spark: SparkSession, sf_dir: str) -> Pipeline:
     if key not in _CACHE:
         _CACHE[key] = Pipeline(spark, sf_dir)
     return _CACHE[key]
+
+
+def run(spark: SparkSession, inputs: str, policy: Policy = Policy(), now: datetime = NOW, run_id: str = RUN_ID,
+        as_of: date = AS_OF) -> dict[str, DataFrame]:
+    """The daily build as a function: every model, keyed by its name (lazy where not materialised)."""
+    from tillbook.plans.queries import QUERIES
+
+    p = Pipeline(spark, inputs, policy, run_id=run_id, as_of=as_of, now=now)
+    names = ["dim_date", "silver_merchant", "merchant_history", "settlement_batches", "bank_movements",
+             "recon_matches", "duplicate_postings", "reconciliation_breaks", "daily_cash_position",
+             "funding_cost_summary", "merchant_exception_trends", "merchant_settlement_sla", "payment_mix_context",
+             "exception_queue", "exception_queue_masked", "duplicate_posting_exceptions", "run_summary",
+             "pipeline_heartbeat", "quality_report"]
+    return {n: QUERIES[n](p) for n in names}
