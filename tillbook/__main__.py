@@ -11,7 +11,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("command", choices=["build", "land"])
     ap.add_argument("--input", required=True, help="folder with the source tables (Parquet)")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
-    ap.add_argument("--telemetry", help="run telemetry table (default <out>/ops/dbt_run_telemetry)")
+    ap.add_argument("--telemetry", help="run telemetry table (default <out>/ops/run_telemetry)")
     ap.add_argument("--master", default=None, help="Spark master for a local run, e.g. local[8]")
     args = ap.parse_args(argv)
 
@@ -25,7 +25,7 @@ def main(argv: list[str] | None = None) -> None:
         ensure_checkpoint_dir(spark)
     if args.command == "build":
         from tillbook.plans.build import daily_build
-        res = daily_build(spark, args.input, args.out, args.telemetry or f"{args.out}/ops/dbt_run_telemetry")
+        res = daily_build(spark, args.input, args.out, args.telemetry or f"{args.out}/ops/run_telemetry")
         print(json.dumps({"nodes": len(res), "failed": [r["node_name"] for r in res if r["status"] in ("error", "fail")]}))
     else:
         from tillbook.plans.build import land_bronze
