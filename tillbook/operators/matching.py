@@ -199,6 +199,11 @@ def first_late(open_batches: DataFrame, postings: DataFrame, max_level: int = LA
     partition holds at most one row per day plus that merchant's open
     batches, whatever the posting volume; the minimum over a batch's tiles
     is the result (earliest day, then smallest id).
+
+    The per-day reduction is a separate aggregate (map-side partial
+    aggregation) before the window's shuffle on purpose: repartitioning the
+    raw expanded postings on the window key would send all postings of a hot
+    (merchant, block) through one task.
     """
     exp, tol = F.col("expected_settlement_amount"), F.col("amount_tolerance")
     lo = F.ceil((exp - tol) * 100).cast("long")

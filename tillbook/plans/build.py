@@ -71,7 +71,7 @@ def daily_build(spark: SparkSession, sf_dir: str, out_dir: str, telemetry_path:
                 invocation_id: str | None = None, now: datetime | None = None) -> list[dict]:
     """Run every model and check once; return (and log) the node results."""
     invocation_id = invocation_id or str(uuid.uuid4())
-    p = Pipeline(spark, sf_dir, run_id=invocation_id, **({"now": now} if now else {}))
+    p = Pipeline(spark, sf_dir, run_id=invocation_id, telemetry_path=telemetry_path, **({"now": now} if now else {}))
     freshness_gate(p)
     results = []
     for layer, name, build in models(p):
@@ -95,7 +95,9 @@ def daily_build(spark: SparkSession, sf_dir: str, out_dir: str, telemetry_path:
                     "execution_time_seconds": time.perf_counter() - t0,
                     "rows_affected": queue_ops.read_current(spark, base).count(), "message": f"version {version}"})
 
-    for row in Q.report(checks.pipeline_checks(p)).collect():
+    # the dead-man's switch runs on its own clock (heartbeat_check), not inside the build it watches
+    build_checks = [c for c in checks.pipeline_checks(p) if "heartbeat" not in c.tags]
+    for row in Q.report(build_checks).collect():
         results.append({"node_name": row.check_name, "node_resource_type": "test",
                         "status": row.status, "execution_time_seconds": 0.0, "rows_affected": row.failures,
                         "message": ""})
@@ -121,3 +123,11 @@ def land_bronze(p: Pipeline, landing_dir: str, run_id: str | None = None, raise_
     landed = {name: add_lineage(df, SOURCE_SYSTEM, run_id, INGESTED_AT) for name, df in frames.items()}
     landed["ground_truth_breaks"] = p.ground_truth
     return write_with_manifest(landed, landing_dir).collect()
+
+
+def heartbeat_check(spark: SparkSession, telemetry_path: str, now: datetime | None = None) -> list:
+    """The independent dead-man's switch: rows when the build never ran, is stale, or last run failed."""
+    from tillbook.policy import Policy
+    tel = spark.read.parquet(telemetry_path)
+    now = now or datetime.now().replace(microsecond=0)
+    return ops.pipeline_silence(ops.pipeline_heartbeat(tel, now, Policy()), now).collect()

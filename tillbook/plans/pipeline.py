@@ -35,9 +35,10 @@ SOURCE_SYSTEM = "ops_adapter"
 
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, policy: Policy = Policy(), checkpoint: bool = True,
-                 run_id: str = RUN_ID, as_of: date = AS_OF, now: datetime = NOW):
+                 run_id: str = RUN_ID, as_of: date = AS_OF, now: datetime = NOW, telemetry_path: str | None = None):
         self.spark, self.sf_dir, self.policy = spark, sf_dir, policy
         self.checkpoint, self.run_id, self.as_of, self.now = checkpoint, run_id, as_of, now
+        self.telemetry_path = telemetry_path
 
     def _keep(self, df: DataFrame, name: str = "stage", by: str | None = None) -> DataFrame:
         return materialize(df, name, by) if self.checkpoint else df
@@ -92,7 +93,15 @@ class Pipeline:
 
     @cached_property
     def telemetry(self) -> DataFrame:
-        return adapter.run_telemetry(self.spark, self.sf_dir)
+        """The build's own run log when it has one (empty before the first run), else the test stand-in."""
+        if self.telemetry_path is None:
+            return adapter.run_telemetry(self.spark, self.sf_dir)
+        from tillbook.operators.ops import TELEMETRY_SCHEMA
+        from tillbook.operators.queue import _fs
+        fs, path = _fs(self.spark, self.telemetry_path)
+        if fs.exists(path):
+            return self.spark.read.parquet(self.telemetry_path)
+        return self.spark.createDataFrame([], TELEMETRY_SCHEMA)
 
     # ---- matcher ----------------------------------------------------------
     @cached_property
