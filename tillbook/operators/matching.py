@@ -56,6 +56,7 @@ def _empty_ids():
 class Reconciliation:
     batch_windows: DataFrame
     candidates: DataFrame
+    pass_one: DataFrame
     single_matches: DataFrame
     split_matches: DataFrame
     split_lines: DataFrame
@@ -292,7 +293,7 @@ def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: P
         F.coalesce(F.col("matched_posting_ids"), _empty_ids()).alias("matched_posting_ids"),
         "match_method",
         F.coalesce("is_matched", F.lit(False)).alias("is_matched"))
-    return Reconciliation(windows, candidates, single, split, split_lines, late, best, brk, matches)
+    return Reconciliation(windows, candidates, first, single, split, split_lines, late, best, brk, matches)
 
 
 def posting_claims(matches: DataFrame, matched_only: bool = False) -> DataFrame:

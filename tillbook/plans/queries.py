@@ -119,6 +119,16 @@ SELECT settlement_batch_id, posting_id, posting_date, posting_amount, amount_dif
     lambda p: p.recon.candidates.select("settlement_batch_id", "posting_id", "posting_date", "posting_amount",
                                         "amount_diff", "date_diff"))
 register("recon_single_matches", "SELECT * FROM single_m")(lambda p: p.recon.single_matches)
+register("recon_pass_one", """
+SELECT c.settlement_batch_id, s.posting_id AS single_posting_id, s.matched_amount AS single_amount,
+       b.closest_posting_id, b.closest_posting_amount, b.closest_amount_diff
+FROM (SELECT DISTINCT settlement_batch_id FROM cand) c
+LEFT JOIN single_m s USING (settlement_batch_id)
+LEFT JOIN (SELECT * FROM (
+    SELECT settlement_batch_id, posting_id AS closest_posting_id, posting_amount AS closest_posting_amount,
+           amount_diff AS closest_amount_diff,
+           row_number() OVER (PARTITION BY settlement_batch_id ORDER BY amount_diff, posting_date, posting_id) AS rn
+    FROM cand) z WHERE rn = 1) b USING (settlement_batch_id)""")(lambda p: p.recon.pass_one)
 
 
 @register("recon_split_matches", """
