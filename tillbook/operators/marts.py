@@ -75,14 +75,17 @@ def merchant_exception_trends(breaks: DataFrame, merchants: DataFrame) -> DataFr
 
 
 def merchant_settlement_sla(matches: DataFrame, postings: DataFrame, cal: DataFrame, merchants: DataFrame,
-                            run_id: str, as_of: date) -> DataFrame:
+                            run_id: str, as_of: date, settled: DataFrame | None = None) -> DataFrame:
     """On-time rate and business-day delay over *all* batches of each merchant.
 
-    Settlement date of a matched batch = its last matched posting's date.
+    Settlement date of a matched batch = its last matched posting's date. The
+    matcher already knows it (``Reconciliation.settled``); without it, the
+    matched ids are exploded and joined to the postings.
     """
-    settled = (posting_claims(matches, matched_only=True)
-               .join(postings.select("posting_id", "posting_date"), "posting_id")
-               .groupBy("settlement_batch_id").agg(F.max("posting_date").alias("actual_settlement_date")))
+    if settled is None:
+        settled = (posting_claims(matches, matched_only=True)
+                   .join(postings.select("posting_id", "posting_date"), "posting_id")
+                   .groupBy("settlement_batch_id").agg(F.max("posting_date").alias("actual_settlement_date")))
     m = matches.select("settlement_batch_id", "merchant_id", "expected_payout_date", "expected_settlement_amount",
                        "is_matched").join(settled, "settlement_batch_id", "left")
     m = cal_ops.add_seq(m, cal, "expected_payout_date", "_exp_seq")

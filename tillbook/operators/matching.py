@@ -64,6 +64,7 @@ class Reconciliation:
     best_effort: DataFrame
     breaks: DataFrame
     matches: DataFrame
+    settled: DataFrame  # matched batch -> date of its last matched posting
 
 
 def batch_windows(batches: DataFrame, cal: DataFrame, policy: Policy) -> DataFrame:
@@ -107,7 +108,8 @@ def pass_one(candidates: DataFrame) -> DataFrame:
     """
     in_tol = F.col("amount_diff") <= F.col("amount_tolerance")
     by_batch = candidates.groupBy(ID).agg(
-        F.min(F.when(in_tol, F.struct("amount_diff", "date_diff", "posting_id", "posting_amount"))).alias("bb"),
+        F.min(F.when(in_tol, F.struct("amount_diff", "date_diff", "posting_id", "posting_amount",
+                                      "posting_date"))).alias("bb"),
         F.min(F.struct("amount_diff", "posting_date", "posting_id", "posting_amount")).alias("be"))
     by_posting = candidates.where(in_tol).groupBy(F.col("posting_id").alias("_pid")).agg(
         F.min(F.struct("amount_diff", "date_diff", F.col(ID).alias("batch_id"))).alias("pb"))
@@ -117,6 +119,7 @@ def pass_one(candidates: DataFrame) -> DataFrame:
         ID,
         F.col("_pid").alias("single_posting_id"),
         F.when(F.col("_pid").isNotNull(), F.col("bb.posting_amount")).alias("single_amount"),
+        F.when(F.col("_pid").isNotNull(), F.col("bb.posting_date")).alias("single_posting_date"),
         F.col("be.posting_id").alias("closest_posting_id"),
         F.col("be.posting_amount").alias("closest_posting_amount"),
         F.col("be.amount_diff").alias("closest_amount_diff"))
@@ -258,7 +261,8 @@ def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: P
     candidates = persist(candidate_pairs(windows, postings), "candidates")
     first = persist(pass_one(candidates), "pass_one")
     single = first.where(F.col("single_posting_id").isNotNull()).select(
-        ID, F.col("single_posting_id").alias("posting_id"), F.col("single_amount").alias("matched_amount"))
+        ID, F.col("single_posting_id").alias("posting_id"), F.col("single_amount").alias("matched_amount"),
+        F.col("single_posting_date").alias("posting_date"))
     split, split_lines = split_sums(candidates, first, persist)
     split = persist(split, "split_matches")
     best = first.where(F.col("single_posting_id").isNull()).join(split.select(ID), ID, "left_anti").select(
@@ -293,7 +297,11 @@ def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: P
         F.coalesce(F.col("matched_posting_ids"), _empty_ids()).alias("matched_posting_ids"),
         "match_method",
         F.coalesce("is_matched", F.lit(False)).alias("is_matched"))
-    return Reconciliation(windows, candidates, first, single, split, split_lines, late, best, brk, matches)
+    settled = single.select(ID, F.col("posting_date").alias("actual_settlement_date")).unionByName(
+        split_lines.groupBy(ID).agg(F.max("posting_date").alias("actual_settlement_date"))
+        .join(split.select(ID), ID, "left_semi"))
+    return Reconciliation(windows, candidates, first, single.drop("posting_date"), split, split_lines, late, best,
+                          brk, matches, settled)
 
 
 def posting_claims(matches: DataFrame, matched_only: bool = False) -> DataFrame:

@@ -34,7 +34,8 @@ def pipeline_checks(p: Pipeline) -> list[Q.Check]:
         Q.Check("settlement_formula", "error", lambda: settlement.formula_violations(p.batches)),
         Q.Check("equal_rowcount_matches_batches", "error", lambda: Q.equal_rowcount(p.matches, p.batches)),
         Q.Check("accepted_range_on_time_rate", "error", lambda: Q.accepted_range(
-            marts.merchant_settlement_sla(p.matches, p.bank_movements, p.calendar, p.merchants, p.run_id, p.as_of),
+            marts.merchant_settlement_sla(p.matches, p.bank_movements, p.calendar, p.merchants, p.run_id, p.as_of,
+                                          settled=p.recon.settled),
             "on_time_settlement_rate", 0, 1)),
         Q.Check("control_total_bronze_silver", "error",
                 lambda: Q.control_total(p.batches, fct_settlement_batch(p.bronze("settlement_batches")))),

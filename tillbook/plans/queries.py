@@ -121,9 +121,11 @@ SELECT settlement_batch_id, posting_id, posting_date, posting_amount, amount_dif
 register("recon_single_matches", "SELECT * FROM single_m")(lambda p: p.recon.single_matches)
 register("recon_pass_one", """
 SELECT c.settlement_batch_id, s.posting_id AS single_posting_id, s.matched_amount AS single_amount,
+       sp.posting_date AS single_posting_date,
        b.closest_posting_id, b.closest_posting_amount, b.closest_amount_diff
 FROM (SELECT DISTINCT settlement_batch_id FROM cand) c
 LEFT JOIN single_m s USING (settlement_batch_id)
+LEFT JOIN postings sp ON sp.posting_id = s.posting_id
 LEFT JOIN (SELECT * FROM (
     SELECT settlement_batch_id, posting_id AS closest_posting_id, posting_amount AS closest_posting_amount,
            amount_diff AS closest_amount_diff,
@@ -245,7 +247,8 @@ JOIN merchants mer USING (merchant_id)
 GROUP BY 1, 2, 3, 4, 5, 6, 7""")
 register("merchant_settlement_sla", "SELECT * FROM sla")(
     lambda p: contracts.enforce(marts.merchant_settlement_sla(p.matches, p.bank_movements, p.calendar, p.merchants,
-                                                             p.run_id, p.as_of), "merchant_settlement_sla"))
+                                                             p.run_id, p.as_of, settled=p.recon.settled),
+                                "merchant_settlement_sla"))
 
 register("duplicate_postings", "SELECT * FROM dups")(lambda p: p.duplicate_postings)
 register("duplicate_posting_exceptions", """
