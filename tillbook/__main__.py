@@ -13,7 +13,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     ap.add_argument("--telemetry", help="run telemetry table (default <out>/ops/run_telemetry)")
     ap.add_argument("--master", default=None, help="Spark master for a local run, e.g. local[8]")
+    ap.add_argument("--from-bronze", action="store_true", help="--input holds landed Bronze tables")
+    ap.add_argument("--now", default=None, help="run clock (ISO time; default: current time) for freshness/heartbeat")
     args = ap.parse_args(argv)
+    from datetime import datetime
+    now = datetime.fromisoformat(args.now) if args.now else datetime.now().replace(microsecond=0)
 
     from pyspark.sql import SparkSession
     from tillbook.session import build_session, ensure_checkpoint_dir
@@ -25,7 +29,8 @@ def main(argv: list[str] | None = None) -> None:
         ensure_checkpoint_dir(spark)
     if args.command == "build":
         from tillbook.plans.build import daily_build
-        res = daily_build(spark, args.input, args.out, args.telemetry or f"{args.out}/ops/run_telemetry")
+        res = daily_build(spark, args.input, args.out, args.telemetry or f"{args.out}/ops/run_telemetry",
+                          now=now, from_bronze=args.from_bronze)
         print(json.dumps({"nodes": len(res), "failed": [r["node_name"] for r in res if r["status"] in ("error", "fail")]}))
     else:
         from tillbook.plans.build import land_bronze

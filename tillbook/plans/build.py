@@ -68,10 +68,17 @@ def freshness_gate(p: Pipeline) -> list:
 
 
 def daily_build(spark: SparkSession, sf_dir: str, out_dir: str, telemetry_path: str,
-                invocation_id: str | None = None, now: datetime | None = None) -> list[dict]:
-    """Run every model and check once; return (and log) the node results."""
+                invocation_id: str | None = None, now: datetime | None = None, from_bronze: bool = False) -> list[dict]:
+    """Run every model and check once; return (and log) the node results.
+
+    ``from_bronze``: ``sf_dir`` holds landed Bronze tables (``BronzePipeline``)
+    instead of the test tables behind the adapter.
+    """
+    from tillbook.plans.pipeline import BronzePipeline
+
     invocation_id = invocation_id or str(uuid.uuid4())
-    p = Pipeline(spark, sf_dir, run_id=invocation_id, telemetry_path=telemetry_path, **({"now": now} if now else {}))
+    cls = BronzePipeline if from_bronze else Pipeline
+    p = cls(spark, sf_dir, run_id=invocation_id, telemetry_path=telemetry_path, **({"now": now} if now else {}))
     freshness_gate(p)
     results = []
     for layer, name, build in models(p):

@@ -215,3 +215,81 @@ def run(spark: SparkSession, inputs: str, policy: Policy = Policy(), now: dateti
              "exception_queue", "exception_queue_masked", "duplicate_posting_exceptions", "run_summary",
              "pipeline_heartbeat", "quality_report"]
     return {n: QUERIES[n](p) for n in names}
+
+
+class BronzePipeline(Pipeline):
+    """The same build over landed Bronze tables (``<bronze_dir>/<table>``), as production runs it.
+
+    Inputs: merchants, transactions, settlement_batches, bank_movements,
+    reserve_events, returns_adjustments (lineage columns are ignored), and
+    optionally frps_payment_volumes. The calendar spans the batches' dates
+    with a buffer (its size is checked by ``dim_date``); merchant history
+    starts with the current merchant table unless a snapshot table is given.
+    """
+
+    def __init__(self, spark: SparkSession, bronze_dir: str, snapshot_path: str | None = None,
+                 calendar_buffer_days: int = 120, **kw):
+        super().__init__(spark, bronze_dir, **kw)
+        self.snapshot_path, self.calendar_buffer_days = snapshot_path, calendar_buffer_days
+
+    def _bronze_table(self, name: str) -> DataFrame:
+        from tillbook.sources.landing import LINEAGE_COLUMNS
+        df = self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}")
+        return df.drop(*[c for c in LINEAGE_COLUMNS if c in df.columns])
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        from datetime import timedelta
+        from tillbook.operators import calendar as cal_ops
+        lo, hi = self._bronze_table("settlement_batches").agg(F.min("batch_date"), F.max("batch_date")).first()
+        pad = timedelta(days=self.calendar_buffer_days)
+        return self._keep(cal_ops.dim_date(self.spark, lo - pad, hi + pad), "calendar")
+
+    @cached_property
+    def merchants(self) -> DataFrame:
+        return self._bronze_table("merchants")
+
+    @cached_property
+    def merchants_first_snapshot(self) -> DataFrame:
+        return self.merchants
+
+    @cached_property
+    def merchant_snapshot(self) -> DataFrame:
+        if self.snapshot_path:
+            return self.spark.read.parquet(self.snapshot_path)
+        return self._keep(history.snapshot(None, self.merchants, SNAPSHOT_TIMES[0]), "snapshot_1")
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return self._bronze_table("transactions")
+
+    @cached_property
+    def returns(self) -> DataFrame:
+        return self._bronze_table("returns_adjustments")
+
+    @cached_property
+    def batches(self) -> DataFrame:
+        return self._bronze_table("settlement_batches")
+
+    @cached_property
+    def bank_movements(self) -> DataFrame:
+        return self._bronze_table("bank_movements")
+
+    @cached_property
+    def reserve_events(self) -> DataFrame:
+        return self._bronze_table("reserve_events")
+
+    @cached_property
+    def ground_truth(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/ground_truth_breaks")
+
+    @cached_property
+    def frps(self) -> DataFrame:
+        return self._bronze_table("frps_payment_volumes")
+
+    @cached_property
+    def telemetry(self) -> DataFrame:
+        if self.telemetry_path is None:
+            from tillbook.operators.ops import TELEMETRY_SCHEMA
+            return self.spark.createDataFrame([], TELEMETRY_SCHEMA)
+        return super().telemetry
