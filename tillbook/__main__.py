@@ -8,13 +8,17 @@ import json
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="tillbook")
-    ap.add_argument("command", choices=["build", "land"])
-    ap.add_argument("--input", required=True, help="folder with the source tables (Parquet)")
+    ap.add_argument("command", choices=["build", "land", "macro"])
+    ap.add_argument("--input", help="folder with the source tables (Parquet); build and land")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     ap.add_argument("--telemetry", help="run telemetry table (default <out>/ops/run_telemetry)")
     ap.add_argument("--master", default=None, help="Spark master for a local run, e.g. local[8]")
     ap.add_argument("--from-bronze", action="store_true", help="--input holds landed Bronze tables")
     ap.add_argument("--now", default=None, help="run clock (ISO time; default: current time) for freshness/heartbeat")
+    ap.add_argument("--cbp", help="macro: landed CBP county text file")
+    ap.add_argument("--cpi", help="macro: landed BLS response body (JSON)")
+    ap.add_argument("--fred", nargs="*", default=[], help="macro: SERIES=path of landed FRED bodies")
+    ap.add_argument("--frps-cells", help="macro: FRPS Table 1 cell rows (Parquet)")
     args = ap.parse_args(argv)
     from datetime import datetime
     now = datetime.fromisoformat(args.now) if args.now else datetime.now().replace(microsecond=0)
@@ -32,6 +36,15 @@ def main(argv: list[str] | None = None) -> None:
         res = daily_build(spark, args.input, args.out, args.telemetry or f"{args.out}/ops/run_telemetry",
                           now=now, from_bronze=args.from_bronze)
         print(json.dumps({"nodes": len(res), "failed": [r["node_name"] for r in res if r["status"] in ("error", "fail")]}))
+    elif args.command == "macro":
+        import uuid
+
+        from tillbook.sources import macro
+        fred = dict(x.split("=", 1) for x in args.fred) or None
+        cells = spark.read.parquet(args.frps_cells) if args.frps_cells else None
+        out = macro.land_all(spark, f"{args.out}/bronze", str(uuid.uuid4()), now, cbp_path=args.cbp,
+                             cpi_path=args.cpi, fred_paths=fred, frps_cells=cells)
+        print(json.dumps(out))
     else:
         from tillbook.plans.build import land_bronze
         from tillbook.plans.pipeline import Pipeline
