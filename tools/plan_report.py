@@ -34,8 +34,36 @@ def main() -> None:
     print("each query's own plan on top of them. `python` = ArrowEvalPython/BatchEvalPython nodes (UDFs).\n")
     print("| query | shuffles | broadcasts | joins | sorts | windows | python | scans (with pushed filters) |")
     print("|---|---|---|---|---|---|---|---|")
-    for name, fn in QUERIES.items():
-        plan = final_plan(fn(p))
+    rows = [(name, fn(p)) for name, fn in QUERIES.items()]
+    table(rows)
+    # the stages the queries start from, as built (each is written once as a Parquet table)
+    from tillbook.operators import matching as M
+    from tillbook.operators import settlement
+    from pyspark.sql import functions as F
+    w = M.batch_windows(p.batches, p.calendar, p.policy)
+    cands = p.recon.candidates
+    first = p.recon.pass_one
+    split, lines = M.split_sums(cands, first)
+    single = first.where(F.col("single_posting_id").isNotNull()).select(M.ID)
+    open_b = w.join(single.unionByName(split.select(M.ID)), M.ID, "left_anti")
+    stages = [
+        ("stage: settlement_batches", settlement.settlement_batches(p.daily_volume, p.merchants, p.returns,
+                                                                    p.calendar, p.policy)),
+        ("stage: candidates (window days x postings)", M.candidate_pairs(w, p.bank_movements)),
+        ("stage: pass_one (batch-best x posting-best + closest)", M.pass_one(cands)),
+        ("stage: pass_two split matches", split),
+        ("stage: late search (open batches)", M.first_late(open_b, p.bank_movements)),
+    ]
+    print("\n## Stage plans (the materialised stages above, as built)\n")
+    print("| stage | shuffles | broadcasts | joins | sorts | windows | python | scans (with pushed filters) |")
+    print("|---|---|---|---|---|---|---|---|")
+    table(stages, header=False)
+    spark.stop()
+
+
+def table(rows, header=True) -> None:
+    for name, df in rows:
+        plan = final_plan(df)
         shuffles = len(re.findall(r"\bExchange (?:hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan))
         bcasts = len(re.findall(r"\bBroadcastExchange\b", plan))
         sorts = len(re.findall(r"\bSort \[", plan))
@@ -46,7 +74,6 @@ def main() -> None:
         scans = re.findall(r"FileScan parquet [^\[]*\[[^\]]*\][^\n]*?PushedFilters: \[([^\]]*)\]", plan)
         scan_txt = f"{len(scans)}" + (f" ({sum(1 for s in scans if s)} with filters)" if scans else "")
         print(f"| {name} | {shuffles} | {bcasts} | {joins} | {sorts} | {windows} | {python} | {scan_txt} |")
-    spark.stop()
 
 
 if __name__ == "__main__":
