@@ -197,7 +197,11 @@ _CACHE: dict[tuple, Pipeline] = {}
 
 def pipeline_for(spark: SparkSession, sf_dir: str) -> Pipeline:
     """One Pipeline (and so one set of checkpoints) per session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # remote session
+        app = spark.conf.get("spark.app.id", None) or str(id(spark))
+    key = (app, sf_dir)
     if key not in _CACHE:
         _CACHE[key] = Pipeline(spark, sf_dir)
     return _CACHE[key]

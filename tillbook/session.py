@@ -33,14 +33,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
     is; only when it is unset (local tests) a scratch folder is created.
+    Works with classic sessions and, through the configuration, with remote
+    (Connect) sessions that have no SparkContext.
     """
-    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: no SparkContext on the client
+        sc = None
+    current = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
     local = tempfile.mkdtemp(prefix="tillbook-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir() or local
+    spark.conf.set("spark.checkpoint.dir", local)
     return local
 
 
