@@ -48,7 +48,7 @@ def models(p: Pipeline) -> list[tuple[str, str, callable]]:
         ("gold", "fct_payment_mix_context", q("payment_mix_context")),
         ("gold", "fct_duplicate_posting_exceptions", q("duplicate_posting_exceptions")),
         ("ops", "run_summary", q("run_summary")),
-        ("ops", "pipeline_heartbeat", q("pipeline_heartbeat")),
+        ("ops", "run_heartbeat", q("run_heartbeat")),
     ]
 
 

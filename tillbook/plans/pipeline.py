@@ -217,7 +217,7 @@ def run(spark: SparkSession, inputs: str, policy: Policy = Policy(), now: dateti
              "recon_matches", "duplicate_postings", "reconciliation_breaks", "daily_cash_position",
              "funding_cost_summary", "merchant_exception_trends", "merchant_settlement_sla", "payment_mix_context",
              "exception_queue", "exception_queue_masked", "duplicate_posting_exceptions", "run_summary",
-             "pipeline_heartbeat", "quality_report"]
+             "run_heartbeat", "quality_report"]
     return {n: QUERIES[n](p) for n in names}
 
 

@@ -271,7 +271,7 @@ FROM queue""")(lambda p: p.exception_queue_masked)
 
 # ------------------------------------------------------------------ ops
 register("run_telemetry", "SELECT * FROM telemetry")(lambda p: p.telemetry)
-register("pipeline_heartbeat", """
+register("run_heartbeat", """
 SELECT (SELECT max(run_started_at) FROM telemetry) AS last_run_completed_at,
        (SELECT CAST(coalesce(sum(CASE WHEN status IN ('fail', 'error') THEN 1 ELSE 0 END), 0) AS BIGINT)
         FROM telemetry WHERE invocation_id = (SELECT invocation_id FROM last_inv)) AS last_run_node_failures,
