@@ -248,7 +248,8 @@ def first_late(open_batches: DataFrame, postings: DataFrame, max_level: int = LA
 
 
 def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: Policy = Policy(),
-              persist: Callable[[DataFrame, str], DataFrame] = lambda d, name: d) -> Reconciliation:
+              persist: Callable[[DataFrame, str], DataFrame] = lambda d, name: d,
+              candidates: DataFrame | None = None) -> Reconciliation:
     """Run the matcher.
 
     ``persist`` materialises what later steps read more than once: the
@@ -258,7 +259,8 @@ def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: P
     windows = batch_windows(batches, cal, policy)
     # Deliberately not bucketed on the batch id: that would route every candidate of a hot batch
     # through one task, while the batch-side min(struct) below pre-aggregates map-side instead.
-    candidates = persist(candidate_pairs(windows, postings), "candidates")
+    if candidates is None:  # a caller may pass a known-equal subset of an earlier candidate table
+        candidates = persist(candidate_pairs(windows, postings), "candidates")
     first = persist(pass_one(candidates), "pass_one")
     single = first.where(F.col("single_posting_id").isNotNull()).select(
         ID, F.col("single_posting_id").alias("posting_id"), F.col("single_amount").alias("matched_amount"),

@@ -145,9 +145,13 @@ class Pipeline:
     # ---- an earlier daily run (data up to a cutoff), for the incremental queue
     @cached_property
     def recon_run1(self) -> matching.Reconciliation:
-        b = self.batches.where(F.col("batch_date") < F.lit(RUN1_CUTOFF))
-        p = self.bank_movements.where(F.col("posting_date") < F.lit(RUN1_CUTOFF))
-        return matching.reconcile(b, p, self.calendar, self.policy, persist=lambda d, n: self._keep(d, n + "_r1"))
+        cut = F.lit(RUN1_CUTOFF)
+        b = self.batches.where(F.col("batch_date") < cut)
+        p = self.bank_movements.where(F.col("posting_date") < cut)
+        # same calendar and windows, subsets of both sides: the earlier run's candidates are a filter
+        cands = self.recon.candidates.where((F.col("batch_date") < cut) & (F.col("posting_date") < cut))
+        return matching.reconcile(b, p, self.calendar, self.policy, persist=lambda d, n: self._keep(d, n + "_r1"),
+                                  candidates=cands)
 
     @cached_property
     def breaks_run1(self) -> DataFrame:
