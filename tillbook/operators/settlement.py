@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tillbook.functions.money import MONEY, bps_fee, money
 from tillbook.operators import calendar as cal_ops
 from tillbook.policy import Policy
-from tillbook.sources.adapter import merchant_key
 
 
 def daily_volume(transactions: DataFrame) -> DataFrame:
@@ -69,8 +68,10 @@ def settlement_batches(daily: DataFrame, merchants: DataFrame, returns: DataFram
     b = b.withColumn("expected_settlement_amount", money(expected))
     b = cal_ops.next_business_day(b, cal, "batch_date", F.col("settlement_speed_business_days"),
                                   "expected_payout_date")
-    batch_id = F.concat_ws("-", F.lit("BATCH"), merchant_key(F.col("merchant_id")).cast("string"),
-                           F.date_format("batch_date", "yyyyMMdd"))
+    # 'BATCH-<merchant number>-<yyyymmdd>' for MER-nnnnnn ids, else the merchant id itself
+    mid = F.col("merchant_id")
+    mkey = F.when(mid.rlike("^MER-[0-9]+$"), F.substring(mid, 5, 20).cast("long").cast("string")).otherwise(mid)
+    batch_id = F.concat_ws("-", F.lit("BATCH"), mkey, F.date_format("batch_date", "yyyyMMdd"))
     return b.select(
         batch_id.alias("settlement_batch_id"), "merchant_id", "batch_date", "transaction_count",
         "gross_sales_volume", "same_day_refunds", "interchange_fees", "network_fees", "processing_fees",
