@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook.policy import Policy
+from tillbook.session import hadoop_fs
 
 KEY = "settlement_batch_id"
 OWNED = ["business_name", "industry", "region", "risk_tier", "batch_date", "break_first_identified_date",
@@ -97,15 +98,9 @@ def analyst_update(queue: DataFrame, condition, status: str, owner: str | None =
 
 
 # ---- versioned storage: read version n, write n + 1, never overwrite what is read
-def _fs(spark: SparkSession, base: str):
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
-
-
 def versions(spark: SparkSession, base: str, committed_only: bool = True) -> list[int]:
     """Version numbers under ``base``; by default only those whose write committed (``_SUCCESS``)."""
-    fs, path = _fs(spark, base)
+    fs, path = hadoop_fs(spark, base)
     if not fs.exists(path):
         return []
     jvm = spark.sparkContext._jvm

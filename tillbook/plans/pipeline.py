@@ -97,8 +97,8 @@ class Pipeline:
         if self.telemetry_path is None:
             return adapter.run_telemetry(self.spark, self.sf_dir)
         from tillbook.operators.ops import TELEMETRY_SCHEMA
-        from tillbook.operators.queue import _fs
-        fs, path = _fs(self.spark, self.telemetry_path)
+        from tillbook.session import hadoop_fs
+        fs, path = hadoop_fs(self.spark, self.telemetry_path)
         if fs.exists(path):
             return self.spark.read.parquet(self.telemetry_path)
         return self.spark.createDataFrame([], TELEMETRY_SCHEMA)

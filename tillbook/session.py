@@ -71,3 +71,10 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A table path below the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
+
+
+def hadoop_fs(spark: SparkSession, path: str):
+    """(FileSystem, Path) for a folder on whatever storage the cluster uses (listing/existence only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
