@@ -1,8 +1,9 @@
 """Registered queries: a Spark plan and, where SQL can express it, its oracle.
 
 Each Spark entry takes a ``Pipeline`` (one per session and input folder) and
-returns a DataFrame; column names equal the oracle's. Array columns are
-exposed as sorted, comma-joined strings.
+returns a DataFrame; column names and types equal the oracle's. Array columns
+are exposed as sorted, comma-joined strings. Every query has an oracle except
+``bronze_lineage`` (its ``_row_hash`` is Spark's xxhash64, which DuckDB lacks).
 """
 
 from __future__ import annotations
