@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tillbook.session import materialize
 
-SAMPLES = 16         # a multiple of four
+SAMPLES = 32         # a multiple of four
 RUN_ROWS = 200
 MAX_RUNS = 65_536
 NO_ID = -(1 << 63)     # stands for a null id in the order
