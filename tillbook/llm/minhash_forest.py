@@ -5,8 +5,11 @@ Each distinct shingle set gets ``TREES`` orders of ``DEPTH`` MinHash values
 region that shares the first ``BASE`` values, and each set is paired with the
 ``NEAR`` sets that follow it: a region of up to ``NEAR`` + 1 sets is paired
 completely, in a denser one the partners are those of longest common prefix,
-so the depth adapts to the region.  Candidates are confirmed on the full
-shingle sets.  For regions that are too dense for the window, a last round
+so the depth adapts to the region.  Candidates whose signatures agree in far
+fewer values than the similarity asks for (five standard deviations, fewer
+than one link in a million) are left out.  The others are compared by sets of
+16-bit hashes, which can only look more alike than the true ones but for the
+margin given, and what remains is confirmed on the full shingle sets.  For regions that are too dense for the window, a last round
 also tests every pair that shares all ``DEPTH`` values of a tree and is not
 yet connected, so that no cap on partners decides alone.
 
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tillbook.llm.components import connected_components
 from tillbook.llm.textnp import blocks, mix, sorted_sets
@@ -42,7 +45,8 @@ _SCALE = _RNG.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2
 _SHIFT = _RNG.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
 
 _SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, sig array<long>"
-_SETS = "doc_id long, set_a long, shingles array<long>"
+MARGIN = 2          # percent by which the 16-bit sets may fall short, by hash collisions inside a set
+_SETS = "doc_id long, set_a long, shingles array<long>, small array<short>"
 
 
 def signature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,9 +83,13 @@ def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digest = np.zeros(rows, dtype=np.uint64)
             if len(present):
                 digest[present] = np.add.reduceat(mix(value + np.uint64(1)), at[present], dtype=np.uint64)
+            low = np.unique(row.astype(np.int64) << 16 | (mix(value) >> np.uint64(48)).astype(np.int64))
+            low_at = np.searchsorted(low >> 16, np.arange(rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(block.first, rows), pa.array(digest.view(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(at), pa.array(value.view(np.int64)))], names=["doc_id", "set_a", "shingles"])
+                 pa.ListArray.from_arrays(pa.array(at), pa.array(value.view(np.int64))),
+                 pa.ListArray.from_arrays(pa.array(low_at), pa.array((low & 0xFFFF).astype(np.uint16).view(np.int16)))],
+                names=["doc_id", "set_a", "shingles", "small"])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
@@ -96,10 +104,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                           .agg(F.min("doc_id").alias("rep")), "classes")
     # an id in several rows of different texts stands for its smallest set
     nodes = classes.groupBy(F.col("rep").alias("doc_id")).agg(F.min(F.struct("n_shingles", "set_a", "set_b")).alias("s")).select("doc_id", "s.*")
-    reps = signed.join(nodes, ["doc_id", *key], "left_semi").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep")
+    reps = signed.join(nodes, ["doc_id", *key], "left_semi").dropDuplicates(["doc_id"])
+    reps = materialize(reps.select(F.col("doc_id").alias("rep"), "n_shingles", "sig"), "reps")
     branches = materialize(_branches(reps), "branches")
-    tested = materialize(_neighbours(branches, percent), "pairs")
-    sets = materialize(_full_sets(texts, tested), "sets")
+    tested = materialize(_agreeing(_neighbours(branches, percent), reps, percent), "pairs")
+    sets = materialize(_full_sets(texts, _ends(tested)), "sets")
     best = W.partitionBy("b").orderBy(F.desc("trees"), "a")
     first = materialize(tested.withColumn("r", F.row_number().over(best)).where("r = 1").select("a", "b"), "first")
     links = materialize(confirm(first, sets, percent), "links")
@@ -107,9 +116,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = apart(tested.select("a", "b").join(first, ["a", "b"], "left_anti"), labels)
     links = materialize(links.unionByName(confirm(rest, sets, percent)), "links")
     labels = connected_components(links)
-    dense = materialize(_dense_pairs(branches, labels, percent).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "dense")
+    dense = materialize(_dense_links(branches, labels, reps, texts, percent), "dense")
     if not dense.isEmpty():
-        labels = connected_components(links.unionByName(confirm(dense, _full_sets(texts, dense), percent)))
+        labels = connected_components(links.unionByName(dense))
     named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         *key, F.coalesce("root", "rep").alias("component"))
     return signed.select("doc_id", *key).join(named, key, "left").select(
@@ -118,11 +127,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _full_sets(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``(doc_id, shingles)`` of every document in a pair."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+
+
+def _full_sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``(doc_id, shingles, small)`` of the given documents."""
     sets = texts.join(ids, "doc_id", "left_semi").mapInArrow(set_batches, _SETS)
-    return sets.groupBy("doc_id").agg(F.min_by("shingles", F.struct(F.size("shingles"), "set_a")).alias("shingles"))
+    size = F.struct(F.size("shingles"), "set_a")
+    return sets.groupBy("doc_id").agg(F.min_by(F.struct("shingles", "small"), size).alias("s")).select("doc_id", "s.*")
 
 
 def _branches(reps: DataFrame) -> DataFrame:
@@ -147,17 +160,49 @@ def _neighbours(branches: DataFrame, percent: int) -> DataFrame:
         F.count(F.lit(1)).alias("trees"))
 
 
-def _dense_pairs(branches: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Unconnected pairs that share a whole order in a region denser than the window."""
+def _least_agreement(percent: int) -> int:
+    """Equal signature values that a link has but for five standard deviations."""
+    n, t = TREES * DEPTH, percent / 100
+    return int(n * t - 5 * (n * t * (1 - t)) ** 0.5)
+
+
+def _agreement(a: str, b: str) -> Column:
+    """How many of the 16-bit values of two signatures are equal."""
+    lanes = lambda x: sum((F.shiftrightunsigned(x, 16 * k).bitwiseAND(F.lit(0xFFFF)) == 0).cast("int") for k in range(4))
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y)), F.lit(0), lambda n, x: n + lanes(x))
+
+
+def _agreeing(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose signatures allow a link."""
+    pairs = materialize(pairs, "near")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    sigs = materialize(reps.join(ids, "rep", "left_semi").select("rep", "sig"), "sigs")
+    both = (pairs.join(sigs.withColumnsRenamed({"rep": "a", "sig": "sa"}), "a").join(sigs.withColumnsRenamed({"rep": "b", "sig": "sb"}), "b"))
+    return both.where(_agreement("sa", "sb") >= _least_agreement(percent)).drop("sa", "sb")
+
+
+def _dense_links(branches: DataFrame, labels: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links between unconnected sets that share a whole order in a region denser than the window.
+
+    One end of such a pair stands outside the group's largest component, so
+    only those rows look for partners; pairs too unlike leave the join at once.
+    """
+    key = ["tree", "p", "q"]
     crowded = (branches.where(F.col("crowd") > NEAR + 1)
                .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-               .select("tree", "p", "q", "rep", "n_shingles", F.coalesce("root", "rep").alias("root")))
-    mixed = crowded.groupBy("tree", "p", "q").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    left = crowded.join(mixed.select("tree", "p", "q"), ["tree", "p", "q"], "left_semi")
-    right = left.withColumnsRenamed({"rep": "rep2", "n_shingles": "n2", "root": "root2"})
-    joined = left.join(right, ["tree", "p", "q"]).where((F.col("rep") < F.col("rep2")) & (F.col("root") != F.col("root2"))
-                                                        & _close_sizes("n_shingles", "n2", percent))
-    return joined.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
+               .select(*key, "rep", "n_shingles", F.coalesce("root", "rep").alias("root")))
+    parts = crowded.groupBy(*key, "root").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy(*key).agg(F.max(F.struct("n", F.col("root"))).alias("m"), F.count(F.lit(1)).alias("parts"))
+    mixed = materialize(crowded.join(main.where("parts > 1").select(*key, F.col("m.root").alias("main")), key), "mixed")
+    sets = materialize(_full_sets(texts, mixed.select(F.col("rep").alias("doc_id")).distinct()), "sets")
+    rows = mixed.join(reps.select("rep", "sig"), "rep").join(sets.select(F.col("doc_id").alias("rep"), "small"), "rep")
+    right = rows.drop("main").withColumnsRenamed({c: f"{c}2" for c in rows.columns})
+    likely = rows.where("root <> main").join(
+        right, (F.col("tree") == F.col("tree2")) & (F.col("p") == F.col("p2")) & (F.col("q") == F.col("q2")) & (F.col("root") != F.col("root2"))
+        & _close_sizes("n_shingles", "n_shingles2", percent) & (_agreement("sig", "sig2") >= _least_agreement(percent))
+        & _alike("small", "small2", percent - MARGIN))
+    pairs = materialize(likely.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct(), "likely")
+    return _similar(pairs, sets, "shingles", percent)
 
 
 def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -168,13 +213,21 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
             .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
 
 
+def _alike(a: str, b: str, percent: int) -> Column:
+    common = F.size(F.array_intersect(a, b))
+    return common * 100 >= (F.size(a) + F.size(b) - common) * percent
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, column: str, percent: int) -> DataFrame:
+    of_a = sets.select(F.col("doc_id").alias("a"), F.col(column).alias("sa"))
+    of_b = sets.select(F.col("doc_id").alias("b"), F.col(column).alias("sb"))
+    return pairs.join(of_a, "a").join(of_b, "b").where(_alike("sa", "sb", percent)).select("a", "b")
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Keep the pairs whose full sets reach the similarity."""
-    of_a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    of_b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(of_a, "a").join(of_b, "b").select(
-        "a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"), (F.size("sa") + F.size("sb")).alias("total"))
-    return both.where(F.col("common") * 100 >= (F.col("total") - F.col("common")) * percent).select("a", "b")
+    """Keep the pairs whose full sets reach the similarity; most others fall out by their small sets."""
+    likely = materialize(_similar(pairs, sets, "small", percent - MARGIN), "likely")
+    return _similar(likely, sets, "shingles", percent)
 
 
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
