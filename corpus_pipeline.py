@@ -17,6 +17,11 @@ from tillbook.llm import gear_dedup, minhash_forest, soft_mixture, speculative_b
 from tillbook.session import scratch_path
 
 
+#: Token shares of clean, toxic and junk text that the mixture aims at; the toxic
+#: share is what softness leaves of the posteriors once toxic documents are gone.
+TARGETS = (0.935, 0.005, 0.06)
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the calibrated trees predict as toxic go."""
     return toxicity_trees.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -35,7 +40,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated or thinned towards the target shares of the domains."""
-    return soft_mixture.mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select(docs.columns)
+    return soft_mixture.mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), TARGETS).select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
