@@ -35,8 +35,8 @@ from tillbook.session import materialize
 
 LEXICON_ROWS = 12000      # labelled rows that the lexicon is learned from
 STEM_BYTES = (4, 5, 6)
-MIN_DOCS = 4              # toxic documents
-MIN_BEFORE = 4            # different words before it (of 64 hash classes)
+MIN_DOCS = 6              # toxic documents
+MIN_BEFORE = 6            # different words before it (of 64 hash classes)
 MAX_OTHERS = 0.02         # documents that aren't toxic, as a share of the toxic ones
 NEAR_WORDS = 4
 TREES = 20
