@@ -36,7 +36,7 @@ def append_run_telemetry(spark: SparkSession, path: str, invocation_id: str, fin
         return 0
     rows = [(invocation_id, finished_at, r["node_name"], r.get("node_resource_type", "model"), r["status"],
              float(r.get("execution_time_seconds", 0.0)), r.get("rows_affected"),
-             (r.get("message") or "")[:500]) for r in results]
+             r.get("message") or "") for r in results]
     spark.createDataFrame(rows, TELEMETRY_SCHEMA).write.mode("append").parquet(path)
     return len(rows)
 

@@ -2,8 +2,8 @@
 
 The adapter, calendar, settlement build and matcher are written a second
 time as plain SQL over the driver's pre-registered views. The matcher here
-uses the ranking-window / NOT IN / NOT EXISTS formulation, so it checks the
-Spark plan (aggregates, anti joins, banded late join) against a different
+takes grouped minima of ordered structs and joins the choices, so it checks
+the Spark plan (packed aggregates, banded late search) against a different
 expression of the same rules.
 """
 
@@ -20,8 +20,16 @@ def cte(name: str, body: str) -> None:
 
 
 def query(select: str) -> str:
-    head = ",\n".join(f"{n} AS (\n{b}\n)" for n, b in _CTES)
-    return f"WITH {head}\n{select}"
+    """The select behind those CTEs that it needs, directly or through others."""
+    bodies, text, used = dict(_CTES), select, set()
+    todo = [select]
+    while todo:
+        text = todo.pop()
+        found = {w for w in re.findall(r"\w+", text) if w in bodies} - used
+        used |= found
+        todo += [bodies[n] for n in found]
+    head = ",\n".join(f"{n} AS (\n{b}\n)" for n, b in _CTES if n in used)
+    return f"WITH {head}\n{select}" if head else select
 
 
 # ---------------------------------------------------------------- calendar
@@ -67,7 +75,7 @@ _TIER_PARAMS = """
   CASE risk_tier WHEN 'high' THEN 75 WHEN 'elevated' THEN 55 ELSE 40 END::BIGINT AS processing_fee_bps,
   CASE risk_tier WHEN 'standard' THEN 1 ELSE 2 END::BIGINT AS settlement_speed_business_days"""
 _MERCHANT_BASE = """
-SELECT 'MER-' || lpad(CAST(s.s_suppkey AS VARCHAR), 6, '0') AS merchant_id, s.s_name AS business_name,
+SELECT 'MER-' || printf('%06d', s.s_suppkey) AS merchant_id, s.s_name AS business_name,
   (['retail','restaurant_food_service','professional_services','ecommerce_online_retail','health_wellness',
     'home_trade_services','auto_services','other'])[CAST(s.s_suppkey % 8 AS INTEGER) + 1] AS industry,
   (['5311','5812','8742','5964','8099','1731','7538','5999'])[CAST(s.s_suppkey % 8 AS INTEGER) + 1] AS mcc,
@@ -90,7 +98,7 @@ SELECT 'TXN-' || l_orderkey || '-' || l_linenumber || '-' ||
          row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                             ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
                                      l_returnflag, l_linestatus, l_shipdate) AS transaction_id,
-       'MER-' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS merchant_id,
+       'MER-' || printf('%06d', l_suppkey) AS merchant_id,
        CAST(l_shipdate AS DATE) AS transaction_date,
        l_shipdate AS transaction_timestamp,
        CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN 'refund' ELSE 'sale' END AS transaction_type,
@@ -100,7 +108,7 @@ SELECT 'TXN-' || l_orderkey || '-' || l_linenumber || '-' ||
 FROM lineitem""")
 cte("returns_adj", """
 SELECT 'ADJ-' || l_orderkey || '-' || l_partkey || '-' || l_suppkey AS adjustment_id,
-       'MER-' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS merchant_id,
+       'MER-' || printf('%06d', l_suppkey) AS merchant_id,
        CAST(l_shipdate AS DATE) AS adjustment_date,
        CAST(l_shipdate AS DATE) - CAST(1 + CAST(l_quantity AS BIGINT) % 21 AS INTEGER) AS original_batch_date,
        CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.05 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2)) AS amount,
@@ -193,86 +201,66 @@ cte("postings_r1", "SELECT * FROM postings WHERE posting_date < DATE '2001-07-01
 
 # ---------------------------------------------------------------- matcher
 def matcher_ctes(sfx: str = "", batches: str = "batches", postings: str = "postings") -> None:
-    """Register the matcher CTEs, names suffixed with ``sfx``, over the given inputs."""
-    n = {k: k + sfx for k in ['bw', 'cand', 'ranked', 'single_m', 'unmatched', 'split_cand', 'split_raw', 'split_rank', 'split_m', 'split_ids', 'open_b', 'best_eff', 'late_c', 'outcome', 'matches']}
-    n.update(batches=batches, postings=postings)
+    """The matching rules over the given inputs, by grouped minima; CTE names end in ``sfx``.
 
-    def c(key: str, body: str) -> None:
-        cte(n[key], re.sub(r"\b(" + "|".join(n) + r")\b", lambda m: n[m.group(1)], body))
-    c("bw", """
-    SELECT b.settlement_batch_id, b.merchant_id, b.batch_date, b.expected_payout_date, b.expected_settlement_amount,
-           d.business_day_seq AS payout_seq,
-           greatest(1.00, 0.001 * abs(b.expected_settlement_amount)) AS tol,
-           (SELECT max(w.date_day) FROM cal w WHERE w.business_day_seq = d.business_day_seq + 2) AS window_end_date
-    FROM batches b JOIN cal d ON d.date_day = b.expected_payout_date""")
-    c("cand", """
-    SELECT bw.*, p.posting_id, p.posting_date, p.amount AS posting_amount,
-           CAST(abs(p.amount - bw.expected_settlement_amount) AS DECIMAL(18,2)) AS amount_diff,
-           CAST(abs(p.posting_date - bw.expected_payout_date) AS INTEGER) AS date_diff
-    FROM bw JOIN postings p ON p.merchant_id = bw.merchant_id
-     AND p.posting_date BETWEEN bw.expected_payout_date AND bw.window_end_date""")
-    c("ranked", """
-    SELECT *,
-      row_number() OVER (PARTITION BY settlement_batch_id ORDER BY amount_diff, date_diff, posting_id) AS batch_rank,
-      row_number() OVER (PARTITION BY posting_id ORDER BY amount_diff, date_diff, settlement_batch_id) AS posting_rank
-    FROM cand WHERE amount_diff <= tol""")
-    c("single_m", """
-    SELECT settlement_batch_id, posting_id, posting_amount AS matched_amount FROM ranked
-    WHERE batch_rank = 1 AND posting_rank = 1""")
-    c("unmatched", "SELECT * FROM bw WHERE settlement_batch_id NOT IN (SELECT settlement_batch_id FROM single_m)")
-    c("split_cand", """
-    SELECT c.* FROM cand c
-    WHERE c.settlement_batch_id IN (SELECT settlement_batch_id FROM unmatched)
-      AND c.posting_id NOT IN (SELECT posting_id FROM single_m)""")
-    c("split_raw", """
-    SELECT settlement_batch_id, max(expected_settlement_amount) AS expected_settlement_amount, max(tol) AS tol,
-           CAST(sum(posting_amount) AS DECIMAL(18,2)) AS summed_amount, count(*) AS posting_count
-    FROM split_cand GROUP BY settlement_batch_id
-    HAVING count(*) > 1 AND abs(sum(posting_amount) - max(expected_settlement_amount)) <= max(tol)""")
-    c("split_rank", """
-    SELECT settlement_batch_id, posting_id,
-           row_number() OVER (PARTITION BY posting_id ORDER BY batch_date, settlement_batch_id) AS win_rank
-    FROM split_cand WHERE settlement_batch_id IN (SELECT settlement_batch_id FROM split_raw)""")
-    c("split_m", """
-    SELECT r.* FROM split_raw r
-    WHERE NOT EXISTS (SELECT 1 FROM split_rank w WHERE w.settlement_batch_id = r.settlement_batch_id AND w.win_rank > 1)""")
-    c("split_ids", """
-    SELECT settlement_batch_id, list_sort(list(posting_id)) AS ids FROM split_cand
-    WHERE settlement_batch_id IN (SELECT settlement_batch_id FROM split_m) GROUP BY 1""")
-    c("open_b", "SELECT * FROM unmatched WHERE settlement_batch_id NOT IN (SELECT settlement_batch_id FROM split_m)")
-    c("best_eff", """
-    SELECT * FROM (
-      SELECT c.settlement_batch_id, c.posting_id AS closest_posting_id, c.posting_amount AS closest_posting_amount,
-             c.amount_diff AS closest_amount_diff,
-             row_number() OVER (PARTITION BY c.settlement_batch_id ORDER BY c.amount_diff, c.posting_date, c.posting_id) AS rn
-      FROM cand c WHERE c.settlement_batch_id IN (SELECT settlement_batch_id FROM open_b)) z WHERE rn = 1""")
-    c("late_c", """
-    SELECT * FROM (
-      SELECT o.settlement_batch_id, p.posting_id AS late_posting_id, p.posting_date AS late_posting_date,
-             p.amount AS late_posting_amount,
-             row_number() OVER (PARTITION BY o.settlement_batch_id ORDER BY p.posting_date, p.posting_id) AS rn
-      FROM open_b o JOIN postings p ON p.merchant_id = o.merchant_id AND p.posting_date > o.window_end_date
-       AND abs(p.amount - o.expected_settlement_amount) <= o.tol) z WHERE rn = 1""")
-    c("outcome", """
-    SELECT settlement_batch_id, matched_amount, [posting_id] AS ids, 'single_match' AS match_method, true AS is_matched
-    FROM single_m
-    UNION ALL
-    SELECT s.settlement_batch_id, s.summed_amount, i.ids, 'split_match', true
-    FROM split_m s JOIN split_ids i USING (settlement_batch_id)
-    UNION ALL
-    SELECT o.settlement_batch_id, coalesce(l.late_posting_amount, b.closest_posting_amount),
-           CASE WHEN l.late_posting_id IS NOT NULL THEN [l.late_posting_id]
-                WHEN b.closest_posting_id IS NOT NULL THEN [b.closest_posting_id] ELSE []::VARCHAR[] END,
-           CASE WHEN l.late_posting_id IS NOT NULL THEN 'delayed'
-                WHEN b.closest_posting_id IS NOT NULL THEN 'unmatched_closest_candidate' ELSE 'missing_posting' END,
-           false
-    FROM open_b o LEFT JOIN late_c l USING (settlement_batch_id) LEFT JOIN best_eff b USING (settlement_batch_id)""")
-    c("matches", """
-    SELECT b.settlement_batch_id, b.merchant_id, b.batch_date, b.expected_payout_date, b.window_end_date,
-           b.expected_settlement_amount, CAST(o.matched_amount AS DECIMAL(18,2)) AS actual_cash_received,
-           coalesce(o.ids, []::VARCHAR[]) AS matched_posting_ids, o.match_method,
-           coalesce(o.is_matched, false) AS is_matched
-    FROM bw b LEFT JOIN outcome o USING (settlement_batch_id)""")
+    Every first choice is the smallest of an ordered struct, a match is a pair
+    that both sides chose, and the three outcomes meet in one row per batch.
+    """
+    # what a batch expects, how far off a posting may be, and its last day
+    cte(f"expected{sfx}", f"""
+SELECT b.*, greatest(1.00, 0.001 * abs(expected_settlement_amount)) AS allowed, last_day.window_end_date
+FROM (SELECT settlement_batch_id, merchant_id, batch_date, expected_payout_date, expected_settlement_amount FROM {batches}) b
+JOIN cal ON cal.date_day = b.expected_payout_date
+LEFT JOIN (SELECT business_day_seq - 2 AS seq, max(date_day) AS window_end_date FROM cal GROUP BY 1) last_day
+  ON last_day.seq = cal.business_day_seq""")
+    cte(f"in_window{sfx}", f"""
+SELECT settlement_batch_id, batch_date, expected_settlement_amount, allowed, posting_id, posting_date, amount AS posting_amount,
+       CAST(abs(amount - expected_settlement_amount) AS DECIMAL(18,2)) AS amount_diff,
+       CAST(abs(posting_date - expected_payout_date) AS INTEGER) AS date_diff
+FROM {postings} JOIN expected{sfx} USING (merchant_id)
+WHERE posting_date >= expected_payout_date AND posting_date <= window_end_date""")
+    # both sides name their nearest within tolerance
+    cte(f"agreed{sfx}", f"""
+SELECT settlement_batch_id, nearest.posting_id AS posting_id, nearest.amount AS matched_amount
+FROM (SELECT settlement_batch_id, min({{'a': amount_diff, 'd': date_diff, 'posting_id': posting_id, 'amount': posting_amount}}) AS nearest
+      FROM in_window{sfx} WHERE amount_diff <= allowed GROUP BY 1) of_batch
+JOIN (SELECT posting_id AS chosen, min({{'a': amount_diff, 'd': date_diff, 'batch': settlement_batch_id}}) AS nearest_batch
+      FROM in_window{sfx} WHERE amount_diff <= allowed GROUP BY 1) of_posting
+  ON chosen = nearest.posting_id AND nearest_batch.batch = settlement_batch_id""")
+    # what is left may add up; a posting belongs to the earliest batch whose sum fits, and a sum stands if it owns all its parts
+    cte(f"sums{sfx}", f"""
+SELECT settlement_batch_id, min(batch_date) AS batch_date, list(posting_id ORDER BY posting_id) AS ids,
+       CAST(sum(posting_amount) AS DECIMAL(18,2)) AS summed_amount, count(*) AS posting_count
+FROM in_window{sfx} ANTI JOIN agreed{sfx} USING (settlement_batch_id)
+WHERE posting_id NOT IN (SELECT posting_id FROM agreed{sfx})
+GROUP BY settlement_batch_id, expected_settlement_amount, allowed
+HAVING count(*) >= 2 AND abs(sum(posting_amount) - expected_settlement_amount) <= allowed""")
+    cte(f"whole_sums{sfx}", f"""
+SELECT settlement_batch_id, any_value(ids) AS ids, any_value(summed_amount) AS summed_amount, any_value(posting_count) AS posting_count
+FROM (SELECT *, unnest(ids) AS part FROM sums{sfx}) parts
+JOIN (SELECT part, min({{'day': batch_date, 'batch': settlement_batch_id}}) AS owner
+      FROM (SELECT settlement_batch_id, batch_date, unnest(ids) AS part FROM sums{sfx}) o GROUP BY part) owners USING (part)
+GROUP BY settlement_batch_id HAVING bool_and(owner.batch = settlement_batch_id)""")
+    cte(f"late{sfx}", f"""
+SELECT settlement_batch_id, soonest.posting_id AS late_posting_id, soonest.day AS late_posting_date, soonest.amount AS late_posting_amount
+FROM (SELECT settlement_batch_id, min({{'day': p.posting_date, 'posting_id': p.posting_id, 'amount': p.amount}}) AS soonest
+      FROM expected{sfx} e ANTI JOIN agreed{sfx} USING (settlement_batch_id) ANTI JOIN whole_sums{sfx} USING (settlement_batch_id)
+      JOIN {postings} p ON p.merchant_id = e.merchant_id AND p.posting_date > e.window_end_date
+       AND p.amount BETWEEN e.expected_settlement_amount - e.allowed AND e.expected_settlement_amount + e.allowed
+      GROUP BY settlement_batch_id) s""")
+    cte(f"closest{sfx}", f"""
+SELECT settlement_batch_id, min({{'a': amount_diff, 'day': posting_date, 'posting_id': posting_id, 'amount': posting_amount}}) AS near
+FROM in_window{sfx} GROUP BY 1""")
+    cte(f"matches{sfx}", f"""
+SELECT e.settlement_batch_id, e.merchant_id, e.batch_date, e.expected_payout_date, e.window_end_date, e.expected_settlement_amount,
+       CAST(coalesce(a.matched_amount, w.summed_amount, l.late_posting_amount, c.near.amount) AS DECIMAL(18,2)) AS actual_cash_received,
+       coalesce(w.ids, list_filter([coalesce(a.posting_id, l.late_posting_id, c.near.posting_id)], lambda x: x IS NOT NULL)) AS matched_posting_ids,
+       CASE WHEN a.posting_id IS NOT NULL THEN 'single_match' WHEN w.ids IS NOT NULL THEN 'split_match'
+            WHEN l.late_posting_id IS NOT NULL THEN 'delayed' WHEN c.near IS NOT NULL THEN 'unmatched_closest_candidate'
+            ELSE 'missing_posting' END AS match_method,
+       a.posting_id IS NOT NULL OR w.ids IS NOT NULL AS is_matched
+FROM expected{sfx} e LEFT JOIN agreed{sfx} a USING (settlement_batch_id) LEFT JOIN whole_sums{sfx} w USING (settlement_batch_id)
+LEFT JOIN late{sfx} l USING (settlement_batch_id) LEFT JOIN closest{sfx} c USING (settlement_batch_id)""")
 
 
 matcher_ctes()

@@ -116,27 +116,18 @@ SELECT settlement_batch_id, merchant_id, batch_date, expected_payout_date, windo
        AS matched_posting_ids, match_method, is_matched FROM matches""")(
     lambda p: p.matches.withColumn("matched_posting_ids", ids()))
 register("recon_candidates", """
-SELECT settlement_batch_id, posting_id, posting_date, posting_amount, amount_diff, date_diff FROM cand""")(
+SELECT settlement_batch_id, posting_id, posting_date, posting_amount, amount_diff, date_diff FROM in_window""")(
     lambda p: p.recon.candidates.select("settlement_batch_id", "posting_id", "posting_date", "posting_amount",
                                         "amount_diff", "date_diff"))
-register("recon_single_matches", "SELECT * FROM single_m")(lambda p: p.recon.single_matches)
+register("recon_single_matches", "SELECT * FROM agreed")(lambda p: p.recon.single_matches)
 register("recon_pass_one", """
-SELECT c.settlement_batch_id, s.posting_id AS single_posting_id, s.matched_amount AS single_amount,
-       sp.posting_date AS single_posting_date,
-       b.closest_posting_id, b.closest_posting_amount, b.closest_amount_diff
-FROM (SELECT DISTINCT settlement_batch_id FROM cand) c
-LEFT JOIN single_m s USING (settlement_batch_id)
-LEFT JOIN postings sp ON sp.posting_id = s.posting_id
-LEFT JOIN (SELECT * FROM (
-    SELECT settlement_batch_id, posting_id AS closest_posting_id, posting_amount AS closest_posting_amount,
-           amount_diff AS closest_amount_diff,
-           row_number() OVER (PARTITION BY settlement_batch_id ORDER BY amount_diff, posting_date, posting_id) AS rn
-    FROM cand) z WHERE rn = 1) b USING (settlement_batch_id)""")(lambda p: p.recon.pass_one)
+SELECT settlement_batch_id, a.posting_id AS single_posting_id, a.matched_amount AS single_amount, p.posting_date AS single_posting_date,
+       near.posting_id AS closest_posting_id, near.amount AS closest_posting_amount, near.a AS closest_amount_diff
+FROM closest LEFT JOIN agreed a USING (settlement_batch_id) LEFT JOIN postings p ON p.posting_id = a.posting_id""")(lambda p: p.recon.pass_one)
 
 
 @register("recon_split_matches", """
-SELECT s.settlement_batch_id, s.summed_amount, s.posting_count, array_to_string(i.ids, ',') AS matched_posting_ids
-FROM split_m s JOIN split_ids i USING (settlement_batch_id)""")
+SELECT settlement_batch_id, summed_amount, posting_count, array_to_string(ids, ',') AS matched_posting_ids FROM whole_sums""")
 def _split(p: Pipeline) -> DataFrame:
     lines = p.recon.split_lines.groupBy("settlement_batch_id").agg(
         F.collect_list("posting_id").alias("matched_posting_ids"))
@@ -145,12 +136,12 @@ def _split(p: Pipeline) -> DataFrame:
 
 
 register("recon_late_candidates", """
-SELECT settlement_batch_id, late_posting_id, late_posting_date, late_posting_amount FROM late_c""")(
+SELECT settlement_batch_id, late_posting_id, late_posting_date, late_posting_amount FROM late""")(
     lambda p: p.recon.late_candidates)
 register("recon_break_methods", """
-SELECT settlement_batch_id, CAST(matched_amount AS DECIMAL(18,2)) AS matched_amount,
-       array_to_string(ids, ',') AS matched_posting_ids, match_method
-FROM outcome WHERE NOT is_matched""")(
+SELECT settlement_batch_id, actual_cash_received AS matched_amount,
+       array_to_string(matched_posting_ids, ',') AS matched_posting_ids, match_method
+FROM matches WHERE NOT is_matched""")(
     lambda p: p.recon.breaks.select("settlement_batch_id", F.col("matched_amount").cast("decimal(18,2)"),
                                     ids(), "match_method"))
 

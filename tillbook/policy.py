@@ -6,7 +6,7 @@ change cannot reach one layer and miss the other.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,15 +56,12 @@ class Policy:
         """Read a (5-row) assumptions seed back into a Policy."""
         base = base or Policy()
         kv = {r["assumption_key"]: r["assumption_value"] for r in df.collect()}
-        return Policy(
+        return replace(
+            base,
             tolerance_floor_usd=kv.get("reconciliation_amount_tolerance_floor_usd", base.tolerance_floor_usd),
             tolerance_pct=kv.get("reconciliation_amount_tolerance_pct", base.tolerance_pct),
             window_business_days=int(kv.get("reconciliation_date_window_business_days", base.window_business_days)),
             cash_at_risk_threshold_days=int(kv.get("cash_at_risk_aging_threshold_business_days",
                                                    base.cash_at_risk_threshold_days)),
             cost_of_funds_rate=kv.get("assumed_cost_of_funds_annual_rate", base.cost_of_funds_rate),
-            heartbeat_threshold_hours=base.heartbeat_threshold_hours,
-            interchange_fee_bps=base.interchange_fee_bps,
-            network_fee_bps=base.network_fee_bps,
-            reserve_hold_days=base.reserve_hold_days,
         )

@@ -45,6 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local[") and master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tillbook-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)

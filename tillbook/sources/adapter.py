@@ -64,7 +64,7 @@ def calendar(spark: SparkSession) -> DataFrame:
 
 
 def merchant_id(k: Column) -> Column:
-    return F.concat(F.lit("MER-"), F.lpad(k.cast("string"), 6, "0"))
+    return F.format_string("MER-%06d", k.cast("long"))
 
 
 def merchant_key(mid: Column) -> Column:

@@ -201,7 +201,7 @@ def segment_weights(cbp: DataFrame) -> DataFrame:
     regions = reg.select(F.lit("region").alias("dimension"), "segment", F.round(F.col("n") / reg_total, 4).alias("weight"))
 
     raw = ["1-4", "5-9", "10-19", "20-49", "50-99", "100-249", "250-499", "500-999", "1000+"]
-    sums = cbp.agg(*[F.sum(F.col(f"`{c}`")).alias(c) for c in raw])  # nulls (suppressed) skipped
+    sums = cbp.agg(*[F.coalesce(F.sum(F.col(f"`{c}`")), F.lit(0)).alias(c) for c in raw])  # nulls (suppressed) skipped
     merged = sums.select(*[F.col(f"`{c}`") for c in raw[:-2]],
                          (F.col("`500-999`") + F.col("`1000+`")).alias("500+"))
     classes = raw[:-2] + ["500+"]
