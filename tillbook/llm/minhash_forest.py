@@ -13,9 +13,10 @@ margin given, and what remains is confirmed on the full shingle sets.  For regio
 also tests every pair that shares all ``DEPTH`` values of a tree and is not
 yet connected, so that no cap on partners decides alone.
 
-Equal sets are one class from the start, copies never meet as pairs.  Links
-found early contract the rest: a pair whose ends are connected already needs
-no test, because the result is the component.
+Equal sets are one class from the start, copies never meet as pairs.  Each
+set first tries the likeliest of its direct neighbours; the full window then
+pairs only sets that are not connected yet, because the result is the
+component.
 
 Defined results: null or wordless texts have an empty set and link with
 nothing; texts below five words have one shingle; a null id never links and
@@ -107,16 +108,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = signed.join(nodes, ["doc_id", *key], "left_semi").dropDuplicates(["doc_id"])
     reps = materialize(reps.select(F.col("doc_id").alias("rep"), "n_shingles", "sig"), "reps")
     branches = materialize(_branches(reps), "branches")
-    tested = materialize(_agreeing(_neighbours(branches, percent), reps, percent), "pairs")
-    sets = materialize(_full_sets(texts, _ends(tested)), "sets")
+    # the likeliest partner of each set first; what they connect is not paired again
     best = W.partitionBy("b").orderBy(F.desc("trees"), "a")
-    first = materialize(tested.withColumn("r", F.row_number().over(best)).where("r = 1").select("a", "b"), "first")
-    links = materialize(confirm(first, sets, percent), "links")
+    first = _neighbours(branches, percent, 1).withColumn("r", F.row_number().over(best)).where("r = 1")
+    links = materialize(_confirmed(first.select("a", "b"), reps, signed, texts, percent), "links")
     labels = connected_components(links)
-    rest = apart(tested.select("a", "b").join(first, ["a", "b"], "left_anti"), labels)
-    links = materialize(links.unionByName(confirm(rest, sets, percent)), "links")
+    rooted = branches.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    rest = _neighbours(rooted, percent, NEAR).select("a", "b")
+    links = materialize(links.unionByName(_confirmed(rest, reps, signed, texts, percent)), "links")
     labels = connected_components(links)
-    dense = materialize(_dense_links(branches, labels, reps, texts, percent), "dense")
+    dense = materialize(_dense_links(branches, labels, reps, signed, texts, percent), "dense")
     if not dense.isEmpty():
         labels = connected_components(links.unionByName(dense))
     named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -131,11 +132,20 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
 
-def _full_sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """``(doc_id, shingles, small)`` of the given documents."""
-    sets = texts.join(ids, "doc_id", "left_semi").mapInArrow(set_batches, _SETS)
+def _full_sets(texts: DataFrame, signed: DataFrame, ids: DataFrame) -> DataFrame:
+    """``(doc_id, shingles, small)`` of the given documents; only ids that stand in several rows are grouped."""
+    rows = signed.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    rows = materialize(rows, "set_ids")
+    once, again = (texts.join(rows.where(c), "doc_id", "left_semi").mapInArrow(set_batches, _SETS) for c in ("rows = 1", "rows > 1"))
     size = F.struct(F.size("shingles"), "set_a")
-    return sets.groupBy("doc_id").agg(F.min_by(F.struct("shingles", "small"), size).alias("s")).select("doc_id", "s.*")
+    least = again.groupBy("doc_id").agg(F.min_by(F.struct("shingles", "small"), size).alias("s")).select("doc_id", "s.*")
+    return once.select("doc_id", "shingles", "small").unionByName(least)
+
+
+def _confirmed(pairs: DataFrame, reps: DataFrame, signed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The links among the pairs: by signatures, then by sets."""
+    tested = materialize(_agreeing(pairs, reps, percent), "pairs")
+    return confirm(tested, materialize(_full_sets(texts, signed, _ends(tested)), "sets"), percent)
 
 
 def _branches(reps: DataFrame) -> DataFrame:
@@ -150,10 +160,16 @@ def _close_sizes(a: str, b: str, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _neighbours(branches: DataFrame, percent: int) -> DataFrame:
-    """``(a, b, trees)``, a < b: pairs of following sets in the sorted orders, of sizes that allow a link."""
-    order = W.partitionBy("tree", "p").orderBy("q", "rep").rowsBetween(1, NEAR)
-    ahead = branches.select("rep", "n_shingles", F.collect_list(F.struct("rep", "n_shingles")).over(order).alias("ahead"))
+def _neighbours(branches: DataFrame, percent: int, window: int) -> DataFrame:
+    """``(a, b, trees)``, a < b: pairs of following sets in the sorted orders, of sizes that allow a link.
+
+    With a column ``root``, pairs inside a component are left out.
+    """
+    facts = [c for c in ("rep", "n_shingles", "root") if c in branches.columns]
+    order = W.partitionBy("tree", "p").orderBy("q", "rep").rowsBetween(1, window)
+    ahead = branches.select(*facts, F.collect_list(F.struct(*facts)).over(order).alias("ahead"))
+    if "root" in facts:
+        ahead = ahead.withColumn("ahead", F.filter("ahead", lambda o: o.root != F.col("root")))
     pairs = ahead.select("rep", "n_shingles", F.explode("ahead").alias("o")).where(
         (F.col("rep") != F.col("o.rep")) & _close_sizes("n_shingles", "o.n_shingles", percent))
     return pairs.groupBy(F.least("rep", "o.rep").alias("a"), F.greatest("rep", "o.rep").alias("b")).agg(
@@ -181,7 +197,8 @@ def _agreeing(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return both.where(_agreement("sa", "sb") >= _least_agreement(percent)).drop("sa", "sb")
 
 
-def _dense_links(branches: DataFrame, labels: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _dense_links(branches: DataFrame, labels: DataFrame, reps: DataFrame, signed: DataFrame, texts: DataFrame,
+                 percent: int) -> DataFrame:
     """Links between unconnected sets that share a whole order in a region denser than the window.
 
     One end of such a pair stands outside the group's largest component, so
@@ -194,7 +211,7 @@ def _dense_links(branches: DataFrame, labels: DataFrame, reps: DataFrame, texts:
     parts = crowded.groupBy(*key, "root").agg(F.count(F.lit(1)).alias("n"))
     main = parts.groupBy(*key).agg(F.max(F.struct("n", F.col("root"))).alias("m"), F.count(F.lit(1)).alias("parts"))
     mixed = materialize(crowded.join(main.where("parts > 1").select(*key, F.col("m.root").alias("main")), key), "mixed")
-    sets = materialize(_full_sets(texts, mixed.select(F.col("rep").alias("doc_id")).distinct()), "sets")
+    sets = materialize(_full_sets(texts, signed, mixed.select(F.col("rep").alias("doc_id")).distinct()), "sets")
     rows = mixed.join(reps.select("rep", "sig"), "rep").join(sets.select(F.col("doc_id").alias("rep"), "small"), "rep")
     right = rows.drop("main").withColumnsRenamed({c: f"{c}2" for c in rows.columns})
     likely = rows.where("root <> main").join(
@@ -205,14 +222,6 @@ def _dense_links(branches: DataFrame, labels: DataFrame, reps: DataFrame, texts:
     return _similar(pairs, sets, "shingles", percent)
 
 
-def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are not in one component yet."""
-    la = labels.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-    lb = labels.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    return (pairs.join(la, "a", "left").join(lb, "b", "left")
-            .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
-
-
 def _alike(a: str, b: str, percent: int) -> Column:
     common = F.size(F.array_intersect(a, b))
     return common * 100 >= (F.size(a) + F.size(b) - common) * percent
