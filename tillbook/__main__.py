@@ -32,10 +32,14 @@ def main(argv: list[str] | None = None) -> None:
         spark = SparkSession.builder.getOrCreate()
         ensure_checkpoint_dir(spark)
     if args.command == "build":
-        from tillbook.plans.build import daily_build
-        res = daily_build(spark, args.input, args.out, args.telemetry or f"{args.out}/ops/run_telemetry",
-                          now=now, from_bronze=args.from_bronze)
-        print(json.dumps({"nodes": len(res), "failed": [r["node_name"] for r in res if r["status"] in ("error", "fail")]}))
+        from tillbook.plans.build import BuildFailed, daily_build
+        try:
+            res = daily_build(spark, args.input, args.out, args.telemetry or f"{args.out}/ops/run_telemetry",
+                              now=now, from_bronze=args.from_bronze)
+        except BuildFailed as exc:
+            print(json.dumps({"nodes": len(exc.results), "failed": exc.failed}))
+            raise SystemExit(1) from exc
+        print(json.dumps({"nodes": len(res), "failed": []}))
     elif args.command == "macro":
         import uuid
 
@@ -48,7 +52,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         from tillbook.plans.build import land_bronze
         from tillbook.plans.pipeline import Pipeline
-        rows = land_bronze(Pipeline(spark, args.input), f"{args.out}/bronze")
+        rows = land_bronze(Pipeline(spark, args.input), f"{args.out}/bronze", now=now)
         print(json.dumps({r.table: r.row_count for r in rows}))
 
 

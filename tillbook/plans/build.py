@@ -2,7 +2,8 @@
 
 Each model is written (full overwrite) to ``<out>/<layer>/<model>``; the
 exception queue is incremental (a new version per run, merged with the
-current one); the checks run after the models; one telemetry row per node
+current one), and so is the merchant snapshot of a build from Bronze; the
+queue's mask and the run summary read the merged queue; the checks run after the models; one telemetry row per node
 (model or check) is appended at the end of the run, stamped with the
 end-of-run time, which is why run health lags one run behind.
 """
@@ -15,11 +16,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.operators import ops
+from tillbook.operators import history, masking, ops
 from tillbook.operators import queue as queue_ops
 from tillbook.operators import quality as Q
 from tillbook.operators.silver import (fct_bank_movement, fct_reserve_event, fct_returns_adjustment,
-                                       fct_settlement_batch, fct_transaction)
+                                       dim_payment_channel, fct_settlement_batch, fct_transaction)
 from tillbook.plans import checks
 from tillbook.plans.pipeline import Pipeline
 from tillbook.plans.queries import QUERIES
@@ -33,6 +34,7 @@ def models(p: Pipeline) -> list[tuple[str, str, callable]]:
         ("silver", "dim_date", lambda: p.calendar),
         ("silver", "dim_merchant", lambda: p.dim_merchant),
         ("silver", "dim_merchant_history", lambda: p.merchant_history),
+        ("silver", "dim_payment_channel", lambda: dim_payment_channel(p.transactions)),
         ("silver", "fct_transaction", lambda: fct_transaction(p.bronze("transactions"))),
         ("silver", "fct_settlement_batch", lambda: fct_settlement_batch(p.bronze("settlement_batches"))),
         ("silver", "fct_bank_movement", lambda: fct_bank_movement(p.bronze("bank_movements"))),
@@ -47,7 +49,6 @@ def models(p: Pipeline) -> list[tuple[str, str, callable]]:
         ("gold", "fct_merchant_settlement_sla", q("merchant_settlement_sla")),
         ("gold", "fct_payment_mix_context", q("payment_mix_context")),
         ("gold", "fct_duplicate_posting_exceptions", q("duplicate_posting_exceptions")),
-        ("ops", "run_summary", q("run_summary")),
         ("ops", "run_heartbeat", q("run_heartbeat")),
     ]
 
@@ -56,6 +57,15 @@ class StaleSourceError(RuntimeError):
     pass
 
 
+class BuildFailed(RuntimeError):
+    """A model failed or an error-severity check found rows; ``results`` holds every node."""
+
+    def __init__(self, results: list[dict]):
+        self.results = results
+        self.failed = [r["node_name"] for r in results if r["status"] in ("error", "fail")]
+        super().__init__(f"failed nodes: {self.failed}")
+
+
 def freshness_gate(p: Pipeline) -> list:
     """Before the build: any operational source past its error threshold stops the run."""
     names = ["merchants", "transactions", "settlement_batches", "bank_movements", "reserve_events",
@@ -72,16 +82,25 @@ def daily_build(spark: SparkSession, sf_dir: str, out_dir: str, telemetry_path:
     """Run every model and check once; return (and log) the node results.
 
     ``from_bronze``: ``sf_dir`` holds landed Bronze tables (``BronzePipeline``)
-    instead of the test tables behind the adapter.
+    instead of the test tables behind the adapter, which are stamped as landed
+    now.  ``now`` (default: the current time) is the run's clock, its day the
+    report day.  Raises ``BuildFailed`` after the run is logged.
     """
     from tillbook.plans.pipeline import BronzePipeline
 
+    now = now or datetime.now().replace(microsecond=0)
     invocation_id = invocation_id or str(uuid.uuid4())
     cls = BronzePipeline if from_bronze else Pipeline
-    p = cls(spark, sf_dir, run_id=invocation_id, telemetry_path=telemetry_path, **({"now": now} if now else {}))
+    p = cls(spark, sf_dir, run_id=invocation_id, telemetry_path=telemetry_path, now=now, as_of=now.date(),
+            ingested_at=now)
     freshness_gate(p)
     results = []
-    for layer, name, build in models(p):
+    if from_bronze:
+        snap = layer_table(out_dir, "silver", "dim_merchant_snapshot")
+        queue_ops.write_next(history.snapshot(queue_ops.read_current(spark, snap), p.merchants, now), snap)
+        p.merchant_snapshot = queue_ops.read_current(spark, snap)
+
+    def build_model(layer, name, build):
         t0 = time.perf_counter()
         try:
             path = layer_table(out_dir, layer, name)
@@ -95,6 +114,9 @@ def daily_build(spark: SparkSession, sf_dir: str, out_dir: str, telemetry_path:
                         "execution_time_seconds": time.perf_counter() - t0, "rows_affected": rows,
                         "message": message})
 
+    for node in models(p):
+        build_model(*node)
+
     t0 = time.perf_counter()
     base = layer_table(out_dir, "gold", "fct_exception_queue")
     version = queue_ops.run_queue(spark, base, p.breaks, p.merchants, p.policy)
@@ -102,6 +124,10 @@ def daily_build(spark: SparkSession, sf_dir: str, out_dir: str, telemetry_path:
                     "execution_time_seconds": time.perf_counter() - t0,
                     "rows_affected": queue_ops.read_current(spark, base).count(), "message": f"version {version}"})
 
+    queue = queue_ops.read_current(spark, base)
+    build_model("gold", "vw_exception_queue_masked", lambda: masking.exception_queue_masked(queue))
+    build_model("ops", "run_summary", lambda: ops.run_summary(p.daily_cash_position, queue, p.telemetry, p.policy))
+
     # the dead-man's switch runs on its own clock (heartbeat_check), not inside the build it watches
     build_checks = [c for c in checks.pipeline_checks(p) if "heartbeat" not in c.tags]
     for row in Q.report(build_checks).collect():
@@ -109,25 +135,29 @@ def daily_build(spark: SparkSession, sf_dir: str, out_dir: str, telemetry_path:
                         "status": row.status, "execution_time_seconds": 0.0, "rows_affected": row.failures,
                         "message": ""})
     ops.append_run_telemetry(spark, telemetry_path, invocation_id, datetime.now().replace(microsecond=0), results)
+    if any(r["status"] in ("error", "fail") for r in results):
+        raise BuildFailed(results)
     return results
 
 
-def land_bronze(p: Pipeline, landing_dir: str, run_id: str | None = None, raise_on_violation: bool = True) -> list:
+def land_bronze(p: Pipeline, landing_dir: str, run_id: str | None = None, now: datetime | None = None,
+                raise_on_violation: bool = True) -> list:
     """Operational landing: contract check -> lineage stamp -> landed Parquet + manifest.
 
     Ground truth is landed beside the Bronze tables but never stamped into
-    them (it only feeds the accuracy report). Returns the manifest rows.
+    them (it only feeds the accuracy report). A landing has its own run id and
+    is stamped with ``now`` (default: the current time). Returns the manifest rows.
     """
     from tillbook.sources.landing import add_lineage, write_with_manifest
-    from tillbook.plans.pipeline import INGESTED_AT, SOURCE_SYSTEM
+    from tillbook.plans.pipeline import SOURCE_SYSTEM
 
-    run_id = run_id or p.run_id
+    run_id, now = run_id or str(uuid.uuid4()), now or datetime.now().replace(microsecond=0)
     frames = {"merchants": p.merchants, "transactions": p.transactions, "settlement_batches": p.batches,
               "reserve_events": p.reserve_events, "returns_adjustments": p.returns,
               "bank_movements": p.bank_movements}
     for name, df in frames.items():
         Q.validate_bronze(df, name, raise_on_violation=raise_on_violation)
-    landed = {name: add_lineage(df, SOURCE_SYSTEM, run_id, INGESTED_AT) for name, df in frames.items()}
+    landed = {name: add_lineage(df, SOURCE_SYSTEM, run_id, now) for name, df in frames.items()}
     landed["ground_truth_breaks"] = p.ground_truth
     return write_with_manifest(landed, landing_dir).collect()
 

@@ -35,10 +35,11 @@ SOURCE_SYSTEM = "ops_adapter"
 
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, policy: Policy = Policy(), checkpoint: bool = True,
-                 run_id: str = RUN_ID, as_of: date = AS_OF, now: datetime = NOW, telemetry_path: str | None = None):
+                 run_id: str = RUN_ID, as_of: date = AS_OF, now: datetime = NOW, telemetry_path: str | None = None,
+                 ingested_at: datetime = INGESTED_AT):
         self.spark, self.sf_dir, self.policy = spark, sf_dir, policy
         self.checkpoint, self.run_id, self.as_of, self.now = checkpoint, run_id, as_of, now
-        self.telemetry_path = telemetry_path
+        self.telemetry_path, self.ingested_at = telemetry_path, ingested_at
 
     def _keep(self, df: DataFrame, name: str = "stage") -> DataFrame:
         return materialize(df, name) if self.checkpoint else df
@@ -119,7 +120,7 @@ class Pipeline:
         frames = {"merchants": self.merchants, "transactions": self.transactions,
                   "settlement_batches": self.batches, "bank_movements": self.bank_movements,
                   "reserve_events": self.reserve_events, "returns_adjustments": self.returns}
-        return add_lineage(frames[name], SOURCE_SYSTEM, self.run_id, INGESTED_AT)
+        return add_lineage(frames[name], SOURCE_SYSTEM, self.run_id, self.ingested_at)
 
     @cached_property
     def dim_merchant(self) -> DataFrame:
@@ -229,8 +230,8 @@ class BronzePipeline(Pipeline):
     """The same build over landed Bronze tables (``<bronze_dir>/<table>``), as production runs it.
 
     Inputs: merchants, transactions, settlement_batches, bank_movements,
-    reserve_events, returns_adjustments (lineage columns are ignored), and
-    optionally frps_payment_volumes. The calendar spans the batches' dates
+    reserve_events, returns_adjustments, each with the lineage its landing
+    stamped (``bronze`` keeps it, the models leave it out), and optionally frps_payment_volumes. The calendar spans the batches' dates
     with a buffer (its size is checked by ``dim_date``); merchant history
     starts with the current merchant table unless a snapshot table is given.
     """
@@ -245,6 +246,9 @@ class BronzePipeline(Pipeline):
         df = self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}")
         return df.drop(*[c for c in LINEAGE_COLUMNS if c in df.columns])
 
+    def bronze(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}")
+
     @cached_property
     def calendar(self) -> DataFrame:
         from datetime import timedelta
