@@ -191,7 +191,7 @@ def _agreement(a: str, b: str) -> Column:
 def _agreeing(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """The pairs whose signatures allow a link."""
     pairs = materialize(pairs, "near")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    ids = pairs.select(F.col("a").alias("rep")).distinct().union(pairs.select("b").distinct()).distinct()
     sigs = materialize(reps.join(ids, "rep", "left_semi").select("rep", "sig"), "sigs")
     both = (pairs.join(sigs.withColumnsRenamed({"rep": "a", "sig": "sa"}), "a").join(sigs.withColumnsRenamed({"rep": "b", "sig": "sb"}), "b"))
     return both.where(_agreement("sa", "sb") >= _least_agreement(percent)).drop("sa", "sb")
