@@ -5,10 +5,10 @@ Each distinct shingle set gets ``TREES`` orders of ``DEPTH`` MinHash values
 region that shares the first ``BASE`` values, and each set is paired with the
 ``NEAR`` sets that follow it: a region of up to ``NEAR`` + 1 sets is paired
 completely, in a denser one the partners are those of longest common prefix,
-so the depth adapts to the region.  Candidates are left out if far fewer of
-their values agree than the similarity asks for (fewer than one link in a
-million each time): first by one bit of each value, which every row of an order
-carries, before pairs are shuffled, then by the whole signatures.  The others are compared by sets of
+so the depth adapts to the region.  The rows of regions with company carry
+their signatures, and pairs that agree in far fewer values than the similarity
+asks for (fewer than one link in a million) are left out on the spot, before
+any pair is shuffled.  The others are compared by sets of
 16-bit hashes, which can only look more alike than the true ones but for the
 margin given, and what remains is confirmed on the full shingle sets.  For regions that are too dense for the window, a last round
 also tests every pair that shares all ``DEPTH`` values of a tree and is not
@@ -47,13 +47,13 @@ _RNG = np.random.default_rng(97)
 _SCALE = _RNG.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = _RNG.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
 
-_SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bits_a long, bits_b long, sig array<long>"
+_SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, sig array<long>"
 MARGIN = 2          # percent by which the 16-bit sets may fall short, by hash collisions inside a set
 _SETS = "doc_id long, set_a long, shingles array<long>, small array<short>"
 
 
 def signature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> set size, two set digests, a bit of each value, forest orders."""
+    """(doc_id, text) -> set size, two set digests, forest orders."""
     for batch in batches:
         for block in blocks(batch.column(1)):
             rows = len(block.offsets) - 1
@@ -61,23 +61,19 @@ def signature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             size = np.bincount(row, minlength=rows)
             digests = np.zeros((2, rows), dtype=np.uint64)
             orders = np.zeros((rows, 2 * TREES), dtype=np.uint64)
-            bits = np.zeros((2, rows), dtype=np.uint64)
             if len(present):
                 at = np.searchsorted(row, present)
                 for k in range(2):
                     digests[k, present] = np.add.reduceat(mix(value + np.uint64(k + 1)), at, dtype=np.uint64)
                 for j in range(TREES * DEPTH):
                     least = np.minimum.reduceat(value * _SCALE[j] + _SHIFT[j], at)
-                    short = mix(least) >> np.uint64(48)
-                    orders[present, j // BASE] = (orders[present, j // BASE] << np.uint64(16)) | short
-                    bits[j % 2, present] = (bits[j % 2, present] << np.uint64(1)) | (short & np.uint64(1))
+                    orders[present, j // BASE] = (orders[present, j // BASE] << np.uint64(16)) | (mix(least) >> np.uint64(48))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * 2 * TREES),
                                              pa.array(orders.view(np.int64).ravel()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(block.first, rows), pa.array(size.astype(np.int64)),
-                 pa.array(digests[0].view(np.int64)), pa.array(digests[1].view(np.int64)),
-                 pa.array(bits[0].view(np.int64)), pa.array(bits[1].view(np.int64)), lists],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bits_a", "bits_b", "sig"])
+                 pa.array(digests[0].view(np.int64)), pa.array(digests[1].view(np.int64)), lists],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "sig"])
 
 
 def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,16 +108,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # an id in several rows of different texts stands for its smallest set
     nodes = classes.groupBy(F.col("rep").alias("doc_id")).agg(F.min(F.struct("n_shingles", "set_a", "set_b")).alias("s")).select("doc_id", "s.*")
     reps = signed.join(nodes, ["doc_id", *key], "left_semi").dropDuplicates(["doc_id"])
-    reps = materialize(reps.select(F.col("doc_id").alias("rep"), "n_shingles", "bits_a", "bits_b", "sig"), "reps")
+    reps = materialize(reps.select(F.col("doc_id").alias("rep"), "n_shingles", "sig"), "reps")
     branches = materialize(_branches(reps), "branches")
     # the likeliest partner of each set first; what they connect is not paired again
     best = W.partitionBy("b").orderBy(F.desc("trees"), "a")
-    first = _neighbours(branches, percent, 1).withColumn("r", F.row_number().over(best)).where("r = 1")
-    links = materialize(_confirmed(first.select("a", "b"), reps, signed, texts, percent), "links")
+    first = _neighbours(branches, reps, percent, 1).withColumn("r", F.row_number().over(best)).where("r = 1")
+    links = materialize(_confirmed(first.select("a", "b"), signed, texts, percent), "links")
     labels = connected_components(links)
     rooted = branches.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    rest = _neighbours(rooted, percent, NEAR).select("a", "b")
-    links = materialize(links.unionByName(_confirmed(rest, reps, signed, texts, percent)), "links")
+    rest = _neighbours(rooted, reps, percent, NEAR).select("a", "b")
+    links = materialize(links.unionByName(_confirmed(rest, signed, texts, percent)), "links")
     labels = connected_components(links)
     dense = materialize(_dense_links(branches, labels, reps, signed, texts, percent), "dense")
     if not dense.isEmpty():
@@ -148,9 +144,9 @@ def _full_sets(texts: DataFrame, signed: DataFrame, ids: DataFrame) -> DataFrame
     return once.select("doc_id", "shingles", "small").unionByName(least)
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, signed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The links among the pairs: by signatures, then by sets."""
-    tested = materialize(_agreeing(pairs, reps, percent), "pairs")
+def _confirmed(pairs: DataFrame, signed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The links among the pairs, by their sets."""
+    tested = materialize(pairs, "pairs")
     return confirm(tested, materialize(_full_sets(texts, signed, _ends(tested)), "sets"), percent)
 
 
@@ -158,8 +154,7 @@ def _branches(reps: DataFrame) -> DataFrame:
     """One row per class and tree: region key ``p``, the rest of the order ``q``."""
     trees = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(
         t.alias("tree"), F.get("sig", 2 * t).alias("p"), F.get("sig", 2 * t + 1).alias("q")))
-    facts = ["rep", "n_shingles", "bits_a", "bits_b"]
-    rows = reps.select(*facts, F.explode(trees).alias("t")).select("t.*", *facts)
+    rows = reps.select("rep", "n_shingles", F.explode(trees).alias("t")).select("t.*", "rep", "n_shingles")
     return rows.withColumn("crowd", F.count(F.lit(1)).over(W.partitionBy("tree", "p"))).where("crowd > 1")
 
 
@@ -167,30 +162,27 @@ def _close_sizes(a: str, b: str, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _neighbours(branches: DataFrame, percent: int, window: int) -> DataFrame:
-    """``(a, b, trees)``, a < b: pairs of following sets in the sorted orders, of sizes that allow a link.
+def _neighbours(branches: DataFrame, reps: DataFrame, percent: int, window: int) -> DataFrame:
+    """``(a, b, trees)``, a < b: pairs of following sets in the sorted orders, of sizes and signatures that allow a link.
 
     With a column ``root``, pairs inside a component are left out.
     """
-    facts = [c for c in ("rep", "n_shingles", "bits_a", "bits_b", "root") if c in branches.columns]
+    branches = branches.join(reps.select("rep", "sig"), "rep")
+    facts = [c for c in ("rep", "n_shingles", "sig", "root") if c in branches.columns]
     order = W.partitionBy("tree", "p").orderBy("q", "rep").rowsBetween(1, window)
     ahead = branches.select(*facts, F.collect_list(F.struct(*facts)).over(order).alias("ahead"))
     if "root" in facts:
         ahead = ahead.withColumn("ahead", F.filter("ahead", lambda o: o.root != F.col("root")))
-    unlike = lambda o: F.bit_count(F.col("bits_a").bitwiseXOR(o.bits_a)) + F.bit_count(F.col("bits_b").bitwiseXOR(o.bits_b))
-    most = _most_unequal(percent, 2)
-    pairs = ahead.withColumn("ahead", F.filter("ahead", lambda o: unlike(o) <= most)).select("rep", "n_shingles", F.explode("ahead").alias("o")).where(
-        (F.col("rep") != F.col("o.rep")) & _close_sizes("n_shingles", "o.n_shingles", percent))
+    pairs = ahead.select("rep", "n_shingles", "sig", F.explode("ahead").alias("o")).where(
+        (F.col("rep") != F.col("o.rep")) & _close_sizes("n_shingles", "o.n_shingles", percent)
+        & (_agreement("sig", "o.sig") >= TREES * DEPTH - _most_unequal(percent)))
     return pairs.groupBy(F.least("rep", "o.rep").alias("a"), F.greatest("rep", "o.rep").alias("b")).agg(
         F.count(F.lit(1)).alias("trees"))
 
 
-def _most_unequal(percent: int, ways: int = 1) -> int:
-    """How many of the values of two linked sets differ, but for one link in a million.
-
-    ``ways``: 1 for whole values, 2 for one bit of each, which half of the unequal values share.
-    """
-    n, p = TREES * DEPTH, (1 - percent / 100) / ways
+def _most_unequal(percent: int) -> int:
+    """How many of the values of two linked sets differ, but for one link in a million."""
+    n, p = TREES * DEPTH, 1 - percent / 100
     beyond = 0.0
     for most in range(n, 0, -1):
         beyond += math.comb(n, most) * p ** most * (1 - p) ** (n - most)
@@ -205,15 +197,6 @@ def _agreement(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y)), F.lit(0), lambda n, x: n + lanes(x))
 
 
-def _agreeing(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose signatures allow a link."""
-    pairs = materialize(pairs, "near")
-    ids = pairs.select(F.col("a").alias("rep")).distinct().union(pairs.select("b").distinct()).distinct()
-    sigs = materialize(reps.join(ids, "rep", "left_semi").select("rep", "sig"), "sigs")
-    both = (pairs.join(sigs.withColumnsRenamed({"rep": "a", "sig": "sa"}), "a").join(sigs.withColumnsRenamed({"rep": "b", "sig": "sb"}), "b"))
-    return both.where(_agreement("sa", "sb") >= TREES * DEPTH - _most_unequal(percent)).drop("sa", "sb")
-
-
 def _dense_links(branches: DataFrame, labels: DataFrame, reps: DataFrame, signed: DataFrame, texts: DataFrame,
                  percent: int) -> DataFrame:
     """Links between unconnected sets that share a whole order in a region denser than the window.
