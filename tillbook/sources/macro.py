@@ -149,27 +149,24 @@ def frps_cell_schema() -> T.StructType:
     return T.StructType(fields)
 
 
-def frps_long(cells: DataFrame, max_depth: int = 6) -> DataFrame:
+def frps_long(cells: DataFrame) -> DataFrame:
     """Breadcrumb path per row, then one row per (row, collection year).
 
-    The path at level k is the last level-k label since the last row of a
-    shallower level; a row with no data (section header, note) is dropped
-    first. The running "reset" counters order one sheet (tens of rows), so
-    the unpartitioned windows here only ever see that one small table.
+    The path holds the last label of each shallower level that no row of a
+    level between has closed, and the row's own label; there is no limit of
+    depth. A row with no data (section header, note) is dropped first. The
+    running list orders one sheet (tens of rows), so the unpartitioned window
+    only ever sees that one small table.
     """
     measures = [c for c in cells.columns if c.split("_")[0] in ("count", "value", "avg")]
     df = cells.where(F.col("label").isNotNull() & reduce(lambda a, b: a | b, [F.col(m).isNotNull() for m in measures]))
     df = df.withColumn("label", F.trim("label"))
     order = Window.orderBy("row_number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    parts = []
-    for k in range(max_depth):
-        seg = f"_seg{k}"
-        df = df.withColumn(seg, F.sum((F.col("level") < k).cast("int")).over(order))
-        in_seg = Window.partitionBy(seg).orderBy("row_number").rowsBetween(Window.unboundedPreceding,
-                                                                             Window.currentRow)
-        anc = F.last(F.when(F.col("level") == k, F.col("label")), ignorenulls=True).over(in_seg)
-        parts.append(F.when(F.col("level") >= k, anc))
-    df = df.withColumn("category_path", F.concat_ws(" > ", *parts))
+    so_far = F.collect_list(F.when(F.col("level").isNotNull(), F.struct("level", "label"))).over(order)
+    empty = F.array().cast("array<struct<level:int,label:string>>")
+    path = F.aggregate("so_far", empty, lambda path, row: F.concat(F.filter(path, lambda up: up.level < row.level), F.array(row)))
+    df = df.withColumn("so_far", so_far).withColumn(
+        "category_path", F.when(F.col("level").isNull(), "").otherwise(F.concat_ws(" > ", F.transform(path, lambda up: up.label))))
     years = F.array(*[F.struct(F.lit(y).alias("collection_year"), F.col(f"count_{y}").alias("count_billions"),
                                F.col(f"value_{y}").alias("value_trillions_usd"),
                                F.col(f"avg_{y}").alias("avg_transaction_amount_usd")) for y in FRPS_YEARS])
