@@ -5,18 +5,20 @@ a cluster with more than its share of the sample is split again, so lists are
 of like size.  Every vector goes to its nearest centroid's list and, as a
 boundary vector, to further lists whose centroid is nearly as near
 (``CLOSURE``), unless a nearer chosen centroid already covers that direction.
-Centroids are found by best-first search in an in-memory neighbour graph, for
-a block of vectors at once.  A query probes the lists within a distance ratio
-(``PROBE``) of its nearest centroid, and at least ``MIN_LISTS``.
+Those are found by best-first search in an in-memory neighbour graph, for a
+block of vectors at once.  A query probes as many of its nearest lists as a
+sample of the queries needs, compared with all vectors, to hold ``TARGET`` of
+their true neighbours; so the breadth follows the table's size and structure
+and has no cap but the number of lists.
 
 Largest inner product becomes least distance: vectors are scaled to the unit
 ball and get one more coordinate that makes all lengths one; a query gets 0.
 
-Lists are dealt out in chunks of about ``CHUNK`` vectors by a hash of the id,
-and queries go to every chunk of their lists in blocks, so a list that holds a
-third of all vectors is many small groups.  Each group returns the best k of
-each query; those are merged by rank.  The scores are exact inner products of
-the original vectors in double precision.
+Lists are cut into pieces of about ``CHUNK`` vectors by a hash of the row, and
+pieces are dealt in turn to shards, so a list that holds a third of all vectors
+stands in many of them.  A query goes once to each shard that holds a piece of
+its lists, and each shard returns its best k; those are merged by rank.  The
+scores are exact inner products of the original vectors in double precision.
 
 The centroids (at most ``MAX_LISTS``) are all that goes to every task.
 
@@ -44,15 +46,19 @@ LIST_ROWS = 64          # vectors aimed at per list
 MAX_LISTS = 4096
 COPIES = 4              # lists a boundary vector stands in, at most
 CLOSURE = 1.10          # distance ratio up to which it is replicated
-PROBE = 1.30            # distance ratio up to which a list is searched
+TARGET = 0.95           # share of the sampled queries' neighbours that the probed lists hold
+SAMPLED = 128           # queries compared with all vectors
 MIN_LISTS = 24
-MAX_LISTS_PROBED = 96   # of the nearest; the graph search's breadth
-CHUNK = 256
-QUERY_BLOCK = 256
+CHUNK = 1024
+SHARD_ROWS = 16_384
+MIN_SHARDS = 32
+SHARD_QUERIES = 32_768
+QUERY_BLOCK = 512
 DEGREE = 24
 ROWS_AT_ONCE = 512
 
 _ASSIGNED = "vec_id long, row_key long, vector array<double>, lists array<int>"
+_ASKED = "vec_id long, row_key long, vector array<double>, shard int, pieces array<int>"
 
 
 class Index(NamedTuple):
@@ -221,54 +227,150 @@ def _replicas(index: Index, points: np.ndarray) -> list[list[int]]:
     return out
 
 
-def _probes(index: Index, points: np.ndarray) -> list[list[int]]:
-    """Lists searched for each query, by the ratio to its nearest centroid's distance."""
-    found, dist = nearest_centroids(index, points, MAX_LISTS_PROBED)
-    inside = np.isfinite(dist) & (dist <= PROBE * dist[:, :1])
-    inside[:, :MIN_LISTS] = np.isfinite(dist[:, :MIN_LISTS])
-    return [ids[keep].tolist() for ids, keep in zip(found, inside)]
+def ranked_centroids(index: Index, points: np.ndarray, breadth: int) -> np.ndarray:
+    """The nearest ``breadth`` lists of each point in order, by all distances."""
+    d = (index.centroids ** 2).sum(axis=1)[None, :] - 2 * points @ index.centroids.T
+    return np.argsort(d, axis=1, kind="stable")[:, :breadth]
 
 
-def _assigner(index: Index, query: bool):
+def _points(part: pa.RecordBatch, width: int) -> np.ndarray:
+    return part.column(2).flatten().to_numpy().reshape(-1, width)
+
+
+def _parts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``ROWS_AT_ONCE`` rows whose vectors are ``width`` long."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            part = batch.slice(at, ROWS_AT_ONCE)
+            part = part.filter(pa.array(np.diff(part.column(2).offsets.to_numpy()) == width))
+            if part.num_rows:
+                yield part
+
+
+def _assigner(index: Index):
     width = index.centroids.shape[1] - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(at, ROWS_AT_ONCE)
-                vectors = part.column(2)
-                sizes = np.diff(vectors.offsets.to_numpy())
-                part = part.filter(pa.array(sizes == width))
-                if not part.num_rows:
-                    continue
-                points = part.column(2).flatten().to_numpy().reshape(-1, width)
-                lists = (_probes if query else _replicas)(index, lifted(points, index.scale, query))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lists, type=pa.list_(pa.int32()))],
-                                                 names=["vec_id", "row_key", "vector", "lists"])
+        for part in _parts(batches, width):
+            lists = _replicas(index, lifted(_points(part, width), index.scale))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lists, type=pa.list_(pa.int32()))],
+                                             names=["vec_id", "row_key", "vector", "lists"])
     return run
 
 
+def _asker(index: Index, breadth: int, first: np.ndarray, shards: int):
+    """Queries -> one row per shard that holds pieces of their lists; list i has pieces ``first[i]`` to ``first[i + 1]``."""
+    width = index.centroids.shape[1] - 1
+    most = int(np.diff(first).max(initial=0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts(batches, width):
+            lists = ranked_centroids(index, lifted(_points(part, width), index.scale, True), breadth)
+            pieces = first[lists][:, :, None] + np.arange(most)[None, None, :]
+            there = of, _, _ = np.nonzero(pieces < first[lists + 1][:, :, None])
+            pieces = pieces[there]
+            order = np.lexsort((pieces, pieces % shards, of))
+            of, pieces = of[order], pieces[order]
+            fresh = np.ones(len(of), dtype=bool)
+            fresh[1:] = (of[1:] != of[:-1]) | (pieces[1:] % shards != pieces[:-1] % shards)
+            at = np.flatnonzero(fresh)
+            rows = part.select(["vec_id", "row_key", "vector"]).take(pa.array(of[at]))
+            held = pa.ListArray.from_arrays(pa.array(np.append(at, len(of)).astype(np.int32)), pa.array(pieces.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array((pieces[at] % shards).astype(np.int32)), held],
+                                             names=["vec_id", "row_key", "vector", "shard", "pieces"])
+    return run
+
+
+# -- breadth -------------------------------------------------------------------
+
+def _scanner(queries: np.ndarray, keys: np.ndarray, k: int):
+    """Assigned rows -> the best k of a task's rows for each query, with their lists."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score, lists = np.zeros((len(queries), 0)), np.zeros((len(queries), 0), dtype=object)
+        for part in _parts(batches, queries.shape[1]):
+            new = queries @ _points(part, queries.shape[1]).T
+            new[keys[:, None] == part.column(1).to_numpy()[None, :]] = -np.inf
+            held = np.empty(part.num_rows, dtype=object)
+            held[:] = part.column(3).to_pylist()
+            score = np.concatenate([score, new], axis=1)
+            top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+            lists = np.take_along_axis(np.concatenate([lists, np.tile(held, (len(queries), 1))], axis=1), top, axis=1)
+            score = np.take_along_axis(score, top, axis=1)
+        q, at = np.nonzero(np.isfinite(score))
+        if len(q):
+            yield pa.RecordBatch.from_arrays([pa.array(q.astype(np.int32)), pa.array(score[q, at]),
+                                              pa.array(list(lists[q, at]), type=pa.list_(pa.int32()))], names=["q", "score", "lists"])
+    return run
+
+
+def probe_breadth(index: Index, assigned: DataFrame, asking: DataFrame, k: int, target: float = TARGET) -> int:
+    """How many nearest lists hold ``target`` of the true neighbours of sampled queries, by a scan of all vectors."""
+    width = index.centroids.shape[1] - 1
+    sample = asking.where(F.size("vector") == width).orderBy(F.xxhash64("row_key", F.lit(9))).limit(SAMPLED).collect()
+    if not sample:
+        return MIN_LISTS
+    queries = np.array([r["vector"] for r in sample], dtype=np.float64)
+    best = assigned.mapInArrow(_scanner(queries, np.array([r["row_key"] for r in sample]), k), "q int, score double, lists array<int>")
+    best = best.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score")))).where(F.col("r") <= k).collect()
+    order = ranked_centroids(index, lifted(queries, index.scale, True), len(index.centroids))
+    rank = np.argsort(order, axis=1)
+    needed = np.sort([rank[r["q"], r["lists"]].min() + 1 for r in best])
+    enough = int(needed[int(np.ceil(target * len(needed))) - 1]) if len(needed) else 0
+    return min(len(index.centroids), max(MIN_LISTS, enough))
+
+
 # -- search of lists ---------------------------------------------------------------
 
-def _best_of_group(k: int):
+def _best_of_shard(k: int):
     def run(key: tuple, members: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
-        if members.empty or asking.empty:
-            return pd.DataFrame({"query_id": [], "query_key": [], "vec_id": [], "row_key": [], "score": []})
-        ids, keys = members["vec_id"].to_numpy(), members["row_key"].to_numpy()
-        vectors = np.stack(members["vector"].to_numpy())
         parts = []
-        for lo in range(0, len(asking), QUERY_BLOCK):
-            some = asking.iloc[lo:lo + QUERY_BLOCK]
-            score = inner_products(np.stack(some["vector"].to_numpy()), vectors)
-            score[(some["vec_id"].to_numpy()[:, None] == ids[None, :]) & (some["row_key"].to_numpy()[:, None] == keys[None, :])] = -np.inf
-            for q, q_key, row in zip(some["vec_id"].to_numpy(), some["row_key"].to_numpy(), score):
-                top = np.lexsort((ids, -row))[:k]
-                top = top[np.isfinite(row[top])]
-                parts.append(pd.DataFrame({"query_id": q, "query_key": q_key, "vec_id": ids[top], "row_key": keys[top], "score": row[top]}))
-        return pd.concat(parts)
+        if len(members) and len(asking):
+            members = members.sort_values(["piece", "vec_id", "row_key"])
+            ids, keys, piece = (members[c].to_numpy() for c in ("vec_id", "row_key", "piece"))
+            vectors = np.stack(members["vector"].to_numpy())
+            pieces, at = np.unique(piece, return_index=True)
+            ends = np.append(at[1:], len(piece))
+            for lo in range(0, len(asking), QUERY_BLOCK):
+                parts += _best_of_block(asking.iloc[lo:lo + QUERY_BLOCK], ids, keys, vectors, pieces, at, ends, k)
+        return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "query_key": [], "vec_id": [], "row_key": [], "score": []})
     return run
 
 
+def _best_of_block(some: pd.DataFrame, ids, keys, vectors, pieces, at, ends, k: int) -> list[pd.DataFrame]:
+    """The best k distinct rows of each query among the pieces it probes; rows stand by piece, then id."""
+    q_ids, q_keys = some["vec_id"].to_numpy(), some["row_key"].to_numpy()
+    asked = np.stack(some["vector"].to_numpy())
+    counts = some["pieces"].map(len).to_numpy()
+    query = np.repeat(np.arange(len(some)), counts)
+    wanted = np.concatenate(some["pieces"].to_list())
+    order = np.argsort(wanted, kind="stable")
+    query, wanted = query[order], wanted[order]
+    of, row, score = [], [], []
+    for p, lo, hi in zip(pieces, at, ends):
+        who = query[np.searchsorted(wanted, p):np.searchsorted(wanted, p, side="right")]
+        if not len(who):
+            continue
+        value = inner_products(asked[who], vectors[lo:hi])
+        value[(q_ids[who][:, None] == ids[None, lo:hi]) & (q_keys[who][:, None] == keys[None, lo:hi])] = -np.inf
+        top = np.argsort(-value, axis=1, kind="stable")[:, :k]
+        best = np.take_along_axis(value, top, axis=1)
+        real = np.isfinite(best)
+        of.append(np.repeat(who, top.shape[1])[real.ravel()])
+        row.append(top[real] + lo)
+        score.append(best[real])
+    if not of:
+        return []
+    of, row, score = (np.concatenate(x) for x in (of, row, score))
+    order = np.lexsort((keys[row], ids[row], -score, of))        # copies of a row in several lists come together
+    of, row, score = of[order], row[order], score[order]
+    fresh = np.ones(len(of), dtype=bool)
+    fresh[1:] = (of[1:] != of[:-1]) | (ids[row[1:]] != ids[row[:-1]]) | (keys[row[1:]] != keys[row[:-1]])
+    of, row, score = of[fresh], row[fresh], score[fresh]
+    nth = np.arange(len(of)) - np.searchsorted(of, of)
+    of, row, score = of[nth < k], row[nth < k], score[nth < k]
+    return [pd.DataFrame({"query_id": q_ids[of], "query_key": q_keys[of], "vec_id": ids[row], "row_key": keys[row], "score": score})]
+
+
 def inner_products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Double-precision sums in component order, so a pair's score is the same in any group."""
     out = np.zeros((len(queries), len(vectors)))
@@ -284,16 +386,25 @@ def search(table: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id
     index = build_index(rows)
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    lists = materialize(rows.mapInArrow(_assigner(index, False), _ASSIGNED)
-                        .select("vec_id", "row_key", "vector", F.explode("lists").alias("list")), "lists")
-    sizes = lists.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)).cast("int").alias("chunks"))
-    sizes = F.broadcast(sizes)                     # at most MAX_LISTS rows
-    members = lists.join(sizes, "list").withColumn("chunk", F.pmod(F.xxhash64("row_key", F.lit(1)), F.col("chunks")).cast("int")).drop("chunks")
-    asked = rows.where(queries).mapInArrow(_assigner(index, True), _ASSIGNED)
-    asked = (asked.select("vec_id", "row_key", "vector", F.explode("lists").alias("list")).join(sizes, "list")
-             .select("list", "vec_id", "row_key", "vector", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")))
-    found = members.groupBy("list", "chunk").cogroup(asked.groupBy("list", "chunk")).applyInPandas(
-        _best_of_group(k), "query_id long, query_key long, vec_id long, row_key long, score double")
+    assigned = materialize(rows.mapInArrow(_assigner(index), _ASSIGNED), "lists")
+    asking = rows.where(queries)
+    breadth = probe_breadth(index, assigned, asking, k)
+    lists = assigned.select("vec_id", "row_key", "vector", F.explode("lists").alias("list"))
+    sizes = lists.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)).cast("int").alias("chunks")).collect()
+    chunks = np.zeros(len(index.centroids), dtype=np.int64)            # at most MAX_LISTS
+    for r in sizes:
+        chunks[r["list"]] = r["chunks"]
+    first = np.concatenate([[0], np.cumsum(chunks)])
+    shards = max(MIN_SHARDS, -(-lists.count() // SHARD_ROWS))
+    blocks = F.lit(max(1, -(-asking.count() // SHARD_QUERIES)))        # a group holds a bounded number of queries
+    starts = spark.createDataFrame([(i, int(first[i]), int(chunks[i])) for i in range(len(chunks))], "list int, first int, chunks int")
+    members = lists.join(F.broadcast(starts), "list").select(
+        "vec_id", "row_key", "vector", (F.col("first") + F.pmod(F.xxhash64("row_key", F.lit(1)), F.col("chunks"))).cast("int").alias("piece"),
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block")).withColumn("shard", F.col("piece") % F.lit(shards))
+    asked = asking.mapInArrow(_asker(index, breadth, first, shards), _ASKED).withColumn(
+        "block", F.pmod(F.xxhash64("row_key", F.lit(2)), blocks).cast("int"))
+    found = members.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(
+        _best_of_shard(k), "query_id long, query_key long, vec_id long, row_key long, score double")
     once = found.dropDuplicates(["query_id", "query_key", "vec_id", "row_key"])
     rank = F.row_number().over(W.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id", "row_key"))
     return once.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
