@@ -4,7 +4,7 @@ A gear rolling hash over the last 16 bytes proposes a cut behind white space
 (about every ``2**WORD_BITS``-th break) and, so that text without spaces is
 cut too, behind any character (about every ``2**CHAR_BITS``-th).  A proposed
 cut stands unless another one was proposed in the ``MIN_BYTES`` before it.
-Whether a cut stands depends on nearby bytes alone, so an insertion moves no
+Whether a cut stands depends on nearby bytes of the row alone, so an insertion moves no
 cut further on, and equal passages have equal chunks inside.
 
 Chunks are compared by a 64-bit digest.  The document with the smallest id
@@ -40,12 +40,13 @@ _GEAR = np.random.default_rng(5).integers(0, 1 << 32, 256, dtype=np.uint32)
 _CHUNKS = "doc_id long, start int, stop int, n_words int, digest long"
 
 
-def gear(data: np.ndarray) -> np.ndarray:
-    """Rolling hash of the 16 bytes up to each position, by doubling windows."""
+def gear(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Rolling hash of the 16 bytes of the row up to each position, by doubling windows."""
     value = _GEAR[data]
+    into = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
     for width in (1, 2, 4, 8):
         if len(value) > width:
-            value[width:] = value[width:] + (value[:-width] << np.uint32(width))
+            value[width:] = value[width:] + np.where(into[width:] >= width, value[:-width] << np.uint32(width), np.uint32(0))
     return value
 
 
@@ -54,7 +55,7 @@ def chunk_bounds(block: Block) -> tuple[np.ndarray, np.ndarray]:
     data = block.data
     if not len(data):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    value = gear(data)
+    value = gear(data, block.offsets)
     high = value >> np.uint32(32 - CHAR_BITS - WORD_BITS)
     space = IS_SPACE[data]
     whole = np.ones(len(data), dtype=bool)                  # next byte begins a character
