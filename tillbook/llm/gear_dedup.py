@@ -9,10 +9,13 @@ cut further on, and equal passages have equal chunks inside.
 
 Chunks are compared by a 64-bit digest.  The document with the smallest id
 that has a chunk keeps it; in any later document a chunk that an earlier one
-has is repeated.  A run of neighbouring repeated chunks goes if it has at
-least ``min_words`` words; a chance collision of digests alone never makes a
-run.  A passage of 50 words loses up to about one chunk at either end before
-its first and behind its last own cut, hence the lower default.
+has is repeated.  Neighbouring repeated chunks that stand alike in the document
+that keeps them are a seed, one chunk is enough; a seed's bytes are compared by
+a checksum too.  Every seed is then extended word by word against the text of
+that document.  If the whole next chunk matched, it would be repeated itself,
+so no more than a chunk (and the ``LOOKBACK`` bytes that decide on a cut) is to
+be read on either side.  Extended seeds that touch are one run, and a run goes
+if it has at least ``min_words`` words.
 
 Defined results: null text stays null and empty text empty, with no chunks;
 rows with a null id keep their text and are no source for others; repeats
@@ -22,11 +25,13 @@ remove nothing from each other; extra columns pass through.
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tillbook.llm.textnp import IS_SPACE, Block, blocks, segment_hashes
 from tillbook.session import materialize
@@ -35,9 +40,14 @@ WORD_BITS = 2
 CHAR_BITS = 10
 MIN_BYTES = 16
 MIN_WORDS = 16
+_BREAKS = frozenset(b" \t\n\x0b\x0c\r")
+_SPACES = re.compile(rb"[ \t-\r]+")
 _GEAR = np.random.default_rng(5).integers(0, 1 << 32, 256, dtype=np.uint32)
 
-_CHUNKS = "doc_id long, start int, stop int, n_words int, digest long"
+LOOKBACK = 48           # a cut depends on 32 bytes; and the break before
+_CHUNKS = "doc_id long, start int, stop int, before int, after int, digest long"
+_SLICES = "first_doc long, f_start int, f_stop int, crc long, head binary, tail binary, opens boolean, ends boolean"
+_SPAN = T.StructType().add("start", "integer").add("stop", "integer").add("n_words", "integer").add("first_doc", "long")
 
 
 def gear(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -76,75 +86,146 @@ def chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             starts, stops = chunk_bounds(block)
             if not len(starts):
                 continue
-            space = IS_SPACE[block.data]
-            begins = ~space
-            begins[1:] &= space[:-1]
-            begins[block.offsets[:-1][np.diff(block.offsets) > 0]] |= ~space[block.offsets[:-1][np.diff(block.offsets) > 0]]
-            counts = np.add.reduceat(begins.astype(np.int32), starts)
             row = np.searchsorted(block.offsets, starts, side="right") - 1
             base = block.offsets[row]
             ids = batch.column(0).slice(block.first, len(block.offsets) - 1)
+            same = row[1:] == row[:-1]
+            before, after = starts.copy(), stops.copy()         # where the chunks on either side begin and end
+            before[1:][same] = starts[:-1][same]
+            after[:-1][same] = stops[1:][same]
             yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(row)), pa.array((starts - base).astype(np.int32)), pa.array((stops - base).astype(np.int32)),
-                 pa.array(counts.astype(np.int32)), pa.array(segment_hashes(block.data, starts, stops).view(np.int64))],
-                names=["doc_id", "start", "stop", "n_words", "digest"])
+                [ids.take(pa.array(row)), *(pa.array((x - base).astype(np.int32)) for x in (starts, stops, before, after)),
+                 pa.array(segment_hashes(block.data, starts, stops).view(np.int64))],
+                names=["doc_id", "start", "stop", "before", "after", "digest"])
 
 
-def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(..., text, spans) -> the same rows with the spans taken out of text."""
+def _slice_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text, wants) -> the bytes on either side of each wanted range, and its checksum."""
+    schema = pa.schema([("first_doc", pa.int64()), ("f_start", pa.int32()), ("f_stop", pa.int32()), ("crc", pa.int64()),
+                        ("head", pa.binary()), ("tail", pa.binary()), ("opens", pa.bool_()), ("ends", pa.bool_())])
     for batch in batches:
-        names = batch.schema.names
-        t, s = names.index("text"), names.index("spans")
-        texts = []
-        for text, spans in zip(batch.column(t).to_pylist(), batch.column(s).to_pylist()):
-            if spans and text is not None:
-                raw, at, parts = text.encode(), 0, []
-                for span in spans:
-                    parts.append(raw[at:span["start"]])
-                    at = span["stop"]
-                text = b"".join([*parts, raw[at:]]).decode()
-            texts.append(text)
-        columns = [pa.array(texts, type=batch.column(t).type) if i == t else batch.column(i) for i in range(len(names))]
-        yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``(doc_id, spans)`` of documents that lose text.
-
-    ``spans``: ordered array of ``start, stop`` (UTF-8 bytes), ``n_words`` and
-    ``first_doc``, the document that keeps the run's first chunk.
-    """
-    chunks = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-              .where("doc_id IS NOT NULL").mapInArrow(chunk_batches, _CHUNKS))
-    seen = (chunks.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
-            .where("last_doc > first_doc").select("digest", "first_doc"))
-    repeated = materialize(chunks.join(seen, "digest").where("first_doc < doc_id").drop("digest"), "repeated")
-    ordered = repeated.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "stop", "n_words", "first_doc"))).alias("c"))
-    return (ordered.select("doc_id", F.filter(_runs("c"), lambda r: r.n_words >= min_words).alias("spans"))
-            .where(F.size("spans") > 0))
-
-
-def _runs(chunks: str):
-    """Join neighbouring chunks (one document's, ordered) into runs."""
-    empty = F.array().cast("array<struct<start:int,stop:int,n_words:int,first_doc:bigint>>")
-    state = F.struct(empty.alias("done"), F.lit(None).cast("struct<start:int,stop:int,n_words:int,first_doc:bigint>").alias("open"))
+        for doc, text, wants in zip(*(batch.column(i) for i in range(3))):
+            raw = (text.as_py() or "").encode()
+            rows = [{"first_doc": doc.as_py(), "f_start": w["f_start"], "f_stop": w["f_stop"],
+                     "crc": zlib.crc32(raw[w["f_start"]:w["f_stop"]]),
+                     "head": raw[max(0, w["f_start"] - w["left"]):w["f_start"]], "tail": raw[w["f_stop"]:w["f_stop"] + w["right"]],
+                     "opens": w["f_start"] <= w["left"], "ends": w["f_stop"] + w["right"] >= len(raw)} for w in wants.as_py()]
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
+def _shared_words(a: bytes, b: bytes, a_whole: bool, b_whole: bool) -> int:
+    """Bytes of the whole words that ``a`` and ``b`` both begin with; ``whole``: the text ends where the bytes do."""
+    n = min(len(a), len(b))
+    if a[:n] != b[:n]:
+        n = int(np.argmax(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)))
+    over = lambda x, whole: x[n] in _BREAKS if n < len(x) else whole
+    if over(a, a_whole) and over(b, b_whole):
+        return n
+    while n and a[n - 1] not in _BREAKS:
+        n -= 1
+    return n
+
+
+def extended_spans(raw: bytes, seeds: list[dict], min_words: int) -> list[dict]:
+    """Runs of a document: its seeds, extended and joined, that have ``min_words`` words."""
+    grown = []
+    for s in seeds:
+        start, stop = s["start"], s["stop"]
+        if stop > len(raw) or zlib.crc32(raw[start:stop]) != s["crc"]:
+            continue                                            # of another row with this id, or a chance collision
+        own = raw[max(0, start - len(s["head"]) - 1):start]
+        left = _shared_words(own[::-1], s["head"][::-1], len(own) == start, s["opens"])
+        while left and raw[start - left] in _BREAKS:            # the break before the run stays and parts its neighbours
+            left -= 1
+        right = _shared_words(raw[stop:stop + len(s["tail"]) + 1], s["tail"], stop + len(s["tail"]) + 1 >= len(raw), s["ends"])
+        grown.append((start - left, stop + right, start, s["first_doc"]))
+    runs: list[list] = []
+    for start, stop, _, first in sorted(grown):
+        if runs and start <= runs[-1][1]:
+            runs[-1][1] = max(stop, runs[-1][1])
+        else:
+            runs.append([start, stop, first])
+    out = []
+    for start, stop, first in runs:
+        inside = start > 0 and raw[start - 1] not in _BREAKS and raw[start] not in _BREAKS     # a word that begins before the run
+        n_words = len(_SPACES.sub(b" ", raw[start:stop]).split(b" ")) - inside
+        n_words -= raw[start] in _BREAKS
+        n_words -= raw[stop - 1] in _BREAKS and stop - start > 1
+        if n_words >= min_words:
+            out.append({"start": start, "stop": stop, "n_words": n_words, "first_doc": first})
+    return out
+
+
+def _cutter(min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(..., text, seeds) -> the same rows with the runs taken out of text, and the runs as spans."""
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("n_words", pa.int32()), ("first_doc", pa.int64())]))
+        for batch in batches:
+            names = batch.schema.names
+            t, s = names.index("text"), names.index("spans")
+            texts, spans = [], []
+            for text, seeds in zip(batch.column(t).to_pylist(), batch.column(s).to_pylist()):
+                found = []
+                if seeds and text is not None:
+                    raw, at, parts = text.encode(), 0, []
+                    found = extended_spans(raw, seeds, min_words)
+                    for span in found:
+                        parts.append(raw[at:span["start"]])
+                        at = span["stop"]
+                    text = b"".join([*parts, raw[at:]]).decode()
+                texts.append(text)
+                spans.append(found)
+            columns = list(batch.columns)
+            columns[t], columns[s] = pa.array(texts, type=batch.column(t).type), pa.array(spans, type=kind)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+    return run
+
+
+def repeated_seeds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, seeds)`` of documents with repeated chunks, each seed with what stands beside it in the document that keeps it."""
+    texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+             .where("doc_id IS NOT NULL"))
+    chunks = texts.mapInArrow(chunk_batches, _CHUNKS)
+    seen = (chunks.groupBy("digest").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("last_doc"))
+            .where("last_doc > first.doc_id").select("digest", F.col("first.doc_id").alias("first_doc"), F.col("first.start").alias("f_start")))
+    repeated = chunks.join(seen, "digest").where("first_doc < doc_id").drop("digest")
+    ordered = repeated.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "stop", "before", "after", "first_doc", "f_start"))).alias("c"))
+    seeds = ordered.select("doc_id", F.explode(_joined("c")).alias("s")).select("doc_id", "s.*")
+    seeds = materialize(seeds.select("doc_id", "start", "stop", "first_doc", "f_start", (F.col("f_start") + F.col("stop") - F.col("start")).alias("f_stop"),
+                                     (F.col("start") - F.col("before") + LOOKBACK).alias("left"), (F.col("after") - F.col("stop") + LOOKBACK).alias("right")), "seeds")
+    key = ["first_doc", "f_start", "f_stop"]
+    wants = seeds.groupBy(*key).agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    wants = wants.groupBy(F.col("first_doc").alias("doc_id")).agg(F.collect_list(F.struct("f_start", "f_stop", "left", "right")).alias("wants"))
+    slices = texts.join(wants, "doc_id").select("doc_id", "text", "wants").mapInArrow(_slice_batches, _SLICES).dropDuplicates(key)
+    return seeds.drop("left", "right").join(slices, key).groupBy("doc_id").agg(
+        F.collect_list(F.struct("start", "stop", "first_doc", "crc", "head", "tail", "opens", "ends")).alias("seeds"))
+
+
+def _joined(chunks: str):
+    """Join neighbouring chunks (one document's, ordered) that stand alike in the same other document."""
+    kind = "struct<start:int,stop:int,before:int,after:int,first_doc:bigint,f_start:int>"
+    state = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.lit(None).cast(kind).alias("open"))
 
     def step(acc, x):
-        joins = acc.open.stop == x.start
-        grown = F.struct(acc.open.start.alias("start"), x.stop.alias("stop"),
-                         (acc.open.n_words + x.n_words).alias("n_words"), acc.open.first_doc.alias("first_doc"))
+        o = acc.open
+        joins = (o.stop == x.start) & (o.first_doc == x.first_doc) & (x.f_start - o.f_start == x.start - o.start)
+        grown = F.struct(o.start.alias("start"), x.stop.alias("stop"), o.before.alias("before"), x.after.alias("after"),
+                         o.first_doc.alias("first_doc"), o.f_start.alias("f_start"))
         return F.struct(
-            F.when(joins | acc.open.isNull(), acc.done).otherwise(F.concat(acc.done, F.array(acc.open))).alias("done"),
+            F.when(joins | o.isNull(), acc.done).otherwise(F.concat(acc.done, F.array(o))).alias("done"),
             F.when(joins, grown).otherwise(x).alias("open"))
     return F.aggregate(chunks, state, step, lambda acc: F.when(acc.open.isNull(), acc.done).otherwise(F.concat(acc.done, F.array(acc.open))))
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with repeated runs cut out of ``text``, plus the removed ``spans`` (empty array if none)."""
+    """``docs`` with repeated runs cut out of ``text``, plus the removed ``spans`` (empty array if none).
+
+    ``spans``: ordered array of ``start, stop`` (UTF-8 bytes), ``n_words`` and
+    ``first_doc``, the document that keeps the run's beginning.
+    """
     clash = {c: f"__{c}" for c in docs.columns if c.lower() == "spans"}
     docs = docs.withColumnsRenamed(clash)
-    spans = repeated_spans(docs, min_words=min_words).withColumnRenamed("doc_id", "__doc")
-    joined = docs.join(spans, docs["doc_id"] == spans["__doc"], "left").drop("__doc")
-    joined = joined.withColumn("spans", F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)))
-    cut = joined.mapInArrow(_cut_batches, joined.schema)
-    return cut
+    seeds = repeated_seeds(docs).select(F.col("doc_id").alias("__doc"), F.col("seeds").alias("spans"))
+    joined = docs.join(seeds, docs["doc_id"] == seeds["__doc"], "left").drop("__doc")
+    schema = T.StructType([*joined.schema.fields[:-1], T.StructField("spans", T.ArrayType(_SPAN))])
+    return joined.mapInArrow(_cutter(min_words), schema)
