@@ -15,7 +15,8 @@ a checksum too.  Every seed is then extended word by word against the text of
 that document.  If the whole next chunk matched, it would be repeated itself,
 so no more than a chunk (and the ``LOOKBACK`` bytes that decide on a cut) is to
 be read on either side.  Extended seeds that touch are one run, and a run goes
-if it has at least ``min_words`` words.
+if it has at least ``min_words`` words, or as many times ``WORD_BYTES`` bytes
+as text without spaces may.
 
 Defined results: null text stays null and empty text empty, with no chunks;
 rows with a null id keep their text and are no source for others; repeats
@@ -40,6 +41,7 @@ WORD_BITS = 2
 CHAR_BITS = 10
 MIN_BYTES = 16
 MIN_WORDS = 16
+WORD_BYTES = 16         # a run without breaks counts as a word for so many bytes
 _BREAKS = frozenset(b" \t\n\x0b\x0c\r")
 _SPACES = re.compile(rb"[ \t-\r]+")
 _GEAR = np.random.default_rng(5).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -151,7 +153,7 @@ def extended_spans(raw: bytes, seeds: list[dict], min_words: int) -> list[dict]:
         n_words = len(_SPACES.sub(b" ", raw[start:stop]).split(b" ")) - inside
         n_words -= raw[start] in _BREAKS
         n_words -= raw[stop - 1] in _BREAKS and stop - start > 1
-        if n_words >= min_words:
+        if n_words >= min_words or stop - start >= min_words * WORD_BYTES:
             out.append({"start": start, "stop": stop, "n_words": n_words, "first_doc": first})
     return out
 
