@@ -69,12 +69,15 @@ class Index(NamedTuple):
 
 
 def valid_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``vec_id, row_key, vector array<double>`` of the rows that take part."""
+    """``vec_id, row_key, vector array<double>`` of the rows that take part.
+
+    ``row_key`` tells rows apart that repeat both id and vector; it holds for one stored copy of the result.
+    """
     v = F.col("vector")
     rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
     rows = rows.where(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0)
                       & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0))
-    return rows.select("vec_id", F.xxhash64("vec_id", "vector").alias("row_key"), "vector")
+    return rows.select("vec_id", F.monotonically_increasing_id().alias("row_key"), "vector")
 
 
 # -- fitting -------------------------------------------------------------------
@@ -140,7 +143,7 @@ def build_index(rows: DataFrame) -> Index | None:
     stats = rows.agg(F.count(F.lit(1)).alias("n"), F.max(_length("vector")).alias("longest"), F.mode(F.size("vector")).alias("width")).first()
     if not stats["n"]:
         return None
-    sample = rows.where(F.size("vector") == stats["width"]).select("vector", F.xxhash64("row_key", F.lit(5)).alias("h")).orderBy("h").limit(FIT_ROWS)
+    sample = rows.where(F.size("vector") == stats["width"]).select("vector", F.xxhash64("vec_id", "vector", F.lit(5)).alias("h")).orderBy("h").limit(FIT_ROWS)
     points = lifted(np.array([r["vector"] for r in sample.collect()], dtype=np.float64), stats["longest"])
     lists = int(min(MAX_LISTS, max(1, stats["n"] // LIST_ROWS), max(1, len(points) // 4)))
     centroids = balanced_centroids(points, lists)
@@ -306,7 +309,7 @@ def _scanner(queries: np.ndarray, keys: np.ndarray, k: int):
 def probe_breadth(index: Index, assigned: DataFrame, asking: DataFrame, k: int, target: float = TARGET) -> int:
     """How many nearest lists hold ``target`` of the true neighbours of sampled queries, by a scan of all vectors."""
     width = index.centroids.shape[1] - 1
-    sample = asking.where(F.size("vector") == width).orderBy(F.xxhash64("row_key", F.lit(9))).limit(SAMPLED).collect()
+    sample = asking.where(F.size("vector") == width).orderBy(F.xxhash64("vec_id", "vector", F.lit(9))).limit(SAMPLED).collect()
     if not sample:
         return MIN_LISTS
     queries = np.array([r["vector"] for r in sample], dtype=np.float64)
