@@ -1,4 +1,4 @@
-"""The ten operators as queries over the whole intended tables.
+"""The thirteen operators as queries over the whole intended tables.
 
 Each callable takes ``(spark, sf_dir)`` and returns the full result.  Digest
 columns are derived here; the operators keep their general interface.
@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tillbook.llm import (block_rules, gear_dedup, minhash_forest, ordinal_quality, posting_lists, soft_mixture, speculative_bpe,
-                          toxicity_trees, uniform_shards, weighted_sampling)
+from tillbook.llm import (block_rules, contour_whitening, gear_dedup, minhash_forest, ordinal_quality, posting_lists, progressive_dedup,
+                          simplex_clustering, soft_mixture, speculative_bpe, toxicity_trees, uniform_shards, weighted_sampling)
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -71,17 +71,61 @@ def op10_gear_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_distinct(F.transform("spans", lambda s: s.first_doc)).alias("first_docs"))
 
 
+def op11_simplex_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simplex_clustering.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5)
+
+
+def op12_progressive_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest is asked for of every row, copies or not; the operator itself hashes whole texts of survivors only."""
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    marked = progressive_dedup.mark_duplicates(table(spark, sf_dir, "documents"), carry={"text_sha256": digest})
+    return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op13_contour_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contour_whitening.whiten(table(spark, sf_dir, "embeddings"), k=8)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_posting_lists, op2_block_rules, op3_minhash_forest, op4_uniform_shards, op5_ordinal_quality,
-                            op6_weighted_sampling, op7_toxicity_trees, op8_speculative_bpe, op9_soft_mixture, op10_gear_dedup, pipeline)
+                            op6_weighted_sampling, op7_toxicity_trees, op8_speculative_bpe, op9_soft_mixture, op10_gear_dedup, op11_simplex_clustering,
+                            op12_progressive_dedup, op13_contour_whitening, pipeline)
 }
 
-#: Sets of shingles, exact links, and the smallest document reachable; the only
-#: one of the ten that SQL expresses.
+
+def _clustering_sql(k: int = 40, rounds: int = 5) -> str:
+    """Each round is a pair of tables: assignments to the last centroids, and the centroids they make."""
+    assigned = """
+a{r} AS MATERIALIZED (
+    SELECT vec_id, arg_min(c, (d, c)) AS c, min(d) AS d
+    FROM (SELECT v.vec_id, m.c, sum((v.x - m.x) * (v.x - m.x)) AS d FROM v JOIN c{r} m USING (i) GROUP BY v.vec_id, m.c) GROUP BY vec_id)"""
+    moved = """
+c{n} AS MATERIALIZED (
+    SELECT m.c, m.i, CASE WHEN s.n IS NULL THEN m.x ELSE CAST((s.t - ((s.t % s.n) + s.n) % s.n) // s.n AS BIGINT) END AS x
+    FROM c{r} m LEFT JOIN (SELECT a.c, v.i, sum(v.x) AS t, count(*) AS n FROM a{r} a JOIN v USING (vec_id) GROUP BY a.c, v.i) s
+    ON s.c = m.c AND s.i = m.i)"""
+    steps = ",".join(assigned.format(r=r) + "," + moved.format(r=r, n=r + 1) for r in range(rounds))
+    return f"""
+WITH fine AS (
+    SELECT vec_id, embedding FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+v AS MATERIALIZED (
+    SELECT vec_id, i, CAST(floor(256 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x FROM fine, range(1, 65) t(i)),
+seeds AS (
+    SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c FROM fine ORDER BY sha256('2:' || vec_id) LIMIT {k}),
+c0 AS MATERIALIZED (SELECT c, i, x FROM seeds JOIN v USING (vec_id)),{steps},{assigned.format(r=rounds)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+    CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c) USING (c)
+"""
+
+
+#: op3: sets of shingles, exact links, and the smallest document reachable.  SQL
+#: expresses no other of the thirteen.
 ORACLE: dict[str, str] = {
     "op3_minhash_forest": r"""
 WITH RECURSIVE tokens AS (
@@ -107,5 +151,11 @@ reach AS (
 lowest AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN lowest USING (doc_id) LEFT JOIN sizes USING (doc_id)
+""",
+    "op11_simplex_clustering": _clustering_sql(),
+    "op12_progressive_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """,
 }
