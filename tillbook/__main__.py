@@ -14,6 +14,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--telemetry", help="run telemetry table (default <out>/ops/run_telemetry)")
     ap.add_argument("--master", default=None, help="Spark master for a local run, e.g. local[8]")
     ap.add_argument("--from-bronze", action="store_true", help="--input holds landed Bronze tables")
+    ap.add_argument("--assumptions", help="build: CSV seed of thresholds and rates")
     ap.add_argument("--now", default=None, help="run clock (ISO time; default: current time) for freshness/heartbeat")
     ap.add_argument("--cbp", help="macro: landed CBP county text file")
     ap.add_argument("--cpi", help="macro: landed BLS response body (JSON)")
@@ -35,7 +36,7 @@ def main(argv: list[str] | None = None) -> None:
         from tillbook.plans.build import BuildFailed, daily_build
         try:
             res = daily_build(spark, args.input, args.out, args.telemetry or f"{args.out}/ops/run_telemetry",
-                              now=now, from_bronze=args.from_bronze)
+                              now=now, from_bronze=args.from_bronze, assumptions_path=args.assumptions)
         except BuildFailed as exc:
             print(json.dumps({"nodes": len(exc.results), "failed": exc.failed}))
             raise SystemExit(1) from exc

@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tillbook.operators.quality import DataContractViolation, schema_contract
+from tillbook.operators.quality import SchemaDrift, schema_contract
 
-S, D, B, L, DB = T.StringType(), T.DateType(), T.BooleanType(), T.LongType(), T.DoubleType()
+S, D, B, L = T.StringType(), T.DateType(), T.BooleanType(), T.LongType()
 MONEY = T.DecimalType(18, 2)
+# Fixed values (must equal the reference): precision and scale of the contracted rates.
+COUNT_RATE, DOLLAR_RATE, ON_TIME_RATE, MEAN_DELAY = T.DecimalType(20, 4), T.DecimalType(38, 4), T.DecimalType(9, 6), T.DecimalType(9, 2)
 
 
 def _struct(*cols) -> T.StructType:
@@ -29,12 +31,13 @@ RECONCILIATION_BREAKS = _struct(
 DAILY_CASH_POSITION = _struct(
     ("batch_date", D), ("settlement_batch_count", L), ("matched_batch_count", L), ("break_count", L),
     ("total_expected_settlement_amount", MONEY), ("total_actual_cash_received", MONEY),
-    ("unresolved_break_amount", MONEY), ("break_rate_count_basis", DB), ("break_rate_dollar_basis", DB),
-    ("reconciliation_match_rate", DB))
+    ("unresolved_break_amount", MONEY), ("break_rate_count_basis", COUNT_RATE),
+    ("break_rate_dollar_basis", DOLLAR_RATE), ("reconciliation_match_rate", DOLLAR_RATE))
 MERCHANT_SETTLEMENT_SLA = _struct(
     ("merchant_id", S), ("business_name", S), ("industry", S), ("region", S), ("state", S), ("risk_tier", S),
     ("contracted_settlement_speed_days", L), ("settlement_batch_count", L), ("on_time_batch_count", L),
-    ("exception_batch_count", L), ("on_time_settlement_rate", DB), ("avg_settlement_delay_business_days", DB),
+    ("exception_batch_count", L), ("on_time_settlement_rate", ON_TIME_RATE),
+    ("avg_settlement_delay_business_days", MEAN_DELAY),
     ("max_settlement_delay_business_days", L), ("exception_amount_usd", MONEY),
     ("total_expected_settlement_amount", MONEY), ("run_id", S), ("as_of_date", D))
 
@@ -45,5 +48,5 @@ CONTRACTS = {"reconciliation_breaks": RECONCILIATION_BREAKS, "daily_cash_positio
 def enforce(df: DataFrame, name: str) -> DataFrame:
     drift = schema_contract(df, CONTRACTS[name])
     if drift:
-        raise DataContractViolation(f"{name}: schema drift {drift}")
+        raise SchemaDrift(f"{name}: {drift}")
     return df

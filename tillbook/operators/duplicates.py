@@ -1,28 +1,34 @@
 """Duplicate bank postings: unclaimed, same merchant/day/amount as a claimed one.
 
 "Claimed" = listed on any match row (true matches and break diagnostics).
-Instead of a raw self join, claimed postings are reduced to one row per
-(merchant, day, amount) key (smallest claimed posting id and its smallest
-batch id) and the unclaimed postings are equi-joined to that: one output
-row per unclaimed posting, and no pair explosion inside a busy key.
+Postings meet their claims in one left join and part into claimed and
+unclaimed; the unclaimed then meet every claimed twin of their (merchant, day,
+amount). The claimed side of a key is small - a match row lists a posting of
+its own merchant, and a merchant has one batch a day - while the unclaimed
+side may be any size (a bank that sends one credit thousands of times), so a
+hot key's unclaimed rows are dealt out in pieces.
 """
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillbook.functions import spread
 from tillbook.operators.matching import posting_claims
 
+TWIN = ["merchant_id", "posting_date", "amount"]
+
 
-def duplicate_postings(matches: DataFrame, postings: DataFrame) -> DataFrame:
-    claims = posting_claims(matches).groupBy("posting_id").agg(
-        F.min("settlement_batch_id").alias("claimed_by_batch_id"))
-    p = postings.select("posting_id", "merchant_id", "posting_date", "amount")
-    unclaimed = p.join(claims, "posting_id", "left_anti")
-    claimed = p.join(claims, "posting_id").groupBy("merchant_id", "posting_date", "amount").agg(
-        F.min(F.struct("posting_id", "claimed_by_batch_id")).alias("c"))
-    return unclaimed.join(claimed, ["merchant_id", "posting_date", "amount"]).select(
-        F.col("posting_id").alias("unclaimed_posting_id"), "merchant_id", "posting_date", "amount",
-        F.col("c.posting_id").alias("duplicated_posting_id"),
-        F.col("c.claimed_by_batch_id").alias("duplicated_against_batch_id"))
+def duplicate_postings(matches: DataFrame, postings: DataFrame,
+                       persist: Callable[[DataFrame, str], DataFrame] = lambda d, name: d) -> DataFrame:
+    """One row per unclaimed posting and claimed twin, as the smallest batch id that lists the twin."""
+    claims = posting_claims(matches).groupBy("posting_id").agg(F.min("settlement_batch_id").alias("_batch"))
+    p = persist(postings.select("posting_id", *TWIN).join(claims, "posting_id", "left"), "claimed_postings")
+    unclaimed = p.where(F.col("_batch").isNull()).select(F.col("posting_id").alias("unclaimed_posting_id"), *TWIN)
+    twins = p.where(F.col("_batch").isNotNull()).select(
+        *TWIN, F.col("posting_id").alias("duplicated_posting_id"), F.col("_batch").alias("duplicated_against_batch_id"))
+    return spread.join(unclaimed, twins, TWIN, ["unclaimed_posting_id"]).select(
+        "unclaimed_posting_id", *TWIN, "duplicated_posting_id", "duplicated_against_batch_id")

@@ -1,18 +1,20 @@
 """Gold marts over the matcher result and the open breaks.
 
-Rates are exact half-up ratios (``half_up_ratio``) returned as DOUBLE; money
-sums are recast to DECIMAL(18,2). Every mart is one grouped aggregate
-(map-side partial aggregation) plus joins to the merchant dimension.
+Contracted rates are exact half-up ratios as decimals of the contract's
+precision, other rates as DOUBLE; money sums are recast to DECIMAL(18,2). Every
+mart is one grouped aggregate (map-side partial aggregation) plus joins to the
+merchant dimension, which come after it where the merchant is its key.
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.functions.money import half_up_ratio, money
+from tillbook.functions.frames import one_row
+from tillbook.functions.money import half_up_decimal, half_up_ratio, money
 from tillbook.operators import calendar as cal_ops
 from tillbook.operators.matching import posting_claims
 from tillbook.policy import Policy
@@ -38,10 +40,10 @@ def daily_cash_position(matches: DataFrame) -> DataFrame:
     return g.select(
         "batch_date", "settlement_batch_count", "matched_batch_count", "break_count",
         "total_expected_settlement_amount", "total_actual_cash_received", "unresolved_break_amount",
-        half_up_ratio(F.col("break_count"), F.col("settlement_batch_count"), 4, scale=0).alias("break_rate_count_basis"),
-        half_up_ratio(F.col("unresolved_break_amount"), F.col("total_expected_settlement_amount"), 4)
+        half_up_decimal(F.col("break_count"), F.col("settlement_batch_count"), 4, precision=20, scale=0).alias("break_rate_count_basis"),
+        half_up_decimal(F.col("unresolved_break_amount"), F.col("total_expected_settlement_amount"), 4, precision=38)
         .alias("break_rate_dollar_basis"),
-        half_up_ratio(F.col("_matched_exp"), F.col("total_expected_settlement_amount"), 4)
+        half_up_decimal(F.col("_matched_exp"), F.col("total_expected_settlement_amount"), 4, precision=38)
         .alias("reconciliation_match_rate"))
 
 
@@ -79,15 +81,19 @@ def merchant_settlement_sla(matches: DataFrame, postings: DataFrame, cal: DataFr
     """On-time rate and business-day delay over *all* batches of each merchant.
 
     Settlement date of a matched batch = its last matched posting's date. The
-    matcher already knows it (``Reconciliation.settled``); without it, the
-    matched ids are exploded and joined to the postings.
+    matcher's rows carry it; for rows that don't, it is taken from ``settled``
+    or by joining the matched ids to the postings. Batches are summed per
+    merchant (on the map side first) before the merchant's attributes join.
     """
-    if settled is None:
-        settled = (posting_claims(matches, matched_only=True)
-                   .join(postings.select("posting_id", "posting_date"), "posting_id")
-                   .groupBy("settlement_batch_id").agg(F.max("posting_date").alias("actual_settlement_date")))
-    m = matches.select("settlement_batch_id", "merchant_id", "expected_payout_date", "expected_settlement_amount",
-                       "is_matched").join(settled, "settlement_batch_id", "left")
+    if "actual_settlement_date" in matches.columns:
+        m = matches
+    else:
+        if settled is None:
+            settled = (posting_claims(matches, matched_only=True)
+                       .join(postings.select("posting_id", "posting_date"), "posting_id")
+                       .groupBy("settlement_batch_id").agg(F.max("posting_date").alias("actual_settlement_date")))
+        m = matches.join(settled, "settlement_batch_id", "left")
+    m = m.select("merchant_id", "expected_payout_date", "expected_settlement_amount", "is_matched", "actual_settlement_date")
     m = cal_ops.add_seq(m, cal, "expected_payout_date", "_exp_seq")
     m = cal_ops.add_seq(m, cal, "actual_settlement_date", "_act_seq")
     matched = F.col("is_matched")
@@ -96,9 +102,7 @@ def merchant_settlement_sla(matches: DataFrame, postings: DataFrame, cal: DataFr
                  (matched & (F.coalesce(delay, F.lit(0)) <= 0)).alias("on_time"))
     mer = merchants.select("merchant_id", "business_name", "industry", "region", "state", "risk_tier",
                            F.col("settlement_speed_business_days").alias("contracted_settlement_speed_days"))
-    keys = ["merchant_id", "business_name", "industry", "region", "state", "risk_tier",
-            "contracted_settlement_speed_days"]
-    g = m.join(mer, "merchant_id").groupBy(*keys).agg(
+    g = m.groupBy("merchant_id").agg(
         F.count(F.lit(1)).alias("settlement_batch_count"),
         F.sum(_i("on_time")).alias("on_time_batch_count"),
         F.sum(_i(~matched)).alias("exception_batch_count"),
@@ -107,11 +111,11 @@ def merchant_settlement_sla(matches: DataFrame, postings: DataFrame, cal: DataFr
         money(F.sum(F.when(~matched, F.col("expected_settlement_amount")).otherwise(F.lit(0))))
         .alias("exception_amount_usd"),
         money(F.sum("expected_settlement_amount")).alias("total_expected_settlement_amount"))
-    return g.select(
-        *keys, "settlement_batch_count", "on_time_batch_count", "exception_batch_count",
-        half_up_ratio(F.col("on_time_batch_count"), F.col("settlement_batch_count"), 6, scale=0)
+    return g.join(mer, "merchant_id").select(
+        *mer.columns, "settlement_batch_count", "on_time_batch_count", "exception_batch_count",
+        half_up_decimal(F.col("on_time_batch_count"), F.col("settlement_batch_count"), 6, precision=9, scale=0)
         .alias("on_time_settlement_rate"),
-        half_up_ratio(F.col("_delay_sum"), F.col("_delay_n"), 2, scale=0).alias("avg_settlement_delay_business_days"),
+        half_up_decimal(F.col("_delay_sum"), F.col("_delay_n"), 2, precision=9, scale=0).alias("avg_settlement_delay_business_days"),
         F.col("max_settlement_delay_business_days").cast("long").alias("max_settlement_delay_business_days"),
         "exception_amount_usd", "total_expected_settlement_amount",
         F.lit(run_id).alias("run_id"), F.lit(as_of).alias("as_of_date"))
@@ -130,66 +134,63 @@ CARDS_TOTAL_PATH = "Total payments > Cards"
 
 
 def payment_mix_context(transactions: DataFrame, frps: DataFrame, run_id: str, as_of: date,
-                        cards_path: str = CARDS_TOTAL_PATH, persist=lambda d, name: d) -> DataFrame:
+                        cards_path: str = CARDS_TOTAL_PATH) -> DataFrame:
     """Internal card-sale mix by acceptance channel vs the national cards benchmark.
 
-    Sales only. One roll-up row plus one row per channel group; the benchmark
-    is the cards total of the latest collection year (a scalar subquery).
+    Sales only. One aggregate rolls the sales up to one row per channel group
+    and one for all; the benchmark, the cards total of the latest collection
+    year, is one more row, and what a row needs of the others is looked up
+    among these few.
     """
-    from tillbook.functions.money import half_up_decimal
-
     group = (F.when(F.col("channel") == "card_present", "In-Person")
              .when(F.col("channel") == "ecommerce", "Online").otherwise("Other"))
-    # one row per channel group; materialised so the totals below read a tiny table, not the transactions
-    by_channel = persist(transactions.where(F.col("transaction_type") == "sale")
-                         .groupBy(group.alias("segment"))
-                         .agg(F.count(F.lit(1)).alias("transaction_count"), F.sum("amount").alias("_gross")),
-                         "payment_mix_by_channel")
-    latest_year = frps.agg(F.max("collection_year")).scalar()
-    bench = frps.where((F.col("category_path") == cards_path) & (F.col("collection_year") == latest_year)) \
-        .agg(F.max_by(F.struct("avg_transaction_amount_usd", "collection_year"), "row_number")).scalar()
-    total_gross = by_channel.agg(F.sum("_gross")).scalar()
-    bench_avg = bench["avg_transaction_amount_usd"].cast("decimal(18,2)")
-
-    roll = by_channel.agg(F.sum("transaction_count").alias("transaction_count"), F.sum("_gross").alias("_gross")) \
-        .select(F.lit("Cards (all)").alias("segment"), F.lit("roll_up").alias("segment_kind"), "transaction_count",
-                "_gross", F.lit(1).cast("decimal(9,6)").alias("internal_share_of_volume"),
-                F.lit(1).cast("decimal(9,6)").alias("benchmark_share_of_volume"))
-    chan = by_channel.select(
-        "segment", F.lit("acceptance_channel").alias("segment_kind"), "transaction_count", "_gross",
-        half_up_decimal(F.col("_gross"), total_gross, 6, precision=9).alias("internal_share_of_volume"),
-        F.lit(None).cast("decimal(9,6)").alias("benchmark_share_of_volume"))
-    both = roll.unionByName(chan)
+    mix = (transactions.where(F.col("transaction_type") == "sale").select(group.alias("segment"), "amount").rollup("segment")
+           .agg(F.count(F.lit(1)).alias("transaction_count"), F.sum("amount").alias("_gross"), F.grouping("segment").alias("_all"))
+           .where("transaction_count > 0"))
+    of_cards = F.col("category_path") == cards_path
+    bench = frps.agg(F.max("collection_year").alias("_latest"), F.max_by(
+        F.struct("collection_year", F.col("avg_transaction_amount_usd").alias("avg")),
+        F.when(of_cards, F.struct("collection_year", "row_number"))).alias("_cards"))
+    in_time = F.col("_cards.collection_year") == F.col("_latest")
+    bench = bench.select(F.when(in_time, F.col("_cards.avg").cast("decimal(18,2)")).alias("_bench_avg"),
+                         F.when(in_time, F.col("_cards.collection_year")).alias("_bench_year"))
+    whole = Window.partitionBy(F.lit(0))                    # a handful of rows
+    rows = mix.unionByName(bench, allowMissingColumns=True).withColumns({
+        "_total": F.max(F.when(F.col("_all") == 1, F.col("_gross"))).over(whole),
+        "_bench_avg": F.max("_bench_avg").over(whole), "_bench_year": F.max("_bench_year").over(whole)}).where("_all IS NOT NULL")
     internal_avg = half_up_decimal(F.col("_gross"), F.col("transaction_count"), 2, scale=2)
-    return both.select(
-        "segment", "segment_kind", F.col("transaction_count").cast("long").alias("transaction_count"),
-        money(F.col("_gross")).alias("gross_volume_usd"), "internal_share_of_volume",
-        internal_avg.alias("internal_avg_ticket_usd"), bench_avg.alias("benchmark_avg_ticket_usd"),
-        "benchmark_share_of_volume", money(internal_avg - bench_avg).alias("avg_ticket_variance_usd"),
-        bench["collection_year"].alias("benchmark_collection_year"),
+    share, one = half_up_decimal(F.col("_gross"), F.col("_total"), 6, precision=9), F.lit(1).cast("decimal(9,6)")
+    overall = F.col("_all") == 1
+    return rows.select(
+        F.when(overall, "Cards (all)").otherwise(F.col("segment")).alias("segment"),
+        F.when(overall, "roll_up").otherwise("acceptance_channel").alias("segment_kind"),
+        "transaction_count", money(F.col("_gross")).alias("gross_volume_usd"),
+        F.when(overall, one).otherwise(share).alias("internal_share_of_volume"),
+        internal_avg.alias("internal_avg_ticket_usd"), F.col("_bench_avg").alias("benchmark_avg_ticket_usd"),
+        F.when(overall, one).alias("benchmark_share_of_volume"),
+        money(internal_avg - F.col("_bench_avg")).alias("avg_ticket_variance_usd"),
+        F.col("_bench_year").alias("benchmark_collection_year"),
         F.lit(run_id).alias("run_id"), F.lit(as_of).alias("as_of_date"))
 
 
 def bi_measures(daily_cash: DataFrame, breaks: DataFrame) -> DataFrame:
-    """Executive-page measures in one row."""
-    latest = daily_cash.agg(F.max("batch_date")).scalar()
-    latest_unresolved = daily_cash.where(F.col("batch_date") == latest).agg(F.sum("unresolved_break_amount")).scalar()
-    brk = breaks.agg(F.struct(F.sum(F.col("is_cash_at_risk").cast("long")).alias("n"),
-                              F.sum("funding_cost_estimate").alias("f"))).scalar()
-    g = daily_cash.agg(
-        money(F.sum("total_expected_settlement_amount")).alias("total_expected_settlement"),
+    """Executive-page measures in one row: one aggregate over each of the two marts, folded to a row."""
+    expected = F.col("total_expected_settlement_amount")
+    cash = daily_cash.agg(
+        money(F.sum(expected)).alias("total_expected_settlement"),
         money(F.sum("total_actual_cash_received")).alias("total_actual_cash_received"),
-        F.sum(F.col("reconciliation_match_rate") * F.col("total_expected_settlement_amount").cast("double"))
-        .alias("_w"),
-        F.sum(F.col("total_expected_settlement_amount").cast("double")).alias("_e"))
-    return g.select(
+        F.sum(F.col("reconciliation_match_rate").cast("double") * expected.cast("double")).alias("_w"),
+        F.sum(expected.cast("double")).alias("_e"),
+        money(F.max_by("unresolved_break_amount", "batch_date")).alias("unresolved_break_amount_latest_day"),
+        F.max("batch_date").alias("as_of_date"))
+    brk = breaks.agg(F.sum(F.col("is_cash_at_risk").cast("long")).alias("cash_at_risk_count"),
+                     money(F.sum("funding_cost_estimate")).alias("funding_cost_estimate"))
+    return one_row(cash, brk).select(
         "total_expected_settlement", "total_actual_cash_received",
-        F.round(F.col("_w") / F.col("_e"), 4).alias("weighted_match_rate"),
-        money(latest_unresolved).alias("unresolved_break_amount_latest_day"),
+        F.round(F.col("_w") / F.col("_e"), 4).alias("weighted_match_rate"), "unresolved_break_amount_latest_day",
         half_up_ratio(F.col("total_expected_settlement") - F.col("total_actual_cash_received"),
                       F.col("total_expected_settlement"), 4).alias("break_rate_dollar_net"),
-        brk["n"].alias("cash_at_risk_count"), money(brk["f"]).alias("funding_cost_estimate"),
-        F.lit(latest).alias("as_of_date"))
+        "cash_at_risk_count", "funding_cost_estimate", "as_of_date")
 
 
 def risk_matrix(breaks: DataFrame) -> DataFrame:

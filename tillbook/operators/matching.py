@@ -19,7 +19,8 @@ window = payout date .. last calendar day of business seq payout + N):
 Spark plan notes:
 * The window is 3..~7 calendar days, so it is exploded into (merchant, day)
   keys: the candidate search is a pure equi join on a key far finer than the
-  merchant, so a hot merchant spreads over its days.
+  merchant, so a hot merchant spreads over its days; a day of one merchant that
+  is larger than a partition is dealt out in pieces (``functions.spread``).
 * "Best per batch" / "best per posting" are ``min(struct(...))``
   aggregates (sort-based, with map-side partial aggregation) rather than two
   full-partition row_number windows. The batch-side
@@ -30,7 +31,8 @@ Spark plan notes:
   tiled by aligned decimal cent blocks, postings are reduced to their first
   id per (merchant, block, day), and each tile is an as-of lookup (see
   ``first_late``), so a merchant with many same-amount postings costs one
-  row per day, not one pair per posting.
+  row per day, not one pair per posting. Only postings that an open batch's
+  tiles may ask for are laid out at all (``late_postings``).
 """
 
 from __future__ import annotations
@@ -41,7 +43,8 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.functions.money import MONEY, int_div, money
+from tillbook.functions import sieve, spread
+from tillbook.functions.money import MONEY, money
 from tillbook.operators import calendar as cal_ops
 from tillbook.policy import Policy
 
@@ -89,7 +92,8 @@ def candidate_pairs(windows: DataFrame, postings: DataFrame) -> DataFrame:
                           "expected_settlement_amount", "amount_tolerance",
                           F.explode(F.sequence("expected_payout_date", "window_end_date")).alias("posting_date"))
     p = postings.select("posting_id", "merchant_id", "posting_date", F.col("amount").alias("posting_amount"))
-    c = days.join(p, ["merchant_id", "posting_date"])
+    # a (merchant, day) has one window per open day and any number of postings: a busy one is dealt out
+    c = spread.join(p, days, ["merchant_id", "posting_date"], ["posting_id"])
     return c.select(
         ID, "merchant_id", "batch_date", "expected_settlement_amount", "expected_payout_date", "window_end_date",
         "amount_tolerance", "posting_id", "posting_date", "posting_amount",
@@ -152,13 +156,18 @@ def split_sums(candidates: DataFrame, first: DataFrame,
 
 
 LATE_MAX_LEVEL = 12  # decimal levels of cent blocks: 10^12 cents covers any tolerance interval in use
+_POWERS = [10 ** k for k in range(LATE_MAX_LEVEL + 2)]
 
 
-def _floor_div(a: Column, p: int) -> Column:
-    return int_div(a, F.lit(p)).cast("long")
+def _power(k: Column) -> Column:
+    return F.get(F.array(*[F.lit(p).cast("long") for p in _POWERS]), k)
 
 
-def _ceil_div(a: Column, p: int) -> Column:
+def _floor_div(a: Column, p: Column) -> Column:
+    return F.call_function("div", a - F.pmod(a, p), p)
+
+
+def _ceil_div(a: Column, p: Column) -> Column:
     return -_floor_div(-a, p)
 
 
@@ -166,70 +175,77 @@ def _range_or_empty(lo: Column, hi: Column) -> Column:
     return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _tag_level(k: int):
-    # one-argument lambda: transform() would pass the element index as a second argument
-    return lambda x: F.struct(F.lit(k).alias("k"), x.alias("block"))
-
-
-def tolerance_blocks(lo: Column, hi: Column, max_level: int = LATE_MAX_LEVEL) -> Column:
+def tolerance_blocks(lo: Column, hi: Column) -> Column:
     """array<struct<k, block>>: aligned blocks of 10^k cents that exactly tile [lo, hi].
 
     A cent block b at level k covers [b*10^k, (b+1)*10^k - 1]. Level k keeps the
     blocks fully inside the interval that are not children of a fully-inside
-    block of level k+1, so the tiles are disjoint and at most ~18 per level.
+    block of level k+1, so the tiles are disjoint and at most ~18 per level. The
+    highest level is that of the interval's width.
     """
-    levels = []
-    for k in range(max_level + 1):
-        p = 10 ** k
+    top = F.least(F.lit(LATE_MAX_LEVEL), F.length((hi - lo + 1).cast("string")) - 1)
+
+    def at_level(k):
+        p, parent = _power(k), _power(k + 1)
         a, b = _ceil_div(lo, p), _floor_div(hi + 1, p) - 1
-        if k == max_level:
-            used = _range_or_empty(a, b)
-        else:
-            a1, b1 = _ceil_div(lo, 10 * p), _floor_div(hi + 1, 10 * p) - 1
-            used = F.when(a1 <= b1, F.concat(_range_or_empty(a, a1 * 10 - 1), _range_or_empty(b1 * 10 + 10, b))) \
-                .otherwise(_range_or_empty(a, b))
-        levels.append(F.transform(used, _tag_level(k)))
-    return F.flatten(F.array(*levels))
+        a1, b1 = _ceil_div(lo, parent), _floor_div(hi + 1, parent) - 1
+        beside = F.concat(_range_or_empty(a, a1 * 10 - 1), _range_or_empty(b1 * 10 + 10, b))
+        used = F.when((k < top) & (a1 <= b1), beside).otherwise(_range_or_empty(a, b))
+        return F.transform(used, lambda x: F.struct(k.alias("k"), x.alias("block")))
+    return F.flatten(F.transform(F.sequence(F.lit(0), top), lambda k: at_level(k)))
+
+
+def late_probes(open_batches: DataFrame) -> DataFrame:
+    """``settlement_batch_id, merchant_id, d, k, block``: the tiles of each open batch's tolerance interval."""
+    exp, tol = F.col("expected_settlement_amount"), F.col("amount_tolerance")
+    lo = F.ceil((exp - tol) * 100).cast("long")
+    hi = F.floor((exp + tol) * 100).cast("long")
+    return open_batches.where(F.col("window_end_date").isNotNull()).select(
+        ID, "merchant_id", F.col("window_end_date").alias("d"), F.inline(tolerance_blocks(lo, hi)))
+
 
+def late_postings(probes: DataFrame, postings: DataFrame,
+                  persist: Callable[[DataFrame, str], DataFrame] = lambda d, name: d) -> DataFrame:
+    """``merchant_id, k, block, posting_date, posting_id, amount``: postings, once per level, that a probe may ask for.
 
-def first_late(open_batches: DataFrame, postings: DataFrame, max_level: int = LATE_MAX_LEVEL) -> DataFrame:
+    The probes are the side information that prunes: a merchant's postings
+    are laid out only on the levels its own probes use, only after the first
+    window end among them, and only where the sieve of all (merchant, level,
+    block) keys has the posting's block. One batch with a wide tolerance adds
+    levels to its own merchant alone, and what is never asked for isn't
+    shuffled.
+    """
+    levels = persist(probes.groupBy("merchant_id").agg(F.min("d").alias("_since"), F.collect_set("k").alias("_levels")), "late_levels")
+    asked = persist(sieve.build(probes, ["merchant_id", "k", "block"]), "late_sieve")
+    cents = (F.col("amount") * 100).cast("long")
+    laid_out = (spread.lookup(postings.select("merchant_id", "posting_id", "posting_date", "amount"), levels, ["merchant_id"], ["posting_id"])
+                .where(F.col("posting_date") > F.col("_since"))
+                .select("merchant_id", "posting_id", "posting_date", "amount", cents.alias("_cents"), F.explode("_levels").alias("k"))
+                .withColumn("block", _floor_div(F.col("_cents"), _power(F.col("k")))).drop("_cents"))
+    return sieve.keep(laid_out, asked, ["merchant_id", "k", "block"])
+
+
+def first_late(open_batches: DataFrame, postings: DataFrame,
+               persist: Callable[[DataFrame, str], DataFrame] = lambda d, name: d) -> DataFrame:
     """First in-tolerance posting after the window (no upper date limit), without pairs.
 
     Every posting inside a tile of the batch's tolerance interval qualifies, so
     per tile the answer is "the earliest posting day after the window end" -
-    an as-of lookup. Postings are reduced to one row per (merchant, level,
-    block, day) with the smallest posting id; each lookup is a running
-    ``last(ignorenulls)`` over that key in descending day order. A key's
-    partition holds at most one row per day plus that merchant's open
-    batches, whatever the posting volume; the minimum over a batch's tiles
-    is the result (earliest day, then smallest id).
+    an as-of lookup. The postings that a probe may ask for are reduced to one
+    row per (merchant, level, block, day) with the smallest posting id; each
+    lookup is a running ``last(ignorenulls)`` over that key in descending day
+    order. A key's partition holds at most one row per day plus that
+    merchant's open batches, whatever the posting volume; the minimum over a
+    batch's tiles is the result (earliest day, then smallest id).
 
     The per-day reduction is a separate aggregate (map-side partial
     aggregation) before the window's shuffle on purpose: repartitioning the
-    raw expanded postings on the window key would send all postings of a hot
+    raw postings on the window key would send all postings of a hot
     (merchant, block) through one task.
     """
-    exp, tol = F.col("expected_settlement_amount"), F.col("amount_tolerance")
-    lo = F.ceil((exp - tol) * 100).cast("long")
-    hi = F.floor((exp + tol) * 100).cast("long")
-    open_ = open_batches.where(F.col("window_end_date").isNotNull())
-    # deepest tile level any open batch needs: one number from the (batch-level) open set
-    widest = open_.agg(F.max(hi - lo + 1)).first()[0]
-    if not widest:  # nothing can be late: skip the posting side entirely
-        return open_.select(ID, F.lit(None).cast("string").alias("late_posting_id"),
-                            F.lit(None).cast("date").alias("late_posting_date"),
-                            F.lit(None).cast(MONEY).alias("late_posting_amount")).where(F.lit(False))
-    top = min(max_level, len(str(int(widest))) - 1)
-    probes = open_.select(ID, "merchant_id", F.col("window_end_date").alias("d"),
-                          F.inline(tolerance_blocks(lo, hi, top)))
-
-    cents = (F.col("amount") * 100).cast("long")
-    levels = F.array(*[F.struct(F.lit(k).alias("k"), _floor_div(cents, 10 ** k).alias("block"))
-                       for k in range(top + 1)])
-    firsts = (postings.select("merchant_id", "posting_id", "posting_date", "amount", F.inline(levels))
-              .groupBy("merchant_id", "k", "block", F.col("posting_date").alias("d"))
+    probes = persist(late_probes(open_batches), "late_probes")
+    firsts = (late_postings(probes, postings, persist).groupBy("merchant_id", "k", "block", F.col("posting_date").alias("d"))
               .agg(F.min(F.struct("posting_id", "amount")).alias("p")))
-
     rows = (firsts.select("merchant_id", "k", "block", "d", F.lit(0).alias("kind"),
                           F.struct(F.col("d").alias("posting_date"), F.col("p.posting_id").alias("posting_id"),
                                    F.col("p.amount").alias("posting_amount")).alias("t"),
@@ -271,7 +287,7 @@ def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: P
         ID, "closest_posting_id", "closest_posting_amount", "closest_amount_diff")
     closed = single.select(ID).unionByName(split.select(ID))
     open_batches = persist(windows.join(closed, ID, "left_anti"), "open_batches")
-    late = first_late(open_batches, postings)
+    late = persist(first_late(open_batches, postings, persist), "late")
 
     brk = (open_batches.select(ID).join(late, ID, "left").join(best, ID, "left").select(
         ID,
@@ -282,15 +298,17 @@ def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: P
         F.when(F.col("late_posting_id").isNotNull(), "delayed")
          .when(F.col("closest_posting_id").isNotNull(), "unmatched_closest_candidate")
          .otherwise("missing_posting").alias("match_method"),
-        F.lit(False).alias("is_matched")))
+        F.lit(False).alias("is_matched"), F.lit(None).cast("date").alias("actual_settlement_date")))
 
-    split_ids = split_lines.groupBy(ID).agg(F.array_sort(F.collect_list("posting_id")).alias("matched_posting_ids"))
+    split_ids = split_lines.groupBy(ID).agg(F.array_sort(F.collect_list("posting_id")).alias("matched_posting_ids"),
+                                            F.max("posting_date").alias("actual_settlement_date"))
     outcomes = (
         single.select(ID, "matched_amount", F.array("posting_id").alias("matched_posting_ids"),
-                      F.lit("single_match").alias("match_method"), F.lit(True).alias("is_matched"))
+                      F.lit("single_match").alias("match_method"), F.lit(True).alias("is_matched"),
+                      F.col("posting_date").alias("actual_settlement_date"))
         .unionByName(split.join(split_ids, ID).select(
             ID, F.col("summed_amount").alias("matched_amount"), "matched_posting_ids",
-            F.lit("split_match").alias("match_method"), F.lit(True).alias("is_matched")))
+            F.lit("split_match").alias("match_method"), F.lit(True).alias("is_matched"), "actual_settlement_date"))
         .unionByName(brk))
     matches = windows.join(outcomes, ID, "left").select(
         ID, "merchant_id", "batch_date", "expected_payout_date", "window_end_date",
@@ -298,7 +316,7 @@ def reconcile(batches: DataFrame, postings: DataFrame, cal: DataFrame, policy: P
         F.col("matched_amount").cast(MONEY).alias("actual_cash_received"),
         F.coalesce(F.col("matched_posting_ids"), _empty_ids()).alias("matched_posting_ids"),
         "match_method",
-        F.coalesce("is_matched", F.lit(False)).alias("is_matched"))
+        F.coalesce("is_matched", F.lit(False)).alias("is_matched"), "actual_settlement_date")
     settled = single.select(ID, F.col("posting_date").alias("actual_settlement_date")).unionByName(
         split_lines.groupBy(ID).agg(F.max("posting_date").alias("actual_settlement_date"))
         .join(split.select(ID), ID, "left_semi"))

@@ -1,7 +1,7 @@
 """Run health: telemetry log, run summary, heartbeat (dead-man's switch).
 
-One-row outputs are built from scalar subqueries (each evaluated once on
-its own small aggregate), so there is no join between one-row relations.
+One-row outputs are folded from one aggregate per input (``frames.one_row``):
+every input is read once and nothing is joined.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillbook.functions.frames import one_row
 from tillbook.functions.money import money
 from tillbook.policy import Policy
 from tillbook.sources.landing import ts_ntz
@@ -41,23 +42,18 @@ def append_run_telemetry(spark: SparkSession, path: str, invocation_id: str, fin
     return len(rows)
 
 
-def _last_invocation_rows(telemetry: DataFrame) -> DataFrame:
-    latest = telemetry.agg(F.max_by("invocation_id", "run_started_at")).scalar()
-    return telemetry.where(F.col("invocation_id") == latest)
-
-
-def _failures(c="status"):
-    return F.coalesce(F.sum(F.col(c).isin(*FAILED).cast("long")), F.lit(0).cast("long"))
+def _last_invocation(telemetry: DataFrame) -> DataFrame:
+    """One row: when the latest run ended, and how many of its nodes failed (nulls before the first run)."""
+    runs = telemetry.groupBy("invocation_id").agg(
+        F.max("run_started_at").alias("at"), F.coalesce(F.sum(F.col("status").isin(*FAILED).cast("long")), F.lit(0)).alias("failures"))
+    return runs.agg(F.max(F.struct("at", "invocation_id", "failures")).alias("last")).select("last.at", "last.failures")
 
 
 def pipeline_heartbeat(telemetry: DataFrame, now: datetime, policy: Policy = Policy()) -> DataFrame:
     """Last completed run and failures of the last invocation; age is computed at read time."""
-    last_run = telemetry.agg(F.max("run_started_at")).scalar()
-    failures = _last_invocation_rows(telemetry).agg(_failures()).scalar()
-    one = telemetry.sparkSession.range(1)
-    return one.select(last_run.alias("last_run_completed_at"), failures.alias("last_run_node_failures"),
-                      F.lit(policy.heartbeat_threshold_hours).alias("heartbeat_threshold_hours"),
-                      ts_ntz(now).alias("heartbeat_written_at"))
+    return _last_invocation(telemetry).select(
+        F.col("at").alias("last_run_completed_at"), F.coalesce("failures", F.lit(0).cast("long")).alias("last_run_node_failures"),
+        F.lit(policy.heartbeat_threshold_hours).alias("heartbeat_threshold_hours"), ts_ntz(now).alias("heartbeat_written_at"))
 
 
 def hours_between(a, b):
@@ -76,24 +72,20 @@ def pipeline_silence(heartbeat: DataFrame, now: datetime) -> DataFrame:
 
 def run_summary(daily_cash: DataFrame, queue: DataFrame, telemetry: DataFrame,
                 policy: Policy = Policy()) -> DataFrame:
-    latest = daily_cash.orderBy(F.col("batch_date").desc()).limit(1)
-    exc = queue.agg(F.struct(
+    """The latest day, the queue and the last run in one row; no row without any day."""
+    day = daily_cash.orderBy(F.col("batch_date").desc()).limit(1).select(
+        F.col("batch_date").alias("latest_report_date"), "settlement_batch_count", "break_count", "break_rate_dollar_basis",
+        "reconciliation_match_rate")
+    exceptions = queue.agg(
         F.count(F.lit(1)).alias("open_exception_count"),
         F.sum((F.col("severity") == "critical").cast("long")).alias("critical_count"),
         F.sum((F.col("severity") == "high").cast("long")).alias("high_count"),
         money(F.sum("break_amount")).alias("total_open_break_amount"),
-        money(F.sum("funding_cost_estimate")).alias("total_funding_cost_estimate"))).scalar()
-    tel = _last_invocation_rows(telemetry).agg(F.struct(
-        F.max("run_started_at").alias("last_run_at"),
-        F.sum(F.col("status").isin(*FAILED).cast("long")).alias("last_run_test_failures"))).scalar()
-    return latest.select(
-        F.col("batch_date").alias("latest_report_date"), "settlement_batch_count", "break_count",
-        "break_rate_dollar_basis", "reconciliation_match_rate",
-        exc["open_exception_count"].alias("open_exception_count"), exc["critical_count"].alias("critical_count"),
-        exc["high_count"].alias("high_count"), exc["total_open_break_amount"].alias("total_open_break_amount"),
-        exc["total_funding_cost_estimate"].alias("total_funding_cost_estimate"),
-        tel["last_run_at"].alias("last_run_at"), tel["last_run_test_failures"].alias("last_run_test_failures"),
+        money(F.sum("funding_cost_estimate")).alias("total_funding_cost_estimate"))
+    last = _last_invocation(telemetry).select(F.col("at").alias("last_run_at"), F.col("failures").alias("last_run_test_failures"))
+    return one_row(day, exceptions, last).where(F.col("latest_report_date").isNotNull()).select(
+        "*",
         F.coalesce(F.col("break_rate_dollar_basis") > policy.break_rate_ceiling, F.lit(False))
         .alias("sla_flag_break_rate_ceiling_breached"),
-        F.coalesce(exc["critical_count"] > 0, F.lit(False)).alias("sla_flag_critical_exceptions_open"),
-        F.coalesce(tel["last_run_test_failures"] > 0, F.lit(False)).alias("sla_flag_last_run_had_failures"))
+        F.coalesce(F.col("critical_count") > 0, F.lit(False)).alias("sla_flag_critical_exceptions_open"),
+        F.coalesce(F.col("last_run_test_failures") > 0, F.lit(False)).alias("sla_flag_last_run_had_failures"))

@@ -126,9 +126,13 @@ def write_next(df: DataFrame, base: str) -> int:
     return nxt
 
 
+def next_queue(stored: DataFrame | None, breaks: DataFrame, merchants: DataFrame, policy: Policy = Policy()) -> DataFrame:
+    """The queue after a run: its open breaks merged into the stored queue, if there is one."""
+    fresh = exception_queue(breaks, merchants, policy)
+    return fresh if stored is None else merge_queue(stored, fresh)
+
+
 def run_queue(spark: SparkSession, base: str, breaks: DataFrame, merchants: DataFrame,
               policy: Policy = Policy()) -> int:
-    """One pipeline run of the incremental queue: build, merge with current, write next version."""
-    fresh = exception_queue(breaks, merchants, policy)
-    stored = read_current(spark, base)
-    return write_next(fresh if stored is None else merge_queue(stored, fresh), base)
+    """One run of a queue that is kept as versions of its own: build, merge with current, write next version."""
+    return write_next(next_queue(read_current(spark, base), breaks, merchants, policy), base)

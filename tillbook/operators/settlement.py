@@ -8,6 +8,8 @@ nothing walks rows in order and no second copy of the batches is joined.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +32,23 @@ def daily_volume(transactions: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("transaction_count")))
 
 
+def returns_adjustments(drawn: DataFrame, daily: DataFrame) -> DataFrame:
+    """Returns as a share of what their merchant sold on the earlier day they go back to.
+
+    ``drawn``: adjustment_id, merchant_id, adjustment_date, lag_days,
+    pct_points, reason_code. The amount is ``pct_points`` % of that day's gross
+    sales; without sales on that day there is nothing to return, and the row
+    goes. An equi-join on (merchant, day), unique on the volume's side.
+    """
+    earlier = daily.where(F.col("gross_sales_volume") > 0).select(
+        "merchant_id", F.col("batch_date").alias("original_batch_date"), F.col("gross_sales_volume").alias("_gross"))
+    back = drawn.withColumn("original_batch_date", F.date_sub("adjustment_date", F.col("lag_days")))
+    share = F.col("pct_points").cast("decimal(3,0)") * F.lit(Decimal("0.01"))
+    return back.join(earlier, ["merchant_id", "original_batch_date"]).select(
+        "adjustment_id", "merchant_id", "adjustment_date", "original_batch_date",
+        money(F.round(F.col("_gross") * share, 2)).alias("amount"), "reason_code")
+
+
 def settlement_batches(daily: DataFrame, merchants: DataFrame, returns: DataFrame, cal: DataFrame,
                        policy: Policy = Policy()) -> DataFrame:
     """Expected payout per (merchant, day).

@@ -11,12 +11,15 @@ from __future__ import annotations
 
 import re
 
-# Ordered CTE bodies; every oracle query is "WITH <all> SELECT ...".
+# Ordered CTE bodies; every oracle query is "WITH <those it needs> SELECT ...".
 _CTES: list[tuple[str, str]] = []
+_STORED: set[str] = set()  # computed once, however often they are read
 
 
-def cte(name: str, body: str) -> None:
+def cte(name: str, body: str, stored: bool = False) -> None:
     _CTES.append((name, body))
+    if stored:
+        _STORED.add(name)
 
 
 def query(select: str) -> str:
@@ -28,15 +31,18 @@ def query(select: str) -> str:
         found = {w for w in re.findall(r"\w+", text) if w in bodies} - used
         used |= found
         todo += [bodies[n] for n in found]
-    head = ",\n".join(f"{n} AS (\n{b}\n)" for n, b in _CTES if n in used)
+    head = ",\n".join(f"{n} AS {'MATERIALIZED ' * (n in _STORED)}(\n{b}\n)" for n, b in _CTES if n in used)
     return f"WITH {head}\n{select}" if head else select
 
 
 # ---------------------------------------------------------------- calendar
+cte("span", """
+SELECT date_trunc('month', min(CAST(l_shipdate AS DATE))) - INTERVAL 1 MONTH AS first_day,
+       date_trunc('month', max(CAST(l_shipdate AS DATE))) + INTERVAL 5 MONTH - INTERVAL 1 DAY AS last_day FROM lineitem""")
 cte("cal_days", """
-SELECT CAST(d AS DATE) AS date_day
-FROM generate_series(TIMESTAMP '1994-12-01', TIMESTAMP '2002-03-31', INTERVAL 1 DAY) t(d)""")
-cte("hol_years", "SELECT CAST(y AS INTEGER) AS y FROM range(1994, 2004) t(y)")
+SELECT CAST(unnest(generate_series(CAST(first_day AS TIMESTAMP), CAST(last_day AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date_day FROM span""")
+cte("hol_years", """
+SELECT CAST(unnest(range(CAST(year(first_day) AS BIGINT), CAST(year(last_day) AS BIGINT) + 2)) AS INTEGER) AS y FROM span""")
 cte("hol_firsts", """
 SELECT y, make_date(y, 1, 1) AS jan1, make_date(y, 2, 1) AS feb1, make_date(y, 5, 31) AS may31,
        make_date(y, 9, 1) AS sep1, make_date(y, 10, 1) AS oct1, make_date(y, 11, 1) AS nov1
@@ -106,15 +112,6 @@ SELECT 'TXN-' || l_orderkey || '-' || l_linenumber || '-' ||
        CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN -CAST(l_extendedprice AS DECIMAL(18,2))
             ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS amount
 FROM lineitem""")
-cte("returns_adj", """
-SELECT 'ADJ-' || l_orderkey || '-' || l_partkey || '-' || l_suppkey AS adjustment_id,
-       'MER-' || printf('%06d', l_suppkey) AS merchant_id,
-       CAST(l_shipdate AS DATE) AS adjustment_date,
-       CAST(l_shipdate AS DATE) - CAST(1 + CAST(l_quantity AS BIGINT) % 21 AS INTEGER) AS original_batch_date,
-       CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.05 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2)) AS amount,
-       (['chargeback','customer_return','billing_dispute'])[CAST(l_partkey % 3 AS INTEGER) + 1] AS reason_code
-FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber = 1 AND l_quantity >= 40""")
-
 # ---------------------------------------------------------------- settlement
 cte("daily", """
 SELECT merchant_id, transaction_date AS batch_date,
@@ -122,6 +119,16 @@ SELECT merchant_id, transaction_date AS batch_date,
        CAST(-coalesce(sum(CASE WHEN transaction_type = 'refund' THEN amount END), 0) AS DECIMAL(18,2)) AS same_day_refunds,
        count(*) AS transaction_count
 FROM txn GROUP BY 1, 2""")
+cte("returns_adj", """
+SELECT d.adjustment_id, d.merchant_id, d.adjustment_date, v.batch_date AS original_batch_date,
+       CAST(round(v.gross_sales_volume * CAST(d.pct_points AS DECIMAL(3,0)) * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2)) AS amount,
+       d.reason_code
+FROM (SELECT 'ADJ-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS adjustment_id,
+             'MER-' || printf('%06d', l_suppkey) AS merchant_id, CAST(l_shipdate AS DATE) AS adjustment_date,
+             CAST(1 + CAST(l_quantity AS BIGINT) % 21 AS INTEGER) AS lag_days, 2 + l_partkey % 7 AS pct_points,
+             (['chargeback','customer_return','billing_dispute'])[CAST(l_partkey % 3 AS INTEGER) + 1] AS reason_code
+      FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber <= 3 AND l_quantity >= 30) d
+JOIN daily v ON v.merchant_id = d.merchant_id AND v.batch_date = d.adjustment_date - d.lag_days AND v.gross_sales_volume > 0""")
 _FEE = "CAST(round({a} * CAST({bps} AS DECIMAL(6,0)) * CAST(0.0001 AS DECIMAL(5,4)), 2) AS DECIMAL(18,2))"
 cte("batch_fees", f"""
 SELECT d.*, m.settlement_speed_business_days AS speed,
@@ -149,7 +156,7 @@ SELECT 'BATCH-' || CAST(substr(b.merchant_id, 5) AS BIGINT) || '-' || strftime(b
        CASE WHEN b.speed = 0 THEN b.batch_date ELSE f.first_day END AS expected_payout_date
 FROM batch_pre b
 LEFT JOIN cal c ON c.date_day = b.batch_date
-LEFT JOIN cal_first f ON f.seq = c.business_day_seq + b.speed""")
+LEFT JOIN cal_first f ON f.seq = c.business_day_seq + b.speed""", stored=True)
 cte("reserve_ev", """
 SELECT merchant_id, 'hold' AS event_type, batch_date AS event_date, reserve_held AS amount, batch_date + 90 AS related_date
 FROM batches WHERE reserve_held > 0
@@ -191,9 +198,10 @@ SELECT 'POST-' || CAST(substr(merchant_id, 5) AS BIGINT) || '-' || strftime(batc
        merchant_id, posting_date, amount,
        upper(substr(sha256('POST-' || CAST(substr(merchant_id, 5) AS BIGINT) || '-' || strftime(batch_date, '%Y%m%d')
                            || '-' || n), 1, 12)) AS bank_reference
-FROM postings_raw""")
+FROM postings_raw""", stored=True)
 cte("truth", """
-SELECT settlement_batch_id, merchant_id, scenario AS injected_scenario, expected_settlement_amount FROM scen""")
+SELECT settlement_batch_id, merchant_id, scenario AS injected_scenario, expected_settlement_amount, shift,
+       'POST-' || CAST(substr(merchant_id, 5) AS BIGINT) || '-' || strftime(batch_date, '%Y%m%d') AS stem FROM scen_dates""")
 
 cte("batches_r1", "SELECT * FROM batches WHERE batch_date < DATE '2001-07-01'")
 cte("postings_r1", "SELECT * FROM postings WHERE posting_date < DATE '2001-07-01'")
@@ -218,15 +226,16 @@ SELECT settlement_batch_id, batch_date, expected_settlement_amount, allowed, pos
        CAST(abs(amount - expected_settlement_amount) AS DECIMAL(18,2)) AS amount_diff,
        CAST(abs(posting_date - expected_payout_date) AS INTEGER) AS date_diff
 FROM {postings} JOIN expected{sfx} USING (merchant_id)
-WHERE posting_date >= expected_payout_date AND posting_date <= window_end_date""")
+WHERE posting_date >= expected_payout_date AND posting_date <= window_end_date""", stored=True)
     # both sides name their nearest within tolerance
     cte(f"agreed{sfx}", f"""
-SELECT settlement_batch_id, nearest.posting_id AS posting_id, nearest.amount AS matched_amount
-FROM (SELECT settlement_batch_id, min({{'a': amount_diff, 'd': date_diff, 'posting_id': posting_id, 'amount': posting_amount}}) AS nearest
+SELECT settlement_batch_id, nearest.posting_id AS posting_id, nearest.amount AS matched_amount, nearest.day AS posting_date
+FROM (SELECT settlement_batch_id, min({{'a': amount_diff, 'd': date_diff, 'posting_id': posting_id, 'amount': posting_amount,
+                                        'day': posting_date}}) AS nearest
       FROM in_window{sfx} WHERE amount_diff <= allowed GROUP BY 1) of_batch
 JOIN (SELECT posting_id AS chosen, min({{'a': amount_diff, 'd': date_diff, 'batch': settlement_batch_id}}) AS nearest_batch
       FROM in_window{sfx} WHERE amount_diff <= allowed GROUP BY 1) of_posting
-  ON chosen = nearest.posting_id AND nearest_batch.batch = settlement_batch_id""")
+  ON chosen = nearest.posting_id AND nearest_batch.batch = settlement_batch_id""", stored=True)
     # what is left may add up; a posting belongs to the earliest batch whose sum fits, and a sum stands if it owns all its parts
     cte(f"sums{sfx}", f"""
 SELECT settlement_batch_id, min(batch_date) AS batch_date, list(posting_id ORDER BY posting_id) AS ids,
@@ -363,12 +372,9 @@ FROM (SELECT settlement_batch_id, unnest(matched_posting_ids) AS pid FROM matche
 cte("dups", """
 SELECT u.posting_id AS unclaimed_posting_id, u.merchant_id, u.posting_date, u.amount,
        c.posting_id AS duplicated_posting_id, c.batch_id AS duplicated_against_batch_id
-FROM postings u
-JOIN (SELECT p.merchant_id, p.posting_date, p.amount, p.posting_id, cl.batch_id,
-             row_number() OVER (PARTITION BY p.merchant_id, p.posting_date, p.amount ORDER BY p.posting_id) AS rn
-      FROM postings p JOIN claims cl USING (posting_id)) c
-  ON c.merchant_id = u.merchant_id AND c.posting_date = u.posting_date AND c.amount = u.amount AND c.rn = 1
-WHERE u.posting_id NOT IN (SELECT posting_id FROM claims)""")
+FROM (SELECT * FROM postings ANTI JOIN claims USING (posting_id)) u
+JOIN (SELECT p.merchant_id, p.posting_date, p.amount, p.posting_id, cl.batch_id
+      FROM postings p JOIN claims cl USING (posting_id)) c USING (merchant_id, posting_date, amount)""")
 
 # ---------------------------------------------------------------- telemetry
 cte("telemetry", """

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tillbook.policy import Policy
 from tillbook.session import materialize
-from tillbook.sources import adapter
+from tillbook.sources import adapter, bronze
 from tillbook.operators import breaks as breaks_ops
 from tillbook.operators import contracts
 from tillbook.operators import duplicates, history, marts, masking, matching, ops, settlement, silver
@@ -48,7 +48,7 @@ class Pipeline:
     @cached_property
     def calendar(self) -> DataFrame:
         # a few thousand rows, looked up by most stages: written once, then a tiny scan
-        return self._keep(adapter.calendar(self.spark), "calendar")
+        return self._keep(adapter.calendar(self.spark, self.sf_dir), "calendar")
 
     @cached_property
     def merchants(self) -> DataFrame:
@@ -65,11 +65,11 @@ class Pipeline:
 
     @cached_property
     def returns(self) -> DataFrame:
-        return adapter.returns_adjustments(self.spark, self.sf_dir)
+        return self._keep(settlement.returns_adjustments(adapter.drawn_returns(self.spark, self.sf_dir), self.daily_volume), "returns")
 
     @cached_property
     def daily_volume(self) -> DataFrame:
-        return settlement.daily_volume(self.transactions)
+        return self._keep(settlement.daily_volume(self.transactions), "daily_volume")
 
     @cached_property
     def batches(self) -> DataFrame:
@@ -164,6 +164,13 @@ class Pipeline:
     def exception_queue(self) -> DataFrame:
         return queue_ops.exception_queue(self.breaks, self.merchants, self.policy)
 
+    #: The queue that the last run left, if any; a build sets it from what is published.
+    stored_queue: DataFrame | None = None
+
+    @cached_property
+    def current_queue(self) -> DataFrame:
+        return queue_ops.next_queue(self.stored_queue, self.breaks, self.merchants, self.policy)
+
     @cached_property
     def exception_queue_second_run(self) -> DataFrame:
         first = queue_ops.exception_queue(self.breaks_run1, self.merchants, self.policy)
@@ -194,7 +201,7 @@ class Pipeline:
 
     @cached_property
     def duplicate_postings(self) -> DataFrame:
-        return duplicates.duplicate_postings(self.matches, self.bank_movements)
+        return self._keep(duplicates.duplicate_postings(self.matches, self.bank_movements, self._keep), "duplicate_postings")
 
 
 _CACHE: dict[tuple, Pipeline] = {}
@@ -243,11 +250,15 @@ class BronzePipeline(Pipeline):
 
     def _bronze_table(self, name: str) -> DataFrame:
         from tillbook.sources.landing import LINEAGE_COLUMNS
-        df = self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}")
+        df = self.bronze(name)
         return df.drop(*[c for c in LINEAGE_COLUMNS if c in df.columns])
 
     def bronze(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}")
+        """The landed table as it stands, corrections in place; a folder that was landed without the ledger is read as it is."""
+        try:
+            return bronze.read_current(self.spark, self.sf_dir, name)
+        except FileNotFoundError:
+            return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}")
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -293,7 +304,7 @@ class BronzePipeline(Pipeline):
 
     @cached_property
     def ground_truth(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/ground_truth_breaks")
+        return self.bronze("ground_truth_breaks")
 
     @cached_property
     def frps(self) -> DataFrame:

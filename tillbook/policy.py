@@ -10,8 +10,18 @@ from dataclasses import dataclass, replace
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed values (must equal the reference): keys of the assumptions seed -> fields of the policy.
+SEED_FIELDS = {
+    "assumed_cost_of_funds_annual_rate": "cost_of_funds_rate",
+    "cash_at_risk_aging_threshold_business_days": "cash_at_risk_threshold_days",
+    "reconciliation_amount_tolerance_floor_usd": "tolerance_floor_usd",
+    "reconciliation_amount_tolerance_pct": "tolerance_pct",
+    "reconciliation_date_window_business_days": "window_business_days",
+}
+
 
 @dataclass(frozen=True)
 class Policy:
@@ -53,15 +63,16 @@ class Policy:
 
     @staticmethod
     def from_assumptions(df: DataFrame, base: "Policy | None" = None) -> "Policy":
-        """Read a (5-row) assumptions seed back into a Policy."""
+        """The policy with the values that an assumptions seed has; only the known keys are read.
+
+        Each key must have one value: a seed that gives two is refused.
+        """
         base = base or Policy()
-        kv = {r["assumption_key"]: r["assumption_value"] for r in df.collect()}
-        return replace(
-            base,
-            tolerance_floor_usd=kv.get("reconciliation_amount_tolerance_floor_usd", base.tolerance_floor_usd),
-            tolerance_pct=kv.get("reconciliation_amount_tolerance_pct", base.tolerance_pct),
-            window_business_days=int(kv.get("reconciliation_date_window_business_days", base.window_business_days)),
-            cash_at_risk_threshold_days=int(kv.get("cash_at_risk_aging_threshold_business_days",
-                                                   base.cash_at_risk_threshold_days)),
-            cost_of_funds_rate=kv.get("assumed_cost_of_funds_annual_rate", base.cost_of_funds_rate),
-        )
+        kv = {r["assumption_key"]: (r["low"], r["high"]) for r in
+              df.where(F.col("assumption_key").isin(*SEED_FIELDS)).groupBy("assumption_key")
+              .agg(F.min("assumption_value").alias("low"), F.max("assumption_value").alias("high")).collect()}
+        torn = sorted(k for k, (low, high) in kv.items() if low != high)
+        if torn:
+            raise ValueError(f"assumptions with two values: {torn}")
+        known = {field: kv[key][0] for key, field in SEED_FIELDS.items() if key in kv and kv[key][0] is not None}
+        return replace(base, **{f: int(v) if isinstance(getattr(base, f), int) else v for f, v in known.items()})

@@ -5,7 +5,7 @@ second time as plain SQL for the DuckDB oracle (``tillbook.plans.oracle``).
 
 * merchants    <- supplier x nation x region
 * transactions <- lineitem (one row per line item)
-* returns      <- a rule-selected ~1 % of lineitem
+* returns      <- drawn from lineitem by a rule, priced by the earlier day's volume
 * bank postings and ground truth <- settlement batches + a hashed scenario
 * run telemetry <- events
 """
@@ -37,9 +37,11 @@ SIZE_CLASSES = ["1-4", "5-9", "10-19", "20-49", "50-99", "100-249", "250-499", "
 # Risk tier -> (reserve_rate_bps, processing_fee_bps, settlement_speed_business_days).
 TIER_PARAMS = {"standard": (500, 40, 1), "elevated": (800, 55, 2), "high": (1200, 75, 2)}
 
+# Fixed values (must equal the reference): sales regions.  The test tables bring regions of their own.
+SALES_REGIONS = ["South", "West", "Midwest", "Northeast"]
 # Adapter constants (test-data mapping, not reference values).
-CALENDAR_START = date(1994, 12, 1)
-CALENDAR_END_EXCLUSIVE = date(2002, 4, 1)
+REGIONS = [*SALES_REGIONS, "AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+CALENDAR_MONTHS_BEFORE, CALENDAR_MONTHS_AFTER = 1, 5
 SNAPSHOT_1_AT = "1997-01-01 00:00:00"
 SNAPSHOT_2_AT = "1999-01-01 00:00:00"
 SCENARIO_EPOCH = date(1995, 1, 1)
@@ -59,8 +61,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def calendar(spark: SparkSession) -> DataFrame:
-    return cal_ops.dim_date(spark, CALENDAR_START, CALENDAR_END_EXCLUSIVE)
+def _months(day: date, n: int) -> date:
+    """The first of the month ``n`` months on."""
+    k = day.year * 12 + day.month - 1 + n
+    return date(k // 12, k % 12 + 1, 1)
+
+
+def calendar_span(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """First day and end (exclusive) of a calendar around all transaction dates, payouts and windows included."""
+    ship = F.col("l_shipdate").cast("date")
+    lo, hi = table(spark, sf_dir, "lineitem").agg(F.min(ship), F.max(ship)).first()
+    if lo is None:
+        lo = hi = SCENARIO_EPOCH
+    return _months(lo, -CALENDAR_MONTHS_BEFORE), _months(hi, CALENDAR_MONTHS_AFTER)
+
+
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cal_ops.dim_date(spark, *calendar_span(spark, sf_dir))
 
 
 def merchant_id(k: Column) -> Column:
@@ -141,18 +158,17 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 REASON_CODES = ["chargeback", "customer_return", "billing_dispute"]
 
 
-def returns_adjustments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def drawn_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adjustments that may come back: day, days back and share by a rule; the amount is looked up in the earlier volume."""
     li = table(spark, sf_dir, "lineitem").where(
-        (F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 1) & (F.col("l_quantity") >= 40))
-    ship = F.col("l_shipdate").cast("date")
-    lag = (F.lit(1) + F.col("l_quantity").cast("long") % 21).cast("int")
+        (F.col("l_returnflag") == "A") & (F.col("l_linenumber") <= 3) & (F.col("l_quantity") >= 30))
     return li.select(
-        F.concat_ws("-", F.lit("ADJ"), F.col("l_orderkey").cast("string"),
-                    F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("adjustment_id"),
+        F.concat_ws("-", F.lit("ADJ"), *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+        .alias("adjustment_id"),
         merchant_id(F.col("l_suppkey")).alias("merchant_id"),
-        ship.alias("adjustment_date"),
-        F.date_sub(ship, lag).alias("original_batch_date"),
-        money(F.round(money(F.col("l_extendedprice")) * F.lit(0.05).cast("decimal(3,2)"), 2)).alias("amount"),
+        F.col("l_shipdate").cast("date").alias("adjustment_date"),
+        (F.lit(1) + F.col("l_quantity").cast("long") % 21).cast("int").alias("lag_days"),
+        (F.lit(2) + F.col("l_partkey") % 7).cast("int").alias("pct_points"),
         _pick(REASON_CODES, F.col("l_partkey") % 3).alias("reason_code"),
     )
 
@@ -168,6 +184,10 @@ def scenario_of(x: Column) -> Column:
     return expr
 
 
+def _posting_id(merchant: Column, day: Column, n: Column) -> Column:
+    return F.concat_ws("-", F.lit("POST"), merchant_key(merchant).cast("string"), F.date_format(day, "yyyyMMdd"), n.cast("string"))
+
+
 def bank_movements_and_truth(batches: DataFrame, cal: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Bank postings for each batch per its hashed scenario, plus the ground truth.
 
@@ -207,16 +227,16 @@ def bank_movements_and_truth(batches: DataFrame, cal: DataFrame) -> tuple[DataFr
     )
     exploded = b.where(payout.isNotNull()).select(
         "merchant_id", "batch_date", F.explode(postings).alias("p"))
-    pid = F.concat_ws("-", F.lit("POST"), merchant_key(F.col("merchant_id")).cast("string"),
-                      F.date_format("batch_date", "yyyyMMdd"), F.col("p.n").cast("string"))
     movements = exploded.select(
-        pid.alias("posting_id"),
+        _posting_id(F.col("merchant_id"), F.col("batch_date"), F.col("p.n")).alias("posting_id"),
         "merchant_id",
         F.col("p.posting_date").alias("posting_date"),
         F.col("p.amount").alias("amount"),
     ).withColumn("bank_reference", F.upper(F.substring(F.sha2(F.col("posting_id"), 256), 1, 12)))
+    own_ids = F.when(payout.isNotNull(), F.transform(postings, lambda e: _posting_id(F.col("merchant_id"), F.col("batch_date"), e["n"])))
     truth = b.select("settlement_batch_id", "merchant_id", F.col("scenario").alias("injected_scenario"),
-                     "expected_settlement_amount")
+                     "expected_settlement_amount", F.coalesce(own_ids, F.array().cast("array<string>")).alias("injected_posting_ids"),
+                     F.col("_shift").cast("int").alias("injected_delay_business_days"))
     return movements, truth
 
 

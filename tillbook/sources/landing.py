@@ -85,6 +85,11 @@ def write_with_manifest(tables: dict[str, DataFrame], output_dir: str, manifest_
     for name, df in tables.items():
         path = write_landed(df, output_dir, name)
         rows.append((name, spark.read.parquet(path).count(), path))
+    return write_manifest(spark, rows, output_dir, manifest_name)
+
+
+def write_manifest(spark: SparkSession, rows: list[tuple[str, int, str]], output_dir: str, manifest_name: str = "manifest") -> DataFrame:
+    """CSV of (table, row_count, path), a line a table."""
     manifest = spark.createDataFrame(rows, "table string, row_count long, path string")
     manifest.coalesce(1).write.mode("overwrite").option("header", True).csv(landed_path(output_dir, manifest_name))
     return manifest

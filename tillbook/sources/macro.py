@@ -22,19 +22,22 @@ from pyspark.sql import types as T
 # Fixed values (must equal the reference source definitions).
 CPI_SERIES = {"CUUR0000SA0": "not_seasonally_adjusted", "CUSR0000SA0": "seasonally_adjusted"}
 FRED_SERIES = {"FEDFUNDS": "effective_federal_funds_rate", "MPRIME": "bank_prime_loan_rate"}
-# CBP size-class columns -> employer size class.
+# Fixed values (must equal the reference): CBP size-class columns -> employer size class.
 CBP_SIZE_COLUMNS = {"n<5": "1-4", "n5_9": "5-9", "n10_19": "10-19", "n20_49": "20-49", "n50_99": "50-99",
                     "n100_249": "100-249", "n250_499": "250-499", "n500_999": "500-999", "n1000": "1000+"}
+# CBP source columns -> names of the landed table.
 CBP_RENAMES = {"fipstate": "state_fips", "fipscty": "county_fips", "naics": "naics_code", "emp": "employment",
                "qp1": "q1_payroll_usd_thousands", "ap": "annual_payroll_usd_thousands", "est": "establishment_count"}
 CBP_NUMERIC = ["emp", "qp1", "ap", "est"] + list(CBP_SIZE_COLUMNS)
-FRPS_YEARS = [2015, 2018, 2021, 2024]
-# NAICS sector -> industry; retail (44, incl. nonstore) is split 80/20; "other" is fixed at 5 %.
+FRPS_YEARS = [2015, 2018, 2021, 2024]  # fixed values: collection years of the sheet
+# Fixed values (must equal the reference): NAICS sector -> industry; retail (44, incl. nonstore) is split 80/20;
+# "other" is fixed at 5 %.
 NAICS_TO_INDUSTRY = {"72----": "restaurant_food_service", "54----": "professional_services",
                      "62----": "health_wellness", "23----": "home_trade_services", "81----": "auto_services"}
 RETAIL_COMBINED = "44----"
 RETAIL_SPLIT = {"retail": 0.80, "ecommerce_online_retail": 0.20}
 OTHER_SHARE = 0.05
+# Fixed values (public codes): state FIPS -> postal code, census region -> states.
 FIPS_TO_STATE = {
     "01": "AL", "02": "AK", "04": "AZ", "05": "AR", "06": "CA", "08": "CO", "09": "CT",
     "10": "DE", "11": "DC", "12": "FL", "13": "GA", "15": "HI", "16": "ID", "17": "IL",
@@ -149,28 +152,44 @@ def frps_cell_schema() -> T.StructType:
     return T.StructType(fields)
 
 
+def _breadcrumbs(rows: DataFrame, sheet: list[str]) -> DataFrame:
+    """``category_path`` of every row: the labels of the open levels above it, and its own.
+
+    The running stack holds, per level that occurs, the last row on it; a row
+    is still open if no shallower row came after it. So a row carries as many
+    entries as the sheets have levels (a sheet indents a few times, the
+    distinct levels are collected), in one window over its own sheet.
+    """
+    depths = sorted(r["level"] for r in rows.select("level").where("level IS NOT NULL").distinct().collect())
+    so_far = Window.partitionBy(*sheet).orderBy("row_number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = [F.last(F.when(F.col("level") == d, F.struct("row_number", "label")), ignorenulls=True).over(so_far) for d in depths]
+    entries = F.array(*[F.struct(F.lit(d).alias("level"), e["row_number"].alias("at"), e["label"].alias("label")) for d, e in zip(depths, last)])
+    start = F.struct(F.array().cast("array<string>").alias("path"), F.lit(-1).cast("long").alias("newest"))
+
+    def step(acc, e):
+        is_open = e.at.isNotNull() & (e.level <= F.col("level")) & (e.at > acc.newest)
+        return F.struct(F.when(is_open, F.concat(acc.path, F.array(e.label))).otherwise(acc.path).alias("path"),
+                        F.greatest(acc.newest, F.coalesce(e.at.cast("long"), F.lit(-1))).alias("newest"))
+    rows = rows.withColumn("_entries", entries if depths else F.array().cast("array<struct<level:int,at:int,label:string>>"))
+    path = F.aggregate("_entries", start, step, lambda acc: F.concat_ws(" > ", acc.path))
+    return rows.withColumn("category_path", F.when(F.col("level").isNull(), "").otherwise(path)).drop("_entries")
+
+
 def frps_long(cells: DataFrame) -> DataFrame:
     """Breadcrumb path per row, then one row per (row, collection year).
 
-    The path holds the last label of each shallower level that no row of a
-    level between has closed, and the row's own label; there is no limit of
-    depth. A row with no data (section header, note) is dropped first. The
-    running list orders one sheet (tens of rows), so the unpartitioned window
-    only ever sees that one small table.
+    A row with no data (section header, note) is dropped first. Several sheets
+    are told apart by a column ``sheet``, which is kept if there is one; there
+    is no limit of depth or of rows.
     """
+    sheet = [c for c in ("sheet",) if c in cells.columns]
     measures = [c for c in cells.columns if c.split("_")[0] in ("count", "value", "avg")]
     df = cells.where(F.col("label").isNotNull() & reduce(lambda a, b: a | b, [F.col(m).isNotNull() for m in measures]))
-    df = df.withColumn("label", F.trim("label"))
-    order = Window.orderBy("row_number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    so_far = F.collect_list(F.when(F.col("level").isNotNull(), F.struct("level", "label"))).over(order)
-    empty = F.array().cast("array<struct<level:int,label:string>>")
-    path = F.aggregate("so_far", empty, lambda path, row: F.concat(F.filter(path, lambda up: up.level < row.level), F.array(row)))
-    df = df.withColumn("so_far", so_far).withColumn(
-        "category_path", F.when(F.col("level").isNull(), "").otherwise(F.concat_ws(" > ", F.transform(path, lambda up: up.label))))
+    df = _breadcrumbs(df.withColumn("label", F.trim("label")), sheet)
     years = F.array(*[F.struct(F.lit(y).alias("collection_year"), F.col(f"count_{y}").alias("count_billions"),
                                F.col(f"value_{y}").alias("value_trillions_usd"),
                                F.col(f"avg_{y}").alias("avg_transaction_amount_usd")) for y in FRPS_YEARS])
-    long = df.select("row_number", F.col("level").alias("hierarchy_level"), F.col("label").alias("payment_type_label"),
+    long = df.select(*sheet, "row_number", F.col("level").alias("hierarchy_level"), F.col("label").alias("payment_type_label"),
                      "category_path", F.inline(years))
     return long.where(F.col("count_billions").isNotNull() | F.col("value_trillions_usd").isNotNull())
 
@@ -197,7 +216,7 @@ def segment_weights(cbp: DataFrame) -> DataFrame:
     reg_total = reg.agg(F.sum("n")).scalar()
     regions = reg.select(F.lit("region").alias("dimension"), "segment", F.round(F.col("n") / reg_total, 4).alias("weight"))
 
-    raw = ["1-4", "5-9", "10-19", "20-49", "50-99", "100-249", "250-499", "500-999", "1000+"]
+    raw = list(CBP_SIZE_COLUMNS.values())
     sums = cbp.agg(*[F.coalesce(F.sum(F.col(f"`{c}`")), F.lit(0)).alias(c) for c in raw])  # nulls (suppressed) skipped
     merged = sums.select(*[F.col(f"`{c}`") for c in raw[:-2]],
                          (F.col("`500-999`") + F.col("`1000+`")).alias("500+"))
@@ -220,8 +239,9 @@ def land_all(spark: SparkSession, out_dir: str, run_id: str, ingested_at, cbp_pa
     """
     import logging
 
-    from tillbook.operators.quality import validate_bronze
-    from tillbook.sources.landing import add_lineage, write_landed
+    from tillbook.operators.quality import guard
+    from tillbook.sources import bronze
+    from tillbook.sources.landing import add_lineage
 
     log = logger or logging.getLogger(__name__)
     parsed: dict[str, DataFrame] = {}
@@ -231,18 +251,15 @@ def land_all(spark: SparkSession, out_dir: str, run_id: str, ingested_at, cbp_pa
         parsed["cbp_establishments"] = read_cbp(spark, cbp_path)
     if cpi_path:
         cpi = read_cpi(spark, cpi_path)
-        validate_bronze(cpi, "cpi_monthly", logger=log)
+        guard(cpi, "cpi_monthly", logger=log, stop=False)
         parsed["cpi_monthly"] = cpi
     if fred_paths:
         parsed["fred_rates"] = read_fred(spark, fred_paths)
     for name in ("frps_payment_volumes", "cbp_establishments", "cpi_monthly", "fred_rates"):
         if name not in parsed:
             log.warning("macro source %s not available; skipped", name)
-    out = {}
-    for name, df in parsed.items():
-        path = write_landed(add_lineage(df, name.split("_")[0] + "_ingest", run_id, ingested_at), out_dir, name)
-        out[name] = spark.read.parquet(path).count()
-    return out
+    stamped = {name: add_lineage(df, name.split("_")[0] + "_ingest", run_id, ingested_at) for name, df in parsed.items()}
+    return bronze.land(stamped, out_dir, run_id, ingested_at) if stamped else {}
 
 
 def series_latest(cpi: DataFrame | None = None, fred: DataFrame | None = None) -> DataFrame:
