@@ -1,27 +1,30 @@
 """Removal of repeated passages by content-defined chunking.
 
-A gear rolling hash over the last 16 bytes proposes a cut behind white space
-(about every ``2**WORD_BITS``-th break) and, so that text without spaces is
-cut too, behind any character (about every ``2**CHAR_BITS``-th).  A proposed
-cut stands unless another one was proposed in the ``MIN_BYTES`` before it.
-Whether a cut stands depends on nearby bytes of the row alone, so an insertion moves no
-cut further on, and equal passages have equal chunks inside.
+A gear rolling hash runs over the last 16 bytes.  Of the breaks (white space)
+of a text the least hash in every ``WINDOW`` breaks that follow each other is
+a cut, and so that text without spaces is cut too, any character about every
+``2**CHAR_BITS``-th.  Whether a cut stands depends on ``WINDOW`` breaks to
+either side alone, so an insertion moves no cut further on; cuts are at most
+``WINDOW`` breaks apart, so a passage that two texts share has a whole chunk of
+its own in both, the same, if it is ``4 * WINDOW`` breaks and 16 bytes long,
+whatever it says; most shorter ones have one too.
 
 Chunks are compared by a 64-bit digest.  The document with the smallest id
 that has a chunk keeps it; in any later document a chunk that an earlier one
 has is repeated.  Neighbouring repeated chunks that stand alike in the document
 that keeps them are a seed, one chunk is enough; a seed's bytes are compared by
 a checksum too.  Every seed is then extended word by word against the text of
-that document.  If the whole next chunk matched, it would be repeated itself,
-so no more than a chunk (and the ``LOOKBACK`` bytes that decide on a cut) is to
-be read on either side.  Extended seeds that touch are one run, and a run goes
+that document, as far as a shared passage can go on without another common
+chunk (``REACH`` words, ``REACH_BYTES`` at most where there are no words).
+Extended seeds that touch are one run, and a run goes
 if it has at least ``min_words`` words, or as many times ``WORD_BYTES`` bytes
 as text without spaces may.
 
 Defined results: null text stays null and empty text empty, with no chunks;
 rows with a null id keep their text and are no source for others; repeats
 within one document stay; rows that repeat an id are the same document and
-remove nothing from each other; extra columns pass through.
+remove nothing from each other; extra columns pass through, one that has the
+name of the spans with ``__`` before it; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -34,20 +37,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tillbook.functions import spread
 from tillbook.llm.textnp import IS_SPACE, Block, blocks, segment_hashes
 from tillbook.session import materialize
 
-WORD_BITS = 2
+WINDOW = 10
 CHAR_BITS = 10
-MIN_BYTES = 16
 MIN_WORDS = 16
+REACH = 2 * WINDOW + 4
+REACH_BYTES = 16_384
 WORD_BYTES = 16         # a run without breaks counts as a word for so many bytes
 _BREAKS = frozenset(b" \t\n\x0b\x0c\r")
 _SPACES = re.compile(rb"[ \t-\r]+")
+_REACHED = re.compile(rb"(?:[^ \t-\r]*[ \t-\r]+){%d}" % REACH)
 _GEAR = np.random.default_rng(5).integers(0, 1 << 32, 256, dtype=np.uint32)
 
-LOOKBACK = 48           # a cut depends on 32 bytes; and the break before
-_CHUNKS = "doc_id long, start int, stop int, before int, after int, digest long"
+_CHUNKS = "doc_id long, start int, stop int, digest long"
 _SLICES = "first_doc long, f_start int, f_stop int, crc long, head binary, tail binary, opens boolean, ends boolean"
 _SPAN = T.StructType().add("start", "integer").add("stop", "integer").add("n_words", "integer").add("first_doc", "long")
 
@@ -62,22 +67,36 @@ def gear(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return value
 
 
+def window_minima(value: np.ndarray, row: np.ndarray, width: int = WINDOW) -> np.ndarray:
+    """Which values are the least of some ``width`` neighbours of their row (equal ones alike); ``row`` is sorted."""
+    at = np.arange(len(value)) + (row + 1) * width                  # rows stand ``width`` apart
+    line = np.full((at[-1] + width + 1) if len(at) else 0, np.iinfo(np.int64).max)
+    line[at] = value
+    n = len(line) - width + 1
+    if n <= 0:
+        return np.zeros(0, dtype=bool)
+    least = line[:n].copy()
+    for k in range(1, width):
+        np.minimum(least, line[k:k + n], out=least)
+    most = np.full(len(line), -1, dtype=np.int64)                   # greatest of the minima of all windows that hold a place
+    for k in range(width):
+        np.maximum(most[k:k + n], least, out=most[k:k + n])
+    return most[at] == value
+
+
 def chunk_bounds(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """Byte ranges of all chunks of a block, in order; none spans two rows."""
     data = block.data
     if not len(data):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     value = gear(data, block.offsets)
-    high = value >> np.uint32(32 - CHAR_BITS - WORD_BITS)
-    space = IS_SPACE[data]
     whole = np.ones(len(data), dtype=bool)                  # next byte begins a character
     whole[:-1] = (data[1:] & 0xC0) != 0x80
-    proposed = (space & ((high & ((1 << WORD_BITS) - 1)) == 0)) | (whole & ((high >> WORD_BITS) == 0))
-    at = np.flatnonzero(proposed) + 1
-    row = np.searchsorted(block.offsets, at - 1, side="right")
-    stands = np.ones(len(at), dtype=bool)
-    stands[1:] = (np.diff(at) >= MIN_BYTES) | (np.diff(row) != 0)
-    ends = np.unique(np.concatenate([at[stands], block.offsets[1:][np.diff(block.offsets) > 0]]))
+    breaks = np.flatnonzero(IS_SPACE[data])
+    row = np.searchsorted(block.offsets, breaks, side="right") - 1
+    chosen = breaks[window_minima(value[breaks].astype(np.int64), row)]
+    anywhere = np.flatnonzero(whole & (value >> np.uint32(32 - CHAR_BITS) == 0))
+    ends = np.unique(np.concatenate([chosen + 1, anywhere + 1, block.offsets[1:][np.diff(block.offsets) > 0]]))
     return np.concatenate([[0], ends[:-1]]), ends
 
 
@@ -91,14 +110,24 @@ def chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             row = np.searchsorted(block.offsets, starts, side="right") - 1
             base = block.offsets[row]
             ids = batch.column(0).slice(block.first, len(block.offsets) - 1)
-            same = row[1:] == row[:-1]
-            before, after = starts.copy(), stops.copy()         # where the chunks on either side begin and end
-            before[1:][same] = starts[:-1][same]
-            after[:-1][same] = stops[1:][same]
             yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(row)), *(pa.array((x - base).astype(np.int32)) for x in (starts, stops, before, after)),
+                [ids.take(pa.array(row)), *(pa.array((x - base).astype(np.int32)) for x in (starts, stops)),
                  pa.array(segment_hashes(block.data, starts, stops).view(np.int64))],
-                names=["doc_id", "start", "stop", "before", "after", "digest"])
+                names=["doc_id", "start", "stop", "digest"])
+
+
+def _after(raw: bytes, at: int) -> int:
+    """Where ``REACH`` words from ``at`` on end."""
+    end = min(len(raw), at + REACH_BYTES)
+    found = _REACHED.match(raw, at, end)
+    return found.end() if found else end
+
+
+def _before(raw: bytes, at: int) -> int:
+    """Where ``REACH`` words up to ``at`` begin."""
+    start = max(0, at - REACH_BYTES)
+    ends = [m.start() for m in _SPACES.finditer(raw, start, at)]
+    return ends[-REACH] if len(ends) >= REACH else start
 
 
 def _slice_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,10 +137,12 @@ def _slice_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         for doc, text, wants in zip(*(batch.column(i) for i in range(3))):
             raw = (text.as_py() or "").encode()
-            rows = [{"first_doc": doc.as_py(), "f_start": w["f_start"], "f_stop": w["f_stop"],
-                     "crc": zlib.crc32(raw[w["f_start"]:w["f_stop"]]),
-                     "head": raw[max(0, w["f_start"] - w["left"]):w["f_start"]], "tail": raw[w["f_stop"]:w["f_stop"] + w["right"]],
-                     "opens": w["f_start"] <= w["left"], "ends": w["f_stop"] + w["right"] >= len(raw)} for w in wants.as_py()]
+            rows = []
+            for w in wants.as_py():
+                start, stop = w["f_start"], w["f_stop"]
+                first, last = _before(raw, start), _after(raw, stop)
+                rows.append({"first_doc": doc.as_py(), "f_start": start, "f_stop": stop, "crc": zlib.crc32(raw[start:stop]),
+                             "head": raw[first:start], "tail": raw[stop:last], "opens": first == 0, "ends": last == len(raw)})
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
@@ -158,13 +189,13 @@ def extended_spans(raw: bytes, seeds: list[dict], min_words: int) -> list[dict]:
     return out
 
 
-def _cutter(min_words: int):
+def _cutter(min_words: int, spans_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(..., text, seeds) -> the same rows with the runs taken out of text, and the runs as spans."""
         kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("n_words", pa.int32()), ("first_doc", pa.int64())]))
         for batch in batches:
             names = batch.schema.names
-            t, s = names.index("text"), names.index("spans")
+            t, s = names.index("text"), names.index(spans_col)
             texts, spans = [], []
             for text, seeds in zip(batch.column(t).to_pylist(), batch.column(s).to_pylist()):
                 found = []
@@ -191,43 +222,45 @@ def repeated_seeds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     seen = (chunks.groupBy("digest").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("last_doc"))
             .where("last_doc > first.doc_id").select("digest", F.col("first.doc_id").alias("first_doc"), F.col("first.start").alias("f_start")))
     repeated = chunks.join(seen, "digest").where("first_doc < doc_id").drop("digest")
-    ordered = repeated.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "stop", "before", "after", "first_doc", "f_start"))).alias("c"))
+    ordered = repeated.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "stop", "first_doc", "f_start"))).alias("c"))
     seeds = ordered.select("doc_id", F.explode(_joined("c")).alias("s")).select("doc_id", "s.*")
-    seeds = materialize(seeds.select("doc_id", "start", "stop", "first_doc", "f_start", (F.col("f_start") + F.col("stop") - F.col("start")).alias("f_stop"),
-                                     (F.col("start") - F.col("before") + LOOKBACK).alias("left"), (F.col("after") - F.col("stop") + LOOKBACK).alias("right")), "seeds")
+    seeds = materialize(seeds.select("doc_id", "start", "stop", "first_doc", "f_start",
+                                     (F.col("f_start") + F.col("stop") - F.col("start")).alias("f_stop")), "seeds")
     key = ["first_doc", "f_start", "f_stop"]
-    wants = seeds.groupBy(*key).agg(F.max("left").alias("left"), F.max("right").alias("right"))
-    wants = wants.groupBy(F.col("first_doc").alias("doc_id")).agg(F.collect_list(F.struct("f_start", "f_stop", "left", "right")).alias("wants"))
+    wants = seeds.select(*key).distinct().groupBy(F.col("first_doc").alias("doc_id")).agg(F.collect_list(F.struct("f_start", "f_stop")).alias("wants"))
     slices = texts.join(wants, "doc_id").select("doc_id", "text", "wants").mapInArrow(_slice_batches, _SLICES).dropDuplicates(key)
-    return seeds.drop("left", "right").join(slices, key).groupBy("doc_id").agg(
+    # a passage of thousands of documents is one key: its seeds are dealt out
+    return spread.join(seeds, slices, key, ["doc_id", "start"]).groupBy("doc_id").agg(
         F.collect_list(F.struct("start", "stop", "first_doc", "crc", "head", "tail", "opens", "ends")).alias("seeds"))
 
 
 def _joined(chunks: str):
     """Join neighbouring chunks (one document's, ordered) that stand alike in the same other document."""
-    kind = "struct<start:int,stop:int,before:int,after:int,first_doc:bigint,f_start:int>"
+    kind = "struct<start:int,stop:int,first_doc:bigint,f_start:int>"
     state = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.lit(None).cast(kind).alias("open"))
 
     def step(acc, x):
         o = acc.open
         joins = (o.stop == x.start) & (o.first_doc == x.first_doc) & (x.f_start - o.f_start == x.start - o.start)
-        grown = F.struct(o.start.alias("start"), x.stop.alias("stop"), o.before.alias("before"), x.after.alias("after"),
-                         o.first_doc.alias("first_doc"), o.f_start.alias("f_start"))
+        grown = F.struct(o.start.alias("start"), x.stop.alias("stop"), o.first_doc.alias("first_doc"), o.f_start.alias("f_start"))
         return F.struct(
             F.when(joins | o.isNull(), acc.done).otherwise(F.concat(acc.done, F.array(o))).alias("done"),
             F.when(joins, grown).otherwise(x).alias("open"))
     return F.aggregate(chunks, state, step, lambda acc: F.when(acc.open.isNull(), acc.done).otherwise(F.concat(acc.done, F.array(acc.open))))
 
 
-def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, spans: str = "spans") -> DataFrame:
     """``docs`` with repeated runs cut out of ``text``, plus the removed ``spans`` (empty array if none).
 
     ``spans``: ordered array of ``start, stop`` (UTF-8 bytes), ``n_words`` and
     ``first_doc``, the document that keeps the run's beginning.
     """
-    clash = {c: f"__{c}" for c in docs.columns if c.lower() == "spans"}
-    docs = docs.withColumnsRenamed(clash)
-    seeds = repeated_seeds(docs).select(F.col("doc_id").alias("__doc"), F.col("seeds").alias("spans"))
-    joined = docs.join(seeds, docs["doc_id"] == seeds["__doc"], "left").drop("__doc")
-    schema = T.StructType([*joined.schema.fields[:-1], T.StructField("spans", T.ArrayType(_SPAN))])
-    return joined.mapInArrow(_cutter(min_words), schema)
+    seeds = repeated_seeds(docs)
+    docs = docs.withColumnsRenamed({c: f"__{c}" for c in docs.columns if c.lower() == spans.lower()})
+    link = "__link"
+    while link in {c.lower() for c in docs.columns}:
+        link += "_"
+    seeds = seeds.select(F.col("doc_id").alias(link), F.col("seeds").alias(spans))
+    joined = docs.join(seeds, docs["doc_id"] == seeds[link], "left").drop(seeds[link])
+    schema = T.StructType([*joined.schema.fields[:-1], T.StructField(spans, T.ArrayType(_SPAN))])
+    return joined.mapInArrow(_cutter(min_words, spans), schema)
