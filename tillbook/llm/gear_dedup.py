@@ -5,9 +5,11 @@ of a text the least hash in every ``WINDOW`` breaks that follow each other is
 a cut, and so that text without spaces is cut too, any character about every
 ``2**CHAR_BITS``-th.  Whether a cut stands depends on ``WINDOW`` breaks to
 either side alone, so an insertion moves no cut further on; cuts are at most
-``WINDOW`` breaks apart, so a passage that two texts share has a whole chunk of
-its own in both, the same, if it is ``4 * WINDOW`` breaks and 16 bytes long,
-whatever it says; most shorter ones have one too.
+``WINDOW`` breaks apart.  A chunk begins at every cut and ends at the first cut
+that is ``MIN_BYTES`` or more behind it; so chunks may overlap, none is a mere
+word or two, and a passage that two texts share has a whole chunk of its own
+in both, the same, once it holds some ``4 * WINDOW`` breaks, whatever it says;
+most shorter ones have one too.
 
 Chunks are compared by a 64-bit digest.  The document with the smallest id
 that has a chunk keeps it; in any later document a chunk that an earlier one
@@ -41,8 +43,9 @@ from tillbook.functions import spread
 from tillbook.llm.textnp import IS_SPACE, Block, blocks, segment_hashes
 from tillbook.session import materialize
 
-WINDOW = 10
+WINDOW = 12
 CHAR_BITS = 10
+MIN_BYTES = 16
 MIN_WORDS = 16
 REACH = 2 * WINDOW + 4
 REACH_BYTES = 16_384
@@ -85,7 +88,7 @@ def window_minima(value: np.ndarray, row: np.ndarray, width: int = WINDOW) -> np
 
 
 def chunk_bounds(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Byte ranges of all chunks of a block, in order; none spans two rows."""
+    """Byte ranges of all chunks of a block, by their ends; none spans two rows."""
     data = block.data
     if not len(data):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
@@ -96,8 +99,16 @@ def chunk_bounds(block: Block) -> tuple[np.ndarray, np.ndarray]:
     row = np.searchsorted(block.offsets, breaks, side="right") - 1
     chosen = breaks[window_minima(value[breaks].astype(np.int64), row)]
     anywhere = np.flatnonzero(whole & (value >> np.uint32(32 - CHAR_BITS) == 0))
-    ends = np.unique(np.concatenate([chosen + 1, anywhere + 1, block.offsets[1:][np.diff(block.offsets) > 0]]))
-    return np.concatenate([[0], ends[:-1]]), ends
+    cuts = np.unique(np.concatenate([chosen + 1, anywhere + 1, block.offsets]))
+    of = np.searchsorted(block.offsets, cuts, side="right") - 1         # the row that a cut begins or lies in
+    stops = cuts[np.minimum(np.searchsorted(cuts, cuts + MIN_BYTES), len(cuts) - 1)]
+    # the last chunk of a row ends with it, and begins no later than the row
+    stops = np.minimum(stops, block.offsets[np.minimum(of + 1, len(block.offsets) - 1)])
+    inside = cuts < stops
+    starts, stops = cuts[inside], stops[inside]
+    last = np.ones(len(stops), dtype=bool)                  # of chunks with one end the longest says all
+    last[1:] = stops[1:] != stops[:-1]
+    return starts[last], stops[last]
 
 
 def chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,14 +246,14 @@ def repeated_seeds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _joined(chunks: str):
-    """Join neighbouring chunks (one document's, ordered) that stand alike in the same other document."""
+    """Join chunks (one document's, ordered) that touch or overlap and stand alike in the same other document."""
     kind = "struct<start:int,stop:int,first_doc:bigint,f_start:int>"
     state = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.lit(None).cast(kind).alias("open"))
 
     def step(acc, x):
         o = acc.open
-        joins = (o.stop == x.start) & (o.first_doc == x.first_doc) & (x.f_start - o.f_start == x.start - o.start)
-        grown = F.struct(o.start.alias("start"), x.stop.alias("stop"), o.first_doc.alias("first_doc"), o.f_start.alias("f_start"))
+        joins = (o.stop >= x.start) & (o.first_doc == x.first_doc) & (x.f_start - o.f_start == x.start - o.start)
+        grown = F.struct(o.start.alias("start"), F.greatest(o.stop, x.stop).alias("stop"), o.first_doc.alias("first_doc"), o.f_start.alias("f_start"))
         return F.struct(
             F.when(joins | o.isNull(), acc.done).otherwise(F.concat(acc.done, F.array(o))).alias("done"),
             F.when(joins, grown).otherwise(x).alias("open"))
