@@ -75,10 +75,12 @@ def labelled_sample(docs: DataFrame, graded: DataFrame, limit: int) -> tuple[Spa
     """Features and grades of at most ``limit`` labelled documents, on the driver.
 
     ``graded(doc_id, grade)``; the sample is that of the smallest hashes of
-    the id, the same for any layout of the tables.  Only ids go out to the
+    the id, the same for any layout of the tables.  An id that repeats with one
+    grade counts once, one that has different grades is left out.  Only ids go out to the
     tasks and only the sample's features come back: the text isn't shuffled.
     """
-    picked = (graded.where("doc_id IS NOT NULL AND grade IS NOT NULL").dropDuplicates(["doc_id"])
+    picked = (graded.where("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id")
+              .agg(F.min("grade").alias("grade"), F.max("grade").alias("most")).where("grade = most")
               .orderBy(F.xxhash64(F.col("doc_id"), F.lit(11)), "doc_id").limit(limit).collect())
     grade = {int(r["doc_id"]): int(r["grade"]) for r in picked}
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

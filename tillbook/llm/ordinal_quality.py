@@ -13,7 +13,8 @@ the rest can measure it; every document is scored.
 Defined results: null and wordless texts have no features and get the scores
 of the thresholds alone; null ids are scored too; without labelled rows, or
 with one grade only, every document gets that grade (or 0) for certain; labels
-that repeat an id count once; extra columns are ignored.
+that repeat an id with one grade count once, those that give it different
+grades are left out; extra columns are ignored.
 """
 
 from __future__ import annotations

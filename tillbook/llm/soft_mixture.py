@@ -13,13 +13,18 @@ so each round is one map and one small distributed sum; only T (one number a
 domain) reaches the driver.  A document is then repeated floor(r) times, once
 more with the probability of the fraction (by a hash of its id and text).
 
-The default targets keep the corpus' own number of tokens.  Domains of the
-query come from ``labels``: clean prose, toxic prose, junk.
+``targets`` are shares of the corpus' own number of tokens, which stays.  With
+``keep`` instead, each domain is to keep a share of what its documents have,
+nothing is repeated for it, and documents that more likely than not belong to
+the domain ``fixed`` stay exactly once: no document of that domain is thinned
+or copied to make up for others.  Domains of the query come from ``labels``:
+clean prose, toxic prose, junk.
 
 Defined results: null and empty texts have no tokens, rate 1 and stay once;
 null ids are handled like others; targets of domains without any tokens can't
-be met and are approached as far as rates allow; without labelled rows all
-posteriors are equal; empty tables give empty results; other columns pass.
+be met and are approached as far as rates allow; labels that give an id
+different domains are left out; without labelled rows all posteriors are
+equal, and with ``keep`` every row then stays once; empty tables give empty results; other columns pass.
 """
 
 from __future__ import annotations
@@ -43,6 +48,7 @@ ROUNDS = 40
 TOLERANCE = 1e-3
 DOMAINS = ("clean", "toxic", "junk")
 TARGETS = (0.90, 0.04, 0.06)
+FIXED = 0.5             # posterior from which a document belongs to the fixed domain
 
 
 def fit_domains(x: Sparse, domain: np.ndarray, n_domains: int) -> np.ndarray:
@@ -95,27 +101,31 @@ def _lists(p: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * d), pa.array(p.ravel()))
 
 
-def _totals(state: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, float]:
-    """T(r), M and the number of tokens."""
+def _totals(state: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """T(r), M over the rows that may move, the fixed rows' part of T, and the number of tokens."""
     p = [F.get("p", F.lit(d)) for d in range(n)]
-    tokens = F.col("n_tokens")
+    tokens, moving = F.col("n_tokens"), F.when(F.col("moves"), F.col("n_tokens")).otherwise(0)
     row = state.agg(*[F.sum(F.col("rate") * tokens * p[d]).alias(f"t{d}") for d in range(n)],
-                    *[F.sum(tokens * p[a] * p[b]).alias(f"m{a}_{b}") for a in range(n) for b in range(a, n)],
+                    *[F.sum((tokens - moving) * p[d]).alias(f"f{d}") for d in range(n)],
+                    *[F.sum(moving * p[a] * p[b]).alias(f"m{a}_{b}") for a in range(n) for b in range(a, n)],
                     F.sum(tokens).alias("tokens")).first()
     m = np.array([[row[f"m{min(a, b)}_{max(a, b)}"] or 0.0 for b in range(n)] for a in range(n)])
-    return np.array([row[f"t{d}"] or 0.0 for d in range(n)]), m, float(row["tokens"] or 0)
+    of = lambda letter: np.array([row[f"{letter}{d}"] or 0.0 for d in range(n)])
+    return of("t"), m, of("f"), float(row["tokens"] or 0)
 
 
-def fit_rates(members: DataFrame, targets: Sequence[float], rounds: int = ROUNDS) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def fit_rates(members: DataFrame, targets: Sequence[float], rounds: int = ROUNDS, keep: Sequence[float] | None = None,
+              fixed: int | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """The gradient steps (one number a domain each) and the relative residual of each round."""
-    n = len(targets)
-    state = materialize(members.withColumn("rate", F.lit(1.0)), "rates")
+    n = len(targets if keep is None else keep)
+    moves = F.lit(True) if fixed is None else F.get("p", F.lit(fixed)) < FIXED
+    state = materialize(members.withColumns({"rate": F.lit(1.0), "moves": moves}), "rates")
     steps: list[np.ndarray] = []
     history: list[np.ndarray] = []
-    total, m, tokens = _totals(state, n)
+    total, m, still, tokens = _totals(state, n)
     if tokens == 0:
         return steps, history
-    wanted = np.asarray(targets, dtype=float) / sum(targets) * tokens
+    wanted = still + m @ np.asarray(keep, dtype=float) if keep is not None else np.asarray(targets, dtype=float) / sum(targets) * tokens
     inverse = np.linalg.pinv(m + np.eye(n) * 1e-6 * np.trace(m) / n)
     done = 0
     for _ in range(rounds):
@@ -125,7 +135,7 @@ def fit_rates(members: DataFrame, targets: Sequence[float], rounds: int = ROUNDS
         steps.append(inverse @ (total - wanted))
         if len(steps) - done == 8:                      # keep the expression short
             state, done = materialize(state.withColumn("rate", _rate(steps[done:])), "rates"), len(steps)
-        total, _, _ = _totals(state.withColumn("rate", _rate(steps[done:])) if done < len(steps) else state, n)
+        total, *_ = _totals(state.withColumn("rate", _rate(steps[done:])) if done < len(steps) else state, n)
     return steps, history
 
 
@@ -134,15 +144,16 @@ def _rate(steps: list[np.ndarray]) -> Column:
     for step in steps:
         move = sum((F.get("p", F.lit(d)) * float(v) for d, v in enumerate(step)), F.lit(0.0))
         rate = F.greatest(F.lit(0.0), rate - move)
-    return rate
+    return F.when(F.col("moves"), rate).otherwise(F.col("rate"))
 
 
-def rates(tokens: np.ndarray, p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    """All steps applied to each document; one without tokens keeps rate 1."""
+def rates(tokens: np.ndarray, p: np.ndarray, steps: list[np.ndarray], fixed: int | None = None) -> np.ndarray:
+    """All steps applied to each document; one without tokens, or of the fixed domain, keeps rate 1."""
     rate = np.ones(len(p))
     for step in steps:
         rate = np.maximum(0.0, rate - p @ step)
-    return np.where(tokens > 0, rate, 1.0)
+    moves = tokens > 0 if fixed is None else (tokens > 0) & (p[:, fixed] < FIXED)
+    return np.where(moves, rate, 1.0)
 
 
 def _copies(rate: np.ndarray, chance: np.ndarray) -> np.ndarray:
@@ -159,12 +170,16 @@ class Mixture(NamedTuple):
     weights: np.ndarray
     steps: list[np.ndarray]
     history: list[np.ndarray]
+    fixed: int | None = None
 
 
-def fit_mixture(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS, rows: int = FIT_ROWS) -> Mixture:
+def fit_mixture(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS, rows: int = FIT_ROWS,
+                keep: Sequence[float] | None = None, fixed: int | None = None) -> Mixture:
     x, domain, _ = labelled_sample(docs, domains_from_labels(labels), rows)
-    weights = fit_domains(x, domain, len(targets))
-    return Mixture(weights, *fit_rates(posteriors(docs, weights), targets))
+    weights = fit_domains(x, domain, len(targets if keep is None else keep))
+    if keep is not None and not len(domain):
+        return Mixture(weights, [], [], fixed)              # nothing is known of any document, so all stay
+    return Mixture(weights, *fit_rates(posteriors(docs, weights), targets, keep=keep, fixed=fixed), fixed)
 
 
 def rated(docs: DataFrame, fitted: Mixture) -> DataFrame:
@@ -173,7 +188,7 @@ def rated(docs: DataFrame, fitted: Mixture) -> DataFrame:
         for batch in batches:
             for block in blocks(batch.column(1)):
                 tokens, p = _members(block, fitted.weights)
-                rate = rates(tokens, p, fitted.steps)
+                rate = rates(tokens, p, fitted.steps, fitted.fixed)
                 chance = batch.column(2).slice(block.first, len(p)).to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(block.first, len(p)), pa.array(tokens), _lists(p), pa.array(rate), pa.array(_copies(rate, chance))],
@@ -182,12 +197,13 @@ def rated(docs: DataFrame, fitted: Mixture) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_tokens long, p array<double>, rate double, copies int")
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS, keep: Sequence[float] | None = None,
+        fixed: int | None = None) -> DataFrame:
     """``docs`` with every row as often as its rate asks; columns unchanged.
 
     Rates are recomputed where the rows are, so no text is shuffled.
     """
-    fitted = fit_mixture(docs, labels, targets)
+    fitted = fit_mixture(docs, labels, targets, keep=keep, fixed=fixed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,8 +211,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS)
             for block in blocks(batch.column(n - 2)):
                 tokens, p = _members(block, fitted.weights)
                 chance = batch.column(n - 1).slice(block.first, len(p)).to_numpy(zero_copy_only=False)
-                times = _copies(rates(tokens, p, fitted.steps), chance)
+                times = _copies(rates(tokens, p, fitted.steps, fitted.fixed), chance)
                 rows = pa.array(np.repeat(np.arange(block.first, block.first + len(p)), times))
                 yield pa.RecordBatch.from_arrays([batch.column(k).take(rows) for k in range(n - 2)], names=batch.schema.names[:n - 2])
+    # the two last columns are found by place, so their names may clash with others
     rows = docs.select("*", F.col("text").cast("string").alias("__text"), _chance().alias("__chance"))
     return rows.mapInArrow(run, docs.schema)

@@ -215,6 +215,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(dense)
     known = assembled.join(marked, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "features", F.col("toxic").cast("double").alias("label"))
     known = materialize(known, "known")
+    seen = known.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic")).first()
+    if (seen["toxic"] or 0) in (0, seen["n"]):          # the labels are of other documents, or of one kind
+        return _scored(_texts(docs).select("doc_id", F.lit(float(seen["toxic"] / seen["n"] if seen["n"] else 0)).alias("score")))
     check = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(3)), F.lit(4)) == 0
     train, rest = known.where(~check), known.where(check)
     if train.select("label").distinct().count() < 2 or rest.select("label").distinct().count() < 2:
