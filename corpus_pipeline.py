@@ -3,7 +3,7 @@
 Every stage is a function of ``(spark, docs, sf_dir)`` and works on all rows
 that the one before kept; ``run`` writes each stage's rows as Parquet in the
 shared folder and reads them again as the next one's input.  All but the last
-stage return the columns of ``documents``.
+stage return the columns of ``documents``, whatever others there are.
 """
 
 from __future__ import annotations
@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillbook.llm import gear_dedup, minhash_forest, soft_mixture, speculative_bpe, toxicity_trees
 from tillbook.session import scratch_path
 
-
-#: Token shares of clean, toxic and junk text that the mixture aims at; the toxic
-#: share is what softness leaves of the posteriors once toxic documents are gone.
-TARGETS = (0.935, 0.005, 0.06)
+#: What the mixture is to keep of the tokens of clean, toxic and junk text: policy of the
+#: corpus, the same for every input. Clean documents stay once each, none is thinned or repeated.
+KEEP = (1.0, 0.25, 0.5)
+CLEAN = 0
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,14 +33,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that an earlier document has are cut; ``n_chars`` follows the text."""
-    cut = gear_dedup.remove_repeats(docs)
+    """Passages that an earlier document has are cut; ``n_chars``, if there is one, follows the text."""
+    spans = "__cut"
+    while spans in {c.lower() for c in docs.columns}:
+        spans += "_"
+    cut = gear_dedup.remove_repeats(docs, spans=spans).select(docs.columns)
+    if "n_chars" not in docs.columns:
+        return cut
     return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are repeated or thinned towards the target shares of the domains."""
-    return soft_mixture.mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), TARGETS).select(docs.columns)
+    """Documents of other domains than the clean one are thinned to what ``KEEP`` leaves of them."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return soft_mixture.mix(docs, labels, keep=KEEP, fixed=CLEAN).select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
