@@ -5,11 +5,14 @@ a cluster with more than its share of the sample is split again, so lists are
 of like size.  Every vector goes to its nearest centroid's list and, as a
 boundary vector, to further lists whose centroid is nearly as near
 (``CLOSURE``), unless a nearer chosen centroid already covers that direction.
-Those are found by best-first search in an in-memory neighbour graph, for a
-block of vectors at once.  A query probes as many of its nearest lists as a
-sample of the queries needs, compared with all vectors, to hold ``TARGET`` of
-their true neighbours; so the breadth follows the table's size and structure
-and has no cap but the number of lists.
+Lists are found by best-first search in an in-memory neighbour graph, for a
+block of vectors at once.  A query probes the lists whose centroid is at most
+a ratio times as far as its nearest one, so a query in the midst of a cluster
+reads few and one between many clusters reads many; the search goes on, twice
+as broad each time, until it has left that range, and no number of lists caps
+it.  The ratio is the least at which a sample of the queries, compared with all
+vectors, finds ``TARGET`` of its true neighbours in the lists that the same
+search selects; so it follows the table's size and structure.
 
 Largest inner product becomes least distance: vectors are scaled to the unit
 ball and get one more coordinate that makes all lengths one; a query gets 0.
@@ -25,7 +28,9 @@ The centroids (at most ``MAX_LISTS``) are all that goes to every task.
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components take no part, nor do rows with a null id or of another length than
 the table's most frequent one; an id in several rows is found as often, each
-row a candidate for the other; with fewer candidates than k all are returned;
+row a candidate for the other; with fewer candidates than k all are returned,
+and lists beyond the ratio are probed where those within hold too few; finite
+components may be so large that a score is infinite, which ranks as such;
 an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -48,7 +53,7 @@ COPIES = 4              # lists a boundary vector stands in, at most
 CLOSURE = 1.10          # distance ratio up to which it is replicated
 TARGET = 0.95           # share of the sampled queries' neighbours that the probed lists hold
 SAMPLED = 128           # queries compared with all vectors
-MIN_LISTS = 24
+BREADTH = 32            # lists a query's search looks for at first
 CHUNK = 1024
 SHARD_ROWS = 16_384
 MIN_SHARDS = 32
@@ -56,11 +61,17 @@ SHARD_QUERIES = 32_768
 QUERY_BLOCK = 512
 DEGREE = 24
 ROWS_AT_ONCE = 512
+CELLS_AT_ONCE = 1 << 22 # numbers laid out at once in a task's search
 
 _ASSIGNED = "vec_id long, row_key long, vector array<double>, lists array<int>"
 _ASKED = "vec_id long, row_key long, vector array<double>, shard int, pieces array<int>"
 
 
+class Pruning(NamedTuple):
+    ratio: float            # lists up to so many times as far as the nearest are probed
+    least: float            # a nearest list counts as no nearer than this
+
+
 class Index(NamedTuple):
     scale: float            # length of the longest vector
     centroids: np.ndarray   # (lists, width + 1)
@@ -148,17 +159,37 @@ def build_index(rows: DataFrame) -> Index | None:
     lists = int(min(MAX_LISTS, max(1, stats["n"] // LIST_ROWS), max(1, len(points) // 4)))
     centroids = balanced_centroids(points, lists)
     first = np.unique(np.linspace(0, len(centroids) - 1, min(len(centroids), 32)).astype(np.int64))
-    return Index(float(stats["longest"]), centroids, neighbour_graph(centroids), first)
+    graph = neighbour_graph(centroids)
+    return Index(float(stats["longest"]), centroids, graph, _entries(graph, first))
+
+
+def _entries(graph: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """``first``, and a centroid of every part of the graph that can't be reached from them."""
+    reached, entry = np.zeros(len(graph), dtype=bool), []
+    for i in [*first.tolist(), *range(len(graph))]:
+        if reached[i] and i not in first:
+            continue
+        entry.append(i)
+        reached[i], todo = True, np.array([i])
+        while len(todo):
+            todo = np.unique(graph[todo])
+            todo = todo[~reached[todo]]
+            reached[todo] = True
+    return np.unique(entry)
 
 
 def _length(vector: str) -> Column:
-    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x * x))
+    """Euclidean length; of one too long for a double, the greatest double."""
+    most = F.array_max(F.transform(vector, F.abs))
+    length = most * F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + (x / most) * (x / most)))
+    return F.least(length, F.lit(float(np.finfo(np.float64).max)))
 
 
 def lifted(vectors: np.ndarray, longest: float, query: bool = False) -> np.ndarray:
     """Unit vectors whose distances order like inner products."""
     if query:
-        x = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300)
+        x = vectors / np.abs(vectors).max(axis=1, keepdims=True)            # squares neither overflow nor vanish
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
         return np.concatenate([x, np.zeros((len(x), 1))], axis=1)
     x = vectors / longest
     return np.concatenate([x, np.sqrt(np.maximum(0.0, 1 - (x ** 2).sum(axis=1, keepdims=True)))], axis=1)
@@ -167,9 +198,16 @@ def lifted(vectors: np.ndarray, longest: float, query: bool = False) -> np.ndarr
 # -- search of centroids -----------------------------------------------------------
 
 def nearest_centroids(index: Index, points: np.ndarray, breadth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best-first graph search of a block of points; the nearest ``breadth``, and their distances."""
+    """Best-first graph search; the nearest ``breadth`` of each point and their distances, infinite where fewer were reached."""
+    breadth = min(breadth, len(index.centroids))
+    opens = min(16, max(4, breadth // 16))
+    step = max(1, CELLS_AT_ONCE // (opens * index.graph.shape[1] * points.shape[1] + breadth))
+    parts = [_search_block(index, points[lo:lo + step], breadth, opens) for lo in range(0, max(len(points), 1), step)]
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+
+def _search_block(index: Index, points: np.ndarray, breadth: int, opens: int) -> tuple[np.ndarray, np.ndarray]:
     centroids, n = index.centroids, len(index.centroids)
-    breadth = min(breadth, n)
     rows = np.arange(len(points))
     norms = (centroids ** 2).sum(axis=1)
     own = (points ** 2).sum(axis=1)
@@ -189,7 +227,7 @@ def nearest_centroids(index: Index, points: np.ndarray, breadth: int) -> tuple[n
     opened = np.zeros(pool.shape, dtype=bool)
     while True:
         waiting = np.where(opened, np.inf, dist)
-        best = waiting.argsort(axis=1)[:, :4]
+        best = waiting.argsort(axis=1)[:, :opens]
         live = np.isfinite(np.take_along_axis(waiting, best, axis=1))
         if not live.any():
             break
@@ -230,10 +268,31 @@ def _replicas(index: Index, points: np.ndarray) -> list[list[int]]:
     return out
 
 
-def ranked_centroids(index: Index, points: np.ndarray, breadth: int) -> np.ndarray:
-    """The nearest ``breadth`` lists of each point in order, by all distances."""
-    d = (index.centroids ** 2).sum(axis=1)[None, :] - 2 * points @ index.centroids.T
-    return np.argsort(d, axis=1, kind="stable")[:, :breadth]
+def probed_lists(index: Index, points: np.ndarray, pruning: Pruning, sizes: np.ndarray | None = None,
+                 need: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Lists to probe, as (row of the point, list) by point, nearest first.
+
+    These are the lists within the ratio, and beyond it as many more as it
+    takes for those before to hold ``need`` entries (``sizes``: of each list).
+    """
+    n = len(index.centroids)
+    sizes = np.zeros(n, dtype=np.int64) if sizes is None else sizes
+    of, lists = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    todo, breadth = np.arange(len(points)), min(BREADTH, n)
+    while len(todo):
+        found, dist = nearest_centroids(index, points[todo], breadth)
+        far = pruning.ratio * np.maximum(dist[:, :1], pruning.least)
+        reached = np.isfinite(dist)
+        held = np.cumsum(np.where(reached, sizes[found], 0), axis=1)
+        near = reached & ((dist <= far) | (held - sizes[found] < need))
+        done = ~near[:, -1] | (breadth == n)
+        at, place = np.nonzero(near & done[:, None])
+        of.append(todo[at])
+        lists.append(found[at, place])
+        todo, breadth = todo[~done], min(n, 2 * breadth)
+    of, lists = np.concatenate(of), np.concatenate(lists)
+    order = np.argsort(of, kind="stable")
+    return of[order], lists[order]
 
 
 def _points(part: pa.RecordBatch, width: int) -> np.ndarray:
@@ -261,30 +320,35 @@ def _assigner(index: Index):
     return run
 
 
-def _asker(index: Index, breadth: int, first: np.ndarray, shards: int):
+def _asker(index: Index, pruning: Pruning, sizes: np.ndarray, need: int, first: np.ndarray, shards: int):
     """Queries -> one row per shard that holds pieces of their lists; list i has pieces ``first[i]`` to ``first[i + 1]``."""
     width = index.centroids.shape[1] - 1
-    most = int(np.diff(first).max(initial=0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches, width):
-            lists = ranked_centroids(index, lifted(_points(part, width), index.scale, True), breadth)
-            pieces = first[lists][:, :, None] + np.arange(most)[None, None, :]
-            there = of, _, _ = np.nonzero(pieces < first[lists + 1][:, :, None])
-            pieces = pieces[there]
-            order = np.lexsort((pieces, pieces % shards, of))
-            of, pieces = of[order], pieces[order]
-            fresh = np.ones(len(of), dtype=bool)
-            fresh[1:] = (of[1:] != of[:-1]) | (pieces[1:] % shards != pieces[:-1] % shards)
-            at = np.flatnonzero(fresh)
-            rows = part.select(["vec_id", "row_key", "vector"]).take(pa.array(of[at]))
-            held = pa.ListArray.from_arrays(pa.array(np.append(at, len(of)).astype(np.int32)), pa.array(pieces.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array((pieces[at] % shards).astype(np.int32)), held],
-                                             names=["vec_id", "row_key", "vector", "shard", "pieces"])
+            asked, lists = probed_lists(index, lifted(_points(part, width), index.scale, True), pruning, sizes, need)
+            many = first[lists + 1] - first[lists]
+            each = int(np.bincount(asked, many).max(initial=1))
+            step = max(1, CELLS_AT_ONCE // max(each, 1))
+            for lo in range(0, part.num_rows, step):
+                some = slice(*np.searchsorted(asked, [lo, lo + step]))
+                of, count = np.repeat(asked[some], many[some]), many[some]
+                if not len(of):
+                    continue
+                pieces = np.repeat(first[lists[some]] - np.cumsum(count) + count, count) + np.arange(len(of))
+                order = np.lexsort((pieces, pieces % shards, of))
+                of, pieces = of[order], pieces[order]
+                fresh = np.ones(len(of), dtype=bool)
+                fresh[1:] = (of[1:] != of[:-1]) | (pieces[1:] % shards != pieces[:-1] % shards)
+                at = np.flatnonzero(fresh)
+                rows = part.select(["vec_id", "row_key", "vector"]).take(pa.array(of[at]))
+                held = pa.ListArray.from_arrays(pa.array(np.append(at, len(of)).astype(np.int32)), pa.array(pieces.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array((pieces[at] % shards).astype(np.int32)), held],
+                                                 names=["vec_id", "row_key", "vector", "shard", "pieces"])
     return run
 
 
-# -- breadth -------------------------------------------------------------------
+# -- ratio ---------------------------------------------------------------------
 
 def _scanner(queries: np.ndarray, keys: np.ndarray, k: int):
     """Assigned rows -> the best k of a task's rows for each query, with their lists."""
@@ -306,20 +370,36 @@ def _scanner(queries: np.ndarray, keys: np.ndarray, k: int):
     return run
 
 
-def probe_breadth(index: Index, assigned: DataFrame, asking: DataFrame, k: int, target: float = TARGET) -> int:
-    """How many nearest lists hold ``target`` of the true neighbours of sampled queries, by a scan of all vectors."""
+def learned_pruning(index: Index, assigned: DataFrame, asking: DataFrame, k: int, target: float = TARGET) -> Pruning:
+    """The least ratio at which sampled queries find ``target`` of their true neighbours, by a scan of all vectors.
+
+    Distances to all centroids propose ratios; the graph search that all
+    queries go through decides which is enough.
+    """
     width = index.centroids.shape[1] - 1
     sample = asking.where(F.size("vector") == width).orderBy(F.xxhash64("vec_id", "vector", F.lit(9))).limit(SAMPLED).collect()
     if not sample:
-        return MIN_LISTS
+        return Pruning(1.0, 1.0)
     queries = np.array([r["vector"] for r in sample], dtype=np.float64)
     best = assigned.mapInArrow(_scanner(queries, np.array([r["row_key"] for r in sample]), k), "q int, score double, lists array<int>")
     best = best.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score")))).where(F.col("r") <= k).collect()
-    order = ranked_centroids(index, lifted(queries, index.scale, True), len(index.centroids))
-    rank = np.argsort(order, axis=1)
-    needed = np.sort([rank[r["q"], r["lists"]].min() + 1 for r in best])
-    enough = int(needed[int(np.ceil(target * len(needed))) - 1]) if len(needed) else 0
-    return min(len(index.centroids), max(MIN_LISTS, enough))
+    points = lifted(queries, index.scale, True)
+    nearest = nearest_centroids(index, points, BREADTH)[1][:, 0]
+    least = float(nearest.mean())
+    if not best or least == 0:
+        return Pruning(np.inf if best else 1.0, 1.0)
+    nearest = np.maximum(nearest, least)
+    away = np.stack([np.sqrt(((index.centroids - p) ** 2).sum(axis=1)) for p in points]) / nearest[:, None]
+    ratios = np.sort([away[r["q"], r["lists"]].min() for r in best])
+    missed = 1 - target
+    while True:
+        at = min(len(ratios), int(np.ceil((1 - missed) * len(ratios)))) - 1
+        pruning = Pruning(float(ratios[at]) * (1 + 1e-9), least)
+        there = np.zeros(away.shape, dtype=bool)
+        there[probed_lists(index, points, pruning)] = True
+        if at == len(ratios) - 1 or np.mean([there[r["q"], r["lists"]].any() for r in best]) >= target:
+            return pruning
+        missed /= 2
 
 
 # -- search of lists ---------------------------------------------------------------
@@ -354,10 +434,12 @@ def _best_of_block(some: pd.DataFrame, ids, keys, vectors, pieces, at, ends, k:
         if not len(who):
             continue
         value = inner_products(asked[who], vectors[lo:hi])
-        value[(q_ids[who][:, None] == ids[None, lo:hi]) & (q_keys[who][:, None] == keys[None, lo:hi])] = -np.inf
-        top = np.argsort(-value, axis=1, kind="stable")[:, :k]
+        own = (q_ids[who][:, None] == ids[None, lo:hi]) & (q_keys[who][:, None] == keys[None, lo:hi])
+        np.fmax(value, -np.inf, out=value)                              # of infinite terms of both signs
+        value[own] = -np.inf
+        top = np.argsort(-value, axis=1, kind="stable")[:, :k + 1]      # itself may stand before other infinite ones
         best = np.take_along_axis(value, top, axis=1)
-        real = np.isfinite(best)
+        real = ~np.take_along_axis(own, top, axis=1)
         of.append(np.repeat(who, top.shape[1])[real.ravel()])
         row.append(top[real] + lo)
         score.append(best[real])
@@ -391,20 +473,20 @@ def search(table: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     assigned = materialize(rows.mapInArrow(_assigner(index), _ASSIGNED), "lists")
     asking = rows.where(queries)
-    breadth = probe_breadth(index, assigned, asking, k)
+    pruning = learned_pruning(index, assigned, asking, k)
     lists = assigned.select("vec_id", "row_key", "vector", F.explode("lists").alias("list"))
-    sizes = lists.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)).cast("int").alias("chunks")).collect()
-    chunks = np.zeros(len(index.centroids), dtype=np.int64)            # at most MAX_LISTS
-    for r in sizes:
-        chunks[r["list"]] = r["chunks"]
+    sizes = np.zeros(len(index.centroids), dtype=np.int64)             # at most MAX_LISTS
+    for r in lists.groupBy("list").count().collect():
+        sizes[r["list"]] = r["count"]
+    chunks = -(-sizes // CHUNK)
     first = np.concatenate([[0], np.cumsum(chunks)])
-    shards = max(MIN_SHARDS, -(-lists.count() // SHARD_ROWS))
+    shards = max(MIN_SHARDS, -(-int(sizes.sum()) // SHARD_ROWS))
     blocks = F.lit(max(1, -(-asking.count() // SHARD_QUERIES)))        # a group holds a bounded number of queries
     starts = spark.createDataFrame([(i, int(first[i]), int(chunks[i])) for i in range(len(chunks))], "list int, first int, chunks int")
     members = lists.join(F.broadcast(starts), "list").select(
         "vec_id", "row_key", "vector", (F.col("first") + F.pmod(F.xxhash64("row_key", F.lit(1)), F.col("chunks"))).cast("int").alias("piece"),
         F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block")).withColumn("shard", F.col("piece") % F.lit(shards))
-    asked = asking.mapInArrow(_asker(index, breadth, first, shards), _ASKED).withColumn(
+    asked = asking.mapInArrow(_asker(index, pruning, sizes, COPIES * (k + 1), first, shards), _ASKED).withColumn(
         "block", F.pmod(F.xxhash64("row_key", F.lit(2)), blocks).cast("int"))
     found = members.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(
         _best_of_shard(k), "query_id long, query_key long, vec_id long, row_key long, score double")
