@@ -179,10 +179,10 @@ def _entries(graph: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _length(vector: str) -> Column:
-    """Euclidean length; of one too long for a double, the greatest double."""
-    most = F.array_max(F.transform(vector, F.abs))
-    length = most * F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + (x / most) * (x / most)))
-    return F.least(length, F.lit(float(np.finfo(np.float64).max)))
+    """Euclidean length; where squares overflow or vanish, a bound of it."""
+    length = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x * x))
+    bound = F.array_max(F.transform(vector, F.abs)) * F.sqrt(F.size(vector))
+    return F.when((length > 0) & (length < float("inf")), length).otherwise(F.least(bound, F.lit(float(np.finfo(np.float64).max))))
 
 
 def lifted(vectors: np.ndarray, longest: float, query: bool = False) -> np.ndarray:
@@ -399,7 +399,7 @@ def learned_pruning(index: Index, assigned: DataFrame, asking: DataFrame, k: int
         there[probed_lists(index, points, pruning)] = True
         if at == len(ratios) - 1 or np.mean([there[r["q"], r["lists"]].any() for r in best]) >= target:
             return pruning
-        missed /= 2
+        missed *= 0.85
 
 
 # -- search of lists ---------------------------------------------------------------
@@ -433,16 +433,11 @@ def _best_of_block(some: pd.DataFrame, ids, keys, vectors, pieces, at, ends, k:
         who = query[np.searchsorted(wanted, p):np.searchsorted(wanted, p, side="right")]
         if not len(who):
             continue
-        value = inner_products(asked[who], vectors[lo:hi])
         own = (q_ids[who][:, None] == ids[None, lo:hi]) & (q_keys[who][:, None] == keys[None, lo:hi])
-        np.fmax(value, -np.inf, out=value)                              # of infinite terms of both signs
-        value[own] = -np.inf
-        top = np.argsort(-value, axis=1, kind="stable")[:, :k + 1]      # itself may stand before other infinite ones
-        best = np.take_along_axis(value, top, axis=1)
-        real = ~np.take_along_axis(own, top, axis=1)
-        of.append(np.repeat(who, top.shape[1])[real.ravel()])
-        row.append(top[real] + lo)
-        score.append(best[real])
+        near, place, value = best_pairs(asked[who], vectors[lo:hi], own, k)
+        of.append(who[near])
+        row.append(place + lo)
+        score.append(value)
     if not of:
         return []
     of, row, score = (np.concatenate(x) for x in (of, row, score))
@@ -456,12 +451,28 @@ def _best_of_block(some: pd.DataFrame, ids, keys, vectors, pieces, at, ends, k:
     return [pd.DataFrame({"query_id": q_ids[of], "query_key": q_keys[of], "vec_id": ids[row], "row_key": keys[row], "score": score})]
 
 
-def inner_products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Double-precision sums in component order, so a pair's score is the same in any group."""
-    out = np.zeros((len(queries), len(vectors)))
-    for q, v in zip(queries.T, vectors.T):
-        out += np.multiply.outer(q, v)
-    return out
+def best_pairs(queries: np.ndarray, vectors: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best ``k`` vectors of each query, ties to the earlier, as pairs with their scores; none of those marked ``own``.
+
+    A matrix product leaves those within its rounding error of the k-th; their
+    scores are double-precision sums in component order, so that a pair has the
+    same score in any group.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        rough = queries @ vectors.T
+        kept = ~own
+        if np.isfinite(rough).all() and len(vectors) > k:
+            rough[own] = -np.inf
+            error = 2 * queries.shape[1] * np.finfo(np.float64).eps * np.linalg.norm(queries, axis=1) * np.linalg.norm(vectors, axis=1).max()
+            kept &= rough >= (np.partition(rough, len(vectors) - k, axis=1)[:, len(vectors) - k] - 2 * error)[:, None]
+        query, place = np.nonzero(kept)
+        score = np.zeros(len(query))
+        for q, v in zip(queries.T, vectors.T):
+            score += q[query] * v[place]
+    score = np.fmax(score, -np.inf)                                         # infinite terms of both signs rank last
+    order = np.lexsort((place, -score, query))
+    best = order[np.arange(len(order)) - np.searchsorted(query[order], query[order]) < k]
+    return query[best], place[best], score[best]
 
 
 def search(table: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
