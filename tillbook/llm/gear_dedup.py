@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tillbook.functions import spread
+from tillbook.functions import sieve, spread
 from tillbook.llm.textnp import IS_SPACE, Block, blocks, segment_hashes
 from tillbook.session import materialize
 
@@ -230,9 +230,13 @@ def repeated_seeds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
              .where("doc_id IS NOT NULL"))
     chunks = texts.mapInArrow(chunk_batches, _CHUNKS)
-    seen = (chunks.groupBy("digest").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("last_doc"))
-            .where("last_doc > first.doc_id").select("digest", F.col("first.doc_id").alias("first_doc"), F.col("first.start").alias("f_start")))
-    repeated = chunks.join(seen, "digest").where("first_doc < doc_id").drop("digest")
+    seen = (chunks.groupBy("digest").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("last_doc"),
+                                         F.count(F.lit(1)).alias("n"))
+            .where("last_doc > first.doc_id").select("digest", F.col("first.doc_id").alias("first_doc"), F.col("first.start").alias("f_start"), "n"))
+    seen = materialize(seen, "seen")
+    # chunks of no repeated digest aren't shuffled, as far as a table of fixed size can tell; those of a busy digest are dealt out
+    again = sieve.keep(chunks, materialize(sieve.build(seen, ["digest"]), "sieve"), ["digest"])
+    repeated = spread.join(again, seen.drop("n"), ["digest"], ["doc_id", "start"], hot=hot_digests(seen)).where("first_doc < doc_id").drop("digest")
     ordered = repeated.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "stop", "first_doc", "f_start"))).alias("c"))
     seeds = ordered.select("doc_id", F.explode(_joined("c")).alias("s")).select("doc_id", "s.*")
     seeds = materialize(seeds.select("doc_id", "start", "stop", "first_doc", "f_start",
@@ -245,6 +249,15 @@ def repeated_seeds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.collect_list(F.struct("start", "stop", "first_doc", "crc", "head", "tail", "opens", "ends")).alias("seeds"))
 
 
+def hot_digests(seen: DataFrame) -> dict[int, int]:
+    """Hash of the digest -> number of pieces, for those with more chunks than an average partition; fewer than there are partitions."""
+    partitions = int(seen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = seen.agg(F.sum("n")).first()[0] or 0
+    busy = seen.where(F.col("n") * partitions > total).orderBy(F.desc("n")).limit(min(spread.MOST, partitions))
+    pieces = spread.FINENESS * partitions
+    return {r["key"]: -(-pieces * r["n"] // total) for r in busy.select(F.xxhash64("digest").alias("key"), "n").collect()} if partitions > 1 else {}
+
+
 def _joined(chunks: str):
     """Join chunks (one document's, ordered) that touch or overlap and stand alike in the same other document."""
     kind = "struct<start:int,stop:int,first_doc:bigint,f_start:int>"
