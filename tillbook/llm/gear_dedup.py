@@ -49,6 +49,8 @@ MIN_BYTES = 16
 MIN_WORDS = 16
 REACH = 2 * WINDOW + 4
 REACH_BYTES = 16_384
+BLOCK_BYTES = 1 << 18   # of text that are chunked at once: some fifty bytes of arrays stand beside each
+ROWS = 256              # documents that are Python objects at once
 WORD_BYTES = 16         # a run without breaks counts as a word for so many bytes
 _BREAKS = frozenset(b" \t\n\x0b\x0c\r")
 _SPACES = re.compile(rb"[ \t-\r]+")
@@ -114,7 +116,7 @@ def chunk_bounds(block: Block) -> tuple[np.ndarray, np.ndarray]:
 def chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) -> chunks; offsets are UTF-8 bytes of the text."""
     for batch in batches:
-        for block in blocks(batch.column(1)):
+        for block in blocks(batch.column(1), BLOCK_BYTES):
             starts, stops = chunk_bounds(block)
             if not len(starts):
                 continue
@@ -204,7 +206,7 @@ def _cutter(min_words: int, spans_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(..., text, seeds) -> the same rows with the runs taken out of text, and the runs as spans."""
         kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("n_words", pa.int32()), ("first_doc", pa.int64())]))
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             names = batch.schema.names
             t, s = names.index("text"), names.index(spans_col)
             texts, spans = [], []
