@@ -26,6 +26,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -91,6 +92,14 @@ class Bpe:
             if token != self.suffix:
                 self.automaton.add_word(self._match_form(token), i)
         self.automaton.make_automaton()
+        # of one symbol, within a word and at its end
+        # the last place stands for all characters beyond
+        beyond = 1 + max([ord(t) for t in map(self._bare, self.vocab) if len(t) == 1], default=0)
+        self.symbol_ids = np.array([*(self.vocab.get(chr(c), -1) for c in range(beyond)), -1], dtype=np.int64)
+        self.end_ids = np.array([*(self.vocab.get(chr(c) + self.suffix, -1) for c in range(beyond)), -1], dtype=np.int64)
+        self.names = np.full(size, None, dtype=object)
+        for i, t in self.text.items():
+            self.names[i] = t
         self.cache: dict[str, tuple[bytes, str]] = {}
         self.sound = np.full(size, -1, dtype=np.int8)      # not known yet
         self.merged_words = 0
@@ -127,6 +136,9 @@ class Bpe:
 
     # -- speculation ---------------------------------------------------------
 
+    def _bare(self, token: str) -> str:
+        return token.removesuffix(self.suffix)
+
     def _match_form(self, token: str) -> str:
         return token.removesuffix(self.suffix) + END if token.endswith(self.suffix) else token
 
@@ -182,43 +194,63 @@ class Bpe:
         return ok
 
     def merge_exactly(self, words: list[str], ends: bool = True) -> list[list[int]]:
-        """Exact BPE of many symbol strings at once, those of like length together.
+        """Exact BPE of many symbol strings at once; ``ends``: do the strings end a word?"""
+        out: list[list[int]] = [[] for _ in words]
+        order, flat, lengths = self._merged(words, ends)
+        stops, flat = np.cumsum(lengths).tolist(), flat.tolist()
+        for i, a, b in zip(order, [0, *stops], stops):
+            out[i] = flat[a:b]
+        return out
+
+    def _merged(self, words: list[str], ends: bool = True) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """The order in which the words were merged, those of like length together, all their tokens and how many each has.
 
         In each round every word merges its pair of lowest rank, leftmost
-        first, until none has a pair left.  ``ends``: do the strings end a word?
+        first, until none has a pair left.
         """
-        out: list[list[int]] = [[] for _ in words]
-        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        lengths = list(map(len, words))
+        order = sorted(range(len(words)), key=lengths.__getitem__)
         at = 0
+        flat, counts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
         while at < len(order):
-            n = len(words[order[at]])
+            n = lengths[order[at]]
             stop = at + 1
-            while stop < len(order) and stop - at < 4096 and len(words[order[stop]]) <= n + 2 and (stop - at) * (n + 2) < 1 << 20:
+            while stop < len(order) and stop - at < 4096 and lengths[order[stop]] <= n + 2 and (stop - at) * (n + 2) < 1 << 20:
                 stop += 1
-            part = order[at:stop]
-            for i, tokens in zip(part, self._merge_block([self._symbol_ids(words[i], ends) for i in part])):
-                out[i] = tokens
+            made = self._merge_block(self._symbol_ids([words[i] for i in order[at:stop]], ends))
+            real = made >= 0
+            flat.append(made[real])
+            counts.append(real.sum(axis=1))
             at = stop
-        return out
-
-    def _symbol_ids(self, symbols: str, ends: bool) -> list[int]:
-        ids = [self.vocab.get(c) for c in symbols[:-1]] + [self.vocab.get(symbols[-1:] + self.suffix if ends else symbols[-1:])]
-        return [i for i in ids if i is not None]
-
-    def _merge_block(self, symbols: list[list[int]]) -> list[list[int]]:
-        width = max(2, max(map(len, symbols), default=0))
-        tokens = np.full((len(symbols), width), -1, dtype=np.int64)
-        for i, ids in enumerate(symbols):
-            tokens[i, :len(ids)] = ids
+        return order, np.concatenate(flat), np.concatenate(counts)
+
+    def _symbol_ids(self, words: list[str], ends: bool) -> np.ndarray:
+        """A row per word: its symbols' ids from the left, -1 behind; symbols that the vocabulary lacks are left out."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        chars = np.minimum(np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4"), len(self.symbol_ids) - 1)
+        ids = self.symbol_ids[chars]
+        if ends:
+            last = (np.cumsum(lengths) - 1)[lengths > 0]
+            ids[last] = self.end_ids[chars[last]]
+        known = ids >= 0
+        row = np.repeat(np.arange(len(words)), lengths)[known]
+        kept = np.bincount(row, minlength=len(words))
+        tokens = np.full((len(words), max(2, kept.max(initial=0))), -1, dtype=np.int64)
+        tokens[row, np.arange(len(row)) - np.repeat(np.cumsum(kept) - kept, kept)] = ids[known]
+        if ends and self.suffix in self.vocab:
+            tokens[lengths == 0, 0] = self.vocab[self.suffix]
+        return tokens
+
+    def _merge_block(self, tokens: np.ndarray) -> np.ndarray:
+        width = tokens.shape[1]
         ranks = self._merge_rank(tokens[:, :-1], tokens[:, 1:])
-        done: list[np.ndarray] = [tokens[:0]] * len(symbols)
-        index = np.arange(len(symbols))
+        done = np.full_like(tokens, -1)
+        index = np.arange(len(tokens))
         while len(index):
             best = ranks.argmin(axis=1)
             rows = np.arange(len(index))
             going = ranks[rows, best] < NEVER
-            for i, row in zip(index[~going].tolist(), tokens[~going]):
-                done[i] = row
+            done[index[~going]] = tokens[~going]
             tokens, ranks, index, best = tokens[going], ranks[going], index[going], best[going]
             rows = rows[:len(index)]
             if not len(index):
@@ -235,7 +267,7 @@ class Bpe:
             ranks[rows, best] = self._merge_rank(made, tokens[rows, best + 1])
             before = np.maximum(best - 1, 0)
             ranks[rows, before] = np.where(best > 0, self._merge_rank(tokens[rows, before], made), ranks[rows, before])
-        return [row[row >= 0].tolist() for row in done]
+        return done
 
     def reachable(self, tokens: np.ndarray) -> np.ndarray:
         """Does each token's own text encode to it? (A few of a vocabulary may be out of reach.)"""
@@ -247,7 +279,8 @@ class Bpe:
                 self.sound[t] = got == [t]
         return self.sound[tokens] > 0
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
+    def encode_words(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The words in another order, all their tokens and how many each has."""
         symbols = [self.symbols(w) for w in words]
         tokens, word, good = self.propose(symbols)
         good[word[~self.reachable(tokens)]] = False
@@ -255,30 +288,26 @@ class Bpe:
         pairs, which = np.unique(tokens[:-1][inner] << 32 | tokens[1:][inner], return_inverse=True)
         fits = self.compatible(pairs >> 32, pairs & 0xFFFFFFFF)
         good[word[:-1][inner][~fits[which]]] = False
-        ends = np.searchsorted(word, np.arange(len(words) + 1)).tolist()
-        flat = tokens.tolist()
-        out = [flat[a:b] for a, b in zip(ends, ends[1:])]
         failed = np.flatnonzero(~good).tolist()
-        for i, exact in zip(failed, self.merge_exactly([symbols[i] for i in failed])):
-            out[i] = exact
+        order, exact, counts = self._merged([symbols[i] for i in failed])
         self.merged_words += len(failed)
-        return out
+        return ([words[i] for i in np.flatnonzero(good).tolist()] + [words[failed[i]] for i in order],
+                np.concatenate([tokens[good[word]], exact]), np.concatenate([np.bincount(word, minlength=len(words))[good], counts]))
 
     def learn(self, chunks: list[str]) -> None:
         """Encode new distinct pieces of text without white space into the cache."""
         parts = [[c] if c.isalpha() else self.split(c) for c in chunks]
-        words = list({w for p in parts for w in p} - self.cache.keys())
-        coded = self.encode_words(words) if words else []
-        raw = np.array([t for ids in coded for t in ids], dtype="<u4").tobytes()
-        known, at, text = {}, 0, self.text
-        for w, ids in zip(words, coded):
-            known[w] = raw[at:at + 4 * len(ids)], " ".join([text[t] for t in ids])
-            at += 4 * len(ids)
+        words = list(set(chain.from_iterable(parts)) - self.cache.keys())
+        known = self.cache
+        if words:
+            words, tokens, counts = self.encode_words(words)
+            raw, text = tokens.astype("<u4").tobytes(), self.names[tokens].tolist()
+            stops = np.cumsum(counts).tolist()
+            known.update(zip(words, [(raw[4 * a:4 * b], " ".join(text[a:b])) for a, b in zip([0, *stops], stops)]))
         for c, p in zip(chunks, parts):
             if p != [c]:
-                both = [known.get(w) or self.cache[w] for w in p]
+                both = [known[w] for w in p]
                 known[c] = b"".join([x[0] for x in both]), " ".join([x[1] for x in both])
-        self.cache.update(known)
 
     # -- whole texts ---------------------------------------------------------
 
@@ -314,8 +343,9 @@ class Bpe:
             self.learn(new)
         cache = self.cache
         for words, mixed in split:
-            found = [cache[w] if isinstance(w, str) else self.added_pair(w) for w in words] if mixed else [cache[w] for w in words]
-            yield b"".join([f[0] for f in found]), " ".join([f[1] for f in found])
+            found = [cache[w] if isinstance(w, str) else self.added_pair(w) for w in words] if mixed else map(cache.__getitem__, words)
+            ids, decoded = zip(*found) if words else ((), ())
+            yield b"".join(ids), " ".join(decoded)
 
     def added_pair(self, token: int) -> tuple[bytes, str]:
         return np.array([token], dtype="<u4").tobytes(), self.added_text[token]
