@@ -26,7 +26,7 @@ class Model:
 
 
 def _sla(p: Pipeline) -> DataFrame:
-    return contracts.enforce(marts.merchant_settlement_sla(p.matches, p.bank_movements, p.calendar, p.merchants, p.run_id, p.as_of),
+    return contracts.enforce(marts.merchant_settlement_sla(p.stored_matches, p.bank_movements, p.calendar, p.merchants, p.run_id, p.as_of),
                              "merchant_settlement_sla")
 
 
@@ -40,7 +40,7 @@ MODELS = [
     Model("silver", "fct_bank_movement", (), lambda p: silver.fct_bank_movement(p.bronze("bank_movements"))),
     Model("silver", "fct_reserve_event", (), lambda p: silver.fct_reserve_event(p.bronze("reserve_events"))),
     Model("silver", "fct_returns_adjustment", (), lambda p: silver.fct_returns_adjustment(p.bronze("returns_adjustments"))),
-    Model("silver", "int_reconciliation_matches", ("fct_settlement_batch", "fct_bank_movement", "dim_date"), lambda p: p.matches),
+    Model("silver", "int_reconciliation_matches", ("fct_settlement_batch", "fct_bank_movement", "dim_date"), lambda p: p.stored_matches),
     Model("silver", "fct_duplicate_postings", ("int_reconciliation_matches", "fct_bank_movement"), lambda p: p.duplicate_postings),
     Model("gold", "fct_reconciliation_breaks", ("int_reconciliation_matches", "dim_date", "dim_merchant", "dim_merchant_history"),
           lambda p: p.breaks),
