@@ -8,12 +8,16 @@ walk both tokens' merge trees towards their common border.  Only words with a
 failing pair, or an end that the greedy match can't place, are merged exactly
 in rank order, many words at a time.
 
+A block's texts are cut into words over their bytes, and words become numbers
+once a block: ids and decoded texts are then taken by number, so Python objects
+are made for a block's distinct words only.
+
 The vocabulary file (``tokenizers`` JSON, BPE with an end-of-word suffix,
 byte-level alphabet) is a parameter; its normaliser and word pattern are read
 from it.  The parts supported are those of such files: NFC, a pattern replaced
 by a string, lower case; a removed-inverted split; added tokens that are not
 normalised; white space parts words.  Anything else raises ``ValueError``.
-Letters and digits are those of this Python's Unicode tables; a library built
+Letters and digits are those of the ``regex`` module's Unicode tables; a library built
 on older tables splits words with characters added since then differently.
 
 Defined results: null text is encoded as the empty text (no ids, empty decoded
@@ -26,6 +30,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -34,11 +39,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-CACHE_WORDS = 1 << 18      # distinct words remembered per task
+CACHE_WORDS = 1 << 18      # distinct words remembered per Python worker
 END = "\0"                 # stands for the end-of-word suffix in match strings
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2028\u2029\u202f\u205f\u3000"
 ALL_WHITE = regex.compile(r"\s+")
-ODD_WHITE = regex.compile("[\x1c-\x1f]")   # str.split() parts here, the file's patterns don't
+KINDS = [regex.compile(p) for p in (r"\s", r"\p{L}", r"\p{N}")]     # 0 to 2; 3: any other character
+KIND_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"     # the pattern whose words are found by these kinds
+ADDED = b"\xff"            # so many stand for an added token among bytes of texts
 NEVER = np.int64(1) << 41  # above all ranks
 
 
@@ -50,7 +57,7 @@ def byte_alphabet() -> list[str]:
 
 
 class Bpe:
-    """Tables of one vocabulary file; made once per task."""
+    """Tables of one vocabulary file; made once per Python worker."""
 
     def __init__(self, spec: str):
         config = json.loads(spec)
@@ -76,17 +83,25 @@ class Bpe:
         self.keys = keys[order]
         self.key_ranks, self.key_made = np.array(list(self.merges.values()), dtype=np.int64)[order].T.copy()
         self.normalise = self._normaliser(config["normalizer"])
-        self.split: Callable[[str], list[str]] = self._splitter(config["pre_tokenizer"])
+        pattern = self._word_pattern(config["pre_tokenizer"])
+        self.split: Callable[[str], list[str]] = pattern.findall
+        self.words = self.words_by_kind if pattern.pattern == KIND_WORDS else self.words_by_pattern
         self.alphabet = byte_alphabet()
         added = config.get("added_tokens") or []
         if any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
             raise ValueError("only plain added tokens are supported")
         self.added = {t["content"]: t["id"] for t in added}
+        self.added_keys = {t: ADDED * n for n, t in enumerate(self.added, 1)}
         self.added_pattern = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if added else None
-        self.added_text = {i: t for t, i in self.added.items()}
         if any(set(WHITE) & set(piece) for w in WHITE for piece in self.split(f"a{w}1{w}!{w}'s{w}é")):
             raise ValueError("a word of this pre-tokenizer can hold white space")
         self.latin = str.maketrans({b: c for b, c in enumerate(self.alphabet)})
+        self.by_byte = np.array(list(map(ord, self.alphabet)), dtype="<u4")
+        self.by_byte[ord("\n")] = ord("\n")                 # parts words
+        # kinds of code points, as far as known; of the bytes of ASCII, and that of ``ADDED``
+        self.kinds = np.full(0x110000, 255, dtype=np.uint8)
+        self.byte_kinds = np.full(256, 4, dtype=np.uint8)
+        self.byte_kinds[:128] = self.kinds_of(np.arange(128))
         self.automaton = ahocorasick.Automaton()
         for token, i in self.vocab.items():
             if token != self.suffix:
@@ -97,10 +112,10 @@ class Bpe:
         beyond = 1 + max([ord(t) for t in map(self._bare, self.vocab) if len(t) == 1], default=0)
         self.symbol_ids = np.array([*(self.vocab.get(chr(c), -1) for c in range(beyond)), -1], dtype=np.int64)
         self.end_ids = np.array([*(self.vocab.get(chr(c) + self.suffix, -1) for c in range(beyond)), -1], dtype=np.int64)
-        self.names = np.full(size, None, dtype=object)
-        for i, t in self.text.items():
-            self.names[i] = t
-        self.cache: dict[str, tuple[bytes, str]] = {}
+        # of each id, with the space behind it
+        names = self.text | {i: t for t, i in self.added.items()}
+        self.names = pa.array([f"{names.get(i, '')} ".encode() for i in range(max(names) + 1)], type=pa.large_binary())
+        self.forget()
         self.sound = np.full(size, -1, dtype=np.int8)      # not known yet
         self.merged_words = 0
 
@@ -126,13 +141,19 @@ class Bpe:
         return run
 
     @staticmethod
-    def _splitter(config: dict) -> Callable[[str], list[str]]:
+    def _word_pattern(config: dict) -> regex.Pattern:
         parts = config["pretokenizers"] if config["type"] == "Sequence" else [config]
         split = parts[0]
         if len(parts) != 2 or split["type"] != "Split" or split["behavior"] != "Removed" or not split["invert"] \
                 or parts[1]["type"] != "ByteLevel" or parts[1]["use_regex"] or parts[1]["add_prefix_space"]:
             raise ValueError("this pre-tokenizer is not supported")
-        return regex.compile(split["pattern"]["Regex"]).findall
+        return regex.compile(split["pattern"]["Regex"])
+
+    def forget(self) -> None:
+        """Only the added tokens are remembered: each word's row, and where its tokens stop."""
+        self.rows: dict[bytes, int] = {key: n for n, key in enumerate(self.added_keys.values())}
+        self.tokens = np.array(list(self.added.values()), dtype="<u4")
+        self.stops = np.arange(len(self.added) + 1)
 
     # -- speculation ---------------------------------------------------------
 
@@ -145,10 +166,14 @@ class Bpe:
     def symbols(self, word: str) -> str:
         return word.encode("utf-8").decode("latin-1").translate(self.latin)
 
+    def all_symbols(self, words: list[str]) -> list[str]:
+        joined = np.frombuffer("\n".join(words).encode(), dtype=np.uint8)
+        return self.by_byte[joined].tobytes().decode("utf-32-le").split("\n") if words else []
+
     def propose(self, symbols: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Greedy longest match of all words: tokens, their word, and which words are covered to their end."""
         line = END.join(symbols) + END
-        found = np.array(list(self.automaton.iter_long(line)), dtype=np.int64).reshape(-1, 2)
+        found = np.fromiter(chain.from_iterable(self.automaton.iter_long(line)), dtype=np.int64).reshape(-1, 2)
         stops = np.cumsum(np.fromiter(map(len, symbols), dtype=np.int64, count=len(symbols)) + 1) - 1
         word = np.searchsorted(stops, found[:, 0])
         covered = np.zeros(len(symbols), dtype=bool)
@@ -281,7 +306,7 @@ class Bpe:
 
     def encode_words(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """The words in another order, all their tokens and how many each has."""
-        symbols = [self.symbols(w) for w in words]
+        symbols = self.all_symbols(words)
         tokens, word, good = self.propose(symbols)
         good[word[~self.reachable(tokens)]] = False
         inner = word[:-1] == word[1:]
@@ -294,64 +319,125 @@ class Bpe:
         return ([words[i] for i in np.flatnonzero(good).tolist()] + [words[failed[i]] for i in order],
                 np.concatenate([tokens[good[word]], exact]), np.concatenate([np.bincount(word, minlength=len(words))[good], counts]))
 
-    def learn(self, chunks: list[str]) -> None:
-        """Encode new distinct pieces of text without white space into the cache."""
-        parts = [[c] if c.isalpha() else self.split(c) for c in chunks]
-        words = list(set(chain.from_iterable(parts)) - self.cache.keys())
-        known = self.cache
-        if words:
-            words, tokens, counts = self.encode_words(words)
-            raw, text = tokens.astype("<u4").tobytes(), self.names[tokens].tolist()
-            stops = np.cumsum(counts).tolist()
-            known.update(zip(words, [(raw[4 * a:4 * b], " ".join(text[a:b])) for a, b in zip([0, *stops], stops)]))
-        for c, p in zip(chunks, parts):
-            if p != [c]:
-                both = [known[w] for w in p]
-                known[c] = b"".join([x[0] for x in both]), " ".join([x[1] for x in both])
+    def learn(self, new: list[bytes]) -> None:
+        """Encode words not yet known and remember them."""
+        words, tokens, counts = self.encode_words(b"\n".join(new).decode().split("\n"))
+        rows = range(len(self.stops) - 1, len(self.stops) - 1 + len(words))
+        self.tokens = np.concatenate([self.tokens, tokens.astype("<u4")])
+        self.stops = np.concatenate([self.stops, self.stops[-1] + np.cumsum(counts)])
+        self.rows.update(zip("\n".join(words).encode().split(b"\n"), rows))
 
     # -- whole texts ---------------------------------------------------------
 
-    def pieces(self, text: str) -> list[str]:
-        """The normalised text parted at white space."""
-        text = self.normalise(text)
-        if ODD_WHITE.search(text):
-            return [p for p in ALL_WHITE.split(text) if p]
-        return text.split()
-
-    def chunks(self, text: str) -> tuple[list[str | int], bool]:
-        """Pieces in order, an added token as its id; whether there are any."""
-        if self.added_pattern is None or not self.added_pattern.search(text):
-            return self.pieces(text), False
+    def parts(self, text: str) -> list[bytes]:
+        """The normalised text, parted by the keys of its added tokens."""
+        if not any(t in text for t in self.added):
+            return [self.normalise(text).encode()]
         out, at = [], 0
         for found in self.added_pattern.finditer(text):
-            out += self.pieces(text[at:found.start()])
-            out.append(self.added[found[0]])
+            out += self.normalise(text[at:found.start()]).encode(), self.added_keys[found[0]]
             at = found.end()
-        return out + self.pieces(text[at:]), True
+        return [*out, self.normalise(text[at:]).encode()]
+
+    def kinds_of(self, codes: np.ndarray) -> np.ndarray:
+        for c in np.unique(codes[self.kinds[codes] == 255]).tolist():
+            self.kinds[c] = next((k for k, p in enumerate(KINDS) if p.match(chr(c))), len(KINDS))
+        return self.kinds[codes]
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
-        """For each text the ids as little-endian uint32, and the decoded text.
+    def words_by_kind(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """All words, and where each text's words begin and end.
 
-        Without a decoder in the file, decoding joins the tokens' own strings by spaces.
+        A word is a run of bytes of one kind, but a digit stands alone, and an apostrophe alone before one of the pattern's endings is
+        one word with that ending.
         """
-        split = [self.chunks(t) for t in texts]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        distinct = set().union(*[words if not mixed else [w for w in words if isinstance(w, str)] for words, mixed in split])
-        new = list(distinct - self.cache.keys())
+        parts = [b"\n".join(self.parts(t)) for t in texts]
+        raw = np.frombuffer(b"\n".join(parts) + b"\n\n\n", dtype=np.uint8)
+        kind = self.byte_kinds[raw]
+        lead = np.flatnonzero((raw >= 0xC0) & (raw < ADDED[0]))
+        inner = np.zeros(0, dtype=np.int64)
+        if len(lead):
+            width = 2 + (raw[lead] >= 0xE0) + (raw[lead] >= 0xF0)
+            code = raw[lead].astype(np.int64) & 0x7F >> width
+            rest = [(n, width > n) for n in (1, 2, 3)]
+            for n, has in rest:
+                code[has] = code[has] << 6 | raw[lead[has] + n] & 0x3F
+            kind[lead] = kinds = self.kinds_of(code)
+            for n, has in rest:
+                kind[lead[has] + n] = kinds[has]
+            inner = np.concatenate([lead[has] + n for n, has in rest])
+        start = kind == 2
+        start[1:] |= kind[1:] != kind[:-1]
+        start[0] = True
+        start[inner] = False
+        mark = np.flatnonzero(raw == ord("'"))
+        mark = mark[start[mark]]
+        one, two = raw[mark + 1], raw[mark + 2]
+        short = np.isin(one, list(b"stmd"))
+        long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+        start[mark[short | long] + 1] = False
+        start[np.concatenate([mark[short] + 2, mark[long] + 3])] = True
+        kept = kind != 0
+        start &= kept
+        words = _binary(np.append(np.flatnonzero(start[kept]), np.count_nonzero(kept)), raw[kept])
+        begins = np.cumsum([0, *(len(p) + 1 for p in parts)])
+        return words, np.searchsorted(np.flatnonzero(start), begins)
+
+    def words_by_pattern(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """As ``words_by_kind``, for any pattern, word by word."""
+        words, stops = [], [0]
+        for text in texts:
+            for part in self.parts(text):
+                if part.startswith(ADDED):
+                    words.append(part)
+                else:
+                    words += [w.encode() for piece in ALL_WHITE.split(part.decode()) for w in self.split(piece)]
+            stops.append(len(words))
+        return pa.array(words, type=pa.large_binary()), np.array(stops)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, memoryview, np.ndarray]:
+        """The ids of all texts as little-endian uint32 and where each text's begin and end; the same of the decoded texts' bytes.
+
+        Without a decoder in the file, decoding joins the tokens' own strings by spaces. One space follows each decoded text that
+        isn't empty.
+        """
+        words, bounds = self.words(texts)
+        numbered = words.dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
+        if len(self.rows) > CACHE_WORDS:
+            self.forget()
+        new = [w for w in distinct if w not in self.rows]
         if new:
             self.learn(new)
-        cache = self.cache
-        for words, mixed in split:
-            found = [cache[w] if isinstance(w, str) else self.added_pair(w) for w in words] if mixed else map(cache.__getitem__, words)
-            ids, decoded = zip(*found) if words else ((), ())
-            yield b"".join(ids), " ".join(decoded)
-
-    def added_pair(self, token: int) -> tuple[bytes, str]:
-        return np.array([token], dtype="<u4").tobytes(), self.added_text[token]
+        row = np.fromiter(map(self.rows.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+        counts = self.stops[row + 1] - self.stops[row]
+        ends = np.cumsum(np.append(0, counts))
+        tokens = self.tokens[np.arange(ends[-1]) + np.repeat(self.stops[row] - ends[:-1], counts)]
+        stops, names = _buffers(self.names.take(pa.array(tokens)))
+        id_stops, ids = _buffers(_binary(4 * ends, tokens).take(numbered.indices))
+        text_stops, text = _buffers(_binary(stops[ends], names).take(numbered.indices))
+        return np.frombuffer(ids, dtype="<u4"), id_stops[bounds] // 4, text, text_stops[bounds]
 
     def decode(self, ids: np.ndarray) -> str:
-        return " ".join([self.added_text.get(t) or self.text[t] for t in ids.tolist()])
+        return b"".join(self.names.take(pa.array(ids)).to_pylist())[:-1].decode()
+
+
+def _binary(stops: np.ndarray, data: np.ndarray | memoryview) -> pa.Array:
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(stops) - 1, [None, pa.py_buffer(stops.astype(np.int64)), pa.py_buffer(data)])
+
+
+def _buffers(array: pa.Array) -> tuple[np.ndarray, memoryview]:
+    """Of binary values: where they begin and end, and all their bytes."""
+    if not len(array):
+        return np.zeros(1, dtype=np.int64), memoryview(b"")
+    _, stops, data = array.buffers()
+    stops = np.frombuffer(stops, dtype=np.int64)[array.offset:array.offset + len(array) + 1]
+    return stops, memoryview(data or b"")[:stops[-1]]
+
+
+@lru_cache(maxsize=1)
+def _tables(spec: str) -> Bpe:
+    """Workers keep the tables and the words learnt for the tasks to come."""
+    return Bpe(spec)
 
 
 def _text_runs(texts: list[str], limit: int = 1 << 20) -> Iterator[list[str]]:
@@ -367,32 +453,36 @@ def _text_runs(texts: list[str], limit: int = 1 << 20) -> Iterator[list[str]]:
         yield run
 
 
+def _coded(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, list[memoryview]]]:
+    """Of runs of rows: doc_ids, all ids, where each row's begin and end, and each row's decoded text."""
+    bpe = _tables(spec)
+    for batch in batches:
+        texts, row = [t or "" for t in batch.column(1).to_pylist()], 0
+        for part in _text_runs(texts):
+            ids, stops, decoded, text_stops = bpe.encode(part)
+            text_stops = text_stops.tolist()
+            yield (batch.column(0).slice(row, len(part)), ids, stops,
+                   [decoded[a:max(a, b - 1)] for a, b in zip(text_stops, text_stops[1:])])
+            row += len(part)
+
+
 def _coder(spec: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(spec)
-        for batch in batches:
-            texts, row = [t or "" for t in batch.column(1).to_pylist()], 0
-            for part in _text_runs(texts):
-                coded = list(bpe.encode(part))
-                ids = pa.array([np.frombuffer(c[0], dtype="<u4").astype(np.int32) for c in coded], type=pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(part)), ids, pa.array([c[1] for c in coded], type=pa.string())],
-                                                 names=["doc_id", "ids", "decoded"])
-                row += len(part)
+        for doc_ids, ids, stops, decoded in _coded(batches, spec):
+            lists = pa.ListArray.from_arrays(pa.array(stops, type=pa.int32()), pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([doc_ids, lists, pa.array([str(t, "utf-8") for t in decoded], type=pa.string())],
+                                             names=["doc_id", "ids", "decoded"])
     return run
 
 
 def _digester(spec: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(spec)
-        for batch in batches:
-            texts, row = [t or "" for t in batch.column(1).to_pylist()], 0
-            for part in _text_runs(texts):
-                rows = [(len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
-                        for ids, text in bpe.encode(part)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(part)), *map(pa.array, zip(*rows))],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-                row += len(part)
+        for doc_ids, ids, stops, decoded in _coded(batches, spec):
+            raw, at = memoryview(ids.view(np.uint8)), (4 * stops).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [doc_ids, pa.array(np.diff(stops)), pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(at, at[1:])]),
+                 pa.array([hashlib.sha256(t).hexdigest() for t in decoded])],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return run
 
 
